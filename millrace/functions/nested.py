@@ -69,16 +69,16 @@ def explode_days(df: DataFrame, start: str, end: str, out: str) -> DataFrame:
     return df.withColumn(out, F.explode(F.sequence(F.to_date(start), F.to_date(end))))
 
 
-def pairs_to_columns(pairs: Column, codes: dict[str, str]) -> list[Column]:
-    """``array<struct<code, value>>`` to one column per wanted code.
+def pairs_to_columns(pairs: Column, codes: dict[str, str], code: str = "code", value: str = "value") -> list[Column]:
+    """Array of (``code``, ``value``) structs to one column per wanted code.
 
     ``codes`` maps attribute code to column name; a code met twice takes its last value.
     """
-    picked = []
-    for code, name in codes.items():
-        hits = F.filter(pairs, lambda p, c=code: p[0] == F.lit(c))
-        picked.append(F.try_element_at(hits, F.lit(-1)).getItem(1).alias(name))
-    return picked
+
+    def last_of(wanted: str) -> Column:
+        return F.try_element_at(F.filter(pairs, lambda p: p[code] == F.lit(wanted)), F.lit(-1))[value]
+
+    return [last_of(wanted).alias(name) for wanted, name in codes.items()]
 
 
 def key_value_lists(df: DataFrame, text: str, names: dict[str, str]) -> DataFrame:

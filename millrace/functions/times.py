@@ -34,12 +34,18 @@ def from_epoch(value: Column, unit: str) -> Column:
     Nanoseconds are floored to the microseconds Spark can hold.
     """
     if unit == "ns":
-        whole = (value - F.pmod(value, F.lit(1000))) / F.lit(1000)
-        return from_micros(whole)
+        return from_micros(floor_div(value, 1000))
     factor = {"s": 1_000_000, "ms": 1_000, "us": 1}[unit]
     return from_micros(value.cast("bigint") * F.lit(factor))
 
 
+def floor_div(value: Column, n: int) -> Column:
+    """Whole-number division rounding down, exact for all of bigint."""
+    by = F.lit(n).cast("bigint")
+    whole = value.cast("bigint")
+    return F.call_function("div", whole - F.pmod(whole, by), by)
+
+
 def floor_micros(us: Column, width: int) -> Column:
     """Lower edge of the ``width``-microsecond slot; also right before 1970."""
     return us - F.pmod(us, F.lit(width).cast("bigint"))

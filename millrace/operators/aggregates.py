@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.times import floor_div
 from .ordering import number_rows
 
 
@@ -47,7 +48,7 @@ def collect_groups(df: DataFrame, keys, value: str, order, chunk_rows: int = 10_
     a large key is split, so that no array has to hold a whole large group.
     """
     numbered = number_rows(df.select(*dict.fromkeys([*keys, value, *[getattr(k, "name", k) for k in order]])), order, keys, "__rn")
-    chunk = F.floor((F.col("__rn") - 1) / F.lit(chunk_rows)).cast("bigint")
+    chunk = floor_div(F.col("__rn") - 1, chunk_rows)
     arrays = numbered.groupBy(*keys, chunk.alias("chunk")).agg(
         F.sort_array(F.collect_list(F.struct("__rn", value))).alias("__a")
     )

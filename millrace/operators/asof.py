@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.times import HOUR, to_micros
+from ..functions.times import HOUR, floor_div, to_micros
 
 
 def asof_join(
@@ -60,7 +60,7 @@ def asof_join(
     )
     if how == "inner":
         seen = seen.dropna(subset=[*on, "__t"])
-    slot_no = F.floor(F.col("__t") / F.lit(slot)).cast("bigint")
+    slot_no = floor_div(F.col("__t"), slot)
     rows = seen.unionByName(offered).withColumn("__slot", slot_no)
 
     edge = F.struct("__t", "__tie")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import DAY, to_micros
+from ..functions.times import DAY, floor_div, to_micros
 
 
 def interval_join(
@@ -23,9 +23,9 @@ def interval_join(
     is an equi join on (keys, slot) with an exact filter: Catalyst broadcasts the intervals
     while they are small and shuffles both sides otherwise. No pair is compared outside a slot.
     """
-    p = points.withColumn("__slot", F.floor(to_micros(F.col(ts)) / F.lit(slot)).cast("bigint"))
-    first = F.floor(to_micros(F.col(start)) / F.lit(slot)).cast("bigint")
-    last = F.floor(to_micros(F.col(end)) / F.lit(slot)).cast("bigint")
+    p = points.withColumn("__slot", floor_div(to_micros(F.col(ts)), slot))
+    first = floor_div(to_micros(F.col(start)), slot)
+    last = floor_div(to_micros(F.col(end)), slot)
     i = intervals.where(F.col(start) <= F.col(end)).withColumn("__slot", F.explode(F.sequence(first, last)))
     joined = p.join(i, [*on, "__slot"])
     return joined.where((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end))).drop("__slot")

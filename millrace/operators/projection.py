@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import SECOND, to_micros
+from ..functions.times import SECOND, floor_div, to_micros
 
 
 def project_typed(df: DataFrame, types: dict[str, str], names: dict[str, str] | None = None) -> DataFrame:
@@ -20,7 +20,7 @@ def audit_columns(df: DataFrame, as_of: Column, ts: str | None = None) -> DataFr
     ``as_of`` is passed in, so that a run can be repeated with the same result.
     """
     stamp = as_of.cast("timestamp_ntz")
-    out = df.withColumns({"updated_at": stamp, "version": F.floor(to_micros(stamp) / F.lit(SECOND)).cast("bigint")})
+    out = df.withColumns({"updated_at": stamp, "version": floor_div(to_micros(stamp), SECOND)})
     return out.withColumn("business_date", F.to_date(ts)) if ts else out
 
 

@@ -165,6 +165,10 @@ class TargetField:
     array: bool = False
 
 
+def _truncate_items(items: Column, digits: int) -> Column:
+    return F.transform(items, lambda x: truncate_precision(x, digits))
+
+
 def conform(df: DataFrame, fields: list[TargetField]) -> DataFrame:
     """Cast to the target's types and order; unknown columns go, absent ones are not added.
 
@@ -181,8 +185,7 @@ def conform(df: DataFrame, fields: list[TargetField]) -> DataFrame:
             given = df.schema[f.name].dataType
             arr = casts.parse_list_text(c, f.type) if isinstance(given, T.StringType) else c.cast(f"array<{kind}>")
             if f.type in casts.PRECISION:
-                digits = casts.PRECISION[f.type]
-                arr = F.transform(arr, lambda x, d=digits: truncate_precision(x, d))
+                arr = _truncate_items(arr, casts.PRECISION[f.type])
             out.append(arr.alias(f.name))
             continue
         c = c.try_cast(kind)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.casts import cast_or_zero
 from ..functions.nested import pairs_to_columns
 from ..functions.texts import blank_to_null, joined_or_null
-from ..functions.times import SECOND, floor_ts, to_micros
+from ..functions.times import SECOND, floor_div, floor_ts, to_micros
 from ..operators.aggregates import avg_if, count_distinct_if
 from ..operators.intervals import interval_join
 
@@ -73,7 +73,7 @@ def change_log(edits: DataFrame) -> DataFrame:
 def fx_rates(raw: DataFrame, codes: dict[str, str]) -> DataFrame:
     """Attribute list to columns beside all other columns."""
     rest = [c for c in raw.columns if c != "attributes"]
-    return raw.select(*rest, *pairs_to_columns(F.col("attributes"), codes))
+    return raw.select(*rest, *pairs_to_columns(F.col("attributes"), codes, "attrCode", "valueCode"))
 
 
 def geo_metrics_versioned(raw: DataFrame, updated_at: Column) -> DataFrame:
@@ -85,5 +85,5 @@ def geo_metrics_versioned(raw: DataFrame, updated_at: Column) -> DataFrame:
         *[cast_or_zero(F.col(c), "bigint").alias(c) for c in ("visits", "users", "new_users", "pageviews")],
         cast_or_zero(F.col("bounce_rate"), "double").alias("bounce_rate"),
         updated_at.alias("updated_at"),
-        F.floor(to_micros(updated_at) / F.lit(SECOND)).cast("bigint").alias("version"),
+        floor_div(to_micros(updated_at), SECOND).alias("version"),
     )
