@@ -4,7 +4,7 @@ from importlib import import_module
 
 from .base import ORACLES, QUERIES
 
-for _part in ("relational", "summaries", "scalars", "semantics"):
+for _part in ("relational", "summaries", "scalars", "semantics", "files", "streams", "marts"):
     import_module(f"{__name__}.{_part}")
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -12,8 +12,10 @@ from .streams import trigger_args
 def ohlcv_stream(trades: DataFrame, width: str = "1 minute", late: str = "1 hour") -> DataFrame:
     """Running bars per symbol; expects trade_id, symbol, price, quantity, amount_usdt, ts."""
     order = F.struct("ts", "trade_id")
+    # Watermarks need an instant; the bar's start goes back to a time without a zone below.
     bars = (
-        trades.withWatermark("ts", late)
+        trades.withColumn("ts", F.col("ts").cast("timestamp"))
+        .withWatermark("ts", late)
         .groupBy(F.window("ts", width).alias("w"), "symbol")
         .agg(
             F.min_by("price", order).alias("open_price"),
@@ -25,7 +27,7 @@ def ohlcv_stream(trades: DataFrame, width: str = "1 minute", late: str = "1 hour
             F.count("trade_id").alias("trades_count"),
         )
     )
-    return bars.select(F.col("w.start").alias("period_start"), "symbol", *bars.columns[2:])
+    return bars.select(F.col("w.start").cast("timestamp_ntz").alias("period_start"), "symbol", *bars.columns[2:])
 
 
 def run_ohlcv(trades: DataFrame, path: str, checkpoint: str, width: str = "1 minute", late: str = "1 hour", mode: str = "drain") -> None:

@@ -103,6 +103,24 @@ def append_files(df: DataFrame, path: str, checkpoint: str, kind: str = "parquet
     )
 
 
+def flush_buffered(df: DataFrame, path: str, checkpoint: str, mode: str = "drain") -> StreamingQuery:
+    """Collect small inserts and write each micro-batch as few files in its own folder.
+
+    The batch size comes from the source's cap and the trigger. Adaptive execution joins the
+    small parts up to its target size. A batch that is run again replaces its folder.
+    """
+
+    def flush(batch: DataFrame, number: int) -> None:
+        batch.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return df.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint).trigger(**trigger_args(mode)).start()
+
+
+def read_buffered(spark: SparkSession, path: str) -> DataFrame:
+    """All flushed rows with their ``batch`` number."""
+    return spark.read.option("basePath", path).parquet(f"{path}/batch=*")
+
+
 def json_trades(df: DataFrame, value: str = "value") -> DataFrame:
     """Typed trade events by JSON path."""
 
