@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.texts import normalised_md5
-from ..functions.times import HOUR, floor_div, to_micros
+from ..functions.times import floor_div, to_micros
 from ..operators.aggregates import exact_sum
 from ..operators.tables import TargetField
 from ..plans.bars import ohlcv, rebuild_tail, refresh_bars
@@ -221,23 +221,23 @@ def _plain(bars):
 @query("mart_ohlcv_1m", BARS_SQL)
 def mart_ohlcv(load, spark):
     # Hourly bars: the events are about four minutes apart.
-    return _plain(ohlcv(trades_of(load("events")), HOUR))
+    return _plain(ohlcv(trades_of(load("events")), "1 hour"))
 
 
 @query("mart_ohlcv_rebuild_tail", BARS_SQL)
 def mart_ohlcv_rebuild_tail(load, spark):
     trades = trades_of(load("events"))
-    loaded = ohlcv(trades.where(F.col("ts") < F.lit("2024-01-20 10:20:00").cast("timestamp_ntz")), HOUR)
-    return _plain(rebuild_tail(loaded, trades, HOUR))
+    loaded = ohlcv(trades.where(F.col("ts") < F.lit("2024-01-20 10:20:00").cast("timestamp_ntz")), "1 hour")
+    return _plain(rebuild_tail(loaded, trades, "1 hour"))
 
 
 @query("mart_ohlcv_refresh", BARS_SQL)
 def mart_ohlcv_refresh(load, spark):
     path = scratch_path(spark, "bars")
     trades = trades_of(load("events"))
-    refresh_bars(trades.where(F.col("ts") < F.lit("2024-01-20 10:20:00").cast("timestamp_ntz")), path, HOUR)
+    refresh_bars(trades.where(F.col("ts") < F.lit("2024-01-20 10:20:00").cast("timestamp_ntz")), path, "1 hour")
     for _ in range(2):
-        refresh_bars(trades, path, HOUR)
+        refresh_bars(trades, path, "1 hour")
     return _plain(spark.read.parquet(path).drop("day"))
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.times import HOUR, floor_div, to_micros
+from ..functions.times import slot_number
 
 
 def asof_join(
@@ -18,7 +21,7 @@ def asof_join(
     op: str = "<",
     tie: str | None = None,
     how: str = "inner",
-    slot: int = HOUR,
+    slot: str | int = "hour",
     suffix: str = "_right",
 ) -> DataFrame:
     """Match each left row with the nearest right row for which ``left_ts op right_ts`` holds.
@@ -26,47 +29,33 @@ def asof_join(
     ``<`` and ``<=`` look forward, ``>`` and ``>=`` back. ``tie`` orders right rows of one
     time: the lowest is taken looking forward, the highest looking back.
 
-    The rows of both sides are sorted per key and time slot (``slot`` microseconds), so a key
-    with many rows is spread over its slots. What a slot cannot find inside itself comes from
-    one carried row per slot, taken from a small summary with one row per key and slot.
-    Right columns whose name is taken get ``suffix``; keys are kept once.
+    The rows of both sides are sorted per key and slot (``day``, ``hour``, ``minute``, or a
+    width for whole-number times), so a key with many rows is spread over its slots. What a
+    slot cannot find inside itself comes from one carried row per slot, taken from a summary
+    with one row per key and slot. Right columns whose name is taken get ``suffix``; keys are
+    kept once.
     """
     if op not in ("<", "<=", ">", ">="):
         raise ValueError(f"op must be <, <=, > or >=, not {op}")
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how}")
-    forward = op in ("<", "<=")
-    strict = op in ("<", ">")
+    forward, strict = op in ("<", "<="), op in ("<", ">")
     on = list(on)
-    tie_value = F.col(tie) if tie else F.lit(None).cast("bigint")
-
     lcols = [c for c in left.columns if c not in on]
     rcols = [c for c in right.columns if c not in on]
-    rnames = {c: (c + suffix if c in left.columns else c) for c in rcols}
+    payload = F.struct(*[F.col(c).alias(c + suffix if c in left.columns else c) for c in rcols])
+    tie_value = F.col(tie) if tie else F.lit(0)
 
-    seen = left.select(
-        *on,
-        to_micros(F.col(left_ts)).alias("__t"),
-        F.struct(*lcols).alias("__l"),
-        F.lit(None).cast(right.select(F.struct(*[F.col(c).alias(rnames[c]) for c in rcols])).schema[0].dataType).alias("__r"),
-        F.lit(None).cast(right.select(tie_value).schema[0].dataType).alias("__tie"),
-    )
-    offered = right.where(F.col(right_ts).isNotNull()).dropna(subset=on).select(
-        *on,
-        to_micros(F.col(right_ts)).alias("__t"),
-        F.lit(None).cast(seen.schema["__l"].dataType).alias("__l"),
-        F.struct(*[F.col(c).alias(rnames[c]) for c in rcols]).alias("__r"),
-        tie_value.alias("__tie"),
+    can_match = reduce(and_, [F.col(c).isNotNull() for c in (*on, left_ts)])
+    seen = left.where(can_match).select(*on, F.col(left_ts).alias("__t"), F.struct(*lcols).alias("__l"))
+    offered = right.dropna(subset=[*on, right_ts]).select(
+        *on, F.col(right_ts).alias("__t"), payload.alias("__r"), tie_value.alias("__tie")
     )
-    if how == "inner":
-        seen = seen.dropna(subset=[*on, "__t"])
-    slot_no = floor_div(F.col("__t"), slot)
-    rows = seen.unionByName(offered).withColumn("__slot", slot_no)
+    rows = seen.unionByName(offered, allowMissingColumns=True).withColumn("__slot", slot_number(F.col("__t"), slot))
 
-    edge = F.struct("__t", "__tie")
     pick = F.min_by if forward else F.max_by
     slots = rows.groupBy(*on, "__slot").agg(
-        pick("__r", F.when(F.col("__r").isNotNull(), edge)).alias("__edge"),
+        pick("__r", F.when(F.col("__r").isNotNull(), F.struct("__t", "__tie"))).alias("__edge"),
         F.bool_or(F.col("__l").isNotNull()).alias("__wanted"),
     )
     toward = F.col("__slot").desc() if forward else F.col("__slot").asc()
@@ -74,25 +63,20 @@ def asof_join(
     carried = (
         slots.withColumn("__r", F.last("__edge", ignorenulls=True).over(passed))
         .where(F.col("__wanted") & F.col("__r").isNotNull())
-        .select(
-            *on,
-            ((F.col("__slot") + 1) * slot if forward else F.col("__slot") * slot - 1).alias("__t"),
-            F.lit(None).cast(rows.schema["__l"].dataType).alias("__l"),
-            "__r",
-            F.lit(None).cast(rows.schema["__tie"].dataType).alias("__tie"),
-            "__slot",
-        )
+        .select(*on, "__slot", "__r", F.lit(True).alias("__carried"))
     )
-    rows = rows.unionByName(carried)
+    rows = rows.unionByName(carried, allowMissingColumns=True)
+
+    # The carried row lies beyond its slot, so it is met first. Among equal times left rows
+    # are met first when the match is strict and last when it is not.
     is_right = F.col("__r").isNotNull()
-    # Left rows come first among equal times when the match is strict, last when it is not.
     side = is_right.asc() if strict else is_right.desc()
-    if forward:
-        sort = [F.col("__t").desc(), side, F.col("__tie").desc_nulls_first()]
-    else:
-        sort = [F.col("__t").asc(), side, F.col("__tie").asc_nulls_first()]
-    upto = W.partitionBy(*on, "__slot").orderBy(*sort).rowsBetween(W.unboundedPreceding, W.currentRow)
-    matched = rows.withColumn("__hit", F.last("__r", ignorenulls=True).over(upto)).where(F.col("__l").isNotNull())
+    time, best = (F.col("__t").desc(), F.col("__tie").desc()) if forward else (F.col("__t").asc(), F.col("__tie").asc())
+    met = W.partitionBy(*on, "__slot").orderBy(F.col("__carried").asc_nulls_last(), time, side, best)
+    nearest = F.last("__r", ignorenulls=True).over(met.rowsBetween(W.unboundedPreceding, W.currentRow))
+    matched = rows.withColumn("__hit", nearest).where(F.col("__l").isNotNull())
     if how == "inner":
-        matched = matched.where(F.col("__hit").isNotNull())
-    return matched.select(*on, "__l.*", "__hit.*")
+        return matched.where(F.col("__hit").isNotNull()).select(*on, "__l.*", "__hit.*")
+    found = matched.select(*on, "__l.*", "__hit.*")
+    never = left.where(~can_match)
+    return found.unionByName(never, allowMissingColumns=True)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import DAY, floor_div, to_micros
+from ..functions.times import slot_number
+from .joins import broadcast_if_measured
 
 
 def interval_join(
@@ -15,17 +16,19 @@ def interval_join(
     start: str,
     end: str,
     on=(),
-    slot: int = DAY,
+    slot: str | int = "hour",
+    broadcast_bytes: int = 64 << 20,
 ) -> DataFrame:
     """Every (point, interval) with ``start <= ts <= end``; overlapping intervals each match.
 
-    Each interval is listed once per time slot it touches and each point has one slot, so this
-    is an equi join on (keys, slot) with an exact filter: Catalyst broadcasts the intervals
-    while they are small and shuffles both sides otherwise. No pair is compared outside a slot.
+    Each interval is listed once per slot it touches and each point has one slot, so this is
+    an equi join on (keys, slot) with an exact filter, and no pair is compared outside a slot.
+    The listed intervals are measured: up to ``broadcast_bytes`` they are broadcast and the
+    points are not shuffled; beyond that both sides are shuffled and adaptive execution splits
+    slots that hold many rows.
     """
-    p = points.withColumn("__slot", floor_div(to_micros(F.col(ts)), slot))
-    first = floor_div(to_micros(F.col(start)), slot)
-    last = floor_div(to_micros(F.col(end)), slot)
-    i = intervals.where(F.col(start) <= F.col(end)).withColumn("__slot", F.explode(F.sequence(first, last)))
-    joined = p.join(i, [*on, "__slot"])
+    p = points.withColumn("__slot", slot_number(F.col(ts), slot))
+    spans = F.sequence(slot_number(F.col(start), slot), slot_number(F.col(end), slot))
+    listed = intervals.where(F.col(start) <= F.col(end)).withColumn("__slot", F.explode(spans))
+    joined = p.join(broadcast_if_measured(listed, broadcast_bytes), [*on, "__slot"])
     return joined.where((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end))).drop("__slot")

@@ -17,6 +17,17 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
     return F.broadcast(df) if planned_bytes(df) <= max_bytes else df
 
 
+def broadcast_if_measured(df: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
+    """Mark for broadcast only if the data, measured in one aggregation, is below the limit.
+
+    For derived frames, whose planned size says little. Beyond the limit the frame is returned
+    as it is and the join shuffles.
+    """
+    width = F.octet_length(F.to_json(F.struct("*")))
+    held = df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    return F.broadcast(df) if held <= max_bytes else df
+
+
 def join_text_id(left: DataFrame, right: DataFrame, left_id: str, right_id: str, how: str = "inner") -> DataFrame:
     """Join a numeric id with a text id; text that is no number matches nothing."""
     kind = left.schema[left_id].dataType

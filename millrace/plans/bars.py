@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.times import HOUR, MINUTE, floor_ts
 from ..operators.sets import union_named
 from ..sources.incremental import existing
 from ..sources.writers import replace_partitions
 
 
-def ohlcv(trades: DataFrame, width: int = MINUTE) -> DataFrame:
+def ohlcv(trades: DataFrame, width: str = "1 minute") -> DataFrame:
     """Bars from trade_id, symbol, price, quantity, amount_usdt, ts; open and close by (ts, id)."""
     order = F.struct("ts", "trade_id")
-    return trades.groupBy(floor_ts(F.col("ts"), width).alias("period_start"), "symbol").agg(
+    placed = trades.withColumn("period_start", F.window("ts", width)["start"])
+    return placed.groupBy("period_start", "symbol").agg(
         F.min_by("price", order).alias("open_price"),
         F.max("price").alias("high_price"),
         F.min("price").alias("low_price"),
@@ -25,20 +25,24 @@ def ohlcv(trades: DataFrame, width: int = MINUTE) -> DataFrame:
     )
 
 
-def rebuild_tail(bars: DataFrame, trades: DataFrame, width: int = MINUTE, tail: int = HOUR) -> DataFrame:
+def _cutoff(bars: DataFrame, tail: str) -> DataFrame:
+    """One row: the newest bar's start minus ``tail``; NULL when there are no bars."""
+    return bars.agg((F.max("period_start") - F.expr(f"INTERVAL {tail}")).alias("cutoff"))
+
+
+def rebuild_tail(bars: DataFrame, trades: DataFrame, width: str = "1 minute", tail: str = "1 HOUR") -> DataFrame:
     """Bars before the cutoff as they are, later ones computed again.
 
-    The cutoff (newest bar minus ``tail``) is used for both parts, so no bar comes twice.
+    The cutoff (newest bar minus ``tail``, a whole number of bars) is used for both parts, so
+    no bar comes twice.
     """
-    cutoff = F.timestamp_add("MICROSECOND", F.lit(-tail).cast("bigint"), F.max("period_start"))
-    mark = bars.agg(cutoff.alias("c"))
-    old = bars.where(F.col("period_start") < mark.scalar())
-    slot = floor_ts(F.col("ts"), width)
-    new = ohlcv(trades.where(F.coalesce(slot >= mark.scalar(), F.lit(True))), width)
-    return union_named(old, new)
+    cutoff = _cutoff(bars, tail)
+    old = bars.where(F.col("period_start") < cutoff.scalar())
+    late = trades.where(F.coalesce(F.col("ts") >= cutoff.scalar(), F.lit(True)))
+    return union_named(old, ohlcv(late, width))
 
 
-def refresh_bars(trades: DataFrame, path: str, width: int = MINUTE, tail: int = HOUR) -> None:
+def refresh_bars(trades: DataFrame, path: str, width: str = "1 minute", tail: str = "1 HOUR") -> None:
     """Bring a bar table, partitioned by day, up to date.
 
     Whole days from the cutoff's day on are computed and replaced, so a second run changes
@@ -46,8 +50,7 @@ def refresh_bars(trades: DataFrame, path: str, width: int = MINUTE, tail: int =
     """
     bars = existing(trades.sparkSession, path)
     if bars is not None:
-        newest = F.timestamp_add("MICROSECOND", F.lit(-tail).cast("bigint"), F.max("period_start"))
-        day = bars.agg(F.to_date(newest).cast("string")).first()[0]
+        day = _cutoff(bars, tail).select(F.to_date("cutoff").cast("string")).first()[0]
         if day is not None:
             trades = trades.where(F.col("ts") >= F.lit(f"{day} 00:00:00").cast("timestamp_ntz"))
     replace_partitions(ohlcv(trades, width).withColumn("day", F.to_date("period_start")), path, "day")
