@@ -218,9 +218,14 @@ def _plain(bars):
     return bars.withColumn("total_amount_usdt", F.col("total_amount_usdt").cast("double"))
 
 
-@query("mart_ohlcv_1m", BARS_SQL)
-def mart_ohlcv(load, spark):
-    # Hourly bars: the events are about four minutes apart.
+@query("mart_ohlcv_1m", BARS_SQL.replace("'hour'", "'minute'"))
+def mart_ohlcv_1m(load, spark):
+    return _plain(ohlcv(trades_of(load("events"))))
+
+
+@query("mart_ohlcv_1h", BARS_SQL)
+def mart_ohlcv_1h(load, spark):
+    # The events are about four minutes apart, so hourly bars hold more trades.
     return _plain(ohlcv(trades_of(load("events")), "1 hour"))
 
 

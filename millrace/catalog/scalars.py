@@ -380,7 +380,27 @@ def fn_type_name(load, spark):
 )
 def fn_hex_uuid(load, spark):
     return load("events").select(
-        "event_id", F.hex("event_type").alias("hexed"), F.uuid().rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$").alias("is_uuid")
+        "event_id", F.hex("event_type").alias("hexed"), casts.is_uuid(F.uuid()).alias("is_uuid")
+    )
+
+
+@query(
+    "fn_type_checks",
+    "SELECT event_id, event_id % 300 < 256 AS v4, event_id % 2 = 0 AS v6, rpad(event_type, 10, ' ') AS fixed, "
+    "CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 WHEN 'signup' THEN 4 ELSE 5 END AS code, event_type AS label FROM events",
+)
+def fn_type_checks(load, spark):
+    codes = {"view": 1, "click": 2, "purchase": 3, "signup": 4, "error": 5}
+    v4 = F.concat(F.lit("10.0.7."), (F.col("event_id") % 300).cast("string"))
+    v6 = F.concat(F.lit("2001:db8::"), F.hex(F.col("event_id") % 65536), F.when(F.col("event_id") % 2 == 0, "").otherwise("::1"))
+    code = casts.enum_code(F.col("event_type"), codes)
+    return load("events").select(
+        "event_id",
+        casts.is_ipv4(v4).alias("v4"),
+        casts.is_ipv6(v6).alias("v6"),
+        casts.fixed_text(F.col("event_type"), 10).alias("fixed"),
+        code.alias("code"),
+        casts.enum_label(code, codes).alias("label"),
     )
 
 

@@ -55,6 +55,45 @@ def cast_strict(col: Column, to: str, what: str = "value") -> Column:
     return F.when(cast.isNotNull(), cast).otherwise(F.raise_error(F.lit(f"{what} must not be NULL")).cast(to))
 
 
+def fixed_text(col: Column, n: int) -> Column:
+    """Text of exactly ``n`` characters, padded on the right; longer text raises."""
+    too_long = F.raise_error(F.lit(f"text is longer than {n}")).cast("string")
+    return F.when(F.length(col) > n, too_long).otherwise(F.rpad(col, n, " "))
+
+
+_BYTE = "(25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
+
+
+def is_ipv4(col: Column) -> Column:
+    return col.rlike(rf"^({_BYTE}\.){{3}}{_BYTE}$")
+
+
+def is_ipv6(col: Column) -> Column:
+    """Eight groups of up to four hex digits, of which one run may be left out as ``::``."""
+    full = col.rlike("^([0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}$")
+    groups = F.size(F.filter(F.split(col, ":"), lambda g: g != ""))
+    once = (F.length(col) - F.length(F.replace(col, F.lit("::"), F.lit("")))) == 2
+    short = once & ~col.contains(":::") & (groups <= 7) & col.rlike("^(([0-9A-Fa-f]{1,4}:)*[0-9A-Fa-f]{1,4})?::([0-9A-Fa-f]{1,4}(:[0-9A-Fa-f]{1,4})*)?$")
+    return full | short
+
+
+def is_uuid(col: Column) -> Column:
+    return col.rlike("^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$")
+
+
+def enum_code(label: Column, codes: dict[str, int]) -> Column:
+    """Number of a label; a label outside the list raises, NULL stays NULL."""
+    table = F.create_map(*[F.lit(x) for pair in codes.items() for x in pair])
+    unknown = F.raise_error(F.concat(F.lit("unknown label "), label)).cast("int")
+    return F.when(label.isNull(), F.lit(None)).otherwise(F.coalesce(table[label], unknown))
+
+
+def enum_label(code: Column, codes: dict[str, int]) -> Column:
+    """Label of a number; NULL for a number outside the list."""
+    table = F.create_map(*[F.lit(x) for label, number in codes.items() for x in (number, label)])
+    return table[code]
+
+
 def fill_default(col: Column, to: str) -> Column:
     """NULL becomes 0 for numbers and '' for text; other types keep NULL."""
     if to == "string":

@@ -219,10 +219,14 @@ def first_non_null(df: DataFrame, keys, value: str, order, name: str) -> DataFra
 def exact_quantiles(df: DataFrame, keys, value: str, probs: dict[str, float]) -> DataFrame:
     """Interpolated quantiles per key, exact, without holding a key's values in one task.
 
-    Equal values are counted first; the wanted ranks are then looked up among the numbered
-    distinct values.
+    Equal values are counted first and range-sorted. Totals per key and range tell which ranges
+    hold the wanted ranks; only those are looked into.
     """
     keys = list(keys)
+
+    def place(p: float) -> Column:
+        return (F.col("__total") - 1) * F.lit(float(p))
+
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__c"))
     rows = ranged(counts, [*keys, value])
     spans = rows.groupBy(*keys, _PART).agg(F.sum("__c").alias("__n"))
@@ -232,11 +236,16 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs: dict[str, float]) ->
             "__before": F.coalesce(F.sum("__n").over(before), F.lit(0)),
             "__total": F.sum("__n").over(W.partitionBy(*keys)),
         }
-    ).drop("__n")
+    )
+    last = F.col("__before") + F.col("__n") - 1
+    wanted = F.lit(False)
+    for p in probs.values():
+        wanted = wanted | ((F.ceil(place(p)) >= F.col("__before")) & (F.floor(place(p)) <= last))
+    spans = spans.where(wanted).drop("__n")
     inside = W.partitionBy(*keys, _PART).orderBy(_POS).rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = same_keys(
-        rows.withColumn("__upto", F.sum("__c").over(inside)), spans, [*keys, _PART]
-    ).withColumn("__last", F.col("__before") + F.col("__upto") - 1)
+    placed = same_keys(rows, spans, [*keys, _PART]).withColumn(
+        "__last", F.col("__before") + F.sum("__c").over(inside) - 1
+    )
     first = F.col("__last") - F.col("__c") + 1
 
     def at(rank: Column) -> Column:
@@ -244,12 +253,10 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs: dict[str, float]) ->
 
     aggs = []
     for name, p in probs.items():
-        place = (F.col("__total") - 1) * F.lit(float(p))
-        aggs += [at(F.floor(place)).alias(f"__lo_{name}"), at(F.ceil(place)).alias(f"__hi_{name}")]
+        aggs += [at(F.floor(place(p))).alias(f"__lo_{name}"), at(F.ceil(place(p))).alias(f"__hi_{name}")]
     found = placed.groupBy(*keys, "__total").agg(*aggs)
     outs = []
     for name, p in probs.items():
-        place = (F.col("__total") - 1) * F.lit(float(p))
         lo, hi = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
-        outs.append((lo + (hi - lo) * (place - F.floor(place))).alias(name))
+        outs.append((lo + (hi - lo) * (place(p) - F.floor(place(p)))).alias(name))
     return found.select(*keys, *outs)

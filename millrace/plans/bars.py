@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.sets import union_named
-from ..sources.incremental import existing
+from ..sources.incremental import existing, newest_partition
 from ..sources.writers import replace_partitions
 
 
@@ -50,7 +50,7 @@ def refresh_bars(trades: DataFrame, path: str, width: str = "1 minute", tail: st
     """
     bars = existing(trades.sparkSession, path)
     if bars is not None:
-        day = _cutoff(bars, tail).select(F.to_date("cutoff").cast("string")).first()[0]
+        day = _cutoff(newest_partition(bars, "day"), tail).select(F.to_date("cutoff").cast("string")).first()[0]
         if day is not None:
             trades = trades.where(F.col("ts") >= F.lit(f"{day} 00:00:00").cast("timestamp_ntz"))
     replace_partitions(ohlcv(trades, width).withColumn("day", F.to_date("period_start")), path, "day")

@@ -22,14 +22,28 @@ def existing(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def past_mark(source: DataFrame, target: DataFrame | None, ts: str, keys) -> DataFrame:
+def newest_partition(table: DataFrame, day: str) -> DataFrame:
+    """Rows of the newest day of a table partitioned by ``day``.
+
+    The day is found from partition values alone and is a literal, so one partition is scanned.
+    """
+    top = table.agg(F.max(day).cast("string")).first()[0]
+    return table.limit(0) if top is None else table.where(F.col(day) == F.lit(top).cast("date"))
+
+
+def past_mark(source: DataFrame, target: DataFrame | None, ts: str, keys, day: str | None = None) -> DataFrame:
     """Source rows the target does not hold yet, judged by the target's highest ``ts``.
 
+    With ``day``, the date of ``ts`` by which the target is partitioned, only the target's
+    newest partition is read.
+
     The mark is a literal, so the filter reaches the source scan. Rows with exactly that time
     are taken unless their key is already there.
     """
     if target is None:
         return source
+    if day is not None:
+        target = newest_partition(target, day)
     kind = source.schema[ts].dataType.simpleString()
     mark = target.agg(F.max(ts).cast("string")).first()[0]
     if mark is None:
@@ -42,7 +56,7 @@ def past_mark(source: DataFrame, target: DataFrame | None, ts: str, keys) -> Dat
 def load_past_mark(source: DataFrame, path: str, ts: str, keys, day: str = "event_date") -> DataFrame:
     """Append the new rows to a table partitioned by day; returns the whole table."""
     spark = source.sparkSession
-    new = past_mark(source, existing(spark, path), ts, keys)
+    new = past_mark(source, existing(spark, path), ts, keys, day)
     rows = new.withColumn(day, F.to_date(ts))
     rows.hint("rebalance", F.col(day)).write.mode("append").partitionBy(day).parquet(path)
     return spark.read.parquet(path)

@@ -313,3 +313,20 @@ def test_bounce_by_grain(spark):
     hits = spark.createDataFrame([(1, 1, 1)], "`ym:pv:clientID` int, `ym:pv:watchID` long, `ym:pv:pageViewID` int")
     assert web_depth(visits, hits).first().bounce_rate == 0.5
     assert web_depth(visits, hits, grain="hit").first().bounce_rate == 0.25
+
+
+def test_type_checks(spark):
+    v4 = spark.createDataFrame([("1.2.3.255", True), ("1.2.3.256", False), ("1.2.3", False), ("01.2.3.4", True)], "a string, ok boolean")
+    assert [r[0] for r in v4.select(casts.is_ipv4(F.col("a")) == F.col("ok")).collect()] == [True] * 4
+    v6 = spark.createDataFrame(
+        [("::", True), ("::1", True), ("1::", True), ("1:2:3:4:5:6:7:8", True), ("1:2::8", True), ("1::2::3", False), ("1:::2", False), ("1:2:3:4:5:6:7", False),
+         ("1:2:3:4::5:6:7:8", False), ("g::1", False)],
+        "a string, ok boolean",
+    )
+    assert [(r.a, r.got) for r in v6.select("a", casts.is_ipv6(F.col("a")).alias("got")).collect()] == [(r.a, r.ok) for r in v6.collect()]
+    t = spark.createDataFrame([("ab",), (None,)], "v string")
+    assert [r[0] for r in t.select(casts.fixed_text(F.col("v"), 3)).collect()] == ["ab ", None]
+    with pytest.raises(Exception, match="longer than 1"):
+        t.select(casts.fixed_text(F.col("v"), 1)).collect()
+    with pytest.raises(Exception, match="unknown label ab"):
+        t.select(casts.enum_code(F.col("v"), {"x": 1})).collect()
