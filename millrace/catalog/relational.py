@@ -371,19 +371,20 @@ def join_asof_back_left(load, spark):
     return found.select("user_id", "click_id", "signup_id", "signup_value")
 
 
-# Promotions start with large purchases and last two hours, so their number follows the data.
+# One promotion starts on each day with events and runs for 30 hours, so neighbours overlap.
 PROMO_SQL = (
-    "SELECT 'promo_' || event_id AS event_name, ts AS start_time, ts + INTERVAL 2 HOUR AS end_time "
-    "FROM events WHERE event_type = 'purchase' AND value > 100"
+    "SELECT 'promo_' || CAST(day AS VARCHAR) AS event_name, day + INTERVAL 9 HOUR AS start_time, day + INTERVAL 39 HOUR AS end_time "
+    "FROM (SELECT DISTINCT CAST(ts AS DATE) AS day FROM events)"
 )
 
 
 def promotions(events):
-    start = F.col("ts")
-    return events.where("event_type = 'purchase' AND value > 100").select(
-        F.concat(F.lit("promo_"), F.col("event_id").cast("string")).alias("event_name"),
-        start.alias("start_time"),
-        (start + F.expr("INTERVAL 2 HOURS")).alias("end_time"),
+    start = F.col("day").cast(NTZ)
+    days = events.select(F.to_date("ts").alias("day")).distinct()
+    return days.select(
+        F.concat(F.lit("promo_"), F.col("day").cast("string")).alias("event_name"),
+        (start + F.expr("INTERVAL 9 HOURS")).alias("start_time"),
+        (start + F.expr("INTERVAL 39 HOURS")).alias("end_time"),
     )
 
 
