@@ -11,20 +11,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None):
-    """Register ``fn(load, spark)``; ``load(table)`` reads a supplied table."""
+def query(name: str, sql: str | None = None, dates: str = ""):
+    """Register ``fn(load, spark)``; ``load(table)`` reads a supplied table.
+
+    ``dates`` names result columns of type date. Both engines give them as text, because their
+    Python clients return dates as different types.
+    """
+    days = dates.split()
 
     def add(fn):
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"), spark)
+            out = fn(lambda table: spark.read.parquet(f"{sf_dir}/{table}.parquet"), spark)
+            return out.withColumns({d: F.col(d).cast("string") for d in days}) if days else out
 
         run.__name__ = name
         QUERIES[name] = run
         if sql is not None:
-            ORACLES[name] = sql
+            as_text = ", ".join(f"CAST({d} AS VARCHAR) AS {d}" for d in days)
+            ORACLES[name] = f"SELECT * REPLACE ({as_text}) FROM ({sql})" if days else sql
         return fn
 
     return add

@@ -107,6 +107,7 @@ def src_text_manifest(load, spark):
 @query(
     "src_files_modified_after",
     "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE day(ts) BETWEEN 10 AND 19 GROUP BY ALL",
+    dates="day",
 )
 def src_files_modified_after(load, spark):
     events = load("events")
@@ -119,6 +120,7 @@ def src_files_modified_after(load, spark):
 @query(
     "src_files_by_date_key",
     "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE CAST(ts AS DATE) > DATE '2024-01-20' GROUP BY ALL",
+    dates="day",
 )
 def src_files_by_date_key(load, spark):
     events = load("events")
@@ -201,6 +203,7 @@ def snk_format_choice(load, spark):
 @query(
     "snk_daily_files",
     f"SELECT CAST(ts AS DATE) AS day, count(*) AS n, {money('value')} AS total FROM events GROUP BY ALL",
+    dates="day",
 )
 def snk_daily_files(load, spark):
     events = load("events")
@@ -212,6 +215,7 @@ def snk_daily_files(load, spark):
 @query(
     "snk_replace_partition",
     f"SELECT CAST(ts AS DATE) AS day, {money('CASE WHEN day(ts) >= 15 THEN 2 * value ELSE value END')} AS total FROM events GROUP BY ALL",
+    dates="day",
 )
 def snk_replace_partition(load, spark):
     events = load("events")
@@ -224,6 +228,7 @@ def snk_replace_partition(load, spark):
 @query(
     "snk_delete_insert_by_key",
     "SELECT CAST(ts AS DATE) AS day, CASE WHEN day(ts) BETWEEN 10 AND 19 THEN -count(*) ELSE count(*) END AS n FROM events GROUP BY day, day(ts)",
+    dates="day",
 )
 def snk_delete_insert_by_key(load, spark):
     path = scratch_path(spark, "facts")
@@ -271,7 +276,7 @@ def snk_archive_after_load(load, spark):
 # --- incremental loads ---
 
 
-@query("inc_high_watermark", "SELECT event_id, ts, value, CAST(ts AS DATE) AS event_date FROM events")
+@query("inc_high_watermark", "SELECT event_id, ts, value, CAST(ts AS DATE) AS event_date FROM events", dates="event_date")
 def inc_high_watermark(load, spark):
     path = scratch_path(spark, "installs")
     source = load("events").select("event_id", "ts", "value")
@@ -296,7 +301,7 @@ def inc_file_watermark(load, spark):
     return spark.read.parquet(f"{base}/out").groupBy("event_type").agg(F.count("*").alias("n"), exact_sum(F.col("value")).alias("total"))
 
 
-@query("inc_backfill_range", "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' GROUP BY ALL")
+@query("inc_backfill_range", "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' GROUP BY ALL", dates="day")
 def inc_backfill_range(load, spark):
     path = scratch_path(spark, "backfilled")
     events = load("events")
@@ -311,6 +316,7 @@ def inc_backfill_range(load, spark):
 @query(
     "dq_row_reconcile",
     "SELECT CAST(ts AS DATE) AS day, count(*) AS source_rows, count(*) FILTER (WHERE value < 100) AS target_rows, count(*) = count(*) FILTER (WHERE value < 100) AS matches FROM events GROUP BY ALL",
+    dates="day",
 )
 def dq_row_reconcile(load, spark):
     rows = load("events").withColumn("day", F.to_date("ts"))

@@ -70,6 +70,7 @@ def mart_shop_timezone_all(load, spark):
     "mart_survey_users",
     "SELECT telegram_id, arg_min(user_nickname, (registration_date, user_nickname)) AS user_nickname, min(registration_date) AS registration_date FROM "
     "(SELECT o_custkey + 1 AS telegram_id, o_orderstatus || '_' || o_orderpriority AS user_nickname, CAST(o_orderdate AS DATE) AS registration_date FROM orders) GROUP BY telegram_id",
+    dates="registration_date",
 )
 def mart_survey_users(load, spark):
     key = (F.col("o_custkey") + 1).cast("string")
@@ -94,6 +95,7 @@ NOW = "2024-02-01 00:00:00"
     "mart_weather_hourly",
     f"SELECT CAST(CAST(ts AS DATE) AS VARCHAR) || 'T0' || h || ':00' AS time, CAST(value + h AS FLOAT) AS temperature, CASE WHEN h < 2 THEN CAST(value AS FLOAT) END AS rain, "
     f"CAST(ts AS DATE) AS weather_date, TIMESTAMP '{NOW}' AS updated_at FROM events, unnest(range(4)) AS t(h)",
+    dates="weather_date",
 )
 def mart_weather_hourly(load, spark):
     hours = F.sequence(F.lit(0), F.lit(3))
@@ -147,6 +149,7 @@ def _regions(events):
     "CASE WHEN event_id % 4 <> 0 THEN 'R' || user_id % 5 ELSE 'Ocean ' || event_type END AS region, value AS magnitude, "
     f"CASE WHEN event_id % 3 = 0 THEN {K_SQL} END AS felt, CAST(event_id % 2 AS INTEGER) AS tsunami, 'https://quakes.example/' || event_id AS url, "
     f"CAST(user_id AS DOUBLE) AS longitude, CAST({K_SQL} AS DOUBLE) AS latitude, value AS depth, CAST(ts AS DATE) AS load_date, TIMESTAMP '{NOW}' AS updated_at FROM events",
+    dates="load_date",
 )
 def mart_earthquake_events(load, spark):
     events = load("events")
@@ -157,6 +160,7 @@ def mart_earthquake_events(load, spark):
     "mart_earthquake_day_dims",
     "SELECT CAST(ts AS DATE) AS day, event_type AS kind, CAST(user_id % 3 AS VARCHAR) AS net, date_trunc('second', min(ts)) AS time_min, date_trunc('second', max(ts)) AS time_max, "
     "avg(event_id) AS nst, CAST(count(DISTINCT user_id) AS BIGINT) AS place_count FROM events GROUP BY ALL",
+    dates="day",
 )
 def mart_earthquake_day_dims(load, spark):
     raw = load("events").select(
@@ -181,6 +185,7 @@ def mart_earthquake_day_dims(load, spark):
 @query(
     "mart_earthquake_daily_facts",
     f"SELECT CAST(ts AS DATE) AS day, round(avg(event_id), 4) AS avg_magnitude, count(*) AS events FROM events GROUP BY ALL",
+    dates="day",
 )
 def mart_earthquake_daily_facts(load, spark):
     path = scratch_path(spark, "quake-facts")
@@ -346,12 +351,13 @@ _DAILY = f"count(DISTINCT client) AS dau, {half_up('avg(duration)')} AS avg_dura
 @query(
     "mart_web_daily",
     f"SELECT * FROM (SELECT {DAY_SQL}, {_DAILY} FROM ({VISITS_SQL}) GROUP BY ALL) JOIN (SELECT {DAY_SQL}, count(view_id) AS pageviews FROM ({JOINED_SQL}) GROUP BY ALL) USING (business_date)",
+    dates="business_date",
 )
 def mart_web_daily(load, spark):
     return web_daily(*_web(load))
 
 
-@query("mart_web_daily_hits", f"SELECT {DAY_SQL}, count(view_id) AS pageviews, {_DAILY} FROM ({JOINED_SQL}) GROUP BY ALL")
+@query("mart_web_daily_hits", f"SELECT {DAY_SQL}, count(view_id) AS pageviews, {_DAILY} FROM ({JOINED_SQL}) GROUP BY ALL", dates="business_date")
 def mart_web_daily_hits(load, spark):
     return web_daily(*_web(load), grain="hit")
 
@@ -362,12 +368,13 @@ _USERS = "count(*) FILTER (WHERE is_new = '1') AS new_users, count(*) FILTER (WH
 @query(
     "mart_web_traffic",
     f"SELECT {DAY_SQL}, coalesce(referer, 'unknown') AS source, count(DISTINCT visit) AS sessions, {_USERS} FROM ({VISITS_SQL}) GROUP BY ALL",
+    dates="business_date",
 )
 def mart_web_traffic(load, spark):
     return web_traffic(*_web(load))
 
 
-@query("mart_web_new_returning", f"SELECT {DAY_SQL}, {_USERS} FROM ({JOINED_SQL}) GROUP BY ALL")
+@query("mart_web_new_returning", f"SELECT {DAY_SQL}, {_USERS} FROM ({JOINED_SQL}) GROUP BY ALL", dates="business_date")
 def mart_web_new_returning(load, spark):
     return web_new_returning(*_web(load), grain="hit")
 
@@ -375,6 +382,7 @@ def mart_web_new_returning(load, spark):
 @query(
     "mart_web_geo",
     f"SELECT {DAY_SQL}, coalesce(country, 'unknown') AS country, city, count(DISTINCT visit) AS sessions, count(DISTINCT client) AS dau FROM ({VISITS_SQL}) GROUP BY ALL",
+    dates="business_date",
 )
 def mart_web_geo(load, spark):
     return web_geo(_web(load)[0])
@@ -384,6 +392,7 @@ def mart_web_geo(load, spark):
     "mart_web_devices",
     f"SELECT {DAY_SQL}, CASE device WHEN '1' THEN 'desktop' WHEN '2' THEN 'tablet' WHEN '3' THEN 'mobile' ELSE coalesce(device, 'unknown') END AS device_category, "
     f"coalesce(browser, 'unknown') AS browser, coalesce(os, 'unknown') AS os, count(DISTINCT visit) AS sessions FROM ({JOINED_SQL}) GROUP BY ALL",
+    dates="business_date",
 )
 def mart_web_devices(load, spark):
     return web_devices(*_web(load))
@@ -393,6 +402,7 @@ def mart_web_devices(load, spark):
     "mart_web_top_pages",
     f"SELECT * FROM (SELECT {DAY_SQL}, coalesce(url, 'unknown') AS url, {half_up('avg(duration)')} AS avg_duration FROM ({VISITS_SQL}) GROUP BY ALL) "
     f"JOIN (SELECT {DAY_SQL}, coalesce(url, 'unknown') AS url, count(DISTINCT view_id) AS pageviews FROM ({JOINED_SQL}) GROUP BY ALL) USING (business_date, url)",
+    dates="business_date",
 )
 def mart_web_top_pages(load, spark):
     return web_top_pages(*_web(load))
@@ -401,6 +411,7 @@ def mart_web_top_pages(load, spark):
 @query(
     "mart_web_depth",
     f"SELECT {DAY_SQL}, {half_up('avg(pages)')} AS avg_pageviews, max(pages) AS max_pageviews, {half_up('count(*) FILTER (WHERE pages = 1) / count(*)')} AS bounce_rate FROM ({VISITS_SQL}) GROUP BY ALL",
+    dates="business_date",
 )
 def mart_web_depth(load, spark):
     return web_depth(*_web(load))
@@ -481,6 +492,7 @@ def mart_news_clean(load, spark):
     "SELECT o_orderkey AS id, o_orderstatus AS kind, o_orderdate AS ts, o_orderpriority AS comment, CAST(NULL AS VARCHAR) AS ip, 'a' || o_custkey AS author_key, 'm' || o_orderkey AS data_master, "
     "CASE WHEN o_orderkey % 4 <> 0 THEN 'd1, d' || o_orderkey END AS data_duplicates, 'item' || i AS item_key, o_custkey + i AS rev_number, DATE '2024-02-01' AS updated_at "
     "FROM orders, unnest(range(o_orderkey % 3)) AS t(i)",
+    dates="updated_at",
 )
 def mart_change_log(load, spark):
     key = F.col("o_orderkey")
@@ -526,6 +538,7 @@ def mart_fx_rates(load, spark):
     "SELECT CAST(o_orderdate AS DATE) AS business_date, o_orderstatus AS country_code, CASE WHEN o_custkey % 2 = 0 THEN '' ELSE o_orderpriority END AS country_name, "
     "'c' || o_custkey AS city_name, CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey END AS city_id, o_orderkey AS visits, CAST(0 AS BIGINT) AS users, CAST(0 AS BIGINT) AS new_users, CAST(2 AS BIGINT) AS pageviews, "
     "CAST(0.25 AS DOUBLE) AS bounce_rate, TIMESTAMP '2024-02-01' AS updated_at, CAST(1706745600 AS BIGINT) AS version FROM orders",
+    dates="business_date",
 )
 def mart_geo_metrics_versioned(load, spark):
     customer = F.col("o_custkey")

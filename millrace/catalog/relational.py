@@ -117,6 +117,7 @@ def rename_strip_prefix(load, spark):
     "project_typed",
     "SELECT CAST(o_orderkey AS VARCHAR) AS order_id, CAST(o_custkey AS INTEGER) AS o_custkey, "
     "CAST(o_orderdate AS DATE) AS o_orderdate, TRY_CAST(o_orderpriority AS INTEGER) AS o_orderpriority FROM orders",
+    dates="o_orderdate",
 )
 def project_typed_query(load, spark):
     types = {"o_orderkey": "string", "o_custkey": "int", "o_orderdate": "date", "o_orderpriority": "int"}
@@ -162,6 +163,7 @@ def distinct_rows(load, spark):
     "audit_columns",
     "SELECT event_id, TIMESTAMP '2024-02-01 06:00:00' AS updated_at, CAST(1706767200 AS BIGINT) AS version, "
     "CAST(ts AS DATE) AS business_date FROM events",
+    dates="business_date",
 )
 def audit(load, spark):
     rows = load("events").select("event_id", "ts")

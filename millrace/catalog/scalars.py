@@ -134,6 +134,7 @@ def fn_hash(load, spark):
     "fn_date_pg",
     "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, strftime(o_orderdate, '%Y-%m') AS month, CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, "
     "CAST(o_orderdate AS DATE) + 1 AS next_day, o_orderdate + INTERVAL 1 HOUR AS hour_later, CAST(dayofweek(o_orderdate) AS INTEGER) AS dow FROM orders",
+    dates="day month_start next_day",
 )
 def fn_date_pg(load, spark):
     d = F.col("o_orderdate")
@@ -168,6 +169,7 @@ def fn_epoch(load, spark):
 @query(
     "fn_parse_ts",
     "SELECT event_id, date_trunc('second', ts) AS from_space, date_trunc('millisecond', ts) AS from_iso, CASE WHEN event_id % 5 = 0 THEN NULL ELSE date_trunc('second', ts) END AS best_effort, CAST(ts AS DATE) AS day FROM events",
+    dates="day",
 )
 def fn_parse_ts(load, spark):
     space = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
@@ -200,6 +202,7 @@ def fn_trunc_precision(load, spark):
     "SELECT o_orderkey, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS month_key, CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS day_key, "
     "CAST(date_trunc('week', o_orderdate) AS DATE) AS monday, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(o_orderdate AS DATE) + 10 AS later, "
     "CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS INTEGER) AS days FROM orders",
+    dates="monday later",
 )
 def fn_calendar_keys(load, spark):
     d = F.col("o_orderdate")
@@ -334,6 +337,7 @@ def fn_json_path(load, spark):
 @query(
     "fn_array_text",
     "SELECT o_orderkey, o_orderkey + 1 AS second, CAST(3 AS BIGINT) AS n, CAST(o_orderdate AS DATE) AS day, o_orderdate AS ts, o_orderstatus || '|' || o_orderpriority AS words FROM orders",
+    dates="day",
 )
 def fn_array_text(load, spark):
     key = F.col("o_orderkey")
@@ -354,6 +358,7 @@ def fn_array_text(load, spark):
 @query(
     "fn_default_fill",
     f"SELECT p_partkey, coalesce({NUMBER_TEXT_SQL}, '') AS text, coalesce(TRY_CAST({NUMBER_TEXT_SQL} AS INTEGER), 0) AS number, TRY_CAST({NUMBER_TEXT_SQL} AS DATE) AS day FROM part",
+    dates="day",
 )
 def fn_default_fill(load, spark):
     v = number_text()
@@ -446,6 +451,7 @@ def explode_text_list(load, spark):
 @query(
     "array_join_range",
     f"SELECT event_id, unnest(generate_series(CAST(ts AS DATE), CAST(ts AS DATE) + CAST({K_SQL} % 4 AS INTEGER), INTERVAL 1 DAY))::DATE AS day FROM events",
+    dates="day",
 )
 def array_join_range(load, spark):
     rows = load("events").select("event_id", "ts", F.date_add(F.to_date("ts"), k_of() % 4).alias("until"))

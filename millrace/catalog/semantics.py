@@ -45,6 +45,7 @@ def read_replacing_query(load, spark):
     "read_replacing_partition",
     f"SELECT user_id, day, arg_max(event_id, (k, event_id)) AS event_id, max(k) AS k FROM "
     f"(SELECT user_id, CAST(ts AS DATE) AS day, event_id, {K_SQL} AS k FROM events) GROUP BY user_id, day",
+    dates="day",
 )
 def read_replacing_partition(load, spark):
     rows = load("events").select("user_id", F.to_date("ts").alias("day"), "event_id", k_of().alias("k"))

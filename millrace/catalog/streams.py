@@ -75,6 +75,7 @@ def stream_source(load, spark):
 @query(
     "stream_cdc_flatten",
     f"SELECT id, order_id, status, ts, CAST(ts AS DATE) AS event_date FROM ({CHANGES_SQL}) WHERE op <> 'd'",
+    dates="event_date",
 )
 def stream_cdc_flatten(load, spark):
     lines, base = _changes(load, spark)
@@ -85,6 +86,7 @@ def stream_cdc_flatten(load, spark):
 @query(
     "stream_partitioned_sink",
     f"SELECT CAST(ts AS DATE) AS event_date, status, count(*) AS n FROM ({CHANGES_SQL}) WHERE op <> 'd' GROUP BY ALL",
+    dates="event_date",
 )
 def stream_partitioned_sink(load, spark):
     lines, base = _changes(load, spark)

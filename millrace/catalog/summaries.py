@@ -246,6 +246,7 @@ def state_simple(load, spark):
     "agg_multi_dim_day",
     "SELECT CAST(o_orderdate AS DATE) AS day, o_orderstatus, o_orderpriority, min(o_orderdate) AS time_min, max(o_orderdate) AS time_max, "
     "avg(o_orderkey) AS o_orderkey, count(DISTINCT o_custkey) AS o_custkey_count FROM orders GROUP BY ALL",
+    dates="day",
 )
 def agg_multi_dim_day(load, spark):
     return day_dimensions(load("orders"), "o_orderdate", ["o_orderstatus", "o_orderpriority"], ["o_orderkey"], ["o_custkey"])
