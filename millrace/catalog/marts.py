@@ -292,11 +292,11 @@ VISITS_SQL = (
     f"SELECT ts AS dt, event_id // 8 AS client, event_id AS visit, range(event_id, event_id + {K_SQL} % 4 + 1) AS ids, CAST(floor(value) AS INTEGER) AS duration, {K_SQL} % 4 + 1 AS pages, "
     f"CASE {K_SQL} % 3 WHEN 0 THEN '1' WHEN 1 THEN '0' END AS is_new, CASE WHEN {K_SQL} % 5 <> 0 THEN event_type END AS referer, "
     f"CASE WHEN user_id % 7 <> 0 THEN 'land' || user_id % 25 END AS country, 'city' || user_id % 40 AS city, CASE WHEN {K_SQL} % 11 <> 0 THEN '/p/' || {K_SQL} % 20 END AS url "
-    "FROM events WHERE event_id % 4 = 0"
+    "FROM events WHERE event_type IN ('view', 'click')"
 )
 HITS_SQL = (
     f"SELECT event_id // 8 AS h_client, event_id AS watch, event_id AS view_id, CASE {K_SQL} % 6 WHEN 0 THEN '1' WHEN 1 THEN '2' WHEN 2 THEN '3' WHEN 3 THEN '4' END AS device, "
-    f"CASE WHEN {K_SQL} % 7 <> 0 THEN 'br' || {K_SQL} % 3 END AS browser, 'os' || user_id % 4 AS os FROM events WHERE event_id % 13 <> 0"
+    f"CASE WHEN {K_SQL} % 7 <> 0 THEN 'br' || {K_SQL} % 3 END AS browser, 'os' || user_id % 4 AS os FROM events WHERE event_type <> 'error'"
 )
 JOINED_SQL = (
     f"SELECT * FROM (SELECT *, unnest(ids) AS watch_id FROM ({VISITS_SQL})) v LEFT JOIN ({HITS_SQL}) h ON v.client = h.h_client AND v.watch_id = h.watch"
@@ -305,7 +305,7 @@ DAY_SQL = "CAST(dt AS DATE) AS business_date"
 
 
 def visits_of(events):
-    """Visits: every fourth event starts one and lists the next few events as its hits."""
+    """Visits: every view or click starts one and lists the next few events as its hits."""
     k, key = k_of(), F.col("event_id")
     ids = F.sequence(key, key + k % 4).cast("array<string>")
     flag = F.when(k % 3 == 0, "1").when(k % 3 == 1, "0")
@@ -322,11 +322,11 @@ def visits_of(events):
         "regionCity": F.concat(F.lit("city"), (F.col("user_id") % 40).cast("string")),
         "startURL": F.when(k % 11 != 0, F.concat(F.lit("/p/"), (k % 20).cast("string"))),
     }
-    return events.where(key % 4 == 0).select(*[c.alias(f"ym:s:{n}") for n, c in cols.items()])
+    return events.where("event_type IN ('view', 'click')").select(*[c.alias(f"ym:s:{n}") for n, c in cols.items()])
 
 
 def hits_of(events):
-    """Hits: one per event, some of them lost."""
+    """Hits: one per event; those of errors are lost, and others belong to another client."""
     k, key = k_of(), F.col("event_id")
     device = F.when(k % 6 < 4, (k % 6 + 1).cast("string"))
     cols = {
@@ -337,7 +337,7 @@ def hits_of(events):
         "browser": F.when(k % 7 != 0, F.concat(F.lit("br"), (k % 3).cast("string"))),
         "operatingSystem": F.concat(F.lit("os"), (F.col("user_id") % 4).cast("string")),
     }
-    return events.where(key % 13 != 0).select(*[c.alias(f"ym:pv:{n}") for n, c in cols.items()])
+    return events.where("event_type <> 'error'").select(*[c.alias(f"ym:pv:{n}") for n, c in cols.items()])
 
 
 def _web(load):
@@ -468,14 +468,14 @@ def mart_page_view_devices(load, spark):
 
 @query(
     "mart_news_clean",
-    "SELECT CASE WHEN doc_id % 3 = 0 THEN 'unknown' ELSE lang END AS author, substring(text, 1, 20) AS title, text AS description, 'u' || doc_id AS url, source AS source_name, "
+    "SELECT CASE WHEN doc_id % 3 = 0 THEN 'unknown' ELSE lang END AS author, lang || ' ' || source AS title, text AS description, 'u' || doc_id AS url, source AS source_name, "
     "TIMESTAMP '2024-01-01' + INTERVAL 1 SECOND * doc_id AS published_at, TIMESTAMP '2024-01-02 03:04:05' AS updated_at FROM documents",
 )
 def mart_news_clean(load, spark):
     stamp = F.timestamp_add("SECOND", F.col("doc_id"), F.expr("TIMESTAMP_NTZ'2024-01-01 00:00:00.75'"))
     raw = load("documents").select(
         F.when(F.col("doc_id") % 6 == 0, " ").when(F.col("doc_id") % 3 != 0, F.col("lang")).alias("author"),
-        F.substring("text", 1, 20).alias("title"),
+        F.concat_ws(" ", "lang", "source").alias("title"),
         F.col("text").alias("description"),
         F.concat(F.lit("u"), F.col("doc_id").cast("string")).alias("url"),
         F.col("text").alias("content"),

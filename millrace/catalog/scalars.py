@@ -50,14 +50,14 @@ def fn_greatest_least(load, spark):
 
 @query(
     "fn_string_basic",
-    "SELECT doc_id, substring(text, 1, 5) AS head, lower(lang || source) AS low, replace(upper(substring(text, 1, 12)), 'ẞ', 'SS') AS up, trim('  ' || source || ' ') AS trimmed, length(text) AS len FROM documents",
+    "SELECT doc_id, substring(text, 1, 5) AS head, lower(text) AS low, replace(upper(text), 'ẞ', 'SS') AS up, trim('  ' || source || ' ') AS trimmed, length(text) AS len FROM documents",
 )
 def fn_string_basic(load, spark):
     return load("documents").select(
         "doc_id",
         F.substring("text", 1, 5).alias("head"),
-        F.lower(F.concat("lang", "source")).alias("low"),
-        F.upper(F.substring("text", 1, 12)).alias("up"),
+        F.lower("text").alias("low"),
+        F.upper("text").alias("up"),
         F.trim(F.concat(F.lit("  "), "source", F.lit(" "))).alias("trimmed"),
         F.length("text").cast("bigint").alias("len"),
     )
