@@ -25,10 +25,12 @@ from ..plans.shops import shop_timezone
 from ..plans.users import survey_users
 from ..plans.weather import cloud_extremes, weather_hourly
 from ..plans.web import (
+    join_hits,
     web_daily,
     web_depth,
     web_devices,
     web_geo,
+    web_marts,
     web_new_returning,
     web_top_pages,
     web_traffic,
@@ -341,8 +343,10 @@ def hits_of(events):
 
 
 def _web(load):
+    """Visits, and visits joined with their hits."""
     events = load("events")
-    return visits_of(events), hits_of(events)
+    visits = visits_of(events)
+    return visits, join_hits(visits, hits_of(events))
 
 
 _DAILY = f"count(DISTINCT client) AS dau, {half_up('avg(duration)')} AS avg_duration, {half_up('count(*) FILTER (WHERE pages = 1) / count(*)')} AS bounce_rate"
@@ -395,7 +399,7 @@ def mart_web_geo(load, spark):
     dates="business_date",
 )
 def mart_web_devices(load, spark):
-    return web_devices(*_web(load))
+    return web_devices(_web(load)[1])
 
 
 @query(
@@ -417,6 +421,24 @@ def mart_web_depth(load, spark):
     return web_depth(*_web(load))
 
 
+@query(
+    "mart_web_all",
+    f"SELECT 'daily_metrics' AS mart, count(*) AS n FROM (SELECT DISTINCT {DAY_SQL} FROM ({VISITS_SQL})) UNION ALL "
+    f"SELECT 'traffic_sources', count(*) FROM (SELECT DISTINCT {DAY_SQL}, referer FROM ({VISITS_SQL})) UNION ALL "
+    f"SELECT 'new_vs_returning', count(*) FROM (SELECT DISTINCT {DAY_SQL} FROM ({VISITS_SQL})) UNION ALL "
+    f"SELECT 'geo_stats', count(*) FROM (SELECT DISTINCT {DAY_SQL}, country, city FROM ({VISITS_SQL})) UNION ALL "
+    f"SELECT 'devices', count(*) FROM (SELECT DISTINCT {DAY_SQL}, device, browser, os FROM ({JOINED_SQL})) UNION ALL "
+    f"SELECT 'top_pages', count(*) FROM (SELECT DISTINCT {DAY_SQL}, url FROM ({VISITS_SQL})) UNION ALL "
+    f"SELECT 'session_depth', count(*) FROM (SELECT DISTINCT {DAY_SQL} FROM ({VISITS_SQL}))",
+)
+def mart_web_all(load, spark):
+    events, out = load("events"), None
+    for name, mart in web_marts(visits_of(events), hits_of(events)).items():
+        size = mart.agg(F.count("*").alias("n")).select(F.lit(name).alias("mart"), "n")
+        out = size if out is None else out.unionByName(size)
+    return out
+
+
 # --- promotions and page views ---
 
 

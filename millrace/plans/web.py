@@ -1,8 +1,8 @@
 """Web traffic from visits and hits.
 
-A visit lists its hit ids as text. Joining hits repeats the visit once per hit, so figures
+A visit lists its hit ids as text. ``join_hits`` repeats the visit once per hit, so figures
 about visits are taken from the visits themselves (``grain="visit"``) and only page views and
-devices use the join; ``grain="hit"`` computes everything on the joined rows.
+devices use the joined rows; ``grain="hit"`` computes everything on the joined rows.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.nested import explode_id_text
 from ..functions.texts import label_of
 from ..operators.aggregates import share_of
+from ..session import materialise
 
 V = "ym:s:"
 H = "ym:pv:"
@@ -43,17 +44,17 @@ def join_hits(visits: DataFrame, hits: DataFrame) -> DataFrame:
     return listed.join(hits, (_v("clientID") == _h("clientID")) & (F.col("watch_id") == _h("watchID")), "left")
 
 
-def _rows(visits: DataFrame, hits: DataFrame, grain: str) -> DataFrame:
+def _rows(visits: DataFrame, joined: DataFrame, grain: str) -> DataFrame:
     if grain not in ("visit", "hit"):
         raise ValueError("grain must be visit or hit")
-    return visits if grain == "visit" else join_hits(visits, hits)
+    return visits if grain == "visit" else joined
 
 
 def _flag(value: str) -> Column:
     return F.count_if(_v("isNewUser") == value)
 
 
-def web_daily(visits: DataFrame, hits: DataFrame, grain: str = "visit") -> DataFrame:
+def web_daily(visits: DataFrame, joined: DataFrame, grain: str = "visit") -> DataFrame:
     """Daily users, page views, average duration and bounce rate."""
     figures = [
         F.countDistinct(_v("clientID")).alias("dau"),
@@ -61,16 +62,15 @@ def web_daily(visits: DataFrame, hits: DataFrame, grain: str = "visit") -> DataF
         share_of(_v("pageViews") == 1).alias("bounce_rate"),
     ]
     views = F.count(_h("pageViewID")).alias("pageviews")
-    joined = join_hits(visits, hits)
     if grain == "hit":
         return joined.groupBy(_day()).agg(views, *figures)
-    per_day = _rows(visits, hits, grain).groupBy(_day()).agg(*figures)
+    per_day = _rows(visits, joined, grain).groupBy(_day()).agg(*figures)
     return per_day.join(joined.groupBy(_day()).agg(views), "business_date", "left").fillna(0, ["pageviews"])
 
 
-def web_traffic(visits: DataFrame, hits: DataFrame, grain: str = "visit") -> DataFrame:
+def web_traffic(visits: DataFrame, joined: DataFrame, grain: str = "visit") -> DataFrame:
     """Sessions, new and returning users per day and source."""
-    rows = _rows(visits, hits, grain)
+    rows = _rows(visits, joined, grain)
     return rows.groupBy(_day(), _or_unknown(_v("lastsignReferalSource")).alias("source")).agg(
         F.countDistinct(_v("visitID")).alias("sessions"),
         _flag("1").alias("new_users"),
@@ -78,8 +78,8 @@ def web_traffic(visits: DataFrame, hits: DataFrame, grain: str = "visit") -> Dat
     )
 
 
-def web_new_returning(visits: DataFrame, hits: DataFrame, grain: str = "visit") -> DataFrame:
-    rows = _rows(visits, hits, grain)
+def web_new_returning(visits: DataFrame, joined: DataFrame, grain: str = "visit") -> DataFrame:
+    rows = _rows(visits, joined, grain)
     return rows.groupBy(_day()).agg(_flag("1").alias("new_users"), _flag("0").alias("returning_users"))
 
 
@@ -90,36 +90,45 @@ def web_geo(visits: DataFrame) -> DataFrame:
     ).agg(F.countDistinct(_v("visitID")).alias("sessions"), F.countDistinct(_v("clientID")).alias("dau"))
 
 
-def web_devices(visits: DataFrame, hits: DataFrame) -> DataFrame:
+def web_devices(joined: DataFrame) -> DataFrame:
     """Sessions per day, device class, browser and system."""
-    return (
-        join_hits(visits, hits)
-        .groupBy(
-            _day(),
-            label_of(_h("deviceCategory"), DEVICES).alias("device_category"),
-            _or_unknown(_h("browser")).alias("browser"),
-            _or_unknown(_h("operatingSystem")).alias("os"),
-        )
-        .agg(F.countDistinct(_v("visitID")).alias("sessions"))
-    )
+    return joined.groupBy(
+        _day(),
+        label_of(_h("deviceCategory"), DEVICES).alias("device_category"),
+        _or_unknown(_h("browser")).alias("browser"),
+        _or_unknown(_h("operatingSystem")).alias("os"),
+    ).agg(F.countDistinct(_v("visitID")).alias("sessions"))
 
 
-def web_top_pages(visits: DataFrame, hits: DataFrame, grain: str = "visit") -> DataFrame:
+def web_top_pages(visits: DataFrame, joined: DataFrame, grain: str = "visit") -> DataFrame:
     """Page views and average duration per day and landing page."""
     page = [_day(), _or_unknown(_v("startURL")).alias("url")]
     views = F.countDistinct(_h("pageViewID")).alias("pageviews")
     duration = F.round(F.avg(_v("visitDuration")), 2).alias("avg_duration")
-    joined = join_hits(visits, hits)
     if grain == "hit":
         return joined.groupBy(*page).agg(views, duration)
     per_page = visits.groupBy(*page).agg(duration)
     return per_page.join(joined.groupBy(*page).agg(views), ["business_date", "url"], "left").fillna(0, ["pageviews"])
 
 
-def web_depth(visits: DataFrame, hits: DataFrame, grain: str = "visit") -> DataFrame:
+def web_depth(visits: DataFrame, joined: DataFrame, grain: str = "visit") -> DataFrame:
     """Average and highest depth and bounce rate per day."""
-    return _rows(visits, hits, grain).groupBy(_day()).agg(
+    return _rows(visits, joined, grain).groupBy(_day()).agg(
         F.round(F.avg(_v("pageViews")), 2).alias("avg_pageviews"),
         F.max(_v("pageViews")).alias("max_pageviews"),
         share_of(_v("pageViews") == 1).alias("bounce_rate"),
     )
+
+
+def web_marts(visits: DataFrame, hits: DataFrame, grain: str = "visit") -> dict[str, DataFrame]:
+    """All seven marts by name; visits and hits are joined and stored once for all of them."""
+    joined = materialise(join_hits(visits, hits), "visits-hits")
+    return {
+        "daily_metrics": web_daily(visits, joined, grain),
+        "traffic_sources": web_traffic(visits, joined, grain),
+        "new_vs_returning": web_new_returning(visits, joined, grain),
+        "geo_stats": web_geo(visits),
+        "devices": web_devices(joined),
+        "top_pages": web_top_pages(visits, joined, grain),
+        "session_depth": web_depth(visits, joined, grain),
+    }

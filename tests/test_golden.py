@@ -30,7 +30,7 @@ from millrace.plans.cards import ISSUED, first_transaction
 from millrace.plans.feeds import page_view_answers, users_per_device
 from millrace.plans.shops import shop_timezone
 from millrace.plans.users import survey_users
-from millrace.plans.web import web_depth
+from millrace.plans.web import join_hits, web_depth
 from millrace.plans.weather import weather_hourly
 
 from .conftest import rows
@@ -311,8 +311,9 @@ def test_bounce_by_grain(spark):
         "`ym:s:dateTime` timestamp_ntz, `ym:s:clientID` int, `ym:s:visitID` int, `ym:s:watchIDs` string, `ym:s:pageViews` int",
     )
     hits = spark.createDataFrame([(1, 1, 1)], "`ym:pv:clientID` int, `ym:pv:watchID` long, `ym:pv:pageViewID` int")
-    assert web_depth(visits, hits).first().bounce_rate == 0.5
-    assert web_depth(visits, hits, grain="hit").first().bounce_rate == 0.25
+    joined = join_hits(visits, hits)
+    assert web_depth(visits, joined).first().bounce_rate == 0.5
+    assert web_depth(visits, joined, grain="hit").first().bounce_rate == 0.25
 
 
 def test_type_checks(spark):
