@@ -6,6 +6,7 @@ import collections
 import datetime as dt
 import decimal
 import math
+import os
 import sys
 import time
 
@@ -32,7 +33,9 @@ SAME = {
 def connect(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
+        path = f"{sf_dir}/{t}.parquet"
+        files = f"{path}/*.parquet" if os.path.isdir(path) else path
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 
