@@ -9,6 +9,7 @@ from ..operators.tables import (
     ColumnRule,
     TargetField,
     advance_status,
+    align_to,
     clustered,
     conform,
     describe,
@@ -260,6 +261,13 @@ def conform_to_target(load, spark):
     return conform(raw, target).withColumn("items", F.array_join(F.col("items").cast("array<string>"), "|"))
 
 
+@query("align_to_target", "SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority FROM orders")
+def align_to_target(load, spark):
+    orders = load("orders")
+    texts = [F.col(c).cast("string").alias(c) for c in ("o_orderpriority", "o_totalprice", "o_orderdate", "o_custkey", "o_orderkey")]
+    return align_to(orders.select(F.lit(1).alias("extra"), *texts), orders.schema)
+
+
 @query(
     "state_transition_update",
     "SELECT event_id, CASE WHEN event_id % 5 = 0 AND event_type = 'view' THEN 'click' WHEN event_id % 5 = 0 AND event_type = 'click' THEN 'purchase' ELSE event_type END AS event_type, "

@@ -32,7 +32,8 @@ def asof_join(
     The rows of both sides are sorted per key and slot (``day``, ``hour``, ``minute``, or a
     width for whole-number times), so a key with many rows is spread over its slots. What a
     slot cannot find inside itself comes from one carried row per slot, taken from a summary
-    with one row per key and slot. Right columns whose name is taken get ``suffix``; keys are
+    with one row per key and slot. Choose ``slot`` so that one key's rows of one slot fit a task.
+    Right columns whose name is taken get ``suffix``; keys are
     kept once.
     """
     if op not in ("<", "<=", ">", ">="):

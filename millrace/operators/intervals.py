@@ -23,7 +23,8 @@ def interval_join(
 
     Each interval is listed once per slot it touches and each point has one slot, so this is
     an equi join on (keys, slot) with an exact filter, and no pair is compared outside a slot.
-    The listed intervals are measured: up to ``broadcast_bytes`` they are broadcast and the
+    Choose ``slot`` near the usual length of an interval: much shorter slots list it often, much
+    longer ones compare more pairs. The listed intervals are measured: up to ``broadcast_bytes`` they are broadcast and the
     points are not shuffled; beyond that both sides are shuffled and adaptive execution splits
     slots that hold many rows.
     """

@@ -197,6 +197,12 @@ def conform(df: DataFrame, fields: list[TargetField]) -> DataFrame:
     return df.select(*out)
 
 
+def align_to(df: DataFrame, target: T.StructType) -> DataFrame:
+    """The columns ``df`` shares with an existing table, in its order and types."""
+    shared = [f for f in target.fields if f.name in df.columns]
+    return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in shared])
+
+
 def advance_status(df: DataFrame, id_col: str, status: str, ts: str, steps: dict[str, str], every: int, as_of: Column) -> DataFrame:
     """Move the status of every ``every``-th id one step on and stamp the change time."""
     moves = (F.col(id_col) % every == 0) & F.col(status).isin(*steps)
