@@ -33,7 +33,7 @@ def read_json(spark: SparkSession, *paths: str, schema=None, multi_line: bool =
 
 
 def read_parts(spark: SparkSession, *paths: str, key: list[str], schema=None) -> DataFrame:
-    """Tab-separated export parts put together; of equal keys the row of the first part stays."""
+    """Tab-separated export parts put together; of equal keys the row of the lowest file path stays."""
     parts = read_csv(spark, *paths, sep="\t", schema=schema)
     placed = parts.withColumn("__file", F.col("_metadata.file_path"))
     rest = [c for c in parts.columns if c not in key]
