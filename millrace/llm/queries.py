@@ -56,7 +56,7 @@ WITH t AS (
     FROM (SELECT r, unnest(grams) AS gram, unnest(range(1, len(grams) + 1)) AS i FROM m))
   WHERE n > 1 GROUP BY r
 ), covered AS (
-  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([s + k FOR s IN starts FOR k IN [0, 1, 2]]) AS p FROM twice) GROUP BY r
+  SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(starts) + k AS p FROM twice, range(3) AS x(k)) GROUP BY r
 ), f AS (
   SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
     CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
