@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import line_dedup, quality, token_counts, token_files
+from . import chat, decontam, line_dedup, mixing, quality, secrets, token_counts, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,18 +33,141 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.toxicity(docs, read(spark, sf_dir, "labels").select("doc_id", "toxic")).drop("text")
+
+
 @query()
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, public_tokenizers.path(TOKENIZER), limit=2048).drop("text")
 
 
+@query()
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.taken_words(mixing.mix(docs))
+
+
+CHAT_SQL = """
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), g AS (
+  SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+    coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+    CAST(sum(length(role) + length('<|turn|><|says|><|end|>') + length(text) + length(text) - length(replace(text, chr(92), ''))
+      + (length(text) - length(replace(text, '<|', ''))) // 2
+      + (length(text) - length(replace(text, '</s>', ''))) // 4 + (length(text) - length(replace(text, '<s>', ''))) // 3
+      + (length(text) - length(replace(text, '[INST]', ''))) // 6 + (length(text) - length(replace(text, '[/INST]', ''))) // 7
+      + (length(text) - length(replace(text, '<<SYS>>', ''))) // 7 + (length(text) - length(replace(text, '<</SYS>>', ''))) // 8) AS BIGINT) AS formatted_chars
+  FROM c GROUP BY conv_id
+)
+SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM g
+"""
+
+
+@query(CHAT_SQL)
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    text = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    parts = turns.unionByName(more).withColumn("parts", chat.text_parts(F.col("text")))
+    return chat.read_conversations(chat.format_turns(parts))
+
+
+def _spans_sql(rule: secrets.Rule, place: int) -> str:
+    """The spans of one rule: gaps before a match plus earlier matches give its start."""
+    regex = rule.regex.replace("'", "''")
+    return f"""
+  SELECT r, place, kind, start, start + length(m[i]) AS stop FROM (
+    SELECT r, {place} AS place, '{rule.kind}' AS kind, m, v, i,
+      list_sum(list_transform(g[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS start
+    FROM (SELECT r, m, v, g, unnest(range(1, len(m) + 1)) AS i FROM (
+      SELECT r, regexp_extract_all(text, '{regex}') AS m, regexp_extract_all(text, '{regex}', {rule.group}) AS v,
+        regexp_split_to_array(text, '{regex}') AS g FROM t)))
+  WHERE length(v[i]) >= {rule.chars}"""
+
+
+SECRETS_SQL = f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+s AS ({" UNION ALL ".join(_spans_sql(r, i) for i, r in enumerate(secrets.RULES))}),
+l AS (
+  SELECT r, count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access, count(*) FILTER (place = 2) AS n_hex,
+    string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, place) FILTER (place < 3) AS base,
+    string_agg(kind || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT), ',' ORDER BY start, place) AS spans
+  FROM s GROUP BY r
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM t LEFT JOIN l USING (r)
+"""
+
+
+@query(SECRETS_SQL)
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs).drop("text")
+    base = [r.kind for r in secrets.BASE]
+
+    def count(kind):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in base],
+        F.sha2(secrets.listed(F.filter("secrets", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
+        secrets.listed(F.col("secrets")).alias("spans"),
+    )
+
+
+DECONTAM_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark
+), w AS (
+  SELECT DISTINCT item_id, least(len(words), 10) AS k, array_to_string(words[i:i + 9], ' ') AS gram
+  FROM (SELECT *, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS i FROM b WHERE len(words) > 0)
+), p AS (
+  SELECT r, k, i, array_to_string(words[i:i + k - 1], ' ') AS gram
+  FROM (SELECT r, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM w) WHERE len(words) >= k)
+), h AS (
+  SELECT r, i, p.k, item_id FROM p JOIN w ON p.k = w.k AND p.gram = w.gram
+), c AS (
+  SELECT r, count(DISTINCT i + j) AS n_hit FROM (SELECT r, i, unnest(range(k)) AS j FROM (SELECT DISTINCT r, i, k FROM h)) GROUP BY r
+), x AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS item FROM h) GROUP BY r
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN x USING (r)
+"""
+
+
+@query(DECONTAM_SQL)
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.contamination(docs, read(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated"
+    )
+
+
 QUALITY_SQL = r"""
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS text FROM documents
 ), w AS (
   SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
-    list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM t
 ), g AS (
   SELECT *, [(words[i], words[i + 1], words[i + 2]) FOR i IN range(1, len(words) - 1)] AS grams FROM w
