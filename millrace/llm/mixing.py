@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import broadcast_if_counted
+from .common import broadcast_if_counted, row_key
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -113,11 +113,14 @@ def schedule(sources: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
 def mix(docs: DataFrame, block: int = BLOCK_WORDS, weights=WEIGHTS, max_repeats: int = MAX_REPEATS, seed: int = 42) -> DataFrame:
     """Pieces of the mix: one row per document and taken block, or a row without ``slot`` if nothing is taken.
 
-    Columns: ``doc_id, row, size, source_size, target, slot, block, from_word, words``. ``row``
-    numbers the rows of the input; ``slot`` orders the mix.
+    Columns: ``doc_id, key, row, size, source_size, target, slot, block, from_word, words``. ``row``
+    tells input rows apart, ``key`` stands for the text; ``slot`` orders the mix.
     """
     sized = materialise(
-        docs.select("doc_id", "source", n_words().alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("h")), "sized"
+        docs.select(
+            "doc_id", "source", row_key().alias("key"), n_words().alias("size"), F.xxhash64(F.lit(seed), "doc_id", "text").alias("h")
+        ),
+        "sized",
     )
     targets = materialise(source_targets(sized.select("source", "size"), weights, max_repeats), "targets")
     goal = F.least(F.floor(F.col("target") + 0.5), F.col("source_size") * max_repeats)
@@ -154,8 +157,8 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, weights=WEIGHTS, max_repeats:
 
     row = F.struct("sid", "bucket", "number").alias("row")
     pieces = lined.select(
-        "doc_id", row, "size", "source_size", "target", "sid", F.explode_outer(F.flatten(F.transform(spans, cut))).alias("p")
-    ).select("doc_id", "row", "size", "source_size", "target", "sid", "p.*")
+        "doc_id", "key", row, "size", "source_size", "target", "sid", F.explode_outer(F.flatten(F.transform(spans, cut))).alias("p")
+    ).select("doc_id", "key", "row", "size", "source_size", "target", "sid", "p.*")
     slots = schedule(sources, block)
     return pieces.join(slots, ["sid", "block"], "left").drop("sid")
 
@@ -167,6 +170,7 @@ def taken_words(pieces: DataFrame) -> DataFrame:
         pieces.groupBy("row")
         .agg(
             F.first("doc_id").alias("doc_id"),
+            F.first("key").alias("key"),
             F.first("size").alias("size"),
             F.first("source_size").alias("source_size"),
             F.first("target").alias("target"),
@@ -174,3 +178,19 @@ def taken_words(pieces: DataFrame) -> DataFrame:
         )
         .drop("row")
     )
+
+
+def mixed_documents(docs: DataFrame, **how) -> DataFrame:
+    """The mix as whole documents with all their columns, one row per copy.
+
+    A document comes as often as the mix takes its words, rounded to whole copies; only the one
+    document of a source at which its target ends is taken in part. Texts are not cut.
+    """
+    copies = F.floor(F.col("taken") / F.col("size") + 0.5)
+    taken = taken_words(mix(docs, **how)).where("taken > 0").groupBy("doc_id", "key").agg(F.sum(copies).alias("__copies"))
+    taken = taken.where("__copies > 0").select(F.col("doc_id").alias("__id"), F.col("key").alias("__text"), "__copies")
+    given = docs.select(F.struct(*docs.columns).alias("given"), "doc_id", row_key().alias("__key"))
+    joined = given.join(taken, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__text")))
+    # Rows equal in id and text count together in __copies.
+    once = joined.groupBy("__id", "__text").agg(F.first("given").alias("given"), F.first("__copies").alias("__copies"))
+    return once.select("given", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select("given.*")

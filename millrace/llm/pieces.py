@@ -30,8 +30,8 @@ _PIECES = regex.compile(PATTERN)
 _ASCII = regex.compile(rb"[!-~]*")
 # Printable Latin, whose letters and numbers are the same in all versions of Unicode.
 _LATIN = regex.compile("[!-~¡-¬®-ſ]*")
-# Entries of a cache before it is emptied; a worker's memory stays bounded.
-CACHE_ENTRIES = 200_000
+# Entries of one generation of a cache; a worker's memory stays bounded.
+CACHE_ENTRIES = 250_000
 
 
 def byte_letters() -> dict[int, int]:
@@ -45,8 +45,26 @@ _LETTERS = byte_letters()
 _BYTES = {chr(c): b for b, c in _LETTERS.items()}
 
 
+class Recent(dict):
+    """Values by key, made on demand, in two generations: keys in use move on, others are forgotten."""
+
+    def __init__(self, make, entries: int = CACHE_ENTRIES):
+        super().__init__()
+        self.make, self.entries, self.older = make, entries, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.entries:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
 class Pieces:
-    """Cuts runs into pre-tokens and gives the ids of each, with bounded caches."""
+    """Cuts runs into pre-tokens and gives the ids of each."""
 
     def __init__(self, config: str):
         self.library = Tokenizer.from_str(config)
@@ -64,7 +82,6 @@ class Pieces:
         if any(not t or t.split() != [t] for t in self.added):
             self.known = False
         self.model = self.library.model
-        self._ids: dict[str, list[int]] = {}
 
     def cut(self, run: bytes) -> list[str] | None:
         """The pre-tokens of a run, or None if only the library knows them."""
@@ -80,22 +97,11 @@ class Pieces:
 
     def merge(self, piece: str) -> list[int]:
         """The ids of one pre-token by the model's merges."""
-        found = self._ids.get(piece)
-        if found is None:
-            letters = piece.encode().decode("latin-1").translate(_LETTERS)
-            found = [t.id for t in self.model.tokenize(letters)]
-            if len(self._ids) >= CACHE_ENTRIES:
-                self._ids.clear()
-            self._ids[piece] = found
-        return found
+        return [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(_LETTERS))]
 
     def encode(self, text: str) -> list[int]:
         return self.library.encode(text, add_special_tokens=False).ids
 
-    def run_ids(self, run: bytes) -> list[int]:
-        pieces = self.cut(run)
-        return self.encode(run.decode()) if pieces is None else [i for p in pieces for i in self.merge(p)]
-
 
 def whole_tokens(config: str) -> frozenset[str]:
     """Proves which vocabulary strings encode alone as one token.

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, decontam, line_dedup, mixing, quality, secrets, token_counts, token_files, toxicity
+from . import chat, decontam, jaccard, line_dedup, mixing, quality, secrets, token_counts, token_files, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,7 +48,7 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mixing.taken_words(mixing.mix(docs))
+    return mixing.taken_words(mixing.mix(docs)).drop("key")
 
 
 CHAT_SQL = """
@@ -162,6 +162,39 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+JACCARD_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS words
+  FROM documents
+), s AS (
+  SELECT r, doc_id, list_sort(list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END)) AS grams
+  FROM t
+), c AS (
+  SELECT grams, min(r) AS k, min(doc_id) AS low, len(grams) AS n FROM s GROUP BY grams
+), g AS (
+  SELECT k, n, unnest(grams) AS gram FROM c
+), l AS (
+  SELECT a.k AS a, b.k AS b FROM g a JOIN g b ON a.gram = b.gram AND a.k <> b.k
+  GROUP BY a.k, b.k, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reach(a, b) AS (
+  SELECT k, k FROM c UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a
+), m AS (
+  SELECT reach.a AS k, min(c.low) AS component_id FROM reach JOIN c ON reach.b = c.k GROUP BY reach.a
+)
+SELECT s.doc_id, len(s.grams) AS n_shingles, CASE WHEN len(s.grams) = 0 THEN s.doc_id ELSE component_id END AS component_id
+FROM s JOIN c ON s.grams = c.grams JOIN m USING (k)
+"""
+
+
+@query(JACCARD_SQL)
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.memberships(docs).select(F.col("doc").alias("doc_id"), "n_shingles", "component_id")
+
+
 QUALITY_SQL = r"""
 WITH t AS (
   SELECT doc_id, coalesce(text, '') AS text FROM documents

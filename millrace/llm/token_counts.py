@@ -18,37 +18,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from .common import bounded_batches, utf8
-from .pieces import CACHE_ENTRIES, Pieces, load_config, loaded, share, whole_tokens
+from .pieces import Pieces, Recent, load_config, loaded, share, whole_tokens
 
 
-class RunCounts(dict):
-    """Tokens per run of text; a missing run is counted and kept, up to a bound."""
+def run_counts(pieces: Pieces, whole: frozenset[str]) -> Recent:
+    """Tokens per run of text: one for a pre-token that is a whole token, merges for the rest."""
+    merged = Recent(lambda piece: len(pieces.merge(piece)))
 
-    def __init__(self, pieces: Pieces, whole: frozenset[str]):
-        super().__init__()
-        self.pieces, self.whole = pieces, whole
-
-    def __missing__(self, run: bytes) -> int:
-        cut = self.pieces.cut(run)
+    def count(run: bytes) -> int:
+        cut = pieces.cut(run)
         if cut is None:
-            n = len(self.pieces.encode(run.decode()))
-        else:
-            whole, merge = self.whole, self.pieces.merge
-            n = sum(1 if p in whole else len(merge(p)) for p in cut)
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        self[run] = n
-        return n
+            return len(pieces.encode(run.decode()))
+        return sum(1 if p in whole else merged[p] for p in cut)
+
+    return Recent(count)
 
 
-_COUNTS: dict[int, RunCounts] = {}
+_COUNTS: dict[int, Recent] = {}
 
 
-def _counts(config: str, whole: frozenset[str]) -> RunCounts:
+def _counts(config: str, whole: frozenset[str]) -> Recent:
     key = hash(config)
     if key not in _COUNTS:
         _COUNTS.clear()
-        _COUNTS[key] = RunCounts(loaded(config), whole)
+        _COUNTS[key] = run_counts(loaded(config), whole)
     return _COUNTS[key]
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import batch, map_batches, utf8
-from .pieces import CACHE_ENTRIES, Pieces, load_config, loaded, share
+from .pieces import Pieces, Recent, load_config, loaded, share
 
 BLOCK = 4096
 # A segment is closed once it holds so many ids; one document is never split over segments.
@@ -115,22 +115,20 @@ def decode_blocks(payload: bytes, starts: list[int]) -> np.ndarray:
     return np.concatenate([decode_block(payload, s) for s in starts]) if starts else np.empty(0, np.uint32)
 
 
-class RunIds(dict):
-    """Little-endian ids per run of text; bounded."""
+def run_ids(pieces: Pieces, kind: str) -> Recent:
+    """Little-endian ids per run of text."""
+    merged = Recent(lambda piece: np.array(pieces.merge(piece), kind).tobytes())
 
-    def __init__(self, pieces: Pieces, kind: str):
-        super().__init__()
-        self.pieces, self.kind = pieces, kind
+    def ids(run: bytes) -> bytes:
+        cut = pieces.cut(run)
+        if cut is None:
+            return np.array(pieces.encode(run.decode()), kind).tobytes()
+        return b"".join(map(merged.__getitem__, cut))
 
-    def __missing__(self, run: bytes) -> bytes:
-        ids = np.array(self.pieces.run_ids(run), self.kind).tobytes()
-        if len(self) >= CACHE_ENTRIES:
-            self.clear()
-        self[run] = ids
-        return ids
+    return Recent(ids)
 
 
-_RUNS: dict[int, RunIds] = {}
+_RUNS: dict[int, tuple[str, Recent]] = {}
 
 
 def _encoder(config: str, end_id: int):
@@ -142,12 +140,13 @@ def _encoder(config: str, end_id: int):
     small = max(pieces.library.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16
     if key not in _RUNS:
         _RUNS.clear()
-        _RUNS[key] = RunIds(pieces, "<u2" if small else "<u4")
-    runs = _RUNS[key]
-    end = np.array([end_id], runs.kind).tobytes()
+        kind = "<u2" if small else "<u4"
+        _RUNS[key] = kind, run_ids(pieces, kind)
+    kind, runs = _RUNS[key]
+    end = np.array([end_id], kind).tobytes()
 
     def encode(text: bytes) -> np.ndarray:
-        return np.frombuffer(b"".join([*map(runs.__getitem__, text.split()), end]), runs.kind).astype(np.uint32)
+        return np.frombuffer(b"".join([*map(runs.__getitem__, text.split()), end]), kind).astype(np.uint32)
 
     return encode
 

@@ -39,6 +39,7 @@ from pyspark.sql.functions import arrow_udf
 
 from ..session import materialise
 from .common import batch, bounded_batches, broadcast_if_counted, map_batches, utf8
+from .pieces import Recent
 
 CONTEXT = 5
 SHARED_CONTEXT = 2
@@ -151,31 +152,21 @@ def model_entries(counts: DataFrame) -> DataFrame:
     return full.where(support >= EVIDENCE).select("entry", evidence.alias("evidence"))
 
 
-class WordEvidence(dict):
-    """Evidence and letters per word; bounded."""
+def word_evidence(entries: dict[str, float]) -> Recent:
+    """Evidence and letters per word."""
+    get = entries.get
+    return Recent(lambda word: (sum(get(e, 0.0) for e in entries_of(word)), len(word) + 1), _CACHE)
 
-    def __init__(self, entries: dict[str, float]):
-        super().__init__()
-        self.entries = entries
 
-    def __missing__(self, word: str) -> tuple[float, int]:
-        get = self.entries.get
-        found = sum(get(e, 0.0) for e in entries_of(word)), len(word) + 1
-        if len(self) >= _CACHE:
-            self.clear()
-        self[word] = found
-        return found
+_EVIDENCE: dict[str, Recent] = {}
 
 
-_EVIDENCE: dict[str, WordEvidence] = {}
-
-
-def _evidence(name: str, shared) -> WordEvidence:
+def _evidence(name: str, shared) -> Recent:
     """One cache per worker and block; those of a few blocks stay."""
     if name not in _EVIDENCE:
         if len(_EVIDENCE) >= 4:
             _EVIDENCE.clear()
-        _EVIDENCE[name] = WordEvidence(shared.value)
+        _EVIDENCE[name] = word_evidence(shared.value)
     return _EVIDENCE[name]
 
 
