@@ -262,7 +262,10 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def memberships(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(doc, row, n_shingles, component_id): one row per row of ``docs`` (doc_id, text)."""
+    """(doc, row, n_shingles, component_id, root): one row per row of ``docs`` (doc_id, text).
+
+    ``root`` tells components apart where ids repeat; it is NULL for empty sets.
+    """
     spark = docs.sparkSession
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc"), row_key().alias("row"), F.col("text").cast("string").alias("text"))
     levels = spark.sparkContext.broadcast(frequency_levels(keyed))
@@ -281,14 +284,16 @@ def memberships(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     lowest = full.groupBy("sid").agg(F.min("doc").alias("doc"))
     named = lowest.join(roots, lowest["sid"] == roots["node"], "left").select("sid", F.coalesce("root", "sid").alias("root"), "doc")
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))
-    of_class = named.select("sid", "root").join(least, "root").select("sid", "component_id")
+    of_class = named.select("sid", "root").join(least, "root").select("sid", "root", "component_id")
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc"))
-    return sets.join(of_class, "sid", "left").select("doc", "row", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return sets.join(of_class, "sid", "left").select(
+        "doc", "row", F.col("n").alias("n_shingles"), component.alias("component_id"), "root"
+    )
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with ``n_shingles`` and ``component_id``, the least doc_id reachable by links."""
-    found = memberships(docs, percent).withColumnsRenamed({"doc": "__doc", "row": "__row"}).distinct()
+    found = memberships(docs, percent).drop("root").withColumnsRenamed({"doc": "__doc", "row": "__row"}).distinct()
     names = [c for c in docs.columns if c not in ("n_shingles", "component_id")]
     given = docs.select(F.struct(*names).alias("given"), F.col("doc_id").cast("long").alias("doc"), row_key().alias("row"))
     joined = given.join(found, F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("row") == F.col("__row")))
@@ -298,11 +303,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def one_per_component(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``docs`` with the document of least doc_id of every component; texts without words all stay.
 
-    Rows that repeat that doc_id are reduced to one of them.
+    Rows of a component that repeat that doc_id are reduced to one of them.
     """
     found = memberships(docs, percent)
-    kept = found.where(F.col("doc").eqNullSafe(F.col("component_id"))).groupBy("doc").agg(F.min("row").alias("__row"))
-    kept = kept.withColumnRenamed("doc", "__doc")
+    kept = found.where(F.col("doc").eqNullSafe(F.col("component_id"))).groupBy("root", "doc").agg(F.min("row").alias("__row"))
+    kept = kept.select(F.col("doc").alias("__doc"), "__row")
     given = docs.select(F.struct(*docs.columns).alias("given"), F.col("doc_id").cast("long").alias("doc"), row_key().alias("row"))
     joined = given.join(kept, F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("row") == F.col("__row")))
     return joined.groupBy("__doc", "__row").agg(F.first("given").alias("given")).select("given.*")
