@@ -139,16 +139,20 @@ def _features(events):
 
 
 def _regions(events):
+    """Regions by the hash of whole place texts: of seas, and of places 7 km off that hold a comma."""
     kinds = events.select("event_type").distinct()
-    text = F.concat(F.lit("sea of "), "event_type")
-    return kinds.select(normalised_md5(text).alias("place_hash"), F.concat(F.lit("Ocean "), "event_type").alias("region"))
+    seas = kinds.select(F.concat(F.lit("sea of "), "event_type").alias("text"), F.concat(F.lit("Ocean "), "event_type").alias("region"))
+    near = kinds.select(
+        F.concat(F.lit(" 7 KM N of "), "event_type", F.lit(", R2")).alias("text"), F.concat(F.lit("Shelf "), "event_type").alias("region")
+    )
+    return seas.unionByName(near).select(normalised_md5(F.col("text")).alias("place_hash"), "region")
 
 
 @query(
     "mart_earthquake_events",
     f"SELECT CAST(event_id AS VARCHAR) AS id, date_trunc('millisecond', ts) AS ts, "
     "CASE WHEN event_id % 4 <> 0 THEN user_id % 30 || ' km N of ' || event_type ELSE 'Sea of ' || event_type END AS place, "
-    "CASE WHEN event_id % 4 <> 0 THEN 'R' || user_id % 5 ELSE 'Ocean ' || event_type END AS region, value AS magnitude, "
+    "CASE WHEN event_id % 4 = 0 THEN 'Ocean ' || event_type WHEN user_id % 30 = 7 THEN 'Shelf ' || event_type ELSE 'R' || user_id % 5 END AS region, value AS magnitude, "
     f"CASE WHEN event_id % 3 = 0 THEN {K_SQL} END AS felt, CAST(event_id % 2 AS INTEGER) AS tsunami, 'https://quakes.example/' || event_id AS url, "
     f"CAST(user_id AS DOUBLE) AS longitude, CAST({K_SQL} AS DOUBLE) AS latitude, value AS depth, CAST(ts AS DATE) AS load_date, TIMESTAMP '{NOW}' AS updated_at FROM events",
     dates="load_date",
@@ -291,14 +295,14 @@ def mart_first_transaction(load, spark):
 # --- web traffic ---
 
 VISITS_SQL = (
-    f"SELECT ts AS dt, event_id // 8 AS client, event_id AS visit, range(event_id, event_id + {K_SQL} % 4 + 1) AS ids, CAST(floor(value) AS INTEGER) AS duration, {K_SQL} % 4 + 1 AS pages, "
+    f"SELECT ts AS dt, event_id // 8 AS client, event_id AS visit, CASE WHEN {K_SQL} % 13 = 0 THEN [NULL] ELSE range(event_id, event_id + {K_SQL} % 4 + 1) END AS ids, CAST(floor(value) AS INTEGER) AS duration, {K_SQL} % 4 + 1 AS pages, "
     f"CASE {K_SQL} % 3 WHEN 0 THEN '1' WHEN 1 THEN '0' END AS is_new, CASE WHEN {K_SQL} % 5 <> 0 THEN event_type END AS referer, "
     f"CASE WHEN user_id % 7 <> 0 THEN 'land' || user_id % 25 END AS country, 'city' || user_id % 40 AS city, CASE WHEN {K_SQL} % 11 <> 0 THEN '/p/' || {K_SQL} % 20 END AS url "
-    "FROM events WHERE event_type IN ('view', 'click')"
+    "FROM events"
 )
 HITS_SQL = (
-    f"SELECT event_id // 8 AS h_client, event_id AS watch, event_id AS view_id, CASE {K_SQL} % 6 WHEN 0 THEN '1' WHEN 1 THEN '2' WHEN 2 THEN '3' WHEN 3 THEN '4' END AS device, "
-    f"CASE WHEN {K_SQL} % 7 <> 0 THEN 'br' || {K_SQL} % 3 END AS browser, 'os' || user_id % 4 AS os FROM events WHERE event_type <> 'error'"
+    f"SELECT event_id // 8 AS h_client, CASE WHEN event_type = 'error' THEN -event_id - 1 ELSE event_id END AS watch, event_id AS view_id, CASE {K_SQL} % 6 WHEN 0 THEN '1' WHEN 1 THEN '2' WHEN 2 THEN '3' WHEN 3 THEN '4' END AS device, "
+    f"CASE WHEN {K_SQL} % 7 <> 0 THEN 'br' || {K_SQL} % 3 END AS browser, 'os' || user_id % 4 AS os FROM events"
 )
 JOINED_SQL = (
     f"SELECT * FROM (SELECT *, unnest(ids) AS watch_id FROM ({VISITS_SQL})) v LEFT JOIN ({HITS_SQL}) h ON v.client = h.h_client AND v.watch_id = h.watch"
@@ -307,7 +311,7 @@ DAY_SQL = "CAST(dt AS DATE) AS business_date"
 
 
 def visits_of(events):
-    """Visits: every view or click starts one and lists the next few events as its hits."""
+    """Visits: every event starts one and lists the next few events as its hits; some list none."""
     k, key = k_of(), F.col("event_id")
     ids = F.sequence(key, key + k % 4).cast("array<string>")
     flag = F.when(k % 3 == 0, "1").when(k % 3 == 1, "0")
@@ -315,7 +319,7 @@ def visits_of(events):
         "dateTime": F.col("ts"),
         "clientID": floor_div(key, 8),
         "visitID": key,
-        "watchIDs": F.concat(F.lit("["), F.array_join(ids, ", "), F.lit("]")),
+        "watchIDs": F.when(k % 13 != 0, F.concat(F.lit("["), F.array_join(ids, ", "), F.lit("]"))),
         "visitDuration": F.floor("value").cast("int"),
         "pageViews": k % 4 + 1,
         "isNewUser": flag,
@@ -324,22 +328,22 @@ def visits_of(events):
         "regionCity": F.concat(F.lit("city"), (F.col("user_id") % 40).cast("string")),
         "startURL": F.when(k % 11 != 0, F.concat(F.lit("/p/"), (k % 20).cast("string"))),
     }
-    return events.where("event_type IN ('view', 'click')").select(*[c.alias(f"ym:s:{n}") for n, c in cols.items()])
+    return events.select(*[c.alias(f"ym:s:{n}") for n, c in cols.items()])
 
 
 def hits_of(events):
-    """Hits: one per event; those of errors are lost, and others belong to another client."""
+    """Hits: one per event; those of errors have ids that no visit lists, and others belong to another client."""
     k, key = k_of(), F.col("event_id")
     device = F.when(k % 6 < 4, (k % 6 + 1).cast("string"))
     cols = {
         "clientID": floor_div(key, 8),
-        "watchID": key,
+        "watchID": F.when(F.col("event_type") == "error", -key - 1).otherwise(key),
         "pageViewID": key,
         "deviceCategory": device,
         "browser": F.when(k % 7 != 0, F.concat(F.lit("br"), (k % 3).cast("string"))),
         "operatingSystem": F.concat(F.lit("os"), (F.col("user_id") % 4).cast("string")),
     }
-    return events.where("event_type <> 'error'").select(*[c.alias(f"ym:pv:{n}") for n, c in cols.items()])
+    return events.select(*[c.alias(f"ym:pv:{n}") for n, c in cols.items()])
 
 
 def _web(load):
@@ -421,21 +425,42 @@ def mart_web_depth(load, spark):
     return web_depth(*_web(load))
 
 
+# Integer figures of each mart, which mart_web_all adds up.
+WEB_FIGURES = {
+    "daily_metrics": ["dau", "pageviews"],
+    "traffic_sources": ["sessions", "new_users", "returning_users"],
+    "new_vs_returning": ["new_users", "returning_users"],
+    "geo_stats": ["sessions", "dau"],
+    "devices": ["sessions"],
+    "top_pages": ["pageviews"],
+    "session_depth": ["max_pageviews"],
+}
+_WEB_ALL = {
+    "daily_metrics": f"SELECT business_date, dau + pageviews AS x FROM (SELECT {DAY_SQL}, count(DISTINCT client) AS dau FROM ({VISITS_SQL}) GROUP BY ALL) JOIN (SELECT {DAY_SQL}, count(view_id) AS pageviews FROM ({JOINED_SQL}) GROUP BY ALL) USING (business_date)",
+    "traffic_sources": f"SELECT {DAY_SQL}, count(DISTINCT visit) + count(*) FILTER (WHERE is_new IS NOT NULL) AS x FROM ({VISITS_SQL}) GROUP BY CAST(dt AS DATE), referer",
+    "new_vs_returning": f"SELECT {DAY_SQL}, count(*) FILTER (WHERE is_new IS NOT NULL) AS x FROM ({VISITS_SQL}) GROUP BY CAST(dt AS DATE)",
+    "geo_stats": f"SELECT {DAY_SQL}, count(DISTINCT visit) + count(DISTINCT client) AS x FROM ({VISITS_SQL}) GROUP BY CAST(dt AS DATE), country, city",
+    "devices": f"SELECT {DAY_SQL}, count(DISTINCT visit) AS x FROM ({JOINED_SQL}) GROUP BY CAST(dt AS DATE), device, browser, os",
+    "top_pages": f"SELECT {DAY_SQL}, count(DISTINCT view_id) AS x FROM ({JOINED_SQL}) GROUP BY CAST(dt AS DATE), url",
+    "session_depth": f"SELECT {DAY_SQL}, max(pages) AS x FROM ({VISITS_SQL}) GROUP BY CAST(dt AS DATE)",
+}
+
+
 @query(
     "mart_web_all",
-    f"SELECT 'daily_metrics' AS mart, count(*) AS n FROM (SELECT DISTINCT {DAY_SQL} FROM ({VISITS_SQL})) UNION ALL "
-    f"SELECT 'traffic_sources', count(*) FROM (SELECT DISTINCT {DAY_SQL}, referer FROM ({VISITS_SQL})) UNION ALL "
-    f"SELECT 'new_vs_returning', count(*) FROM (SELECT DISTINCT {DAY_SQL} FROM ({VISITS_SQL})) UNION ALL "
-    f"SELECT 'geo_stats', count(*) FROM (SELECT DISTINCT {DAY_SQL}, country, city FROM ({VISITS_SQL})) UNION ALL "
-    f"SELECT 'devices', count(*) FROM (SELECT DISTINCT {DAY_SQL}, device, browser, os FROM ({JOINED_SQL})) UNION ALL "
-    f"SELECT 'top_pages', count(*) FROM (SELECT DISTINCT {DAY_SQL}, url FROM ({VISITS_SQL})) UNION ALL "
-    f"SELECT 'session_depth', count(*) FROM (SELECT DISTINCT {DAY_SQL} FROM ({VISITS_SQL}))",
+    " UNION ALL ".join(
+        f"SELECT '{mart}' AS mart, CAST(business_date AS VARCHAR) AS day, count(*) AS n, CAST(sum(x) AS BIGINT) AS total FROM ({sql}) GROUP BY business_date"
+        for mart, sql in _WEB_ALL.items()
+    ),
 )
 def mart_web_all(load, spark):
+    """Per mart and day: rows and the sum of the mart's integer figures."""
     events, out = load("events"), None
     for name, mart in web_marts(visits_of(events), hits_of(events)).items():
-        size = mart.agg(F.count("*").alias("n")).select(F.lit(name).alias("mart"), "n")
-        out = size if out is None else out.unionByName(size)
+        total = sum((F.sum(c) for c in WEB_FIGURES[name]), F.lit(0)).cast("bigint")
+        days = mart.groupBy(F.col("business_date").cast("string").alias("day")).agg(F.count("*").alias("n"), total.alias("total"))
+        days = days.select(F.lit(name).alias("mart"), "day", "n", "total")
+        out = days if out is None else out.unionByName(days)
     return out
 
 

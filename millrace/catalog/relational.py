@@ -13,7 +13,8 @@ from ..operators.joins import broadcast_if_small, first_event, join_by_text_hash
 from ..operators.ordering import Key, page
 from ..operators.projection import audit_columns, next_version, project_typed, rename_columns
 from ..operators.sets import dedup_key, union_coerced, union_named
-from ..session import scratch_path
+from ..session import planned_bytes, scratch_path
+from ..sources.writers import bucket_count, write_bucketed
 from .base import K_SQL, half_up, k_of, money, query
 
 NTZ = "timestamp_ntz"
@@ -231,10 +232,10 @@ def join_inner(load, spark):
 @query(
     "join_left",
     "SELECT c_custkey, coalesce(o.n, 0) AS n_orders, coalesce(o.status, 'none') AS status FROM customer LEFT JOIN "
-    "(SELECT o_custkey, o_orderstatus AS status, count(*) AS n FROM orders WHERE o_totalprice > 250000 GROUP BY ALL) o ON c_custkey = o_custkey",
+    "(SELECT o_custkey, o_orderstatus AS status, count(*) AS n FROM orders GROUP BY ALL) o ON c_custkey = o_custkey",
 )
 def join_left(load, spark):
-    big = load("orders").where("o_totalprice > 250000").groupBy("o_custkey", F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"))
+    big = load("orders").groupBy("o_custkey", F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("n"))
     return (
         load("customer")
         .join(big, F.col("c_custkey") == F.col("o_custkey"), "left")
@@ -244,11 +245,13 @@ def join_left(load, spark):
 
 @query(
     "join_right",
-    "SELECT s_name, n_name FROM (SELECT * FROM supplier WHERE s_acctbal < 2000) RIGHT JOIN nation ON s_nationkey = n_nationkey",
+    "SELECT s_name, n_name FROM (SELECT s_name, CASE WHEN s_nationkey % 5 = 0 THEN s_nationkey + 100 ELSE s_nationkey END AS k FROM supplier) RIGHT JOIN nation ON k = n_nationkey",
 )
 def join_right(load, spark):
-    poor = load("supplier").where("s_acctbal < 2000")
-    return poor.join(load("nation"), F.col("s_nationkey") == F.col("n_nationkey"), "right").select("s_name", "n_name")
+    # Every fifth nation loses its suppliers.
+    moved = F.when(F.col("s_nationkey") % 5 == 0, F.col("s_nationkey") + 100).otherwise(F.col("s_nationkey"))
+    suppliers = load("supplier").select("s_name", moved.alias("k"))
+    return suppliers.join(load("nation"), F.col("k") == F.col("n_nationkey"), "right").select("s_name", "n_name")
 
 
 @query(
@@ -291,15 +294,17 @@ def join_two_key(load, spark):
 @query(
     "join_hash_key",
     "SELECT c_custkey, r.n_name AS region FROM customer LEFT JOIN "
-    "(SELECT md5('nation ' || n_nationkey) AS h, n_name FROM nation WHERE n_nationkey < 20) r "
+    "(SELECT md5('nation ' || CASE WHEN n_nationkey % 6 = 0 THEN n_nationkey + 100 ELSE n_nationkey END) AS h, n_name FROM nation) r "
     "ON md5(lower(trim('  Nation ' || c_nationkey || ' '))) = r.h",
 )
 def join_hash_key(load, spark):
     texts = load("customer").select(
         "c_custkey", F.concat(F.lit("  Nation "), F.col("c_nationkey").cast("string"), F.lit(" ")).alias("place")
     )
-    label = F.concat(F.lit("nation "), F.col("n_nationkey").cast("string"))
-    regions = load("nation").where("n_nationkey < 20").select(normalised_md5(label).alias("place_hash"), F.col("n_name").alias("region"))
+    # Every sixth nation has a key that no customer has.
+    key = F.when(F.col("n_nationkey") % 6 == 0, F.col("n_nationkey") + 100).otherwise(F.col("n_nationkey"))
+    label = F.concat(F.lit("nation "), key.cast("string"))
+    regions = load("nation").select(normalised_md5(label).alias("place_hash"), F.col("n_name").alias("region"))
     return join_by_text_hash(texts, regions, "place", "place_hash").select("c_custkey", "region")
 
 
@@ -326,8 +331,11 @@ def join_broadcast(load, spark):
     "JOIN orders ON l_orderkey = o_orderkey GROUP BY o_orderpriority",
 )
 def join_colocated(load, spark):
-    lines = _bucketed(load("lineitem").select("l_orderkey", "l_extendedprice"), "lines", "l_orderkey", spark)
-    orders = _bucketed(load("orders").select("o_orderkey", "o_orderpriority"), "orders", "o_orderkey", spark)
+    lines, orders = load("lineitem").select("l_orderkey", "l_extendedprice"), load("orders").select("o_orderkey", "o_orderpriority")
+    # Both sides need the same number of buckets; the larger one sets it.
+    buckets = bucket_count(max(planned_bytes(lines), planned_bytes(orders)), least=spark.sparkContext.defaultParallelism)
+    lines = _bucketed(lines, "lines", "l_orderkey", spark, buckets)
+    orders = _bucketed(orders, "orders", "o_orderkey", spark, buckets)
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("o_orderpriority")
@@ -335,11 +343,9 @@ def join_colocated(load, spark):
     )
 
 
-def _bucketed(df, label, key, spark):
-    from ..sources.writers import write_bucketed
-
+def _bucketed(df, label, key, spark, buckets):
     path = scratch_path(spark, label)
-    return write_bucketed(df, f"{label}_{path[-32:]}", path, key, buckets=8)
+    return write_bucketed(df, f"{label}_{path[-32:]}", path, key, buckets)
 
 
 @query(
@@ -392,13 +398,11 @@ def promotions(events):
 
 @query(
     "join_interval",
-    f"SELECT e.event_id, p.event_name FROM events e JOIN ({PROMO_SQL}) p ON e.ts BETWEEN p.start_time AND p.end_time "
-    "WHERE e.event_type = 'click'",
+    f"SELECT e.event_id, p.event_name FROM events e JOIN ({PROMO_SQL}) p ON e.ts BETWEEN p.start_time AND p.end_time",
 )
 def join_interval(load, spark):
     events = load("events")
-    clicks = events.where("event_type = 'click'").select("event_id", "ts")
-    return interval_join(clicks, promotions(events), "ts", "start_time", "end_time").select("event_id", "event_name")
+    return interval_join(events.select("event_id", "ts"), promotions(events), "ts", "start_time", "end_time").select("event_id", "event_name")
 
 
 @query(

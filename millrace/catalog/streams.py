@@ -25,9 +25,9 @@ from .base import money, query
 
 ROW = "struct<id:int,order_id:int,status:string,ts:bigint>"
 
-# The same change events in SQL: every 10th change is a deletion, three more of ten are updates.
+# The same change events in SQL, three to a key: every 10th change is a deletion, three more of ten are updates.
 CHANGES_SQL = (
-    "SELECT event_id, CAST(event_id % 2000 AS INTEGER) AS id, CAST(user_id AS INTEGER) AS order_id, event_type AS status, ts, "
+    "SELECT event_id, CAST(event_id // 3 AS INTEGER) AS id, CAST(user_id AS INTEGER) AS order_id, event_type AS status, ts, "
     "CASE WHEN event_id % 10 = 7 THEN 'd' WHEN event_id % 10 IN (1, 2, 3) THEN 'u' ELSE 'c' END AS op FROM events"
 )
 
@@ -38,7 +38,7 @@ def change_texts(events):
     digit = F.col("event_id") % 10
     op = F.when(digit == 7, "d").when(digit.isin(1, 2, 3), "u").otherwise("c")
     row = F.struct(
-        (F.col("event_id") % 2000).cast("int").alias("id"),
+        floor_div(F.col("event_id"), 3).cast("int").alias("id"),
         F.col("user_id").cast("int").alias("order_id"),
         F.col("event_type").alias("status"),
         us.alias("ts"),

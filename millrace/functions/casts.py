@@ -44,9 +44,16 @@ def cast_or_zero(col: Column, to: str) -> Column:
 
 
 def cast_unsigned(col: Column, bits: int) -> Column:
-    """Whole part wrapped into ``bits`` unsigned bits: -1 becomes 2^bits - 1; 0 if unreadable."""
-    whole = F.coalesce(col.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
-    return F.pmod(whole, F.lit(1 << bits).cast("bigint"))
+    """Whole part wrapped into ``bits`` unsigned bits: -1 becomes 2^bits - 1; 0 if unreadable.
+
+    Digits are read as decimals, so none is lost beyond 2^53; text in exponent notation and values
+    of more than 38 digits go through a double. 64 bits give ``decimal(20,0)``, fewer ``bigint``.
+    """
+    text = F.trim(col.cast("string"))
+    digits = F.regexp_extract(text, r"^([+-]?\d+)(\.\d*)?$", 1)
+    exact = F.when(digits != "", digits).try_cast("decimal(38,0)")
+    whole = F.coalesce(exact, col.try_cast("double").try_cast("bigint").cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+    return F.pmod(whole, F.lit(str(1 << bits)).cast("decimal(38,0)")).cast("decimal(20,0)" if bits >= 64 else "bigint")
 
 
 def cast_strict(col: Column, to: str, what: str = "value") -> Column:
@@ -104,15 +111,20 @@ def fill_default(col: Column, to: str) -> Column:
 
 
 def parse_list_text(col: Column, element: str) -> Column:
-    """Bracketed text such as ``"[1, 2]"`` to a typed array; empty items are dropped."""
-    inner = F.regexp_replace(col, r"[\[\]'\"\\]", "")
-    items = F.filter(F.transform(F.split(inner, ","), lambda x: F.trim(x)), lambda x: x != "")
-    spark_type = TYPE_MAP.get(element, element)
-    if spark_type == "string":
-        return items
-    if spark_type in ("timestamp_ntz", "timestamp"):
-        return F.transform(items, lambda x: F.regexp_replace(x, "T", " ").try_cast(spark_type))
-    return F.transform(items, lambda x: x.try_cast(spark_type))
+    """A list written as text, such as ``"[1, 'a,b']"``, to a typed array; empty items are dropped.
+
+    It is read as JSON in which items may stand in single quotes, so quoted items may hold commas
+    and the other kind of quote. Text that is no such list is cut at commas, and quotes around
+    items are taken off. Items that do not parse become NULL.
+    """
+    kind = TYPE_MAP.get(element, element)
+    inner = F.regexp_replace(F.trim(col), r"^\[|\]$", "")
+    read = F.from_json(F.concat(F.lit("["), inner, F.lit("]")), "array<string>", {"allowSingleQuotes": "true"})
+    whole = F.when(F.exists(read, lambda x: x.isNotNull()), read)
+    cut = F.transform(F.split(inner, ","), lambda x: F.regexp_replace(F.trim(x), "^['\"]|['\"]$", ""))
+    items = F.transform(F.coalesce(whole, cut), lambda x: F.trim(x))
+    filled = F.filter(items, lambda x: x != "")
+    return filled if kind == "string" else F.transform(filled, lambda x: x.try_cast(kind))
 
 
 def strip_to_number(col: Column, to: str = "bigint") -> Column:

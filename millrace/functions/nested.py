@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .casts import parse_list_text
+
 
 def quoted(name: str) -> str:
     """Column reference for a name that may hold dots or colons."""
@@ -58,10 +60,8 @@ def explode_zipped(df: DataFrame, arrays: dict[str, str], keep: list[str] = ())
 
 
 def explode_id_text(df: DataFrame, text: str, out: str, to: str = "bigint") -> DataFrame:
-    """``"[1,2]"`` text to one row per id; ``"[]"`` gives one row with NULL, NULL text gives none."""
-    inner = F.regexp_replace(F.col(quoted(text)), r"[\[\]]", "")
-    ids = F.transform(F.split(inner, ","), lambda x: F.trim(x).try_cast(to))
-    return df.withColumn(out, F.explode(ids))
+    """``"[1,2]"`` text to one row per id; without ids, also for NULL text, one row with NULL."""
+    return df.withColumn(out, F.explode_outer(parse_list_text(F.col(quoted(text)), to)))
 
 
 def explode_days(df: DataFrame, start: str, end: str, out: str) -> DataFrame:

@@ -26,8 +26,12 @@ def interval_join(
     Choose ``slot`` near the usual length of an interval: much shorter slots list it often, much
     longer ones compare more pairs. The listed intervals are measured: up to ``broadcast_bytes`` they are broadcast and the
     points are not shuffled; beyond that both sides are shuffled and adaptive execution splits
-    slots that hold many rows.
+    slots that hold many rows. Columns of the intervals that points have too get the suffix
+    ``_interval``.
     """
+    shared = [c for c in intervals.columns if c in points.columns and c not in on]
+    intervals = intervals.withColumnsRenamed({c: f"{c}_interval" for c in shared})
+    start, end = (f"{c}_interval" if c in shared else c for c in (start, end))
     p = points.withColumn("__slot", slot_number(F.col(ts), slot))
     spans = F.sequence(slot_number(F.col(start), slot), slot_number(F.col(end), slot))
     listed = intervals.where(F.col(start) <= F.col(end)).withColumn("__slot", F.explode(spans))

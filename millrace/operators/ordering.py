@@ -19,10 +19,6 @@ _ROW = "__row"
 _PART = "__part"
 _POS = "__pos"
 
-# Rows of one key that a single task may sort in a plain window.
-WINDOW_ROWS = 2_000_000
-
-
 @dataclass(frozen=True)
 class Key:
     """One sort key."""
@@ -69,27 +65,18 @@ def ranged(df: DataFrame, order) -> DataFrame:
     ).drop(_ROW)
 
 
-def largest_group(df: DataFrame, keys) -> int:
-    """Rows of the most frequent key; only the key columns are read."""
-    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return top or 0
-
-
-def number_rows(
-    df: DataFrame, order, partition_by=(), name: str = "row_num", window_rows: int = WINDOW_ROWS
-) -> DataFrame:
+def number_rows(df: DataFrame, order, partition_by=(), name: str = "row_num", small_keys: bool = False) -> DataFrame:
     """``row_number()`` per key, or over all rows when there is no key.
 
-    A plain window is used when no key is larger than ``window_rows``; beyond that, or without
-    keys, the range-sorted way is used.
+    ``order`` must be unique within a key: which of two equal rows comes first is not defined.
+    Rows are range-sorted at every size, so a key may hold any share of them. A caller that knows
+    every key to be small may ask for a plain window with ``small_keys``; the numbers are the same.
     """
     keys = list(partition_by)
-    if keys and largest_group(df, keys) <= window_rows:
+    if small_keys:
+        if not keys:
+            raise ValueError("small_keys needs keys")
         return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*_sorts(order))).cast("bigint"))
-    return _number_ranged(df, order, keys, name)
-
-
-def _number_ranged(df: DataFrame, order, keys, name: str) -> DataFrame:
     rows = ranged(df, [*keys, *order])
     spans = rows.groupBy(*keys, _PART).agg(F.count("*").alias("__n"), F.min(_POS).alias("__first"))
     before = W.partitionBy(*keys).orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
@@ -179,12 +166,13 @@ def neighbours(df: DataFrame, order, value: str, prev: str | None = None, nxt: s
     return out.select(*cols)
 
 
-def page(df: DataFrame, order, limit: int, offset: int, native_rows: int = 100_000) -> DataFrame:
-    """LIMIT/OFFSET. Deep pages are cut out of the numbered rows, not collected in one task."""
-    if limit + offset <= native_rows:
-        return df.orderBy(*_sorts(order)).offset(offset).limit(limit)
+def page(df: DataFrame, order, limit: int, offset: int) -> DataFrame:
+    """LIMIT/OFFSET over a unique order; the rows of the page come in that order.
+
+    A page at any depth is cut out of the numbered rows, so no task holds what stands before it.
+    """
     numbered = number_rows(df, order, name="__rn")
-    return numbered.where(F.col("__rn").between(offset + 1, offset + limit)).drop("__rn")
+    return numbered.where(F.col("__rn").between(offset + 1, offset + limit)).orderBy("__rn").drop("__rn")
 
 
 def with_group_values(df: DataFrame, keys, *aggs: Column) -> DataFrame:
@@ -196,17 +184,23 @@ def with_group_values(df: DataFrame, keys, *aggs: Column) -> DataFrame:
     return same_keys(df, df.groupBy(*keys).agg(*aggs), list(keys))
 
 
+def nulls_last(*order) -> Column:
+    """A struct to take the lowest row by, in which NULL counts as higher than every value."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    return F.struct(*[part for c in cols for part in (c.isNull(), c)])
+
+
 def pick_one(df: DataFrame, keys, order, last: bool = False) -> DataFrame:
     """One row per key: the lowest by ``order``, or with ``last`` the highest.
 
-    Equals ``row_number() = 1`` but is pre-aggregated before the shuffle. NULL counts as the
-    lowest value; put ``col.isNull()`` in front of a column to place its NULLs last.
+    Equals ``row_number() = 1`` but is pre-aggregated before the shuffle. A row with NULL in an
+    order column gives way to one with a value there, in both directions.
     """
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
-    pick = F.max_by if last else F.min_by
-    picked = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias("__p"))
+    pick = F.max_by(F.struct(*rest), F.struct(*order)) if last else F.min_by(F.struct(*rest), nulls_last(*order))
+    picked = df.groupBy(*keys).agg(pick.alias("__p"))
     return picked.select(*keys, "__p.*").select(*df.columns)
 
 
@@ -219,6 +213,8 @@ def first_non_null(df: DataFrame, keys, value: str, order, name: str) -> DataFra
 def exact_quantiles(df: DataFrame, keys, value: str, probs: dict[str, float]) -> DataFrame:
     """Interpolated quantiles per key, exact, without holding a key's values in one task.
 
+    NULL values are left out; a key with nothing else gets NULL, as in SQL.
+
     Equal values are counted first and range-sorted. Totals per key and range tell which ranges
     hold the wanted ranks; only those are looked into.
     """
@@ -259,4 +255,7 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs: dict[str, float]) ->
     for name, p in probs.items():
         lo, hi = F.col(f"__lo_{name}"), F.col(f"__hi_{name}")
         outs.append((lo + (hi - lo) * (place(p) - F.floor(place(p)))).alias(name))
-    return found.select(*keys, *outs)
+    found = found.select(*keys, *outs)
+    if not keys:
+        return found if found.head(1) else df.agg(*[F.lit(None).cast("double").alias(name) for name in probs])
+    return same_keys(df.select(*keys).distinct(), found, keys, "left")

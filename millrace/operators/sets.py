@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import pick_one
+from .ordering import pick_one, same_keys
 
 
 def union_named(*dfs: DataFrame) -> DataFrame:
@@ -33,7 +33,7 @@ def union_coerced(schema: dict[str, str], *dfs: DataFrame, defaults: dict | None
 
 
 def dedup_key(df: DataFrame, keys, order) -> DataFrame:
-    """One row per key, the lowest by ``order``."""
+    """One row per key, the lowest by ``order``; rows with NULL there only if there is no other."""
     return pick_one(df, keys, order)
 
 
@@ -50,5 +50,10 @@ def upsert(target: DataFrame, changes: DataFrame, keys, seq: str | None = None)
 
 
 def delete_insert(target: DataFrame, stage: DataFrame, keys) -> DataFrame:
-    """Target without the staged keys, plus the staged rows."""
-    return target.join(stage.select(*keys).distinct(), list(keys), "left_anti").unionByName(stage)
+    """Target without the staged keys, plus the staged rows. NULL is a key like others."""
+    return without_keys(target, stage, keys).unionByName(stage)
+
+
+def without_keys(df: DataFrame, other: DataFrame, keys) -> DataFrame:
+    """Rows of ``df`` whose key ``other`` does not hold; NULL equals NULL."""
+    return same_keys(df, other.select(*keys).distinct(), list(keys), "left_anti")

@@ -96,7 +96,7 @@ def read_aggregating(df: DataFrame, keys, spec: dict[str, State]) -> DataFrame:
     return finalize(merge_states(df, keys, spec), keys, spec)
 
 
-def collect_state(df: DataFrame, keys, value: str, order, load: int, chunk_rows: int = 10_000) -> DataFrame:
+def collect_state(df: DataFrame, keys, value: str, order, load: int, chunk_rows: int) -> DataFrame:
     """A value-list state: ordered chunks of one load."""
     return collect_groups(df, keys, value, order, chunk_rows).withColumn("load", F.lit(load))
 

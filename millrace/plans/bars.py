@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.sets import union_named
-from ..sources.incremental import existing, newest_partition
+from ..sources.incremental import existing, newest_day
 from ..sources.writers import replace_partitions
 
 
@@ -34,12 +34,13 @@ def rebuild_tail(bars: DataFrame, trades: DataFrame, width: str = "1 minute", ta
     """Bars before the cutoff as they are, later ones computed again.
 
     The cutoff (newest bar minus ``tail``, a whole number of bars) is used for both parts, so
-    no bar comes twice.
+    no bar comes twice. It is a literal, so older trades are skipped by the scan.
     """
-    cutoff = _cutoff(bars, tail)
-    old = bars.where(F.col("period_start") < cutoff.scalar())
-    late = trades.where(F.coalesce(F.col("ts") >= cutoff.scalar(), F.lit(True)))
-    return union_named(old, ohlcv(late, width))
+    cutoff = _cutoff(bars, tail).select(F.col("cutoff").cast("string")).first()[0]
+    if cutoff is None:
+        return ohlcv(trades, width)
+    edge = F.lit(cutoff).cast("timestamp_ntz")
+    return union_named(bars.where(F.col("period_start") < edge), ohlcv(trades.where(F.col("ts") >= edge), width))
 
 
 def refresh_bars(trades: DataFrame, path: str, width: str = "1 minute", tail: str = "1 HOUR") -> None:
@@ -48,9 +49,11 @@ def refresh_bars(trades: DataFrame, path: str, width: str = "1 minute", tail: st
     Whole days from the cutoff's day on are computed and replaced, so a second run changes
     nothing. The cutoff is a literal, so older trades are skipped by the scan.
     """
-    bars = existing(trades.sparkSession, path)
-    if bars is not None:
-        day = _cutoff(newest_partition(bars, "day"), tail).select(F.to_date("cutoff").cast("string")).first()[0]
+    spark = trades.sparkSession
+    newest = newest_day(spark, path, "day")
+    if newest is not None:
+        last = existing(spark, path).where(F.col("day") == F.lit(newest).cast("date"))
+        day = _cutoff(last, tail).select(F.to_date("cutoff").cast("string")).first()[0]
         if day is not None:
             trades = trades.where(F.col("ts") >= F.lit(f"{day} 00:00:00").cast("timestamp_ntz"))
     replace_partitions(ohlcv(trades, width).withColumn("day", F.to_date("period_start")), path, "day")

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.nested import explode_id_text
 from ..functions.texts import label_of
-from ..operators.aggregates import share_of
+from ..operators.aggregates import collect_if, share_of, uniq_if
+from ..operators.ordering import same_keys
 from ..session import materialise
 
 V = "ym:s:"
@@ -65,7 +66,7 @@ def web_daily(visits: DataFrame, joined: DataFrame, grain: str = "visit") -> Dat
     if grain == "hit":
         return joined.groupBy(_day()).agg(views, *figures)
     per_day = _rows(visits, joined, grain).groupBy(_day()).agg(*figures)
-    return per_day.join(joined.groupBy(_day()).agg(views), "business_date", "left").fillna(0, ["pageviews"])
+    return same_keys(per_day, joined.groupBy(_day()).agg(views), ["business_date"], "left").fillna(0, ["pageviews"])
 
 
 def web_traffic(visits: DataFrame, joined: DataFrame, grain: str = "visit") -> DataFrame:
@@ -84,7 +85,7 @@ def web_new_returning(visits: DataFrame, joined: DataFrame, grain: str = "visit"
 
 
 def web_geo(visits: DataFrame) -> DataFrame:
-    """Sessions and users per day, country and city; the same at both grains."""
+    """Sessions and users per day, country and city; the same at both grains, as every visit has a joined row."""
     return visits.groupBy(
         _day(), _or_unknown(_v("regionCountry")).alias("country"), _or_unknown(_v("regionCity")).alias("city")
     ).agg(F.countDistinct(_v("visitID")).alias("sessions"), F.countDistinct(_v("clientID")).alias("dau"))
@@ -108,7 +109,7 @@ def web_top_pages(visits: DataFrame, joined: DataFrame, grain: str = "visit") ->
     if grain == "hit":
         return joined.groupBy(*page).agg(views, duration)
     per_page = visits.groupBy(*page).agg(duration)
-    return per_page.join(joined.groupBy(*page).agg(views), ["business_date", "url"], "left").fillna(0, ["pageviews"])
+    return same_keys(per_page, joined.groupBy(*page).agg(views), ["business_date", "url"], "left").fillna(0, ["pageviews"])
 
 
 def web_depth(visits: DataFrame, joined: DataFrame, grain: str = "visit") -> DataFrame:
@@ -120,6 +121,19 @@ def web_depth(visits: DataFrame, joined: DataFrame, grain: str = "visit") -> Dat
     )
 
 
+def web_views_of(joined: DataFrame, landing: Column, chunk_rows: int) -> DataFrame:
+    """Pages of every client as ordered chunks, from visits that satisfy ``landing`` only."""
+    rows = joined.select(_v("clientID").alias("client_id"), _h("pageViewID").alias("view_id"), landing.alias("__landing"))
+    return collect_if(rows, ["client_id"], "view_id", F.col("__landing") & F.col("view_id").isNotNull(), ["view_id"], chunk_rows)
+
+
+def web_users_if(joined: DataFrame, landing: Column) -> DataFrame:
+    """Per day: all clients, and about how many of them came by visits that satisfy ``landing``."""
+    return joined.groupBy(_day()).agg(
+        F.countDistinct(_v("clientID")).alias("clients"), uniq_if(_v("clientID"), landing).alias("landed")
+    )
+
+
 def web_marts(visits: DataFrame, hits: DataFrame, grain: str = "visit") -> dict[str, DataFrame]:
     """All seven marts by name; visits and hits are joined and stored once for all of them."""
     joined = materialise(join_hits(visits, hits), "visits-hits")

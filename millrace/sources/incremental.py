@@ -2,64 +2,68 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.sets import without_keys
+from ..session import materialise
 from .readers import list_files
 from .writers import replace_partitions
 
 
 def existing(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None only when there is no such path; other errors are raised."""
+    """The table at ``path``, or None when there is no such path or no data file in it; other errors are raised."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
-def newest_partition(table: DataFrame, day: str) -> DataFrame:
-    """Rows of the newest day of a table partitioned by ``day``.
-
-    The day is found from partition values alone and is a literal, so one partition is scanned.
-    """
-    top = table.agg(F.max(day).cast("string")).first()[0]
-    return table.limit(0) if top is None else table.where(F.col(day) == F.lit(top).cast("date"))
+def newest_day(spark: SparkSession, path: str, day: str) -> str | None:
+    """The newest day of a table partitioned by ``day``, from folder names; no file is opened."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return None
+    names = [s.getPath().getName().partition("=") for s in fs.listStatus(root) if s.isDirectory()]
+    return max((value for key, _, value in names if key == day and value[:1].isdigit()), default=None)
 
 
-def past_mark(source: DataFrame, target: DataFrame | None, ts: str, keys, day: str | None = None) -> DataFrame:
+def past_mark(source: DataFrame, target: DataFrame | None, ts: str, keys, day: str | None = None, newest: str | None = None) -> DataFrame:
     """Source rows the target does not hold yet, judged by the target's highest ``ts``.
 
-    With ``day``, the date of ``ts`` by which the target is partitioned, only the target's
-    newest partition is read.
+    With ``day``, the date of ``ts`` by which the target is partitioned, and ``newest``, its newest
+    day, only that partition and the one without a day are read.
 
-    The mark is a literal, so the filter reaches the source scan. Rows with exactly that time
-    are taken unless their key is already there.
+    The mark is a literal, so the filter reaches the source scan. Rows with exactly that time, and
+    rows without a time, are taken unless their key is already there, in every load.
     """
     if target is None:
         return source
-    if day is not None:
-        target = newest_partition(target, day)
     kind = source.schema[ts].dataType.simpleString()
-    mark = target.agg(F.max(ts).cast("string")).first()[0]
+    last = target.where(F.col(day) == F.lit(newest).cast("date")) if day and newest else target
+    undated = target.where(F.col(day).isNull()) if day else target.where(F.col(ts).isNull())
+    mark = last.agg(F.max(ts).cast("string")).first()[0]
+    none = without_keys(source.where(F.col(ts).isNull()), undated, keys)
     if mark is None:
-        return source
+        return source.where(F.col(ts).isNotNull()).unionByName(none)
     edge = F.lit(mark).cast(kind)
-    at_edge = target.where(F.col(ts) == edge).select(*keys)
-    return source.where(F.col(ts) >= edge).join(at_edge, list(keys), "left_anti")
+    return without_keys(source.where(F.col(ts) >= edge), last.where(F.col(ts) == edge), keys).unionByName(none)
 
 
 def load_past_mark(source: DataFrame, path: str, ts: str, keys, day: str = "event_date") -> DataFrame:
     """Append the new rows to a table partitioned by day; returns the whole table."""
     spark = source.sparkSession
-    new = past_mark(source, existing(spark, path), ts, keys, day)
+    new = past_mark(source, existing(spark, path), ts, keys, day, newest_day(spark, path, day))
     rows = new.withColumn(day, F.to_date(ts))
     rows.hint("rebalance", F.col(day)).write.mode("append").partitionBy(day).parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
 def file_mark(spark: SparkSession, state: str, source: str) -> str | None:
@@ -71,22 +75,34 @@ def file_mark(spark: SparkSession, state: str, source: str) -> str | None:
 
 
 def load_new_files(
-    spark: SparkSession, folder: str, state: str, source: str, process: Callable[[list[str]], None], ext: str = ".parquet"
+    spark: SparkSession,
+    folder: str,
+    state: str,
+    source: str,
+    process: Callable[[list[str]], None],
+    ext: str = ".parquet",
+    group: int = 10_000,
 ) -> int:
-    """Process files modified after the stored mark; the mark moves only after success.
+    """Process files modified since the stored mark, oldest first, at most ``group`` at a time.
 
-    The new mark is the newest modification time among the processed files, not the clock.
+    The mark moves after each group. It is the newest modification time processed, not the clock,
+    and the files of just that time are stored with it: others of the same time are still new.
     """
-    files = list_files(spark, folder, since=file_mark(spark, state, source), ext=ext).orderBy("modified", "path")
-    found = files.select("path", F.col("modified").cast("string").alias("modified")).collect()
-    if not found:
-        return 0
-    process([f.path for f in found])
-    mark = spark.range(1).select(
-        F.lit(source).alias("source"), F.lit(max(f.modified for f in found)).cast("timestamp").alias("max_modified")
-    )
-    mark.write.mode("append").parquet(state)
-    return len(found)
+    mark = file_mark(spark, state, source)
+    files = list_files(spark, folder, since=mark, ext=ext, at_since=True)
+    if mark is not None:
+        seen = spark.read.parquet(state).where((F.col("source") == source) & (F.col("max_modified") == F.lit(mark).cast("timestamp")))
+        files = files.join(seen.select("path"), "path", "left_anti")
+    found = materialise(files.select("path", "modified"), "files").orderBy("modified", "path").toLocalIterator()
+    done = 0
+    for rows in iter(lambda: list(itertools.islice(found, group)), []):
+        process([f.path for f in rows])
+        top = max(f.modified for f in rows)
+        last = [(source, f.modified, f.path) for f in rows if f.modified == top]
+        marks = spark.createDataFrame(last, "source string, max_modified timestamp, path string")
+        marks.coalesce(1).write.mode("append").parquet(state)
+        done += len(rows)
+    return done
 
 
 def backfill(source: DataFrame, path: str, ts: str, first: str, last: str, day: str = "day") -> None:

@@ -58,10 +58,12 @@ def list_files(
     contains: str | None = None,
     ext: str | None = None,
     skip: str | None = None,
+    at_since: bool = False,
 ) -> DataFrame:
     """Files below ``folder`` as (path, name, size, modified), without reading their content.
 
-    ``since`` keeps files modified strictly later, compared to the millisecond.
+    ``since`` keeps files modified strictly later, compared to the millisecond, or with
+    ``at_since`` those modified at that time too.
     """
     found = (
         spark.read.format("binaryFile")
@@ -76,7 +78,8 @@ def list_files(
         )
     )
     if since is not None:
-        found = found.where(F.unix_millis("modified") > F.unix_millis(F.lit(since).cast("timestamp")))
+        own, mark = F.unix_millis("modified"), F.unix_millis(F.lit(since).cast("timestamp"))
+        found = found.where(own >= mark if at_since else own > mark)
     if contains:
         found = found.where(F.contains("path", F.lit(contains)))
     if skip:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sets import delete_insert, upsert
+from ..session import materialise
 from .readers import jdbc_options, list_files, read_jdbc_table
 
 
@@ -62,35 +63,59 @@ def write_daily(df: DataFrame, path: str, ts: str, day: str = "day") -> None:
     replace_partitions(df.withColumn(day, F.to_date(ts)), path, day)
 
 
-def _folders(spark: SparkSession, path: str, complete: bool) -> list[str]:
+def _folders(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and path of every version folder, by number."""
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return []
-    found = [s.getPath() for s in fs.listStatus(root)]
-    if complete:
-        found = [p for p in found if fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    return sorted(p.toString() for p in found)
+    found = [(s.getPath().getName(), s.getPath().toString()) for s in fs.listStatus(root)]
+    return sorted((int(name[2:]), where) for name, where in found if name.startswith("v=") and name[2:].isdigit())
+
+
+def _is_complete(spark: SparkSession, folder: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
+    return mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark)
 
 
 def list_versions(spark: SparkSession, path: str) -> list[str]:
     """Complete version folders of a versioned table, oldest first."""
-    return _folders(spark, path, complete=True)
+    return [folder for _, folder in _folders(spark, path) if _is_complete(spark, folder)]
+
+
+def newest_version(spark: SparkSession, path: str) -> str | None:
+    """The newest complete version; older ones are not asked for."""
+    return next((folder for _, folder in reversed(_folders(spark, path)) if _is_complete(spark, folder)), None)
 
 
 def _add_version(df: DataFrame, path: str) -> str:
     """A table cannot be overwritten while it is read, so versions are written side by side."""
-    taken = _folders(df.sparkSession, path, complete=False)
-    number = int(taken[-1].rsplit("=", 1)[1]) + 1 if taken else 1
-    version = f"{path}/v={number:06d}"
+    taken = _folders(df.sparkSession, path)
+    version = f"{path}/v={taken[-1][0] + 1 if taken else 1:06d}"
     df.write.mode("errorifexists").parquet(version)
     return version
 
 
+def keep_versions(spark: SparkSession, path: str, last: int) -> list[str]:
+    """Remove all but the ``last`` complete versions; returns what was removed.
+
+    Readers of a removed version fail, so ``last`` must cover the longest-running one.
+    """
+    if last < 1:
+        raise ValueError("at least one version must stay")
+    jvm = spark.sparkContext._jvm
+    gone = list_versions(spark, path)[:-last]
+    for folder in gone:
+        where = jvm.org.apache.hadoop.fs.Path(folder)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    return gone
+
+
 def read_version(spark: SparkSession, path: str) -> DataFrame:
     """The newest complete version of a versioned table."""
-    return spark.read.parquet(list_versions(spark, path)[-1])
+    return spark.read.parquet(newest_version(spark, path))
 
 
 def full_refresh(df: DataFrame, path: str) -> str:
@@ -101,7 +126,7 @@ def full_refresh(df: DataFrame, path: str) -> str:
 def delete_insert_by_key(stage: DataFrame, path: str, keys) -> str:
     """Remove the staged keys from the table, then add the staged rows; as a new version."""
     spark = stage.sparkSession
-    if not list_versions(spark, path):
+    if newest_version(spark, path) is None:
         return full_refresh(stage, path)
     return _add_version(delete_insert(read_version(spark, path), stage, keys), path)
 
@@ -109,11 +134,30 @@ def delete_insert_by_key(stage: DataFrame, path: str, keys) -> str:
 def upsert_by_key(changes: DataFrame, path: str, keys, seq: str | None = None) -> str:
     """Insert rows with new keys and replace rows with known ones; as a new version."""
     spark = changes.sparkSession
-    if not list_versions(spark, path):
+    if newest_version(spark, path) is None:
         return full_refresh(upsert(changes.limit(0), changes, keys, seq), path)
     return _add_version(upsert(read_version(spark, path), changes, keys, seq), path)
 
 
+def upsert_buckets(changes: DataFrame, path: str, keys, buckets: int, seq: str | None = None, bucket: str = "bucket") -> None:
+    """Upsert into a table partitioned by a hash bucket of the key; only touched buckets are rewritten.
+
+    The rows of touched buckets are written aside first, because a folder cannot be replaced
+    while it is read. The number of buckets must stay that of the first call.
+    """
+    spark = changes.sparkSession
+    place = F.pmod(F.xxhash64(*[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys]), F.lit(buckets)).cast("int")
+    new = changes.withColumn(bucket, place)
+    touched = [r[0] for r in new.select(bucket).distinct().collect()]  # at most ``buckets``
+    if not touched:
+        return
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    known = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root)
+    old = spark.read.schema(new.schema).parquet(path).where(F.col(bucket).isin(touched)) if known else new.limit(0)
+    merged = materialise(upsert(old, new, [*keys, bucket], seq).select(*new.columns), "upsert")
+    replace_partitions(merged, path, bucket)
+
+
 def write_jdbc(
     df: DataFrame, url: str, table: str, mode: str = "append", batch: int = 50_000, writers: int = 8, truncate: bool = False, **more
 ) -> None:
@@ -130,6 +174,11 @@ def copy_jdbc(spark: SparkSession, source: dict, target: dict) -> None:
     write_jdbc(read_jdbc_table(spark, **source), **target)
 
 
+def bucket_count(held: int, per_bucket: int = 256 << 20, least: int = 1) -> int:
+    """Buckets for ``held`` bytes; a power of two, so that tables of several sizes still match."""
+    return 1 << max(least - 1, -(-held // per_bucket) - 1, 0).bit_length()
+
+
 def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
     """Write hash buckets of ``key``, sorted, so that joins on the key need no shuffle."""
     (

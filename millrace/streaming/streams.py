@@ -139,10 +139,22 @@ def json_trades(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def _readable(text: Column) -> Column:
+    return F.json_object_keys(text).isNotNull()
+
+
+def unreadable(df: DataFrame, value: str = "value") -> DataFrame:
+    """Rows whose text is no JSON object."""
+    return df.where(~_readable(F.col(value).cast("string")))
+
+
 def route_images(df: DataFrame, value: str = "value") -> DataFrame:
-    """Raw ``before`` and ``after`` documents of each envelope, ready to be published again."""
+    """Raw ``before`` and ``after`` documents of each envelope, ready to be published again.
+
+    Text that is no JSON object is not published; ``unreadable`` gives those rows, to be counted.
+    """
     text = F.col(value).cast("string")
-    return df.select(
+    return df.where(_readable(text)).select(
         F.to_json(
             F.struct(
                 F.get_json_object(text, "$.before").alias("before"),

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from millrace.catalog import QUERIES
 from millrace.operators.asof import asof_join
 from millrace.operators.intervals import interval_join
 from millrace.operators.joins import broadcast_if_measured, broadcast_if_small
@@ -15,9 +15,9 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cartesian_and_no_python(spark, name):
-    text = plan(queries()[name](spark, SF))
+    text = plan(QUERIES[name](spark, SF))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "InPandas"):
         assert node not in text, node
 
@@ -25,7 +25,7 @@ def test_no_cartesian_and_no_python(spark, name):
 def test_filters_and_columns_reach_the_scan(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
     try:
-        text = plan(queries()["filter_between"](spark, SF))
+        text = plan(QUERIES["filter_between"](spark, SF))
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(o_orderdate" in text and "LessThanOrEqual(o_totalprice" in text
@@ -35,7 +35,7 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_bucketed_join_does_not_shuffle_its_sides(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(queries()["join_colocated"](spark, SF))
+        text = plan(QUERIES["join_colocated"](spark, SF))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in text
@@ -69,5 +69,5 @@ def test_broadcast_limits(spark, events):
 
 
 def test_latest_row_is_combined_before_the_shuffle(spark):
-    text = plan(queries()["read_replacing"](spark, SF))
+    text = plan(QUERIES["read_replacing"](spark, SF))
     assert "partial_max_by" in text and "Window" not in text

@@ -53,8 +53,8 @@ def test_numbering_by_key_on_both_ways(table, data):
     for members in groups.values():
         for n, (_, i) in enumerate(sorted(members), start=1):
             expected[i] = n
-    for limit in (10, 10_000):
-        got = number_rows(table, ["t", "id"], ["k"], "n", window_rows=limit)
+    for small in (False, True):
+        got = number_rows(table, ["t", "id"], ["k"], "n", small_keys=small)
         assert {r.id: r.n for r in got.collect()} == expected
 
 
