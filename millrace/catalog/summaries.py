@@ -9,6 +9,7 @@ from ..operators.aggregates import (
     any_if,
     avg_if,
     collect_groups,
+    collect_if,
     count_distinct_if,
     day_dimensions,
     exact_avg,
@@ -17,6 +18,7 @@ from ..operators.aggregates import (
     partition_counts,
     share_of,
     sum_if,
+    uniq_if,
 )
 from ..operators.ordering import (
     Key,
@@ -109,6 +111,28 @@ def agg_approx_distinct(load, spark):
     return estimates.join(exact, "l_returnflag").select("l_returnflag", near.alias("within_bound"))
 
 
+@query("agg_uniq_if", "SELECT l_returnflag, true AS within_bound FROM lineitem GROUP BY l_returnflag")
+def agg_uniq_if(load, spark):
+    """Estimated against exact distinct orders among lines of more than 25 pieces."""
+    wanted = F.col("l_quantity") > 25
+    by_flag = load("lineitem").groupBy("l_returnflag")
+    estimates = by_flag.agg(uniq_if(F.col("l_orderkey"), wanted).alias("estimate"))
+    exact = by_flag.agg(count_distinct_if(F.col("l_orderkey"), wanted).alias("n"))
+    near = F.abs(F.col("estimate") - F.col("n")) <= 0.08 * F.col("n")
+    return estimates.join(exact, "l_returnflag").select("l_returnflag", near.alias("within_bound"))
+
+
+@query(
+    "agg_collect_if",
+    "WITH n AS (SELECT o_custkey, o_orderkey, (row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1) // 5 AS chunk FROM orders WHERE o_orderstatus = 'F') "
+    "SELECT o_custkey, coalesce(chunk, 0) AS chunk, coalesce(orders, '') AS orders FROM (SELECT DISTINCT o_custkey FROM orders) "
+    "LEFT JOIN (SELECT o_custkey, chunk, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_orderkey) AS orders FROM n GROUP BY ALL) USING (o_custkey)",
+)
+def agg_collect_if(load, spark):
+    lists = collect_if(load("orders"), ["o_custkey"], "o_orderkey", F.col("o_orderstatus") == "F", ["o_orderkey"], chunk_rows=5)
+    return lists.select("o_custkey", "chunk", F.array_join(F.col("items").cast("array<string>"), ",").alias("orders"))
+
+
 @query(
     "agg_if",
     f"SELECT user_id % 10 AS grp, {money('CASE WHEN event_id % 2 = 0 THEN value END')} AS even_sum, "

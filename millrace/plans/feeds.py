@@ -9,7 +9,7 @@ from ..functions.casts import cast_or_zero
 from ..functions.nested import pairs_to_columns
 from ..functions.texts import blank_to_null, joined_or_null
 from ..functions.times import SECOND, floor_div, floor_ts, to_micros
-from ..operators.aggregates import avg_if, count_distinct_if
+from ..operators.aggregates import avg_if, collect_if, count_distinct_if
 from ..operators.intervals import interval_join
 
 
@@ -36,6 +36,11 @@ def page_view_answers(views: DataFrame) -> DataFrame:
     )
 
 
+def pages_on(views: DataFrame, device: str, order, chunk_rows: int) -> DataFrame:
+    """Pages every user saw on a device as ordered chunks; users without any have an empty chunk 0."""
+    return collect_if(views, ["user_id"], "page", F.col("device") == device, order, chunk_rows)
+
+
 def users_per_device(views: DataFrame) -> DataFrame:
     return views.groupBy("device").agg(F.countDistinct("user_id").alias("users"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from .sources.writers import replace_partitions
+
 
 def reconcile(source: DataFrame, target: DataFrame, by: str) -> DataFrame:
     """Rows of both sides per value of ``by`` and whether they agree; one pass over each."""
@@ -30,6 +32,23 @@ def is_empty(df: DataFrame) -> bool:
     return df.isEmpty()
 
 
+def _log(spark, mart: str, load_date: str, rows: int, as_of, log: str) -> None:
+    line = spark.range(1).select(
+        F.lit(mart).alias("mart"),
+        F.lit(load_date).alias("load_date"),
+        F.lit(rows).cast("bigint").alias("rows"),
+        F.lit(as_of).alias("created_at"),
+    )
+    line.write.mode("append").parquet(log)
+
+
+def replace_logged(df: DataFrame, mart: str, load_date: str, as_of, target: str, log: str, *by: str) -> None:
+    """Like ``write_logged``, but only the partitions of ``by`` that ``df`` holds are replaced."""
+    seen = Observation("load")
+    replace_partitions(df.observe(seen, F.count(F.lit(1)).alias("rows")), target, *by)
+    _log(df.sparkSession, mart, load_date, seen.get["rows"], as_of, log)
+
+
 def write_logged(df: DataFrame, mart: str, load_date: str, as_of, target: str, log: str) -> None:
     """Write a mart and append (mart, date, rows, created_at) to the load log.
 
@@ -37,11 +56,4 @@ def write_logged(df: DataFrame, mart: str, load_date: str, as_of, target: str, l
     """
     seen = Observation("load")
     df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(target)
-    spark = df.sparkSession
-    line = spark.range(1).select(
-        F.lit(mart).alias("mart"),
-        F.lit(load_date).alias("load_date"),
-        F.lit(seen.get["rows"]).cast("bigint").alias("rows"),
-        F.lit(as_of).alias("created_at"),
-    )
-    line.write.mode("append").parquet(log)
+    _log(df.sparkSession, mart, load_date, seen.get["rows"], as_of, log)

@@ -51,6 +51,12 @@ def read_manifest(spark: SparkSession, manifest: str, schema: T.StructType | Non
     return read_parquet(spark, *manifest_paths(spark, manifest), schema=schema)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table at ``path``, by its folder; no file is opened."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(root)
+
+
 def list_files(
     spark: SparkSession,
     folder: str,
