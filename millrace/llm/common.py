@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,8 +19,20 @@ BATCH_ROWS = 1024
 BROADCAST_BYTES = 32 << 20
 
 
+# The folder that holds this package, for workers that were not started in it.
+_ROOT = str(Path(__file__).resolve().parents[2])
+
+
 def bounded_batches(spark: SparkSession) -> None:
-    """Limit the rows of an Arrow batch; text tasks hold one batch at a time."""
+    """Limit the rows of an Arrow batch; text tasks hold one batch at a time.
+
+    Python workers also get this package's folder on their path, as the driver may have it only
+    on its own. On a cluster without that folder the package has to be installed or sent along.
+    """
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
         spark.conf.set(key, BATCH_ROWS)

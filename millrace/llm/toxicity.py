@@ -4,15 +4,16 @@ Two models of a word's letters, one per class, give the probability of each lett
 ``CONTEXT`` letters before it, with the word's start and end as letters. Each class interpolates
 its own discounted counts with one shared model of shorter contexts, made of continuation counts
 pooled over both classes, so an expression that a class has rarely seen falls back to the same
-figure on both sides. A word's evidence is the difference of its log-likelihoods; a document is
-compared per letter, over its whole length and over its most suspicious window of words.
+figure on both sides. A word's evidence is the difference of its log-likelihoods. A document is
+compared per letter, over its whole length and over its most suspicious window of words, and by
+its ``STRONGEST`` different words with the most evidence, as one word may be enough.
 
 Only differences that the counts support stay in the model (likelihood-ratio statistic, see
 ``EVIDENCE``); all other letters cost the same in both classes. Counts come from every distinct
 labelled training text. The model is used in blocks of a bounded number of entries, each
-broadcast for one pass; evidence of several blocks adds up per window.
+broadcast for one pass; evidence of several blocks adds up per word.
 
-The two figures of a document are turned into a score by a logistic curve, fitted on at most
+These figures of a document are turned into a score by a logistic curve, fitted on at most
 ``CALIBRATION_ROWS`` labelled documents (the lowest hashes) that did not train the models.
 
 Defined cases: NULL and empty texts, and texts without letters, have no evidence and get the
@@ -24,6 +25,7 @@ Extra columns of the input stay; result columns replace those of the same name.
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 import uuid
@@ -44,17 +46,18 @@ from .pieces import Recent
 CONTEXT = 5
 SHARED_CONTEXT = 2
 DISCOUNT = 0.75
-# Least likelihood-ratio statistic of an entry (1 degree of freedom, p < 0.0001).
-EVIDENCE = 15.1
+# Least likelihood-ratio statistic of an entry (1 degree of freedom, p < 0.005).
+EVIDENCE = 8.0
 STRIDE = 12  # a window is two strides of words
+STRONGEST = 3
 BLOCK_ENTRIES = 200_000
 CALIBRATION_ROWS = 20_000
 FOLDS = 5
 
 _WORD = re.compile(r"[^\W\d_]+")
 _START, _END = "<", ">"
-_CACHE = 150_000
-_FLUSH = 200_000
+_CACHE = 50_000
+_FLUSH = 100_000
 
 
 def fold(doc_id: str = "doc_id") -> Column:
@@ -128,10 +131,10 @@ def model_entries(counts: DataFrame) -> DataFrame:
     follow = c.groupBy("near", "letter").agg(F.count("*").alias("cont"))
     after = follow.groupBy("near").agg(F.sum("cont").alias("cont_all"), F.count("*").alias("cont_kinds"))
     single = follow.groupBy("letter").agg(F.sum("cont").alias("one"))
-    every = single.agg(F.sum("one").alias("all"), F.count("*").alias("kinds"))
+    every = single.agg(F.sum("one").alias("all"), F.count("*").alias("kinds")).first()
     d = F.lit(DISCOUNT)
-    shared = follow.join(after, "near").join(single, "letter").crossJoin(F.broadcast(every))  # one row
-    low = (F.col("one") + 0.5) / (F.col("all") + 0.5 * F.col("kinds"))
+    shared = follow.join(after, "near").join(single, "letter")
+    low = (F.col("one") + 0.5) / F.lit((every["all"] or 0) + 0.5 * every["kinds"])
     p = (F.col("cont") - d) / F.col("cont_all") + d * F.col("cont_kinds") / F.col("cont_all") * low
     shared = shared.select("near", "letter", p.alias("shared"))
 
@@ -153,9 +156,9 @@ def model_entries(counts: DataFrame) -> DataFrame:
 
 
 def word_evidence(entries: dict[str, float]) -> Recent:
-    """Evidence and letters per word."""
+    """Evidence per word."""
     get = entries.get
-    return Recent(lambda word: (sum(get(e, 0.0) for e in entries_of(word)), len(word) + 1), _CACHE)
+    return Recent(lambda word: sum(get(e, 0.0) for e in entries_of(word)), _CACHE)
 
 
 _EVIDENCE: dict[str, Recent] = {}
@@ -170,23 +173,19 @@ def _evidence(name: str, shared) -> Recent:
     return _EVIDENCE[name]
 
 
-def strides(words: list[str], lookup) -> tuple[np.ndarray, np.ndarray]:
-    """Evidence and letters summed per stride of words."""
-    if not words:
-        return np.zeros(0), np.zeros(0)
-    both = np.array([lookup(w) for w in words])
-    return tuple(np.add.reduceat(both, np.arange(0, len(words), STRIDE), axis=0).T)
+FIGURES = ("whole", "window", *(f"word{i}" for i in range(1, STRONGEST + 1)))
 
 
-def compared(evidence: np.ndarray, letters: np.ndarray) -> tuple[float, float]:
-    """Evidence per letter of the whole text, and of its window with the most."""
-    if not len(letters):
-        return 0.0, 0.0
-    if len(letters) == 1:
-        best = evidence[0] / letters[0]
-    else:
-        best = ((evidence[1:] + evidence[:-1]) / (letters[1:] + letters[:-1])).max()
-    return float(evidence.sum() / letters.sum()), float(best)
+def compared(words: list[str], evidence: np.ndarray) -> tuple[float, ...]:
+    """``FIGURES``: evidence per letter of the text and of its best window, and that of its strongest words."""
+    if not words:
+        return (0.0,) * len(FIGURES)
+    letters = np.fromiter(map(len, words), np.float64, len(words)) + 1
+    at = np.arange(0, len(words), STRIDE)
+    e, n = np.add.reduceat(evidence, at), np.add.reduceat(letters, at)
+    best = e[0] / n[0] if len(at) == 1 else ((e[1:] + e[:-1]) / (n[1:] + n[:-1])).max()
+    strong = heapq.nlargest(STRONGEST, dict(zip(words, evidence.tolist(), strict=True)).values())
+    return (float(e.sum() / n.sum()), float(best), *strong, *(0.0,) * (STRONGEST - len(strong)))
 
 
 @dataclass(frozen=True)
@@ -210,48 +209,47 @@ def load_blocks(entries: DataFrame, block_entries: int = BLOCK_ENTRIES) -> Block
 
 
 def with_comparison(docs: DataFrame, blocks: Blocks) -> DataFrame:
-    """``docs`` with ``__whole`` and ``__window``, the compared log-likelihoods per letter."""
+    """``docs`` with ``__c``, a struct of ``FIGURES``."""
     bounded_batches(docs.sparkSession)
+    kind = "struct<" + ",".join(f"{f}:double" for f in FIGURES) + ">"
 
-    @arrow_udf("struct<whole:double,window:double>")
-    def finish(lists: pa.Array, letters: pa.Array) -> pa.Array:
-        pairs = [
-            compared(np.array(e or [], float), np.array(n or [], float))
-            for e, n in zip(lists.to_pylist(), letters.to_pylist(), strict=True)
-        ]
-        return pa.StructArray.from_arrays([pa.array([p[i] for p in pairs], pa.float64()) for i in (0, 1)], ["whole", "window"])
+    def figures(found: list[tuple]) -> pa.Array:
+        return pa.StructArray.from_arrays([pa.array([f[i] for f in found], pa.float64()) for i in range(len(FIGURES))], list(FIGURES))
+
+    if len(blocks.shared) == 1:
+        name, shared = blocks.shared[0]
+
+        @arrow_udf(kind)
+        def at_once(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            lookup = _evidence(name, shared).__getitem__
+            for texts in batches:
+                found = []
+                for words in map(words_of, utf8(texts)):
+                    found.append(compared(words, np.fromiter(map(lookup, words), np.float64, len(words))))
+                yield figures(found)
+
+        return docs.withColumn("__c", at_once(F.col("text")))
 
     def summed(name, shared):
-        @arrow_udf("struct<evidence:array<double>,letters:array<double>>")
+        @arrow_udf("array<double>")
         def sums(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             lookup = _evidence(name, shared).__getitem__
             for texts in batches:
-                found = [strides(words_of(t), lookup) for t in utf8(texts)]
-                yield pa.StructArray.from_arrays(
-                    [pa.array([f[i] for f in found], pa.list_(pa.float64())) for i in (0, 1)], ["evidence", "letters"]
-                )
+                yield pa.array([list(map(lookup, words_of(t))) for t in utf8(texts)], pa.list_(pa.float64()))
 
         return sums
 
-    @arrow_udf("struct<whole:double,window:double>")
-    def at_once(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lookup = _evidence(*only).__getitem__
-        for texts in batches:
-            pairs = [compared(*strides(words_of(t), lookup)) for t in utf8(texts)]
-            yield pa.StructArray.from_arrays([pa.array([p[i] for p in pairs], pa.float64()) for i in (0, 1)], ["whole", "window"])
+    @arrow_udf(kind)
+    def finish(texts: pa.Array, evidence: pa.Array) -> pa.Array:
+        return figures([compared(words_of(t), np.array(e, float)) for t, e in zip(utf8(texts), evidence.to_pylist(), strict=True)])
 
-    if len(blocks.shared) == 1:
-        only = blocks.shared[0]
-        return docs.withColumn("__c", at_once(F.col("text"))).withColumns({"__whole": F.col("__c.whole"), "__window": F.col("__c.window")}).drop("__c")
-    parts, rest = docs, []
-    for i, (name, shared) in enumerate(blocks.shared):
-        parts = parts.withColumn(f"__s{i}", summed(name, shared)(F.col("text")))
-        rest.append(f"__s{i}")
-    evidence = F.col(f"{rest[0]}.evidence")
-    for s in rest[1:]:
-        evidence = F.zip_with(evidence, F.col(f"{s}.evidence"), lambda a, b: a + b)
-    done = parts.withColumn("__c", finish(evidence, F.col(f"{rest[0]}.letters")))
-    return done.withColumns({"__whole": F.col("__c.whole"), "__window": F.col("__c.window")}).drop("__c", *rest)
+    parts, names = docs, [f"__s{i}" for i in range(len(blocks.shared))]
+    for column, block in zip(names, blocks.shared, strict=True):
+        parts = parts.withColumn(column, summed(*block)(F.col("text")))
+    evidence = F.col(names[0])
+    for column in names[1:]:
+        evidence = F.zip_with(evidence, F.col(column), lambda a, b: a + b)
+    return parts.withColumn("__c", finish(F.col("text"), evidence)).drop(*names)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
@@ -267,9 +265,8 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int
     return w
 
 
-def _features(whole, window):
-    """Compared log-likelihoods on a scale on which small and large windows of evidence both count."""
-    return whole * 20, window * 20
+# Brings the figures to a like scale, so that the curve's fit is well conditioned.
+_SCALE = (20.0, 20.0, *(1 / 3,) * STRONGEST)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
@@ -291,16 +288,18 @@ def toxicity(docs: DataFrame, labels: DataFrame, block_entries: int = BLOCK_ENTR
     # A text that was copied trains once: per text hash, the lowest id stays.
     once = labelled.groupBy(F.xxhash64("text").alias("h")).agg(F.min("doc_id").alias("__id"), F.max("toxic").alias("toxic"))
     once = broadcast_if_counted(materialise(once.drop("h"), "train"), rows["n"], 32)
-    counts = letter_counts(texts.join(once, texts["doc_id"] == once["__id"]).select("text", "toxic"))
+    counts = materialise(letter_counts(texts.join(once, texts["doc_id"] == once["__id"]).select("text", "toxic")), "letters")
     blocks = load_blocks(model_entries(counts), block_entries)
 
     sample = known.where(F.col("fold") == FOLDS - 1).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
     sample = F.broadcast(sample.select(F.col("doc_id").alias("__id"), "toxic"))  # at most CALIBRATION_ROWS
-    seen = with_comparison(texts.join(sample, texts["doc_id"] == F.col("__id")), blocks).select("__whole", "__window", "toxic").limit(CALIBRATION_ROWS).collect()
-    x = np.array([_features(r["__whole"], r["__window"]) for r in seen]).reshape(-1, 2)
+    seen = with_comparison(texts.join(sample, texts["doc_id"] == F.col("__id")), blocks).select("__c", "toxic").limit(CALIBRATION_ROWS).collect()
+    x = np.array([r["__c"] for r in seen], float).reshape(-1, len(FIGURES)) * _SCALE
     y = np.array([r["toxic"] for r in seen], float)
-    a, b, c = (float(v) for v in fit_logistic(x, y))
-    whole, window = _features(F.col("__whole"), F.col("__window"))
-    score = 1 / (1 + F.exp(-(whole * a + window * b + F.lit(c))))
-    out = with_comparison(docs.select(*names), blocks).withColumns({"held_out": held, "score": score}).drop("__whole", "__window")
+    *weights, constant = (float(v) for v in fit_logistic(x, y))
+    total = F.lit(constant)
+    for figure, scale, weight in zip(FIGURES, _SCALE, weights, strict=True):
+        total = total + F.col(f"__c.{figure}") * (scale * weight)
+    score = 1 / (1 + F.exp(-total))
+    out = with_comparison(docs.select(*names), blocks).withColumns({"held_out": held, "score": score}).drop("__c")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
