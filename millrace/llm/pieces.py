@@ -1,17 +1,19 @@
 """Pre-tokens of a byte-level BPE with word ends, and their ids.
 
-Runs of text without ASCII white space are the unit of caching: such a tokenizer drops white
-space and merges nothing across it. A run of printable ASCII and Latin letters is cut by the
-tokenizer's own pattern; any other run, and any run that holds an added token, goes through the
-library whole, so that the result is the library's in every case.
+A text of printable ASCII and Latin letters is cut whole by the tokenizer's own pattern, and each
+pre-token is looked up or merged by the library's model. Any other text is taken apart at ASCII
+white space, which such a tokenizer drops and never merges across; runs that still hold other
+characters, or an added token, go through the library as they are. The result is the library's
+in every case.
 """
 
 from __future__ import annotations
 
 import json
+import re
+from collections.abc import Callable
 from pathlib import Path
 
-import regex
 from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
@@ -26,12 +28,14 @@ NORMALIZER = {
 }
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-_PIECES = regex.compile(PATTERN)
-_ASCII = regex.compile(rb"[!-~]*")
-# Printable Latin, whose letters and numbers are the same in all versions of Unicode.
-_LATIN = regex.compile("[!-~¡-¬®-ſ]*")
+# The pattern over the characters of _PLAIN, in lower case. Letters and numbers of this part of
+# Unicode are the same in all its versions.
+_LETTER = "a-zªµºß-öø-ÿĀ-ſ"
+_NUMBER = "0-9²³¹¼½¾"
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\\s{_LETTER}{_NUMBER}]+")
+_PLAIN = re.compile("[\t\n\r -~¡-¬®-ſ]*")
 # Entries of one generation of a cache; a worker's memory stays bounded.
-CACHE_ENTRIES = 250_000
+CACHE_ENTRIES = 100_000
 
 
 def byte_letters() -> dict[int, int]:
@@ -78,22 +82,30 @@ class Pieces:
             and pre[1:] == [{"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
             and not parts.get("post_processor")
         )
-        self.added = [t["content"].encode() for t in parts.get("added_tokens") or []]
+        self.added = [t["content"] for t in parts.get("added_tokens") or []]
         if any(not t or t.split() != [t] for t in self.added):
             self.known = False
         self.model = self.library.model
 
-    def cut(self, run: bytes) -> list[str] | None:
-        """The pre-tokens of a run, or None if only the library knows them."""
-        if any(t in run for t in self.added):
+    def cut(self, text: str) -> list[str] | None:
+        """The pre-tokens of a text, or None if only the library knows them."""
+        if not _PLAIN.fullmatch(text) or any(t in text for t in self.added):
             return None
-        if run.isascii():
-            return _PIECES.findall(run.decode().lower()) if _ASCII.fullmatch(run) else None
-        text = run.decode()
-        if not _LATIN.fullmatch(text):
-            return None
-        text = self.library.normalizer.normalize_str(text)
-        return _PIECES.findall(text) if _LATIN.fullmatch(text) else None
+        # Printable Latin is in NFC by itself; lower() may leave the range.
+        low = text.lower()
+        return _PIECES.findall(low) if low.isascii() or _PLAIN.fullmatch(low) else None
+
+    def spread(self, text: bytes, piece: Callable, other: Callable) -> list:
+        """``piece`` of every pre-token in order, and ``other`` of the ids of runs that only the library knows."""
+        whole = text.decode()
+        cut = self.cut(whole)
+        if cut is not None:
+            return list(map(piece, cut))
+        found = []
+        for run in text.split():
+            cut = self.cut(run.decode())
+            found += map(piece, cut) if cut is not None else [other(self.encode(run.decode()))]
+        return found
 
     def merge(self, piece: str) -> list[int]:
         """The ids of one pre-token by the model's merges."""
@@ -122,7 +134,7 @@ def whole_tokens(config: str) -> frozenset[str]:
             text = bytes(_BYTES[c] for c in letters).decode()
         except (KeyError, UnicodeDecodeError):
             continue
-        if pieces.cut(text.encode()) == [text] and pieces.encode(text) == [own]:
+        if pieces.cut(text) == [text] and pieces.encode(text) == [own]:
             proved.add(text)
     return frozenset(proved)
 

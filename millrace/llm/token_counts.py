@@ -1,8 +1,8 @@
 """Token counts with a shortcut for pre-tokens that are one token.
 
 The driver proves once which vocabulary strings encode alone as a single token. Tasks count
-pre-tokens found among them directly and run merges only for the rest. Every distinct run of
-text is looked at once per worker; caches are bounded.
+pre-tokens found among them directly and run merges only for the rest. What was merged is kept
+per worker, up to a bound.
 
 NULL and empty texts have 0 tokens and 0 bytes. Rows are independent: repeated rows, NULL ids
 and empty tables need no rule. Result columns replace input columns of the same name.
@@ -18,30 +18,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from .common import bounded_batches, utf8
-from .pieces import Pieces, Recent, load_config, loaded, share, whole_tokens
-
-
-def run_counts(pieces: Pieces, whole: frozenset[str]) -> Recent:
-    """Tokens per run of text: one for a pre-token that is a whole token, merges for the rest."""
-    merged = Recent(lambda piece: len(pieces.merge(piece)))
-
-    def count(run: bytes) -> int:
-        cut = pieces.cut(run)
-        if cut is None:
-            return len(pieces.encode(run.decode()))
-        return sum(1 if p in whole else merged[p] for p in cut)
-
-    return Recent(count)
+from .pieces import Recent, load_config, loaded, share, whole_tokens
 
 
 _COUNTS: dict[int, Recent] = {}
 
 
-def _counts(config: str, whole: frozenset[str]) -> Recent:
+def piece_counts(config: str, whole: frozenset[str]) -> Recent:
+    """Tokens per pre-token: one if it is a whole token, else those of its merges."""
     key = hash(config)
     if key not in _COUNTS:
+        merge = loaded(config).merge
         _COUNTS.clear()
-        _COUNTS[key] = run_counts(loaded(config), whole)
+        _COUNTS[key] = Recent(lambda piece: 1 if piece in whole else len(merge(piece)))
     return _COUNTS[key]
 
 
@@ -60,9 +49,9 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int, text: str = "text"
         config, whole = shared.value
         pieces = loaded(config)
         if pieces.known:
-            count = _counts(config, whole).__getitem__
+            count = piece_counts(config, whole).__getitem__
             for texts in batches:
-                yield pa.array([sum(map(count, t.split())) for t in utf8(texts)], pa.int64())
+                yield pa.array([sum(pieces.spread(t, count, len)) for t in utf8(texts)], pa.int64())
         else:
             for texts in batches:
                 yield pa.array([len(pieces.encode(t.decode())) for t in utf8(texts)], pa.int64())

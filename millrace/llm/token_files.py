@@ -20,6 +20,7 @@ gives an empty file table. Further columns of the input are ignored.
 from __future__ import annotations
 
 import struct
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import batch, map_batches, utf8
-from .pieces import Pieces, Recent, load_config, loaded, share
+from .pieces import Recent, load_config, loaded, share
 
 BLOCK = 4096
 # A segment is closed once it holds so many ids; one document is never split over segments.
@@ -115,20 +116,7 @@ def decode_blocks(payload: bytes, starts: list[int]) -> np.ndarray:
     return np.concatenate([decode_block(payload, s) for s in starts]) if starts else np.empty(0, np.uint32)
 
 
-def run_ids(pieces: Pieces, kind: str) -> Recent:
-    """Little-endian ids per run of text."""
-    merged = Recent(lambda piece: np.array(pieces.merge(piece), kind).tobytes())
-
-    def ids(run: bytes) -> bytes:
-        cut = pieces.cut(run)
-        if cut is None:
-            return np.array(pieces.encode(run.decode()), kind).tobytes()
-        return b"".join(map(merged.__getitem__, cut))
-
-    return Recent(ids)
-
-
-_RUNS: dict[int, tuple[str, Recent]] = {}
+_MERGED: dict[int, Recent] = {}
 
 
 def _encoder(config: str, end_id: int):
@@ -138,15 +126,19 @@ def _encoder(config: str, end_id: int):
         return lambda text: np.array([*pieces.encode(text.decode()), end_id], np.uint32)
     key = hash(config)
     small = max(pieces.library.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16
-    if key not in _RUNS:
-        _RUNS.clear()
-        kind = "<u2" if small else "<u4"
-        _RUNS[key] = kind, run_ids(pieces, kind)
-    kind, runs = _RUNS[key]
-    end = np.array([end_id], kind).tobytes()
+    code, kind = ("H", np.uint16) if small else ("I", np.uint32)
+
+    def packed(ids: list[int]) -> bytes:
+        return array(code, ids).tobytes()
+
+    if key not in _MERGED:
+        _MERGED.clear()
+        _MERGED[key] = Recent(lambda piece: packed(pieces.merge(piece)))
+    found = _MERGED[key].__getitem__
+    end = packed([end_id])
 
     def encode(text: bytes) -> np.ndarray:
-        return np.frombuffer(b"".join([*map(runs.__getitem__, text.split()), end]), kind).astype(np.uint32)
+        return np.frombuffer(b"".join([*pieces.spread(text, found, packed), end]), kind).astype(np.uint32)
 
     return encode
 

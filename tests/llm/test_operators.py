@@ -95,12 +95,17 @@ def test_whole_tokens_are_proved():
 
 def test_pieces_equal_the_library():
     pieces, rng = Pieces(load_config(PATH)), random.Random(1)
-    alphabet = "abcXYZ019'’.,-_!#é È ß ſ İ Σ ς ª ² ¼ ﬁ́ ­İ" + "<|endoftext|>"
-    for _ in range(3000):
-        run = "".join(rng.choices(alphabet.replace(" ", ""), k=rng.randint(1, 9)))
-        cut = pieces.cut(run.encode())
-        if cut is not None:
-            assert [i for p in cut for i in pieces.merge(p)] == pieces.encode(run), run
+    alphabet = list("abcXYZ019'’.,-_!#é È ß ſ İ Σ ς ª ² ¼ ﬁ́ ­İŉµŸ\n\t\x0b\x1c\x85 ") + ["<|endoftext|>", "'s", "'LL"]
+    cut = 0
+    for _ in range(6000):
+        text = "".join(rng.choices(alphabet[: rng.choice([14, 40, len(alphabet)])], k=rng.randint(1, 9)))
+        cut += pieces.cut(text) is not None
+        got = pieces.spread(text.encode(), pieces.merge, list)
+        assert [i for ids in got for i in ids] == pieces.encode(text), repr(text)
+    assert cut > 1000
+    for c in map(chr, range(0x180)):
+        got = pieces.spread(f"a{c}b{c.upper()}".encode(), pieces.merge, list)
+        assert [i for ids in got for i in ids] == pieces.encode(f"a{c}b{c.upper()}"), repr(c)
 
 
 def test_token_counts(docs, rows, empty):
