@@ -26,9 +26,10 @@ from ..session import materialise
 from .common import broadcast_if_counted, row_key
 
 WINDOW = 10
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-# The same runs before A-Z are lower-cased.
-RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# What stands between words, once A-Z are lower-cased and before. Cutting there takes less than
+# half the time of matching the words.
+GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+RAW_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -36,7 +37,12 @@ def words(text: str = "text") -> Column:
     c = F.coalesce(F.col(text).cast("string"), F.lit(""))
     # lower() is much faster and does the same for pure ASCII.
     low = F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.translate(c, _UPPER, _LOWER))
-    return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(low, GAP, -1), "")
+
+
+def n_words(text: str = "text") -> Column:
+    c = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return F.size(F.array_remove(F.split(c, RAW_GAP, -1), "")).cast("long")
 
 
 def item_windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -103,8 +109,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     )
     own = ("n_words", "n_hit", "n_items", "item_ids", "contaminated")
     names = [c for c in docs.columns if c not in own]
-    n_words = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(RAW_WORD)), F.lit(0)).cast("long")
-    keyed = docs.select(F.struct(*names).alias("given"), F.col("doc_id").alias("doc"), row_key().alias("row"), n_words.alias("n_words"))
+    keyed = docs.select(F.struct(*names).alias("given"), F.col("doc_id").alias("doc"), row_key().alias("row"), n_words().alias("n_words"))
     joined = keyed.join(result, F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("row") == F.col("__row")), "left")
     items = F.coalesce("item_ids", F.array().cast("array<string>"))
     return joined.select(

@@ -33,11 +33,11 @@ MAX_REPEATS = 3
 BLOCK_WORDS = 512
 # Documents or slots per bucket of a running sum.
 BUCKET_ROWS = 4096
-WORD = r"[^\x20\x09-\x0D]+"
+SPACE = r"[\x20\x09-\x0D]+"
 
 
 def n_words(text: str = "text") -> Column:
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+    return F.size(F.array_remove(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), SPACE, -1), "")).cast("long")
 
 
 def source_targets(sized: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
