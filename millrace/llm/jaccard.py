@@ -2,19 +2,22 @@
 
 A document's set holds its distinct five-word shingles. Equal sets are one class, and only classes
 are compared. Two alike sets must share one of the first elements of both, in any order common to
-all sets (a set of n needs n - ceil(0.8 n) + 1 of them); elements in many documents come last.
-Classes that share such an element, directly or through others, form a cluster; clusters are
-found on ids alone, by connected components. Sets are then gathered per cluster, in blocks of a
-bounded number of elements, and each block is searched with a signature tree (see
+all sets (a set of n needs n - ceil(0.8 n) + 1 of them). The order puts elements seen in several
+documents last and those of common words late, so that few sets meet by chance or by a passage
+they quote. Classes that share such an element, directly or through others, form a cluster;
+clusters are found on ids alone, by connected components. Sets are then gathered per cluster, in
+blocks of a bounded number of elements, and each block is searched with a signature tree (see
 ``signature_tree``).
 
-A cluster of one block is then done. In a larger one, one set of each component of each block is
-compared first; then the sets outside the cluster's largest component visit all its blocks, so
-the members of a huge group of copies are read once and not paired with each other. Only links
+A cluster of one block is then done. A larger one is cut into blocks by size class and hash. One
+set of each component of each block is compared first; then the sets outside the cluster's
+largest component visit the blocks of their own and the neighbouring size classes, so the members
+of a huge group of copies are read once and not paired with each other. Only links
 that connect components are made, never all pairs.
 
-The frequency of elements is only used to order them: a table of ``SLOTS`` levels, bounded, in
-which rare elements may take the level of others. Any table gives the same links.
+Frequencies are only used for that order. They are counted in stretches of a task's documents, and
+kept in tables of ``SLOTS`` levels and in a bitmap of bounded size, in which rare elements may take
+the place of others. Any tables give the same links.
 
 Defined cases: words are runs without ASCII white space after A-Z were lower-cased; a text with
 fewer than five words is one shingle; a NULL or empty text has an empty set and links with
@@ -30,7 +33,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -42,41 +45,58 @@ from .signature_tree import link
 SHINGLE = 5
 PERCENT = 80
 SLOTS = 1 << 20
-# Documents of one batch that must hold an element for it to be reported as frequent.
-BATCH_DOCS = 3
+# Most slots of a bitmap: 32 MB.
+FLAG_SLOTS = 1 << 28
+# Elements or words counted together, and how often an element, and a word, must occur there to be reported.
+STRETCH = 1 << 21
+SEEN_ELEMENTS = 2
+SEEN_WORDS = 32
+# Elements reported so often get a level.
+FREQUENT = 64
+# Sizes of one class differ by less than this factor; alike sets are at most one class apart.
+CLASS = 1.26
 # Sets and elements of a block.
 BLOCK_SETS = 2048
 BLOCK_ELEMENTS = 1 << 20
 
 _FACTORS = (np.arange(1, 33, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-_WORDS: list[Recent] = []
+_HASHES: list[Recent] = []
 
 
 def _word_hashes() -> Recent:
-    if not _WORDS:
-        _WORDS.append(Recent(xxhash.xxh3_64_intdigest))
-    return _WORDS[0]
+    if not _HASHES:
+        _HASHES.append(Recent(xxhash.xxh3_64_intdigest))
+    return _HASHES[0]
 
 
-def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a text."""
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of every word of a text, in order."""
     words = text.lower().split()  # on bytes, both know ASCII only
+    return mix64(np.fromiter(map(_word_hashes().__getitem__, words), np.uint64, len(words)))
+
+
+def _sums(words: np.ndarray, size: int) -> np.ndarray:
+    total = np.zeros(len(words) - size + 1, np.uint64)
+    for k in range(size):
+        total += words[k : len(words) - size + 1 + k] * _FACTORS[k]
+    return mix64(total)
+
+
+def shingle_hashes(words: np.ndarray, size: int = SHINGLE) -> np.ndarray:
+    """A 64-bit hash of every shingle, in order; fewer words than ``size`` are one shingle."""
     n = len(words)
     if not n:
         return np.empty(0, np.uint64)
-    get = _word_hashes().__getitem__
-    hashes = mix64(np.fromiter(map(get, words), np.uint64, n))
-    if n < size:
-        whole = b" ".join(words) + b" %d" % n
-        return np.array([xxhash.xxh3_64_intdigest(whole, seed=n)], np.uint64)
-    total = np.zeros(n - size + 1, np.uint64)
-    for k in range(size):
-        total += hashes[k : n - size + 1 + k] * _FACTORS[k]
-    return np.unique(mix64(total))
+    return _sums(words, size) if n >= size else mix64(_sums(words, n) + np.uint64(n))
 
 
-def _slots(elements: np.ndarray) -> np.ndarray:
-    return (elements >> np.uint64(11)).astype(np.int64) % SLOTS
+def shingles(text: bytes) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of a text."""
+    return np.unique(shingle_hashes(word_hashes(text)))
+
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(11)).astype(np.int64) % SLOTS
 
 
 def set_id(elements: np.ndarray) -> int:
@@ -84,77 +104,133 @@ def set_id(elements: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(elements.tobytes()) - (1 << 63) if len(elements) else -1
 
 
-def first_elements(elements: np.ndarray, levels: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The elements of which an alike set must share one: rare ones first, then by hash."""
+def set_and_firsts(text: bytes, order: tuple, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """A text's set, and the elements of which an alike set must share one: rare ones first, then by hash.
+
+    ``order`` is what ``frequencies`` gives. An element's rank depends on it and the element alone.
+    """
+    words = word_hashes(text)
+    elements, at = np.unique(shingle_hashes(words), return_index=True)
     n = len(elements)
-    need = n - (percent * n + 99) // 100 + 1
-    order = np.lexsort((elements, levels[_slots(elements)]))
-    return elements[order[:need]]
+    if n < 2:
+        return elements, elements
+    levels, repeated = order
+    weight = np.convolve(levels[1][_slots(words)].astype(np.int64), np.ones(SHINGLE, np.int64), "valid")[at]
+    rank = np.lexsort((elements, weight, _flagged(repeated, elements.view(np.int64)), levels[0][_slots(elements)]))
+    return elements, elements[rank[: n - (percent * n + 99) // 100 + 1]]
 
 
-def frequency_levels(docs: DataFrame) -> np.ndarray:
-    """Level per slot: about log2 of the documents that share its most frequent element."""
+def frequencies(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Two rows of levels per slot, about log2 of how often the most frequent element, or word, was
+    seen, and a bitmap of elements seen more than once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = pa.schema([("h", pa.int64()), ("n", pa.int64())])
+        out = pa.schema([("kind", pa.int32()), ("h", pa.int64()), ("n", pa.int64())])
+        held: tuple[list, list] = ([], [])
+
+        def counted(kind: int, least: int) -> pa.RecordBatch:
+            values, n = np.unique(np.concatenate(held[kind]), return_counts=True)
+            held[kind].clear()
+            often = n >= least
+            return batch(out, np.full(often.sum(), kind), values[often].view(np.int64), n[often])
+
+        def both():
+            if held[0]:
+                yield counted(0, SEEN_ELEMENTS)
+                yield counted(1, SEEN_WORDS)
+
+        total = 0
         for rows in batches:
-            own = [shingles(t) for t in utf8(rows.column("text"))]
-            if own:
-                values, n = np.unique(np.concatenate(own), return_counts=True)
-                often = n >= BATCH_DOCS
-                yield batch(out, values[often].view(np.int64), n[often])
-
-    frequent = map_batches(docs.select(F.col("text").cast("string").alias("text")), run, "h long, n long")
-    slot = F.pmod(F.shiftrightunsigned("h", 11), F.lit(SLOTS))
-    # At most SLOTS rows.
-    found = frequent.groupBy("h").agg(F.sum("n").alias("n")).groupBy(slot.alias("slot")).agg(F.max("n").alias("n")).toArrow()
-    levels = np.zeros(SLOTS, np.uint8)
-    if found.num_rows:
-        levels[found["slot"].to_numpy()] = np.log2(found["n"].to_numpy()).astype(np.uint8) + 1
-    return levels
-
-
-def _document_sets(docs: DataFrame, levels) -> DataFrame:
+            for text in utf8(rows.column("text")):
+                words = word_hashes(text)
+                held[0].append(np.unique(shingle_hashes(words)))
+                held[1].append(words)
+                total += len(words)
+                if total >= STRETCH:
+                    total = 0
+                    yield from both()
+        yield from both()
+
+    seen = map_batches(docs.select(F.col("text").cast("string").alias("text")), run, "kind int, h long, n long")
+    sums = materialise(seen.groupBy("kind", "h").agg(F.sum("n").alias("n")), "seen")
+    slot = F.pmod(F.shiftrightunsigned("h", 11), F.lit(SLOTS)).cast("int")
+    level = F.floor(F.log2(F.max("n"))).cast("int") + 1
+    # At most 2 * SLOTS rows.
+    found = sums.where(f"kind = 1 OR n >= {FREQUENT}").groupBy("kind", slot.alias("slot")).agg(level.alias("level")).toArrow()
+    levels = np.zeros((2, SLOTS), np.uint8)
+    levels[found["kind"].to_numpy(), found["slot"].to_numpy()] = found["level"].to_numpy()
+    return levels, _flags(sums.where("kind = 0").select("h"))
+
+
+def _document_sets(docs: DataFrame, order) -> DataFrame:
     """(doc, row, sid, n, firsts) per document."""
     out = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("sid", pa.int64()), ("n", pa.int64()), ("firsts", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            own = [shingles(t) for t in utf8(rows.column("text"))]
-            firsts = [first_elements(e, levels.value).view(np.int64) if len(e) else [] for e in own]
-            ids = [set_id(e) for e in own]
-            yield batch(out, rows.column("doc"), rows.column("row"), ids, [len(e) for e in own], firsts)
+            both = [set_and_firsts(t, order.value) for t in utf8(rows.column("text"))]
+            ids, sizes = [set_id(e) for e, _ in both], [len(e) for e, _ in both]
+            yield batch(out, rows.column("doc"), rows.column("row"), ids, sizes, [f.view(np.int64) for _, f in both])
 
     return map_batches(docs.select("doc", "row", "text"), run, "doc long, row long, sid long, n long, firsts array<long>")
 
 
-def _clusters(sets: DataFrame) -> DataFrame:
-    """(sid, cluster): classes connected by shared first elements. Classes alone are left out."""
-    shared = sets.select("sid", F.explode("firsts").alias("h"))
-    # A class is seen once per element and task before the shuffle; copies add nothing.
-    hubs = shared.groupBy("h").agg(F.min("sid").alias("a"), F.max("sid").alias("z")).where("a < z").select("h", "a")
-    edges = shared.join(hubs, "h").where("sid <> a").select("a", F.col("sid").alias("b"))
+def _class(n: Column) -> Column:
+    return F.floor(F.log(n.cast("double")) / F.log(F.lit(CLASS))).cast("long")
+
+
+def _clusters(sets: DataFrame, percent: int) -> DataFrame:
+    """(sid, cluster): classes (sid, n, firsts) connected by shared first elements.
+
+    Classes alone are left out.
+
+    The first element that two alike sets share stands so early in both that the rest suffices:
+    a set of n with the element at place i has no larger partner than (n - i) * (1 + 1/p) - n.
+    Sets are therefore listed under (element, size class), and under the next class only if a
+    partner of that size is possible.
+    """
+    shared = sets.select("sid", F.col("n").cast("int").alias("n"), F.posexplode("firsts").alias("i", "h"))
+    met = shared.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
+    largest = (F.col("n") - F.col("i")) * (100 + percent) / percent - F.col("n")
+    next_class = largest >= F.pow(F.lit(CLASS), _class(F.col("n")) + 1)
+    listed = (
+        shared.join(met, "h")
+        .withColumn("c", F.explode(F.when(next_class, F.array(_class(F.col("n")), _class(F.col("n")) + 1)).otherwise(F.array(_class(F.col("n"))))))
+        .groupBy("h", "c", "sid")
+        .agg(F.lit(1).alias("one"))
+        .drop("one")
+    )
+    hubs = listed.groupBy("h", "c").agg(F.min("sid").alias("a"), F.count("*").alias("m")).where("m > 1")
+    edges = listed.join(hubs, ["h", "c"]).where("sid <> a").select("a", F.col("sid").alias("b"))
     return components(edges).select(F.col("node").alias("sid"), F.col("root").alias("cluster"))
 
 
-def _bitmap(values: DataFrame) -> np.ndarray:
-    """Flags of ``SLOTS`` * 8 slots that hold a value of the only column; 1 MB whatever the input."""
-    slot = F.pmod(values[values.columns[0]], F.lit(SLOTS * 8))
+def _flags(values: DataFrame) -> np.ndarray:
+    """A bitmap of hash slots that hold a value of the only column, 16 slots a value.
+
+    It is bounded by ``FLAG_SLOTS``: beyond that, slots hold several values, and more than wanted
+    pass the test.
+    """
+    slots = min(FLAG_SLOTS, max(1 << 16, 1 << (16 * values.count()).bit_length()))
+    slot = F.pmod(values[values.columns[0]], F.lit(slots))
     parts = (
         values.select(slot.alias("s"))
         .select(F.expr("bitmap_bucket_number(s)").alias("bucket"), F.expr("bitmap_bit_position(s)").alias("bit"))
         .groupBy("bucket")
         .agg(F.expr("bitmap_construct_agg(bit)").alias("bits"))
-        .collect()
     )
-    flags = np.zeros(SLOTS * 8 + 1, bool)
-    for p in parts:
-        bits = np.unpackbits(np.frombuffer(bytes(p["bits"]), np.uint8), bitorder="little")
+    flags = np.zeros(slots // 8 + 1, np.uint8)
+    for p in parts.toLocalIterator():
+        bits = np.flatnonzero(np.unpackbits(np.frombuffer(bytes(p["bits"]), np.uint8), bitorder="little"))
         # Bucket k holds the values (k - 1) * 32768 + 1 to k * 32768; bucket 0 ends at 0.
-        first = (p["bucket"] - 1) * len(bits) + 1 if p["bucket"] > 0 else 0
-        at = first + np.flatnonzero(bits)
-        flags[at[at < len(flags)]] = True
-    return flags
+        at = bits + (p["bucket"] - 1) * 32768 + 1 if p["bucket"] > 0 else bits
+        np.bitwise_or.at(flags, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+    return flags[: slots // 8]
+
+
+def _flagged(flags: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values % (len(flags) * 8)
+    return (flags[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
 def _gathered(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -162,14 +238,12 @@ def _gathered(docs: DataFrame, members: DataFrame) -> DataFrame:
 
     Only documents whose flag is set are cut into shingles again; texts are not shuffled.
     """
-    spark = docs.sparkSession
-    flags = spark.sparkContext.broadcast(np.packbits(_bitmap(members.select("row"))))
+    flags = docs.sparkSession.sparkContext.broadcast(_flags(members.select("row")))
     out = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("elements", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.unpackbits(flags.value).astype(bool)
         for rows in batches:
-            wanted = held[rows.column("row").to_numpy() % (SLOTS * 8)]
+            wanted = _flagged(flags.value, rows.column("row").to_numpy())
             if wanted.any():
                 some = rows.filter(pa.array(wanted))
                 elements = [shingles(t).tobytes() for t in utf8(some.column("text"))]
@@ -230,37 +304,52 @@ def _searched(blocks: DataFrame, percent: int, labels: bool = False, guests: boo
 
 
 def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that connect all alike sets of (cluster, block, blocks, sid, elements)."""
+    """(a, b): links that connect all alike sets of (cluster, large, class, block, sid, n, elements)."""
     new = [F.lit(None).cast("long").alias("known"), F.lit(False).alias("side")]
     alone = ["cluster", "block", "sid", "elements", *new]
-    single = _searched(sets.where("blocks = 1").select(*alone), percent)
-    several = _searched(sets.where("blocks > 1").select(*alone), percent, labels=True)
+    single = _searched(sets.where("NOT large").select(*alone), percent)
+    several = _searched(sets.where("large").select(*alone), percent, labels=True)
     first = materialise(single.unionByName(several), "links")
     links = first.where("linked").select("a", "b")
     labelled = first.where("NOT linked").select("cluster", "block", F.col("a").alias("sid"), F.col("b").alias("label"))
     if labelled.isEmpty():
         return links
     # One set of each component of each block; so many that they need blocks themselves are salted again.
-    large = sets.where("blocks > 1")
+    large = sets.where("large")
     heads = large.join(labelled.where("sid = label").select("sid"), "sid")
-    spread = heads.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("spread"))
+    spread = heads.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_ELEMENTS)).alias("spread"))
     heads = heads.join(spread, "cluster").select("cluster", F.pmod(F.xxhash64("sid"), "spread").alias("block"), "sid", "elements", *new)
     second = materialise(_searched(heads, percent, labels=True), "links")
     merged = second.where("NOT linked").select(F.col("a").alias("label"), F.col("b").alias("root"))
-    named = labelled.join(merged, "label").select("cluster", "block", "sid", "root")
-    most = named.groupBy("cluster", "root").agg(F.count("*").alias("n")).groupBy("cluster").agg(F.max_by("root", F.struct("n", "root")).alias("most"))
-    named = materialise(named.join(most, "cluster"), "labels")
-    rows = large.drop("cluster", "block").join(named, "sid")
+    named = labelled.join(merged, "label").select("sid", "cluster", "root")
+    most = named.groupBy("cluster", "root").agg(F.count("*").alias("m")).groupBy("cluster").agg(F.max_by("root", F.struct("m", "root")).alias("most"))
+    named = materialise(named.join(most, "cluster").drop("cluster"), "labels")
+    rows = large.join(named, "sid")
     own = rows.select("cluster", "block", "sid", "elements", F.col("root").alias("known"), F.lit(False).alias("side"))
-    # Sets outside the largest component visit the other blocks; their own has met them.
-    others = F.array_remove(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), F.col("block"))
-    visits = rows.where("root <> most").select(
-        "cluster", F.explode(others).alias("block"), "sid", "elements", F.col("root").alias("known"), F.lit(True).alias("side")
+    # Sets outside the largest component visit other blocks of like sizes; their own has met them.
+    blocks = large.select("cluster", "class", "block").distinct().withColumnsRenamed({"class": "near", "block": "visited"})
+    guests = rows.where("root <> most").withColumn("near", F.explode(F.array(*[F.col("class") + d for d in (-1, 0, 1)])))
+    visits = (
+        guests.join(blocks, ["cluster", "near"])
+        .where("visited <> block")
+        .select("cluster", F.col("visited").alias("block"), "sid", "elements", F.col("root").alias("known"), F.lit(True).alias("side"))
     )
     third = _searched(own.unionByName(visits), percent, guests=True)
     return links.unionByName(second.where("linked").select("a", "b")).unionByName(third.select("a", "b"))
 
 
+def _placed(members: DataFrame) -> DataFrame:
+    """``members`` with ``large``, ``class`` and ``block``: where each set of a cluster is searched."""
+    per = [F.count("*").alias("m"), F.sum("n").alias("size")]
+    salts = F.ceil(F.greatest(F.col("m") / BLOCK_SETS, F.col("size") / BLOCK_ELEMENTS))
+    whole = members.groupBy("cluster").agg(*per).select("cluster", (salts > 1).alias("large"))
+    classed = members.join(whole, "cluster").withColumn("class", F.when(F.col("large"), _class(F.col("n"))).otherwise(F.lit(0).cast("long")))
+    cells = classed.where("large").groupBy("cluster", "class").agg(*per).select("cluster", "class", salts.alias("salts"))
+    salt = F.pmod(F.xxhash64("sid"), F.coalesce("salts", F.lit(1)).cast("long"))
+    # Blocks are numbered by class, then salt.
+    return classed.join(cells, ["cluster", "class"], "left").withColumn("block", F.shiftleft(F.col("class"), 32) + salt).drop("salts")
+
+
 def memberships(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc, row, n_shingles, component_id, root): one row per row of ``docs`` (doc_id, text).
 
@@ -268,20 +357,19 @@ def memberships(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     spark = docs.sparkSession
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc"), row_key().alias("row"), F.col("text").cast("string").alias("text"))
-    levels = spark.sparkContext.broadcast(frequency_levels(keyed))
-    sets = materialise(_document_sets(keyed, levels), "sets")
+    order = spark.sparkContext.broadcast(frequencies(keyed))
+    sets = materialise(_document_sets(keyed, order), "sets")
     full = sets.where("n > 0")
-    clusters = materialise(_clusters(full), "clusters")
-    classes = full.groupBy("sid").agg(F.min(F.struct("doc", "row", "n")).alias("m")).select("sid", "m.*")
-    members = materialise(classes.join(clusters, "sid"), "members")
-    sizes = members.groupBy("cluster").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_ELEMENTS)).alias("blocks")
-    )
-    blocks = members.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("sid"), "blocks"))
-    placed = materialise(_gathered(keyed, materialise(blocks, "members")).drop("n"), "blocks")
+    # Copies are combined before the shuffle; a class has the same first elements in all of them.
+    # NULL ids give way to others: the least id of a class, then of a component.
+    first = F.min(F.struct(F.col("doc").isNull().alias("absent"), "doc", "row", "n")).alias("m")
+    classes = full.groupBy("sid").agg(first, F.any_value("firsts").alias("firsts")).select("sid", "m.*", "firsts").drop("absent")
+    classes = materialise(classes, "classes")
+    clusters = materialise(_clusters(classes, percent), "clusters")
+    members = materialise(classes.drop("firsts").join(clusters, "sid"), "members")
+    placed = materialise(_gathered(keyed, materialise(_placed(members), "members")), "blocks")
     roots = components(_links(placed, percent))
-    # NULL ids give way to others; the least id of a class, then of a component.
-    lowest = full.groupBy("sid").agg(F.min("doc").alias("doc"))
+    lowest = classes.select("sid", "doc")
     named = lowest.join(roots, lowest["sid"] == roots["node"], "left").select("sid", F.coalesce("root", "sid").alias("root"), "doc")
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))
     of_class = named.select("sid", "root").join(least, "root").select("sid", "root", "component_id")
