@@ -37,16 +37,38 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):  # local-cluster has machines of its own
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     own = tempfile.mkdtemp(prefix="millrace-")
     spark.sparkContext.setCheckpointDir(own)
     return own
 
 
+_MADE: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder; ``remove_scratch`` frees it."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _MADE.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession, *paths: str) -> int:
+    """Remove the given scratch paths, or all that this process made; returns how many there were.
+
+    Frames that read them fail afterwards, so this belongs at the end of a job, after its results
+    were written elsewhere. Paths that this process did not make are an error.
+    """
+    wanted = list(paths) or list(_MADE)
+    if unknown := [p for p in wanted if p not in _MADE]:
+        raise ValueError(f"not made here: {unknown}")
+    for path in wanted:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        _MADE.remove(path)
+    return len(wanted)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
