@@ -273,7 +273,7 @@ def test_secrets(docs, rows, empty):
 
 
 def test_more_secrets(spark):
-    texts = [f"gh{'p'}_{'a1' * 20}", "-----BEGIN RSA PRIVATE KEY-----", f"eyJ{'a' * 12}.{'b' * 12}.{'c' * 12} end", f"é sk_live_{'x' * 16}", "gh_ eyj sk_live_"]
+    texts = [f"gh{'p'}_{'Zq' * 20}", "-----BEGIN RSA PRIVATE KEY-----", f"eyJ{'a' * 12}.{'b' * 12}.{'c' * 12} end", f"é sk_live_{'x' * 16}", "gh_ eyj sk_live_"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r[0]: r[1] for r in secrets.find_secrets(df).select("doc_id", secrets.listed(F.col("secrets"))).collect()}
     assert got == {0: "code_host:0:44", 1: "private_key:0:31", 2: "web_token:0:41", 3: "payment:2:26", 4: ""}
