@@ -55,9 +55,9 @@ SEEN_WORDS = 32
 FREQUENT = 64
 # Sizes of one class differ by less than this factor; alike sets are at most one class apart.
 CLASS = 1.26
-# Sets and elements of a block.
+# Sets and elements of a block; the elements of one take 32 MB in a worker.
 BLOCK_SETS = 2048
-BLOCK_ELEMENTS = 1 << 20
+BLOCK_ELEMENTS = 1 << 22
 
 _FACTORS = (np.arange(1, 33, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _HASHES: list[Recent] = []

@@ -30,9 +30,9 @@ def _bits(sets: list[np.ndarray]) -> np.ndarray:
     sizes = np.array([len(s) for s in sets])
     width = 1 << int(np.clip(np.ceil(np.log2(4 * np.percentile(sizes, 75) + 1)), 6, 14))
     words = np.zeros((len(sets), width // 64), np.uint64)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    place = (np.concatenate(sets) & np.uint64(width - 1)).astype(np.int64)
-    np.bitwise_or.at(words, (owner, place >> 6), np.uint64(1) << (place & 63).astype(np.uint64))
+    for row, elements in zip(words, sets, strict=True):
+        place = (elements & np.uint64(width - 1)).astype(np.int64)
+        np.bitwise_or.at(row, place >> 6, np.uint64(1) << (place & 63).astype(np.uint64))
     return words
 
 
