@@ -14,11 +14,12 @@ labelled training text. The model is used in blocks of a bounded number of entri
 broadcast for one pass; evidence of several blocks adds up per word.
 
 These figures of a document are turned into a score by a logistic curve, fitted on at most
-``CALIBRATION_ROWS`` labelled documents (the lowest hashes) that did not train the models.
+``CALIBRATION_ROWS`` labelled documents (the lowest hashes) of the last fold, with models that have
+not seen that fold; the models that score are trained on it as well.
 
 Defined cases: NULL and empty texts, and texts without letters, have no evidence and get the
 score of that; labels with a NULL class are no labels, and a doc_id with several labels is toxic
-if one of them says so; repeated texts train once; a NULL doc_id has no label but is scored.
+if one of them says so; texts repeated under several ids train once; a NULL doc_id has no label but is scored.
 With no labels of one class every score is the share of toxic labels (0.5 without labels).
 Extra columns of the input stay; result columns replace those of the same name.
 """
@@ -46,8 +47,8 @@ from .pieces import Recent
 CONTEXT = 5
 SHARED_CONTEXT = 2
 DISCOUNT = 0.75
-# Least likelihood-ratio statistic of an entry (1 degree of freedom, p < 0.005).
-EVIDENCE = 8.0
+# Least likelihood-ratio statistic of an entry (1 degree of freedom, p < 0.001).
+EVIDENCE = 10.83
 STRIDE = 12  # a window is two strides of words
 STRONGEST = 3
 BLOCK_ENTRIES = 200_000
@@ -283,17 +284,25 @@ def toxicity(docs: DataFrame, labels: DataFrame, block_entries: int = BLOCK_ENTR
 
     texts = docs.select("doc_id", "text")
     classes = known.withColumnRenamed("doc_id", "__id")
-    trained = broadcast_if_counted(classes.where(F.col("fold") < FOLDS - 1), rows["n"], 32)
+    trained = broadcast_if_counted(classes, rows["n"], 32)
     labelled = texts.join(trained, texts["doc_id"] == trained["__id"])
     # A text that was copied trains once: per text hash, the lowest id stays.
-    once = labelled.groupBy(F.xxhash64("text").alias("h")).agg(F.min("doc_id").alias("__id"), F.max("toxic").alias("toxic"))
-    once = broadcast_if_counted(materialise(once.drop("h"), "train"), rows["n"], 32)
-    counts = materialise(letter_counts(texts.join(once, texts["doc_id"] == once["__id"]).select("text", "toxic")), "letters")
-    blocks = load_blocks(model_entries(counts), block_entries)
+    once = labelled.groupBy(F.xxhash64("text").alias("h")).agg(
+        F.min("doc_id").alias("__id"), F.max("toxic").alias("toxic"), F.min(F.col("fold") == FOLDS - 1).alias("last")
+    )
+    once = materialise(once.drop("h"), "train")
+
+    def counted(chosen: Column) -> DataFrame:
+        own = broadcast_if_counted(once.where(chosen), rows["n"], 32)
+        return materialise(letter_counts(texts.join(own, texts["doc_id"] == own["__id"]).select("text", "toxic")), "letters")
+
+    early = counted(~F.col("last"))
+    every = early.unionByName(counted(F.col("last"))).groupBy("entry").agg(F.sum("ct").alias("ct"), F.sum("co").alias("co"))
+    unseen, blocks = (load_blocks(model_entries(c), block_entries) for c in (early, materialise(every, "letters")))
 
     sample = known.where(F.col("fold") == FOLDS - 1).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
     sample = F.broadcast(sample.select(F.col("doc_id").alias("__id"), "toxic"))  # at most CALIBRATION_ROWS
-    seen = with_comparison(texts.join(sample, texts["doc_id"] == F.col("__id")), blocks).select("__c", "toxic").limit(CALIBRATION_ROWS).collect()
+    seen = with_comparison(texts.join(sample, texts["doc_id"] == F.col("__id")), unseen).select("__c", "toxic").limit(CALIBRATION_ROWS).collect()
     x = np.array([r["__c"] for r in seen], float).reshape(-1, len(FIGURES)) * _SCALE
     y = np.array([r["toxic"] for r in seen], float)
     *weights, constant = (float(v) for v in fit_logistic(x, y))
