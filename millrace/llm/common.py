@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 # Rows per Arrow batch. Documents may hold 100 KB and more; a batch must stay small in a worker.
-BATCH_ROWS = 1024
+BATCH_ROWS = 256
 # A side is broadcast only if it was counted and its rows times their width stay below this.
 BROADCAST_BYTES = 32 << 20
 

@@ -67,7 +67,11 @@ class Level:
         low, high = np.maximum(self.low[i], self.low[j]), np.minimum(self.high[i], self.high[j])
         fits = 100 * high >= percent * low
         i, j = i[fits], j[fits]
-        overlap = np.bitwise_count(self.bits[i] & self.bits[j]).sum(axis=1).astype(np.int64) + np.minimum(self.excess[i], self.excess[j])
+        overlap = np.minimum(self.excess[i], self.excess[j])
+        step = max(1, (1 << 18) // self.bits.shape[1])  # a few MB of bitmaps at a time
+        for k in range(0, len(i), step):
+            shared = self.bits[i[k : k + step]] & self.bits[j[k : k + step]]
+            overlap[k : k + step] += np.bitwise_count(shared).sum(axis=1, dtype=np.int64)
         overlap = np.minimum(overlap, np.minimum(self.high[i], self.high[j]))
         fits[fits] = (100 + percent) * overlap >= percent * (self.low[i] + self.low[j])
         return fits
