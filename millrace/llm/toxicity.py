@@ -6,16 +6,18 @@ its own discounted counts with one shared model of shorter contexts, made of con
 pooled over both classes, so an expression that a class has rarely seen falls back to the same
 figure on both sides. A word's evidence is the difference of its log-likelihoods. A document is
 compared per letter, over its whole length and over its most suspicious window of words, and by
-its ``STRONGEST`` different words with the most evidence, as one word may be enough.
+its ``STRONGEST`` different words with the most evidence, as one word may be enough, beside
+the number of its different words.
 
-Only differences that the counts support stay in the model (likelihood-ratio statistic, see
-``EVIDENCE``); all other letters cost the same in both classes. Counts come from every distinct
-labelled training text. The model is used in blocks of a bounded number of entries, each
-broadcast for one pass; evidence of several blocks adds up per word.
+Every letter of a word counts, however rarely its entry was seen. A letter that neither class has seen
+after a known context has the same shared probability in both, so its evidence is the difference
+of the backoff masses, one figure per context; after a context that neither has seen it is 0.
+Counts come from every distinct labelled training text. A model of a counted, bounded size is
+broadcast as sorted 64-bit keys of its entries; a larger one is joined to the distinct words on Spark.
 
 These figures of a document are turned into a score by a logistic curve, fitted on at most
-``CALIBRATION_ROWS`` labelled documents (the lowest hashes) of the last fold, with models that have
-not seen that fold; the models that score are trained on it as well.
+``CALIBRATION_ROWS`` different labelled texts (the lowest hashes) of all training folds, each compared
+by models of the other training folds; the models that score are trained on all of them.
 
 Defined cases: NULL and empty texts, and texts without letters, have no evidence and get the
 score of that; labels with a NULL class are no labels, and a doc_id with several labels is toxic
@@ -31,7 +33,7 @@ import math
 import re
 import uuid
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,28 +43,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from ..session import materialise
-from .common import batch, bounded_batches, broadcast_if_counted, map_batches, utf8
-from .pieces import Recent
+from .common import BROADCAST_BYTES, batch, bounded_batches, broadcast_if_counted, map_batches, mix64, utf8
 
 CONTEXT = 5
 SHARED_CONTEXT = 2
 DISCOUNT = 0.75
-# Least likelihood-ratio statistic of an entry (1 degree of freedom, p < 0.001).
-EVIDENCE = 10.83
 STRIDE = 12  # a window is two strides of words
 STRONGEST = 3
-BLOCK_ENTRIES = 200_000
+# Entries of a broadcast model: a key and a figure of 8 bytes each.
+BLOCK_ENTRIES = BROADCAST_BYTES // 16
 CALIBRATION_ROWS = 20_000
 FOLDS = 5
 
 _WORD = re.compile(r"[^\W\d_]+")
 _START, _END = "<", ">"
+# Stands for any letter that neither class has seen after a context.
+_UNSEEN = "\0"
+# Factors of a letter and of those before it in the key of an entry.
+_FACTORS = mix64(np.arange(1, CONTEXT + 2, dtype=np.uint64)) | np.uint64(1)
 _CACHE = 50_000
 _FLUSH = 100_000
 
 
 def fold(doc_id: str = "doc_id") -> Column:
-    """crc32 of the id as text modulo ``FOLDS``. Fold 0 is held out; the last one calibrates."""
+    """crc32 of the id as text modulo ``FOLDS``. Fold 0 is held out."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(FOLDS))
 
 
@@ -98,25 +102,23 @@ def _counts_per_task(df: DataFrame, key: str, columns: tuple[str, ...], spread)
 
 
 def letter_counts(texts: DataFrame) -> DataFrame:
-    """(entry, ct, co): how often toxic and ordinary texts of (text, toxic) hold each entry."""
+    """(fold, entry, ct, co): how often toxic and ordinary texts of (text, toxic, fold) hold each entry."""
 
-    def words(text, toxic):
+    def words(text, toxic, fold):
         for w in words_of((text or "").encode()):
-            yield (w, 1, 0) if toxic else (w, 0, 1)
+            yield (f"{fold}{w}", 1, 0) if toxic else (f"{fold}{w}", 0, 1)
 
     def letters(word, ct, co):
-        for e in entries_of(word):
-            yield e, ct, co
+        for e in entries_of(word[1:]):
+            yield word[0] + e, ct, co
 
-    return _counts_per_task(_counts_per_task(texts, "word", ("text", "toxic"), words), "entry", ("word", "ct", "co"), letters)
-
-
-def _log_ratio(part: Column, whole: Column, rows: Column, cols: Column, total: Column) -> Column:
-    return F.when(part > 0, 2 * part * F.log(part * total / (rows * cols))).otherwise(0.0)
+    found = _counts_per_task(_counts_per_task(texts, "word", ("text", "toxic", "fold"), words), "entry", ("word", "ct", "co"), letters)
+    return found.select(F.expr("left(entry, 1)").cast("int").alias("fold"), F.expr("substring(entry, 2)").alias("entry"), "ct", "co")
 
 
 def model_entries(counts: DataFrame) -> DataFrame:
-    """(entry, evidence): difference of the classes' log-probabilities where counts support one."""
+    """(entry, evidence): difference of the classes' log-probabilities of every entry that a class has
+    seen, and of any other letter after each context (``_UNSEEN``)."""
     c = counts.withColumns(
         {
             "context": F.expr("substring(entry, 1, length(entry) - 1)"),
@@ -139,77 +141,159 @@ def model_entries(counts: DataFrame) -> DataFrame:
     p = (F.col("cont") - d) / F.col("cont_all") + d * F.col("cont_kinds") / F.col("cont_all") * low
     shared = shared.select("near", "letter", p.alias("shared"))
 
+    def mass(n: str, k: str) -> Column:
+        return F.when(F.col(n) > 0, d * F.col(k) / F.col(n)).otherwise(1.0)
+
     def probability(n: str, k: str, of: str) -> Column:
-        seen = F.greatest(F.col(of) - d, F.lit(0.0)) / F.col(n) + d * F.col(k) / F.col(n) * F.col("shared")
-        return F.when(F.col(n) > 0, seen).otherwise(F.col("shared"))
+        seen = F.when(F.col(n) > 0, F.greatest(F.col(of) - d, F.lit(0.0)) / F.col(n)).otherwise(0.0)
+        return seen + mass(n, k) * F.col("shared")
 
     full = c.join(own, "context").join(shared, ["near", "letter"])
-    t, o, nt, no = F.col("ct"), F.col("co"), F.col("nt"), F.col("no")
-    total, both = nt + no, t + o
-    support = (
-        _log_ratio(t, nt, nt, both, total)
-        + _log_ratio(o, no, no, both, total)
-        + _log_ratio(nt - t, nt, nt, total - both, total)
-        + _log_ratio(no - o, no, no, total - both, total)
-    )
     evidence = F.log(probability("nt", "kt", "ct")) - F.log(probability("no", "ko", "co"))
-    return full.where(support >= EVIDENCE).select("entry", evidence.alias("evidence"))
+    unseen = F.log(mass("nt", "kt")) - F.log(mass("no", "ko"))
+    return full.select("entry", evidence.alias("evidence")).unionByName(
+        own.select(F.concat("context", F.lit(_UNSEEN)).alias("entry"), unseen.alias("evidence"))
+    )
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
+
 
+def keys_of(entries: Iterable[str]) -> np.ndarray:
+    """64-bit keys of entries, whose letter is the last one."""
+    codes = _codes("".join(e.rjust(CONTEXT + 1, _UNSEEN) for e in entries)).reshape(-1, CONTEXT + 1)
+    return (codes * _FACTORS[::-1]).sum(1, dtype=np.uint64)
 
-def word_evidence(entries: dict[str, float]) -> Recent:
-    """Evidence per word."""
-    get = entries.get
-    return Recent(lambda word: sum(get(e, 0.0) for e in entries_of(word)), _CACHE)
 
+def letter_keys(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the entries of all words, one after another, and of ``_UNSEEN`` after the same contexts."""
+    gap = _UNSEEN * CONTEXT
+    codes = _codes("".join(f"{gap}{_START}{w}{_END}" for w in words))
+    at = np.flatnonzero((codes != 0) & (codes != ord(_START)))
+    before = np.zeros(len(at), np.uint64)
+    for i in range(1, CONTEXT + 1):
+        before += codes[at - i] * _FACTORS[i]
+    return before + codes[at] * _FACTORS[0], before
 
-_EVIDENCE: dict[str, Recent] = {}
 
+class WordEvidence:
+    """Evidence of words; those in use stay, in two generations."""
 
-def _evidence(name: str, shared) -> Recent:
-    """One cache per worker and block; those of a few blocks stay."""
+    def __init__(self, keys: np.ndarray, figures: np.ndarray):
+        self.keys, self.figures = keys, figures
+        self.now: dict[str, float] = {}
+        self.older: dict[str, float] = {}
+
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[at] == keys, self.figures[at]
+
+    def _made(self, words: list[str]) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(len(words))
+        seen, context = letter_keys(words)
+        hit, figures = self._find(seen)
+        missed = np.flatnonzero(~hit)
+        known, masses = self._find(context[missed])
+        figures[missed] = np.where(known, masses, 0.0)
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        return np.add.reduceat(figures, np.cumsum(lengths) - lengths)
+
+    def of(self, words: list[str]) -> np.ndarray:
+        if len(self.now) >= _CACHE:
+            self.now, self.older = {}, self.now
+        now = self.now
+        if new := [w for w in dict.fromkeys(words) if w not in now]:
+            older = self.older
+            now.update((w, older[w]) for w in new if w in older)
+            if new := [w for w in new if w not in now]:
+                now.update(zip(new, self._made(new).tolist(), strict=True))
+        return np.fromiter(map(now.__getitem__, words), np.float64, len(words))
+
+
+_EVIDENCE: dict[str, WordEvidence] = {}
+
+
+def _evidence(name: str, shared) -> WordEvidence:
+    """One cache per worker and model; those of two models stay."""
     if name not in _EVIDENCE:
-        if len(_EVIDENCE) >= 4:
+        if len(_EVIDENCE) >= 2:
             _EVIDENCE.clear()
-        _EVIDENCE[name] = word_evidence(shared.value)
+        _EVIDENCE[name] = WordEvidence(*shared.value)
     return _EVIDENCE[name]
 
 
-FIGURES = ("whole", "window", *(f"word{i}" for i in range(1, STRONGEST + 1)))
+# The strongest of many different words is stronger by chance than that of few, so their number counts too.
+FIGURES = ("whole", "window", *(f"{kind}{i}" for kind in ("word", "log") for i in range(1, STRONGEST + 1)), "kinds")
 
 
 def compared(words: list[str], evidence: np.ndarray) -> tuple[float, ...]:
-    """``FIGURES``: evidence per letter of the text and of its best window, and that of its strongest words."""
+    """``FIGURES``: evidence per letter of the text and of its best window, that of its strongest words, how many words differ."""
     if not words:
         return (0.0,) * len(FIGURES)
     letters = np.fromiter(map(len, words), np.float64, len(words)) + 1
     at = np.arange(0, len(words), STRIDE)
     e, n = np.add.reduceat(evidence, at), np.add.reduceat(letters, at)
     best = e[0] / n[0] if len(at) == 1 else ((e[1:] + e[:-1]) / (n[1:] + n[:-1])).max()
-    strong = heapq.nlargest(STRONGEST, dict(zip(words, evidence.tolist(), strict=True)).values())
-    return (float(e.sum() / n.sum()), float(best), *strong, *(0.0,) * (STRONGEST - len(strong)))
+    by_word = dict(zip(words, evidence.tolist(), strict=True))
+    strong = heapq.nlargest(STRONGEST, by_word.values())
+    strong += [0.0] * (STRONGEST - len(strong))
+    return (float(e.sum() / n.sum()), float(best), *strong, *(math.log1p(max(0.0, s)) for s in strong), math.log1p(len(by_word)))
 
 
 @dataclass(frozen=True)
-class Blocks:
-    """The model, cut into named broadcast blocks of about ``BLOCK_ENTRIES`` entries."""
+class Model:
+    """A named broadcast of sorted keys and figures, or else a table of (entry, evidence)."""
 
-    shared: list[tuple]
+    entries: DataFrame
+    name: str = ""
+    shared: object = None
 
 
-def load_blocks(entries: DataFrame, block_entries: int = BLOCK_ENTRIES) -> Blocks:
-    """Bring the model to the tasks block by block; a block is bounded, blocks grow in number."""
+def load_model(entries: DataFrame, block_entries: int = BLOCK_ENTRIES) -> Model:
+    """Broadcast a model of at most ``block_entries`` entries; a larger one stays a table."""
     spark = entries.sparkSession
     model = materialise(entries, "toxicity")
-    n = max(1, math.ceil(model.count() / block_entries))
-    shared = []
-    for b in range(n):
-        part = model.where(F.pmod(F.xxhash64("entry"), F.lit(n)) == b) if n > 1 else model
-        entries_of_block = {r["entry"]: r["evidence"] for r in part.collect()}
-        shared.append((uuid.uuid4().hex, spark.sparkContext.broadcast(entries_of_block)))
-    return Blocks(shared)
+    if model.count() > block_entries:
+        return Model(model)
+    out = pa.schema([("key", pa.int64()), ("evidence", pa.float64())])
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            yield batch(out, keys_of(rows.column("entry").to_pylist()).view(np.int64), rows.column("evidence"))
+
+    found = map_batches(model, keyed, "key long, evidence double").toArrow()
+    keys = found.column("key").to_numpy().astype(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return Model(model, uuid.uuid4().hex, spark.sparkContext.broadcast((keys[order], found.column("evidence").to_numpy()[order])))
+
+
+def _joined(docs: DataFrame, model: DataFrame) -> DataFrame:
+    """``docs`` with ``__w``, the evidence of each different word, without a model in tasks."""
+    # Equal texts have equal words; their hash stands for them.
+    text_key = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
 
+    @arrow_udf("array<string>")
+    def words(texts: pa.Array) -> pa.Array:
+        return pa.array([list(dict.fromkeys(words_of(t))) for t in utf8(texts)], pa.list_(pa.string()))
 
-def with_comparison(docs: DataFrame, blocks: Blocks) -> DataFrame:
+    @arrow_udf("array<string>")
+    def letters(words: pa.Array) -> pa.Array:
+        return pa.array([entries_of(w) for w in words.to_pylist()], pa.list_(pa.string()))
+
+    per_text = docs.select(text_key.alias("__k"), F.explode(words("text")).alias("word")).distinct()
+    entry = per_text.select("word").distinct().select("word", F.explode(letters("word")).alias("entry"))
+    seen = model.withColumnRenamed("evidence", "seen")
+    unseen = model.select(F.col("entry").alias("any"), F.col("evidence").alias("unseen"))
+    context = F.concat(F.expr("substring(entry, 1, length(entry) - 1)"), F.lit(_UNSEEN))
+    figures = entry.join(seen, "entry", "left").withColumn("any", context).join(unseen, "any", "left")
+    known = figures.groupBy("word").agg(F.sum(F.coalesce("seen", "unseen", F.lit(0.0))).alias("evidence"))
+    found = per_text.join(known, "word").groupBy("__k").agg(F.collect_list(F.struct("word", "evidence")).alias("__w"))
+    return docs.withColumn("__k", text_key).join(found, "__k", "left").drop("__k")
+
+
+def with_comparison(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``__c``, a struct of ``FIGURES``."""
     bounded_batches(docs.sparkSession)
     kind = "struct<" + ",".join(f"{f}:double" for f in FIGURES) + ">"
@@ -217,49 +301,41 @@ def with_comparison(docs: DataFrame, blocks: Blocks) -> DataFrame:
     def figures(found: list[tuple]) -> pa.Array:
         return pa.StructArray.from_arrays([pa.array([f[i] for f in found], pa.float64()) for i in range(len(FIGURES))], list(FIGURES))
 
-    if len(blocks.shared) == 1:
-        name, shared = blocks.shared[0]
+    if model.shared is not None:
+        name, shared = model.name, model.shared
 
         @arrow_udf(kind)
         def at_once(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            lookup = _evidence(name, shared).__getitem__
+            evidence = _evidence(name, shared)
             for texts in batches:
-                found = []
-                for words in map(words_of, utf8(texts)):
-                    found.append(compared(words, np.fromiter(map(lookup, words), np.float64, len(words))))
-                yield figures(found)
+                yield figures([compared(words, evidence.of(words)) for words in map(words_of, utf8(texts))])
 
         return docs.withColumn("__c", at_once(F.col("text")))
 
-    def summed(name, shared):
-        @arrow_udf("array<double>")
-        def sums(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            lookup = _evidence(name, shared).__getitem__
-            for texts in batches:
-                yield pa.array([list(map(lookup, words_of(t))) for t in utf8(texts)], pa.list_(pa.float64()))
-
-        return sums
-
     @arrow_udf(kind)
-    def finish(texts: pa.Array, evidence: pa.Array) -> pa.Array:
-        return figures([compared(words_of(t), np.array(e, float)) for t, e in zip(utf8(texts), evidence.to_pylist(), strict=True)])
+    def finish(texts: pa.Array, known: pa.Array) -> pa.Array:
+        found = []
+        for text, pairs in zip(utf8(texts), known, strict=True):
+            words, evidence = words_of(text), {p["word"]: p["evidence"] for p in pairs.as_py() or []}
+            found.append(compared(words, np.array([evidence[w] for w in words], float)))
+        return figures(found)
 
-    parts, names = docs, [f"__s{i}" for i in range(len(blocks.shared))]
-    for column, block in zip(names, blocks.shared, strict=True):
-        parts = parts.withColumn(column, summed(*block)(F.col("text")))
-    evidence = F.col(names[0])
-    for column in names[1:]:
-        evidence = F.zip_with(evidence, F.col(column), lambda a, b: a + b)
-    return parts.withColumn("__c", finish(F.col("text"), evidence)).drop(*names)
+    return _joined(docs, model.entries).withColumn("__c", finish(F.col("text"), F.col("__w"))).drop("__w")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
     """Coefficients of a logistic curve by Newton's method; the last one is the constant."""
     x = np.column_stack([x, np.ones(len(x))])
     w = np.zeros(x.shape[1])
+
+    def cost(w: np.ndarray) -> float:
+        return np.logaddexp(0, x @ w).sum() - y @ (x @ w) + ridge / 2 * w @ w
+
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w)), x.T @ (y - p) - ridge * w)
+        while cost(w + step) > cost(w) and np.abs(step).max() >= 1e-9:
+            step /= 2
         w += step
         if np.abs(step).max() < 1e-9:
             break
@@ -267,7 +343,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int
 
 
 # Brings the figures to a like scale, so that the curve's fit is well conditioned.
-_SCALE = (20.0, 20.0, *(1 / 3,) * STRONGEST)
+_SCALE = (20.0, 20.0, *(1 / 3,) * STRONGEST, *(1.0,) * STRONGEST, 0.5)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, block_entries: int = BLOCK_ENTRIES) -> DataFrame:
@@ -286,23 +362,25 @@ def toxicity(docs: DataFrame, labels: DataFrame, block_entries: int = BLOCK_ENTR
     classes = known.withColumnRenamed("doc_id", "__id")
     trained = broadcast_if_counted(classes, rows["n"], 32)
     labelled = texts.join(trained, texts["doc_id"] == trained["__id"])
-    # A text that was copied trains once: per text hash, the lowest id stays.
-    once = labelled.groupBy(F.xxhash64("text").alias("h")).agg(
-        F.min("doc_id").alias("__id"), F.max("toxic").alias("toxic"), F.min(F.col("fold") == FOLDS - 1).alias("last")
-    )
-    once = materialise(once.drop("h"), "train")
-
-    def counted(chosen: Column) -> DataFrame:
-        own = broadcast_if_counted(once.where(chosen), rows["n"], 32)
-        return materialise(letter_counts(texts.join(own, texts["doc_id"] == own["__id"]).select("text", "toxic")), "letters")
-
-    early = counted(~F.col("last"))
-    every = early.unionByName(counted(F.col("last"))).groupBy("entry").agg(F.sum("ct").alias("ct"), F.sum("co").alias("co"))
-    unseen, blocks = (load_blocks(model_entries(c), block_entries) for c in (early, materialise(every, "letters")))
-
-    sample = known.where(F.col("fold") == FOLDS - 1).orderBy(F.xxhash64("doc_id"), "doc_id").limit(CALIBRATION_ROWS)
-    sample = F.broadcast(sample.select(F.col("doc_id").alias("__id"), "toxic"))  # at most CALIBRATION_ROWS
-    seen = with_comparison(texts.join(sample, texts["doc_id"] == F.col("__id")), unseen).select("__c", "toxic").limit(CALIBRATION_ROWS).collect()
+    # A text that was copied trains once, in the fold of its lowest id.
+    once = labelled.groupBy(F.xxhash64("text").alias("h")).agg(F.min("doc_id").alias("__id"), F.max("toxic").alias("toxic"))
+    once = materialise(once.select("__id", "toxic", fold("__id").alias("fold")), "train")
+    own = broadcast_if_counted(once, rows["n"], 32)
+    counts = materialise(letter_counts(texts.join(own, texts["doc_id"] == own["__id"]).select("text", "toxic", "fold")), "letters")
+
+    def trained_on(chosen: Column) -> Model:
+        part = counts.where(chosen).groupBy("entry").agg(F.sum("ct").alias("ct"), F.sum("co").alias("co"))
+        return load_model(model_entries(materialise(part, "counts")), block_entries)
+
+    sample = F.broadcast(once.orderBy(F.xxhash64("__id"), "__id").limit(CALIBRATION_ROWS))  # at most CALIBRATION_ROWS
+    sample = texts.join(sample, texts["doc_id"] == F.col("__id")).select("text", "toxic", "fold").limit(CALIBRATION_ROWS)
+    sample, seen = materialise(sample, "sample"), []
+    for left_out in range(1, FOLDS):
+        unseen = trained_on(F.col("fold") != left_out)
+        seen += with_comparison(sample.where(F.col("fold") == left_out), unseen).select("__c", "toxic").collect()
+        if unseen.shared is not None:
+            unseen.shared.unpersist()
+    model = trained_on(F.lit(True))
     x = np.array([r["__c"] for r in seen], float).reshape(-1, len(FIGURES)) * _SCALE
     y = np.array([r["toxic"] for r in seen], float)
     *weights, constant = (float(v) for v in fit_logistic(x, y))
@@ -310,5 +388,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, block_entries: int = BLOCK_ENTR
     for figure, scale, weight in zip(FIGURES, _SCALE, weights, strict=True):
         total = total + F.col(f"__c.{figure}") * (scale * weight)
     score = 1 / (1 + F.exp(-total))
-    out = with_comparison(docs.select(*names), blocks).withColumns({"held_out": held, "score": score}).drop("__c")
+    out = with_comparison(docs.select(*names), model).withColumns({"held_out": held, "score": score}).drop("__c")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

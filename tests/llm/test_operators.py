@@ -1,5 +1,6 @@
 """Operators against plain versions on odd rows: NULLs, empty and very long texts, ties, repeats, clashing columns."""
 
+import math
 import random
 
 import numpy as np
@@ -437,3 +438,40 @@ def test_toxicity_of_odd_rows(spark, docs, rows, empty):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in found)
     assert toxicity.toxicity(empty, labels).count() == 0
     assert {r["score"] for r in toxicity.toxicity(docs, labels.where("false")).collect()} == {0.5}
+
+
+def plain_evidence(counts, word):
+    """A word's log-likelihood ratio, each letter's probability written out for both classes."""
+    near, single = {}, {}
+    for e in counts:
+        near.setdefault(e[:-1][-toxicity.SHARED_CONTEXT :], {}).setdefault(e[-1], []).append(e)
+        single[e[-1]] = single.get(e[-1], 0) + 1
+    d, total = toxicity.DISCOUNT, sum(single.values()) + 0.5 * len(single)
+
+    def probability(e, side):
+        after = near.get(e[:-1][-toxicity.SHARED_CONTEXT :], {})
+        kinds, n = len(after), sum(map(len, after.values()))
+        p = (single.get(e[-1], 0) + 0.5) / total
+        p = max(len(after.get(e[-1], ())) - d, 0) / n + d * kinds / n * p if n else p
+        own = [c[side] for x, c in counts.items() if x[:-1] == e[:-1] and c[side]]
+        return max(counts.get(e, (0, 0))[side] - d, 0) / sum(own) + d * len(own) / sum(own) * p if own else p
+
+    return sum(math.log(probability(e, 0) / probability(e, 1)) for e in toxicity.entries_of(word))
+
+
+def test_toxicity_scores_every_letter(spark):
+    """Rare entries, contexts of one class, unseen letters and unseen contexts all count in full."""
+    texts = [("grumpf zwarkig", True), ("grund und grube und grau", False), ("ok grumbel", True), ("okapi über", False)]
+    counted = toxicity.letter_counts(spark.createDataFrame([(*t, 1) for t in texts], "text string, toxic boolean, fold int"))
+    counts = {r["entry"]: (r["ct"], r["co"]) for r in counted.collect()}
+    model = toxicity.model_entries(counted)
+    words = ["grumpf", "grumpx", "zwarkig", "zwarkel", "grund", "grube", "xyz", "okapi", "über", "q"]
+    expected = [plain_evidence(counts, w) for w in words]
+    assert sum(abs(x) > 0.01 for x in expected) >= 8
+    broadcast = toxicity.load_model(model)
+    assert broadcast.shared is not None and toxicity.load_model(model, 10).shared is None
+    assert np.allclose(toxicity.WordEvidence(*broadcast.shared.value).of(words), expected, atol=1e-9)
+    docs = spark.createDataFrame([(w,) for w in words], "text string")
+    for kept in (broadcast, toxicity.load_model(model, 10)):
+        found = {r["text"]: r["__c"]["word1"] for r in toxicity.with_comparison(docs, kept).collect()}
+        assert np.allclose([found[w] for w in words], expected, atol=1e-9)
