@@ -9,7 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import chat, decontam, jaccard, line_dedup, mixing, quality, secrets, token_counts, token_files, toxicity
+from . import (
+    chat,
+    decontam,
+    infill,
+    jaccard,
+    language_model,
+    line_dedup,
+    mixing,
+    periods,
+    quality,
+    secrets,
+    token_counts,
+    token_files,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -273,3 +287,88 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     kept = line_dedup.keep_lines(docs, line_dedup.keep_bitmaps(docs))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+INFILL_SQL = """
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+), d AS (
+  SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS h1, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) % 100 AS h3, CAST('0x' || h[25:32] AS BIGINT) % 100 AS h4 FROM t
+), f AS (
+  SELECT *, least(h1, h2) AS a, greatest(h1, h2) AS b,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 >= 90 THEN 'plain' WHEN h4 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d
+), o AS (
+  SELECT *, CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || substr(text, 1, a) || '<S>' || substr(text, b + 1) || '<M>' || substr(text, a + 1, b - a)
+    ELSE '<S>' || substr(text, b + 1) || '<P>' || substr(text, 1, a) || '<M>' || substr(text, a + 1, b - a) END AS output FROM f
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(output) AS output_sha256, sha256(text) AS restored_sha256 FROM o
+"""
+
+
+@query(INFILL_SQL)
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    made = infill.fill_in_middle(docs, seed="1").drop("text")
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(), 256).alias("restored_sha256"),
+    )
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """The contract's texts: in one of ten documents the words from ``a`` on repeat with period ``p``."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    chosen = docs.select("doc_id", "text", h.alias("h")).withColumn(
+        "words", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    )
+    drawn = chosen.withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    # The size of NULL words is NULL or -1.
+    placed = drawn.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    placed = placed.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    copies = "flatten(array_repeat(slice(words, a + 1, p), cast(ceil((n - a) / p) AS int)))"
+    texts = F.expr(f"array_join(concat(slice(words, 1, a), slice({copies}, 1, n - a)), ' ')")
+    return placed.select("doc_id", F.when(F.col("n") > 0, texts).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = planted_periods(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periods.periodic_runs(docs)
+    strongest = F.array_max(
+        F.transform(
+            "runs",
+            lambda r: F.struct(
+                (r["length"] / r["period"]).alias("exponent"),
+                (-r["start"]).alias("start"),
+                (-r["period"]).alias("period"),
+                r["length"].alias("length"),
+            ),
+        )
+    )
+    listed = F.array_join(
+        F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), F.concat(r["period"].cast("string"), F.lit("\n")))), ""
+    )
+    best = found.withColumn("best", strongest)
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) div (-best.period)").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.col("collapsed_sha256"),
+    )
+
+
+@query()
+def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.language_model_scores(read(spark, sf_dir, "documents").select("doc_id", "text"))
