@@ -46,6 +46,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _MADE: list[str] = []
+_PATHS: dict[int, tuple[DataFrame, str]] = {}
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -64,6 +65,8 @@ def remove_scratch(spark: SparkSession, *paths: str) -> int:
     wanted = list(paths) or list(_MADE)
     if unknown := [p for p in wanted if p not in _MADE]:
         raise ValueError(f"not made here: {unknown}")
+    for key in [k for k, (_, path) in _PATHS.items() if path in wanted]:
+        del _PATHS[key]
     for path in wanted:
         where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
@@ -79,7 +82,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[id(kept)] = kept, path
+    return kept
+
+
+def release(*frames: DataFrame) -> None:
+    """Remove what ``materialise`` wrote for the given frames, once nothing will read them again."""
+    for df in frames:
+        _, path = _PATHS.pop(id(df))
+        remove_scratch(df.sparkSession, path)
 
 
 def planned_bytes(df: DataFrame) -> int:
