@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import materialise, release
 
 
 def _toward_least(edges: DataFrame) -> DataFrame:
@@ -35,6 +35,7 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == seen or not mark[0]:
             break
         seen = mark
-        now = materialise(_down(_toward_least(now)).distinct(), "edges")
+        past, now = now, materialise(_down(_toward_least(now)).distinct(), "edges")
+        release(past)
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

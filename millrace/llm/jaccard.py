@@ -11,8 +11,8 @@ blocks of a bounded number of elements, and each block is searched with a signat
 
 A cluster of one block is then done. A larger one is cut into blocks by size class and hash. One
 set of each component of each block is compared first; then the sets outside the cluster's
-largest component visit the blocks of their own and the neighbouring size classes, so the members
-of a huge group of copies are read once and not paired with each other. Only links
+largest component visit those blocks that hold a set listed with them under one element and size class, so
+the members of a huge group of copies are read once and not paired with each other. Only links
 that connect components are made, never all pairs.
 
 Frequencies are only used for that order. They are counted in stretches of a task's documents, and
@@ -36,8 +36,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
-from .common import batch, map_batches, mix64, row_key, utf8
+from ..session import materialise, release
+from .common import batch, broadcast_if_counted, map_batches, mix64, row_key, utf8
 from .components import components
 from .pieces import Recent
 from .signature_tree import link
@@ -179,10 +179,8 @@ def _class(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(CLASS))).cast("long")
 
 
-def _clusters(sets: DataFrame, percent: int) -> DataFrame:
-    """(sid, cluster): classes (sid, n, firsts) connected by shared first elements.
-
-    Classes alone are left out.
+def _listed(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, sid): a key stands for an element and a size class, and lists sets that may be alike by it.
 
     The first element that two alike sets share stands so early in both that the rest suffices:
     a set of n with the element at place i has no larger partner than (n - i) * (1 + 1/p) - n.
@@ -190,19 +188,26 @@ def _clusters(sets: DataFrame, percent: int) -> DataFrame:
     partner of that size is possible.
     """
     shared = sets.select("sid", F.col("n").cast("int").alias("n"), F.posexplode("firsts").alias("i", "h"))
-    met = shared.groupBy("h").agg(F.count("*").alias("m")).where("m > 1").select("h")
     largest = (F.col("n") - F.col("i")) * (100 + percent) / percent - F.col("n")
-    next_class = largest >= F.pow(F.lit(CLASS), _class(F.col("n")) + 1)
-    listed = (
-        shared.join(met, "h")
-        .withColumn("c", F.explode(F.when(next_class, F.array(_class(F.col("n")), _class(F.col("n")) + 1)).otherwise(F.array(_class(F.col("n"))))))
-        .groupBy("h", "c", "sid")
-        .agg(F.lit(1).alias("one"))
-        .drop("one")
-    )
-    hubs = listed.groupBy("h", "c").agg(F.min("sid").alias("a"), F.count("*").alias("m")).where("m > 1")
-    edges = listed.join(hubs, ["h", "c"]).where("sid <> a").select("a", F.col("sid").alias("b"))
-    return components(edges).select(F.col("node").alias("sid"), F.col("root").alias("cluster"))
+    own = _class(F.col("n"))
+    classes = F.when(largest >= F.pow(F.lit(CLASS), own + 1), F.array(own, own + 1)).otherwise(F.array(own))
+    return shared.select("sid", "h", F.explode(classes).alias("c")).select(F.xxhash64("h", "c").alias("key"), "sid")
+
+
+def _clusters(sets: DataFrame, percent: int) -> DataFrame:
+    """(sid, cluster): classes (sid, n, firsts) connected by shared first elements; classes alone are left out.
+
+    Lists are reduced to their least and largest set before they are shuffled. Two sets are then an
+    edge; only the members of longer lists are looked for again.
+    """
+    listed = _listed(sets, percent)
+    hubs = listed.groupBy("key").agg(F.min("sid").alias("a"), F.max("sid").alias("b"), F.count("*").alias("m"))
+    hubs = materialise(hubs.where("a < b"), "hubs")
+    longer = hubs.where("m > 2").select("key", "a")
+    others = listed.join(broadcast_if_counted(longer, longer.count(), 48), "key").where("sid <> a").select("a", F.col("sid").alias("b"))
+    found = components(hubs.select("a", "b").unionByName(others))
+    release(hubs)
+    return found.select(F.col("node").alias("sid"), F.col("root").alias("cluster"))
 
 
 def _flags(values: DataFrame) -> np.ndarray:
@@ -234,25 +239,22 @@ def _flagged(flags: np.ndarray, values: np.ndarray) -> np.ndarray:
 
 
 def _gathered(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """``members`` (doc, row, ...) with their ``elements`` in place of doc and row; repeated rows repeat.
+    """(sid, n, cluster, class, block, elements) of ``members``, whose documents are cut into shingles again; repeated rows repeat.
 
-    Only documents whose flag is set are cut into shingles again; texts are not shuffled.
+    A counted, bounded table of members is broadcast, so that texts stay where they are.
     """
-    flags = docs.sparkSession.sparkContext.broadcast(_flags(members.select("row")))
-    out = pa.schema([("doc", pa.int64()), ("row", pa.int64()), ("elements", pa.binary())])
+    out = pa.schema([(c, pa.int64()) for c in ("sid", "n", "cluster", "class", "block")] + [("elements", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            wanted = _flagged(flags.value, rows.column("row").to_numpy())
-            if wanted.any():
-                some = rows.filter(pa.array(wanted))
-                elements = [shingles(t).tobytes() for t in utf8(some.column("text"))]
-                yield batch(out, some.column("doc"), some.column("row"), elements)
+            elements = [shingles(t).tobytes() for t in utf8(rows.column("text"))]
+            yield batch(out, *(rows.column(c) for c in out.names[:-1]), elements)
 
-    found = map_batches(docs.select("doc", "row", "text"), run, "doc long, row long, elements binary")
-    own = members.withColumnsRenamed({"doc": "__doc", "row": "__row"})
-    joined = found.join(own, F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("row") == F.col("__row")))
-    return joined.drop("doc", "row", "__doc", "__row")
+    own = members.select(F.col("doc").alias("__doc"), F.col("row").alias("__row"), *out.names[:-1])
+    own = broadcast_if_counted(own, members.count(), 160)
+    found = docs.join(own, F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("row") == F.col("__row")))
+    kind = "sid long, n long, cluster long, class long, block long, elements binary"
+    return map_batches(found.select("text", *out.names[:-1]), run, kind)
 
 
 def _searched(blocks: DataFrame, percent: int, labels: bool = False, guests: bool = False) -> DataFrame:
@@ -303,39 +305,42 @@ def _searched(blocks: DataFrame, percent: int, labels: bool = False, guests: boo
     return map_batches(ordered, run, "cluster long, block long, a long, b long, linked boolean")
 
 
-def _links(sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): links that connect all alike sets of (cluster, large, class, block, sid, n, elements)."""
+def _links(docs: DataFrame, classes: DataFrame, members: DataFrame, percent: int, made: list[DataFrame]) -> DataFrame:
+    """(a, b): links that connect all alike sets of (cluster, large, class, block, sid, doc, row, n).
+
+    What was written for them is added to ``made``, to be released once the links were read.
+    """
     new = [F.lit(None).cast("long").alias("known"), F.lit(False).alias("side")]
     alone = ["cluster", "block", "sid", "elements", *new]
-    single = _searched(sets.where("NOT large").select(*alone), percent)
-    several = _searched(sets.where("large").select(*alone), percent, labels=True)
-    first = materialise(single.unionByName(several), "links")
-    links = first.where("linked").select("a", "b")
+    single = _searched(_gathered(docs, members.where("NOT large")).select(*alone), percent).select("a", "b")
+    if members.where("large").isEmpty():
+        return single
+    large = materialise(_gathered(docs, members.where("large")), "blocks")
+    first = materialise(_searched(large.select(*alone), percent, labels=True), "links")
     labelled = first.where("NOT linked").select("cluster", "block", F.col("a").alias("sid"), F.col("b").alias("label"))
-    if labelled.isEmpty():
-        return links
     # One set of each component of each block; so many that they need blocks themselves are salted again.
-    large = sets.where("large")
     heads = large.join(labelled.where("sid = label").select("sid"), "sid")
     spread = heads.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_ELEMENTS)).alias("spread"))
     heads = heads.join(spread, "cluster").select("cluster", F.pmod(F.xxhash64("sid"), "spread").alias("block"), "sid", "elements", *new)
     second = materialise(_searched(heads, percent, labels=True), "links")
     merged = second.where("NOT linked").select(F.col("a").alias("label"), F.col("b").alias("root"))
-    named = labelled.join(merged, "label").select("sid", "cluster", "root")
+    named = labelled.join(merged, "label").select("sid", "cluster", "block", "root")
     most = named.groupBy("cluster", "root").agg(F.count("*").alias("m")).groupBy("cluster").agg(F.max_by("root", F.struct("m", "root")).alias("most"))
     named = materialise(named.join(most, "cluster").drop("cluster"), "labels")
-    rows = large.join(named, "sid")
-    own = rows.select("cluster", "block", "sid", "elements", F.col("root").alias("known"), F.lit(False).alias("side"))
-    # Sets outside the largest component visit other blocks of like sizes; their own has met them.
-    blocks = large.select("cluster", "class", "block").distinct().withColumnsRenamed({"class": "near", "block": "visited"})
-    guests = rows.where("root <> most").withColumn("near", F.explode(F.array(*[F.col("class") + d for d in (-1, 0, 1)])))
-    visits = (
-        guests.join(blocks, ["cluster", "near"])
-        .where("visited <> block")
-        .select("cluster", F.col("visited").alias("block"), "sid", "elements", F.col("root").alias("known"), F.lit(True).alias("side"))
-    )
-    third = _searched(own.unionByName(visits), percent, guests=True)
-    return links.unionByName(second.where("linked").select("a", "b")).unionByName(third.select("a", "b"))
+    # A set outside its cluster's largest component visits the blocks of sets that are listed with it.
+    listed = _listed(classes.join(named.select("sid"), "sid", "left_semi"), percent).join(named, "sid")
+    hosts = listed.select("key", F.col("block").alias("visited")).distinct()
+    guests = listed.where("root <> most").select("key", "sid", "block")
+    visits = materialise(guests.join(hosts, "key").where("visited <> block").select("sid", "visited").distinct(), "visits")
+    made += [large, first, second, named, visits]
+    rows = large.join(named.drop("block"), "sid")
+    columns = ["sid", "elements", F.col("root").alias("known")]
+    visiting = rows.join(visits, "sid").select("cluster", F.col("visited").alias("block"), *columns, F.lit(True).alias("side"))
+    visited = rows.join(visiting.select("cluster", "block").distinct(), ["cluster", "block"], "left_semi")
+    own = visited.select("cluster", "block", *columns, F.lit(False).alias("side"))
+    third = _searched(own.unionByName(visiting), percent, guests=True)
+    done = [x.where("linked").select("a", "b") for x in (first, second)]
+    return single.unionByName(done[0]).unionByName(done[1]).unionByName(third.select("a", "b"))
 
 
 def _placed(members: DataFrame) -> DataFrame:
@@ -366,9 +371,11 @@ def memberships(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = full.groupBy("sid").agg(first, F.any_value("firsts").alias("firsts")).select("sid", "m.*", "firsts").drop("absent")
     classes = materialise(classes, "classes")
     clusters = materialise(_clusters(classes, percent), "clusters")
-    members = materialise(classes.drop("firsts").join(clusters, "sid"), "members")
-    placed = materialise(_gathered(keyed, materialise(_placed(members), "members")), "blocks")
-    roots = components(_links(placed, percent))
+    members = classes.drop("firsts").join(clusters, "sid")
+    placed = materialise(_placed(members), "placed")
+    made = [clusters, placed]
+    roots = components(_links(keyed, classes, placed, percent, made))
+    release(*made)
     lowest = classes.select("sid", "doc")
     named = lowest.join(roots, lowest["sid"] == roots["node"], "left").select("sid", F.coalesce("root", "sid").alias("root"), "doc")
     least = named.groupBy("root").agg(F.min("doc").alias("component_id"))

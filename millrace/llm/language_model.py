@@ -41,7 +41,7 @@ HELD_OUT = 2
 DELETED = 3
 # Words of a stretch, and bytes of text that hold about as many.
 STRETCH = 1 << 21
-STRETCH_BYTES = 12 << 20
+STRETCH_BYTES = 8 << 20
 # Keys of a range; ranges are a power of two.
 RANGE_KEYS = 1 << 21
 # Steps of the events' grid per factor of two, and its width.

@@ -162,43 +162,46 @@ def slices(n: int, words: int) -> Iterator[tuple[int, int, int, int, int, int]]:
 
 _SOLVED = pa.schema(
     [
-        ("id", pa.int64()),
         ("doc_id", pa.int64()),
         ("n", pa.int64()),
         ("fragments", pa.list_(pa.list_(pa.int64()))),
+        ("pending", pa.bool_()),
         ("words", pa.binary()),
         ("words_sha256", pa.string()),
     ]
 )
 
 
-def _solved(docs: DataFrame, here: bool = True) -> DataFrame:
+def _solved(docs: DataFrame, long_bytes: int) -> DataFrame:
     """One row per document: its words' number and checksum, its runs, and its words if it has any.
 
     Fragments of a document that is solved at once are whole, so those that are no runs are left
-    out. With ``here`` off nothing is solved and the words always come along.
+    out. A longer document is ``pending``: its words come along unsolved.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            texts = [t.split() for t in utf8(rows.column("text"))]  # on bytes, this knows ASCII only
-            out = []
-            for words, found in zip(texts, solve_texts(texts) if here else [[]] * len(texts), strict=True):
-                joined = b" ".join(words)
-                out.append((len(words), found, joined if found or not here else None, hashlib.sha256(joined).hexdigest()))
-            yield batch(_SOLVED, rows.column("id"), rows.column("doc_id"), *(zip(*out, strict=True) if out else ([],) * 4))
+            given = utf8(rows.column("text"))
+            texts = [t.split() for t in given]  # on bytes, this knows ASCII only
+            pending = [len(t) > long_bytes for t in given]
+            found = solve_texts([[] if p else words for words, p in zip(texts, pending, strict=True)])
+            joined = [b" ".join(words) for words in texts]
+            kept = [j if f or p else None for j, f, p in zip(joined, found, pending, strict=True)]
+            yield batch(
+                _SOLVED, rows.column("doc_id"), [len(t) for t in texts], found, pending, kept, [hashlib.sha256(j).hexdigest() for j in joined]
+            )
 
-    kind = "id long, doc_id long, n long, fragments array<array<long>>, words binary, words_sha256 string"
-    return map_batches(docs.select("id", "doc_id", "text"), run, kind)
+    kind = "doc_id long, n long, fragments array<array<long>>, pending boolean, words binary, words_sha256 string"
+    return map_batches(docs, run, kind)
 
 
 def _long_fragments(docs: DataFrame, words: int) -> DataFrame:
-    """(id, q, s, e) of documents (id, text): slices are dealt over tasks and solved apart."""
+    """(id, q, s, e) of documents (id, words): slices are dealt over tasks and solved apart."""
     out = pa.schema([("id", pa.int64()), ("low", pa.int32()), ("high", pa.int32()), ("at", pa.int64()), ("first", pa.int64()), ("last", pa.int64()), ("codes", pa.binary())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            for name, text in zip(rows.column("id").to_pylist(), utf8(rows.column("text")), strict=True):
+            for name, text in zip(rows.column("id").to_pylist(), rows.column("words").to_pylist(), strict=True):
                 codes = codes_of([text.split()])[0][0].astype("<i4")
                 for low, high, start, stop, first, last in slices(len(codes), words):
                     yield batch(out, [name], [low], [high], [start], [first - start], [last - start], [codes[start:stop].tobytes()])
@@ -215,7 +218,7 @@ def _long_fragments(docs: DataFrame, words: int) -> DataFrame:
                     yield batch(found, [r["id"]] * len(q), q, np.array(s) + r["at"], np.array(e) + r["at"])
 
     kind = "id long, low int, high int, at long, first long, last long, codes binary"
-    dealt = map_batches(docs.select("id", "text"), cut, kind).repartition("id", "low", "at")
+    dealt = map_batches(docs.select("id", "words"), cut, kind).repartition("id", "low", "at")
     return map_batches(dealt, run, "id long, q long, s long, e long")
 
 
@@ -254,24 +257,21 @@ def periodic_runs(docs: DataFrame, long_bytes: int = LONG_BYTES, slice_words: in
     """
     bounded_batches(docs.sparkSession)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    large = F.coalesce(F.octet_length("text") > long_bytes, F.lit(False))
-    # Ids are fixed by the files they are written to; those of long documents are negative.
-    short = _solved(given.where(~large).withColumn("id", F.monotonically_increasing_id()))
-    long = materialise(given.where(large).withColumn("id", -1 - F.monotonically_increasing_id()), "long")
-    solved = short if long.isEmpty() else short.unionByName(_solved(long, here=False))
-    solved = materialise(solved, "periods")
+    # Ids are fixed by the files they are written to.
+    solved = materialise(_solved(given, long_bytes).withColumn("id", F.monotonically_increasing_id()), "periods")
+    long = solved.where("pending")
     parts = solved.select("id", F.explode("fragments").alias("f"))
     fragments = parts.select("id", *[F.get("f", F.lit(i)).alias(c) for i, c in enumerate(("q", "s", "e"))])
-    if not long.isEmpty():
+    if not long.select("id").isEmpty():
         fragments = fragments.unionByName(_long_fragments(long, slice_words))
     runs = stitched(fragments).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))
     # Only documents that may have runs are shuffled with their words.
-    words = solved.where("words IS NOT NULL").drop("fragments")
+    words = solved.where("words IS NOT NULL").drop("fragments", "pending")
     found = words.join(runs, "id", "left").withColumn("runs", F.coalesce("runs", _no_runs()))
     left = arrow_udf(_collapsed, "binary")(F.col("words"), F.col("runs"))
     collapsed = F.when(F.size("runs") > 0, left.cast("string"))
     found = found.withColumn("collapsed", collapsed).drop("words")
-    others = solved.where("words IS NULL").drop("fragments", "words").withColumns({"runs": _no_runs(), "collapsed": F.lit(None).cast("string")})
+    others = solved.where("words IS NULL").drop("fragments", "pending", "words").withColumns({"runs": _no_runs(), "collapsed": F.lit(None).cast("string")})
     digest = F.coalesce(F.sha2("collapsed", 256), F.col("words_sha256"))
     out = found.unionByName(others)
     return out.select("doc_id", F.col("n").alias("n_words"), "runs", "collapsed", digest.alias("collapsed_sha256"))
