@@ -38,6 +38,17 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH_ROWS)
 
 
+_HELD: list = [None, None]
+
+
+def kept_in_worker(owner, make: Callable):
+    """What a worker process keeps between tasks: one value of one owner; another owner's is dropped first."""
+    if _HELD[0] != owner:
+        _HELD[:] = owner, None
+        _HELD[1] = make()
+    return _HELD[1]
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` with batches of a bounded number of rows."""
     bounded_batches(df.sparkSession)

@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise, release
-from .common import batch, broadcast_if_counted, map_batches, mix64, row_key, utf8
+from .common import batch, broadcast_if_counted, kept_in_worker, map_batches, mix64, row_key, utf8
 from .components import components
 from .pieces import Recent
 from .signature_tree import link
@@ -60,19 +60,13 @@ BLOCK_SETS = 2048
 BLOCK_ELEMENTS = 1 << 22
 
 _FACTORS = (np.arange(1, 33, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
-_HASHES: list[Recent] = []
-
-
-def _word_hashes() -> Recent:
-    if not _HASHES:
-        _HASHES.append(Recent(xxhash.xxh3_64_intdigest))
-    return _HASHES[0]
 
 
 def word_hashes(text: bytes) -> np.ndarray:
     """A 64-bit hash of every word of a text, in order."""
     words = text.lower().split()  # on bytes, both know ASCII only
-    return mix64(np.fromiter(map(_word_hashes().__getitem__, words), np.uint64, len(words)))
+    hashes = kept_in_worker("word hashes", lambda: Recent(xxhash.xxh3_64_intdigest))
+    return mix64(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
 
 
 def _sums(words: np.ndarray, size: int) -> np.ndarray:

@@ -146,15 +146,3 @@ def load_config(path: str) -> str:
 def share(spark: SparkSession, value):
     """Broadcast a tokenizer's file or vocabulary, whose size is that of the file."""
     return spark.sparkContext.broadcast(value)
-
-
-_LOADED: dict[int, Pieces] = {}
-
-
-def loaded(config: str) -> Pieces:
-    """One instance per worker process and tokenizer."""
-    key = hash(config)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = Pieces(config)
-    return _LOADED[key]

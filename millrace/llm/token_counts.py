@@ -17,21 +17,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import bounded_batches, utf8
-from .pieces import Recent, load_config, loaded, share, whole_tokens
+from .common import bounded_batches, kept_in_worker, utf8
+from .pieces import Pieces, Recent, load_config, share, whole_tokens
 
 
-_COUNTS: dict[int, Recent] = {}
+def piece_counts(config: str, whole: frozenset[str]) -> tuple[Pieces, Recent]:
+    """The cutter, and tokens per pre-token: one if it is a whole token, else those of its merges."""
 
+    def make():
+        pieces = Pieces(config)
+        return pieces, Recent(lambda piece: 1 if piece in whole else len(pieces.merge(piece)))
 
-def piece_counts(config: str, whole: frozenset[str]) -> Recent:
-    """Tokens per pre-token: one if it is a whole token, else those of its merges."""
-    key = hash(config)
-    if key not in _COUNTS:
-        merge = loaded(config).merge
-        _COUNTS.clear()
-        _COUNTS[key] = Recent(lambda piece: 1 if piece in whole else len(merge(piece)))
-    return _COUNTS[key]
+    return kept_in_worker(("token counts", hash(config)), make)
 
 
 def count_tokens(docs: DataFrame, tokenizer: str, limit: int, text: str = "text") -> DataFrame:
@@ -47,9 +44,9 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int, text: str = "text"
     @arrow_udf("long")
     def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         config, whole = shared.value
-        pieces = loaded(config)
+        pieces, counts = piece_counts(config, whole)
         if pieces.known:
-            count = piece_counts(config, whole).__getitem__
+            count = counts.__getitem__
             for texts in batches:
                 yield pa.array([sum(pieces.spread(t, count, len)) for t in utf8(texts)], pa.int64())
         else:

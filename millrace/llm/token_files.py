@@ -29,8 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import batch, map_batches, utf8
-from .pieces import Recent, load_config, loaded, share
+from .common import batch, kept_in_worker, map_batches, utf8
+from .pieces import Pieces, Recent, load_config, share
 
 BLOCK = 4096
 # A segment is closed once it holds so many ids; one document is never split over segments.
@@ -116,25 +116,18 @@ def decode_blocks(payload: bytes, starts: list[int]) -> np.ndarray:
     return np.concatenate([decode_block(payload, s) for s in starts]) if starts else np.empty(0, np.uint32)
 
 
-_MERGED: dict[int, Recent] = {}
-
-
 def _encoder(config: str, end_id: int):
     """A function from UTF-8 text to its ids, the end id last."""
-    pieces = loaded(config)
+    pieces = Pieces(config)
     if not pieces.known:
         return lambda text: np.array([*pieces.encode(text.decode()), end_id], np.uint32)
-    key = hash(config)
     small = max(pieces.library.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16
     code, kind = ("H", np.uint16) if small else ("I", np.uint32)
 
     def packed(ids: list[int]) -> bytes:
         return array(code, ids).tobytes()
 
-    if key not in _MERGED:
-        _MERGED.clear()
-        _MERGED[key] = Recent(lambda piece: packed(pieces.merge(piece)))
-    found = _MERGED[key].__getitem__
+    found = Recent(lambda piece: packed(pieces.merge(piece))).__getitem__
     end = packed([end_id])
 
     def encode(text: bytes) -> np.ndarray:
@@ -153,7 +146,8 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int) -
     shared = share(spark, load_config(tokenizer))
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(shared.value, end_id)
+        config = shared.value
+        encode = kept_in_worker(("token files", hash(config), end_id), lambda: _encoder(config, end_id))
         shard, segment, first = 0, 0, 0
         ids, names, held = [], [], 0
 

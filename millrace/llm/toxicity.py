@@ -12,7 +12,7 @@ the number of its different words.
 Every letter of a word counts, however rarely its entry was seen. A letter that neither class has seen
 after a known context has the same shared probability in both, so its evidence is the difference
 of the backoff masses, one figure per context; after a context that neither has seen it is 0.
-Counts come from every distinct labelled training text. A model of a counted, bounded size is
+Counts come from every distinct labelled training text; copies of a text count once. A model of a counted, bounded size is
 broadcast as sorted 64-bit keys of its entries; a larger one is joined to the distinct words on Spark.
 
 These figures of a document are turned into a score by a logistic curve, fitted on at most
@@ -42,8 +42,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ..session import materialise
-from .common import BROADCAST_BYTES, batch, bounded_batches, broadcast_if_counted, map_batches, mix64, utf8
+from ..session import materialise, release
+from .common import BROADCAST_BYTES, batch, bounded_batches, broadcast_if_counted, kept_in_worker, map_batches, mix64, utf8
 
 CONTEXT = 5
 SHARED_CONTEXT = 2
@@ -116,30 +116,34 @@ def letter_counts(texts: DataFrame) -> DataFrame:
     return found.select(F.expr("left(entry, 1)").cast("int").alias("fold"), F.expr("substring(entry, 2)").alias("entry"), "ct", "co")
 
 
-def model_entries(counts: DataFrame) -> DataFrame:
-    """(entry, evidence): difference of the classes' log-probabilities of every entry that a class has
+def model_entries(counts: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """(entry, evidence), for each value of ``by`` a model of its own: difference of the classes' log-probabilities of every entry that a class has
     seen, and of any other letter after each context (``_UNSEEN``)."""
+    if not by:
+        return model_entries(counts.withColumn("variant", F.lit(0)), ("variant",)).drop("variant")
     c = counts.withColumns(
         {
             "context": F.expr("substring(entry, 1, length(entry) - 1)"),
             "letter": F.expr("right(entry, 1)"),
         }
     ).withColumn("near", F.expr(f"right(context, {SHARED_CONTEXT})"))
-    own = c.groupBy("context").agg(
+    own = c.groupBy(*by, "context").agg(
         F.sum("ct").alias("nt"),
         F.sum("co").alias("no"),
         F.sum((F.col("ct") > 0).cast("int")).alias("kt"),
         F.sum((F.col("co") > 0).cast("int")).alias("ko"),
     )
-    follow = c.groupBy("near", "letter").agg(F.count("*").alias("cont"))
-    after = follow.groupBy("near").agg(F.sum("cont").alias("cont_all"), F.count("*").alias("cont_kinds"))
-    single = follow.groupBy("letter").agg(F.sum("cont").alias("one"))
-    every = single.agg(F.sum("one").alias("all"), F.count("*").alias("kinds")).first()
+    # Figures of letters and of short contexts: as many as there are letters, not texts.
+    follow = c.groupBy(*by, "near", "letter").agg(F.count("*").alias("cont"))
+    after = follow.groupBy(*by, "near").agg(F.sum("cont").alias("cont_all"), F.count("*").alias("cont_kinds"))
+    single = follow.groupBy(*by, "letter").agg(F.sum("cont").alias("one"))
+    every = single.groupBy(*by).agg(F.sum("one").alias("all"), F.count("*").alias("letters"))
+    single = single.join(every, list(by))
     d = F.lit(DISCOUNT)
-    shared = follow.join(after, "near").join(single, "letter")
-    low = (F.col("one") + 0.5) / F.lit((every["all"] or 0) + 0.5 * every["kinds"])
+    shared = follow.join(after, [*by, "near"]).join(single, [*by, "letter"])
+    low = (F.col("one") + 0.5) / (F.col("all") + 0.5 * F.col("letters"))
     p = (F.col("cont") - d) / F.col("cont_all") + d * F.col("cont_kinds") / F.col("cont_all") * low
-    shared = shared.select("near", "letter", p.alias("shared"))
+    shared = shared.select(*by, "near", "letter", p.alias("shared"))
 
     def mass(n: str, k: str) -> Column:
         return F.when(F.col(n) > 0, d * F.col(k) / F.col(n)).otherwise(1.0)
@@ -148,11 +152,11 @@ def model_entries(counts: DataFrame) -> DataFrame:
         seen = F.when(F.col(n) > 0, F.greatest(F.col(of) - d, F.lit(0.0)) / F.col(n)).otherwise(0.0)
         return seen + mass(n, k) * F.col("shared")
 
-    full = c.join(own, "context").join(shared, ["near", "letter"])
+    full = c.join(own, [*by, "context"]).join(shared, [*by, "near", "letter"])
     evidence = F.log(probability("nt", "kt", "ct")) - F.log(probability("no", "ko", "co"))
     unseen = F.log(mass("nt", "kt")) - F.log(mass("no", "ko"))
-    return full.select("entry", evidence.alias("evidence")).unionByName(
-        own.select(F.concat("context", F.lit(_UNSEEN)).alias("entry"), unseen.alias("evidence"))
+    return full.select(*by, "entry", evidence.alias("evidence")).unionByName(
+        own.select(*by, F.concat("context", F.lit(_UNSEEN)).alias("entry"), unseen.alias("evidence"))
     )
 
 
@@ -212,18 +216,6 @@ class WordEvidence:
         return np.fromiter(map(now.__getitem__, words), np.float64, len(words))
 
 
-_EVIDENCE: dict[str, WordEvidence] = {}
-
-
-def _evidence(name: str, shared) -> WordEvidence:
-    """One cache per worker and model; those of two models stay."""
-    if name not in _EVIDENCE:
-        if len(_EVIDENCE) >= 2:
-            _EVIDENCE.clear()
-        _EVIDENCE[name] = WordEvidence(*shared.value)
-    return _EVIDENCE[name]
-
-
 # The strongest of many different words is stronger by chance than that of few, so their number counts too.
 FIGURES = ("whole", "window", *(f"{kind}{i}" for kind in ("word", "log") for i in range(1, STRONGEST + 1)), "kinds")
 
@@ -252,9 +244,8 @@ class Model:
 
 
 def load_model(entries: DataFrame, block_entries: int = BLOCK_ENTRIES) -> Model:
-    """Broadcast a model of at most ``block_entries`` entries; a larger one stays a table."""
-    spark = entries.sparkSession
-    model = materialise(entries, "toxicity")
+    """Broadcast a model (a written table) of at most ``block_entries`` entries; a larger one stays a table."""
+    spark, model = entries.sparkSession, entries
     if model.count() > block_entries:
         return Model(model)
     out = pa.schema([("key", pa.int64()), ("evidence", pa.float64())])
@@ -269,8 +260,8 @@ def load_model(entries: DataFrame, block_entries: int = BLOCK_ENTRIES) -> Model:
     return Model(model, uuid.uuid4().hex, spark.sparkContext.broadcast((keys[order], found.column("evidence").to_numpy()[order])))
 
 
-def _joined(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """``docs`` with ``__w``, the evidence of each different word, without a model in tasks."""
+def _joined(docs: DataFrame, model: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` with ``__w``, the evidence of each different word by the model of its ``by``, without a model in tasks."""
     # Equal texts have equal words; their hash stands for them.
     text_key = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
 
@@ -282,19 +273,19 @@ def _joined(docs: DataFrame, model: DataFrame) -> DataFrame:
     def letters(words: pa.Array) -> pa.Array:
         return pa.array([entries_of(w) for w in words.to_pylist()], pa.list_(pa.string()))
 
-    per_text = docs.select(text_key.alias("__k"), F.explode(words("text")).alias("word")).distinct()
-    entry = per_text.select("word").distinct().select("word", F.explode(letters("word")).alias("entry"))
+    per_text = docs.select(*by, text_key.alias("__k"), F.explode(words("text")).alias("word")).distinct()
+    entry = per_text.select(*by, "word").distinct().select(*by, "word", F.explode(letters("word")).alias("entry"))
     seen = model.withColumnRenamed("evidence", "seen")
-    unseen = model.select(F.col("entry").alias("any"), F.col("evidence").alias("unseen"))
+    unseen = model.select(*by, F.col("entry").alias("any"), F.col("evidence").alias("unseen"))
     context = F.concat(F.expr("substring(entry, 1, length(entry) - 1)"), F.lit(_UNSEEN))
-    figures = entry.join(seen, "entry", "left").withColumn("any", context).join(unseen, "any", "left")
-    known = figures.groupBy("word").agg(F.sum(F.coalesce("seen", "unseen", F.lit(0.0))).alias("evidence"))
-    found = per_text.join(known, "word").groupBy("__k").agg(F.collect_list(F.struct("word", "evidence")).alias("__w"))
-    return docs.withColumn("__k", text_key).join(found, "__k", "left").drop("__k")
+    figures = entry.join(seen, [*by, "entry"], "left").withColumn("any", context).join(unseen, [*by, "any"], "left")
+    known = figures.groupBy(*by, "word").agg(F.sum(F.coalesce("seen", "unseen", F.lit(0.0))).alias("evidence"))
+    found = per_text.join(known, [*by, "word"]).groupBy(*by, "__k").agg(F.collect_list(F.struct("word", "evidence")).alias("__w"))
+    return docs.withColumn("__k", text_key).join(found, [*by, "__k"], "left").drop("__k")
 
 
-def with_comparison(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``__c``, a struct of ``FIGURES``."""
+def with_comparison(docs: DataFrame, model: Model, by: tuple[str, ...] = ()) -> DataFrame:
+    """``docs`` with ``__c``, a struct of ``FIGURES``, by the model of each row's ``by``."""
     bounded_batches(docs.sparkSession)
     kind = "struct<" + ",".join(f"{f}:double" for f in FIGURES) + ">"
 
@@ -306,7 +297,7 @@ def with_comparison(docs: DataFrame, model: Model) -> DataFrame:
 
         @arrow_udf(kind)
         def at_once(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            evidence = _evidence(name, shared)
+            evidence = kept_in_worker(("toxicity", name), lambda: WordEvidence(*shared.value))
             for texts in batches:
                 yield figures([compared(words, evidence.of(words)) for words in map(words_of, utf8(texts))])
 
@@ -320,7 +311,7 @@ def with_comparison(docs: DataFrame, model: Model) -> DataFrame:
             found.append(compared(words, np.array([evidence[w] for w in words], float)))
         return figures(found)
 
-    return _joined(docs, model.entries).withColumn("__c", finish(F.col("text"), F.col("__w"))).drop("__w")
+    return _joined(docs, model.entries, by).withColumn("__c", finish(F.col("text"), F.col("__w"))).drop("__w")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
@@ -351,11 +342,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, block_entries: int = BLOCK_ENTR
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     known = materialise(known.withColumn("fold", fold()).where("fold > 0"), "labels")
     rows = known.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
-    held = F.coalesce(fold() == 0, F.lit(False))
+    held_out = F.coalesce(fold() == 0, F.lit(False))
     names = [c for c in docs.columns if c not in ("held_out", "score", "predicted")]
     if not 0 < rows["toxic"] < rows["n"]:
         share = rows["toxic"] / rows["n"] if rows["n"] else 0.5
-        out = docs.select(*names, held.alias("held_out"), F.lit(share).alias("score"))
+        out = docs.select(*names, held_out.alias("held_out"), F.lit(share).alias("score"))
         return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
     texts = docs.select("doc_id", "text")
@@ -368,25 +359,26 @@ def toxicity(docs: DataFrame, labels: DataFrame, block_entries: int = BLOCK_ENTR
     own = broadcast_if_counted(once, rows["n"], 32)
     counts = materialise(letter_counts(texts.join(own, texts["doc_id"] == own["__id"]).select("text", "toxic", "fold")), "letters")
 
-    def trained_on(chosen: Column) -> Model:
-        part = counts.where(chosen).groupBy("entry").agg(F.sum("ct").alias("ct"), F.sum("co").alias("co"))
-        return load_model(model_entries(materialise(part, "counts")), block_entries)
+    # Variant 0 is trained on all training folds and scores; each other one leaves out the fold of its number.
+    variants = F.explode(F.array(*[F.lit(v) for v in range(FOLDS)])).alias("variant")
+    parts = counts.select(variants, "fold", "entry", "ct", "co").where("variant <> fold")
+    parts = materialise(parts.groupBy("variant", "entry").agg(F.sum("ct").alias("ct"), F.sum("co").alias("co")), "counts")
+    entries = materialise(model_entries(parts, ("variant",)), "toxicity")
+    release(counts, parts)
 
     sample = F.broadcast(once.orderBy(F.xxhash64("__id"), "__id").limit(CALIBRATION_ROWS))  # at most CALIBRATION_ROWS
     sample = texts.join(sample, texts["doc_id"] == F.col("__id")).select("text", "toxic", "fold").limit(CALIBRATION_ROWS)
-    sample, seen = materialise(sample, "sample"), []
-    for left_out in range(1, FOLDS):
-        unseen = trained_on(F.col("fold") != left_out)
-        seen += with_comparison(sample.where(F.col("fold") == left_out), unseen).select("__c", "toxic").collect()
-        if unseen.shared is not None:
-            unseen.shared.unpersist()
-    model = trained_on(F.lit(True))
-    x = np.array([r["__c"] for r in seen], float).reshape(-1, len(FIGURES)) * _SCALE
-    y = np.array([r["toxic"] for r in seen], float)
-    *weights, constant = (float(v) for v in fit_logistic(x, y))
+    sample = materialise(sample.withColumnRenamed("fold", "variant"), "sample")
+    seen = with_comparison(sample, Model(entries.where("variant > 0")), ("variant",)).select("__c.*", "toxic").toArrow()
+    release(sample, once)
+    model = load_model(entries.where("variant = 0").drop("variant"), block_entries)
+    x = np.column_stack([seen.column(f).to_numpy() for f in FIGURES]) * _SCALE
+    y = seen.column("toxic").to_numpy().astype(float)
+    weights = fit_logistic(x, y)
+    *weights, constant = (float(v) for v in weights)
     total = F.lit(constant)
     for figure, scale, weight in zip(FIGURES, _SCALE, weights, strict=True):
         total = total + F.col(f"__c.{figure}") * (scale * weight)
     score = 1 / (1 + F.exp(-total))
-    out = with_comparison(docs.select(*names), model).withColumns({"held_out": held, "score": score}).drop("__c")
+    out = with_comparison(docs.select(*names), model).withColumns({"held_out": held_out, "score": score}).drop("__c")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
