@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ..functions.times import floor_div, to_micros
 from ..operators.aggregates import exact_sum
 from ..session import scratch_path
-from ..streaming.bars import read_bars, run_ohlcv
+from ..streaming.bars import late_trades, read_bars, repair_bars, run_ohlcv
+from ..streaming.layers import applied, folders, read_layers, run_layers
+from ..streaming.state import read_state, run_state
 from ..streaming.streams import (
     append_files,
     append_partitioned,
@@ -186,24 +188,75 @@ def cdc_latest_state(load, spark):
     return now.withColumn("ts", F.timestamp_micros("ts").cast("timestamp_ntz"))
 
 
+# Trades in four deliveries by day; every 50th comes one delivery later than its time.
+DELIVERIES = "least(3, CAST(floor((day(ts) - 1) / 8) AS INT) + CASE WHEN event_id % 50 = 0 THEN 1 ELSE 0 END)"
+
+
 @query(
     "stream_ohlcv",
+    f"WITH t AS (SELECT *, {DELIVERIES} AS q FROM events), m AS (SELECT q, max(ts) AS newest FROM t GROUP BY q), "
+    "l AS (SELECT t.*, date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(newest) FROM m WHERE m.q < t.q) - INTERVAL 1 HOUR AS late FROM t) "
     "SELECT date_trunc('hour', ts) AS period_start, event_type AS symbol, arg_min(value, (ts, event_id)) AS open_price, max(value) AS high_price, min(value) AS low_price, "
-    f"arg_max(value, (ts, event_id)) AS close_price, CAST(sum(user_id % 10) AS DOUBLE) AS total_volume, count(*) AS trades_count FROM events GROUP BY ALL",
+    f"arg_max(value, (ts, event_id)) AS close_price, CAST(sum(user_id % 10) AS DOUBLE) AS total_volume, {money('value * (user_id % 10)')} AS total_amount_usdt, "
+    "count(*) AS trades_count, count(*) FILTER (late) AS late_trades FROM l GROUP BY ALL",
 )
 def stream_ohlcv(load, spark):
+    """Bars kept over four batches, the ledger of late trades, and the bars after its repair."""
     base = scratch_path(spark, "bars")
+    price, quantity = F.col("value").cast("decimal(12,2)"), (F.col("user_id") % 10).cast("decimal(6,0)")
     trades = load("events").select(
         F.col("event_id").alias("trade_id"),
         F.col("event_type").alias("symbol"),
-        F.col("value").alias("price"),
-        (F.col("user_id") % 10).cast("double").alias("quantity"),
-        (F.col("value") * (F.col("user_id") % 10)).alias("amount_usdt"),
+        price.alias("price"),
+        quantity.alias("quantity"),
+        (price * quantity).cast("decimal(18,2)").alias("amount_usdt"),
         "ts",
+        F.expr(DELIVERIES).alias("delivery"),
+    )
+    for delivery in range(4):
+        part = trades.where(F.col("delivery") == delivery).drop("delivery")
+        part.repartition(4).write.parquet(f"{base}/in/delivery={delivery}")
+    # One delivery a batch: files are taken in the order of their times.
+    stream = file_source(spark, f"{base}/in/*", trades.drop("delivery").schema, per_trigger=4)
+    run_ohlcv(stream, f"{base}/out", f"{base}/checkpoint", width="1 hour")
+    behind = late_trades(spark, f"{base}/out").groupBy(F.window("ts", "1 hour")["start"].alias("period_start"), "symbol").agg(F.count("*").alias("late_trades"))
+    repair_bars(spark, f"{base}/out", "1 hour")
+    bars = read_bars(spark, f"{base}/out")
+    money_columns = [c for c, kind in bars.dtypes if kind.startswith("decimal")]
+    joined = bars.join(behind, ["period_start", "symbol"], "left").withColumn("late_trades", F.coalesce("late_trades", F.lit(0)))
+    return joined.withColumns({c: F.col(c).cast("double") for c in money_columns})
+
+
+@query(
+    "stream_current_state",
+    "SELECT id, order_id, status, ts FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY epoch_us(ts) // 1000 DESC, event_id DESC) AS rn "
+    f"FROM ({CHANGES_SQL})) WHERE rn = 1 AND op <> 'd'",
+)
+def stream_current_state(load, spark):
+    """The table of current rows that the stream itself keeps, over four batches or more."""
+    base = scratch_path(spark, "state")
+    change_texts(load("events")).repartition(16).write.text(f"{base}/in")
+    lines = file_source(spark, f"{base}/in", "value string", kind="text", per_trigger=4)
+    changes = parse_envelope(lines, ROW).withColumn("pos", F.col("source")["pos"].try_cast("bigint"))
+    run_state(changes, f"{base}/out", f"{base}/checkpoint", "id", "pos", buckets=16)
+    return read_state(spark, f"{base}/out").withColumn("ts", F.timestamp_micros("ts").cast("timestamp_ntz"))
+
+
+@query(
+    "stream_layered_buffer",
+    f"SELECT event_type, count(*) AS n, {money('value')} AS total, CAST(12 AS BIGINT) AS batches, true AS few_folders FROM events GROUP BY event_type",
+)
+def stream_layered_buffer(load, spark):
+    """Twelve small batches; folders are merged by threes, so that three or four are left."""
+    base = scratch_path(spark, "layers")
+    events = load("events")
+    events.repartition(24).write.parquet(f"{base}/in")
+    run_layers(file_source(spark, f"{base}/in", events.schema, per_trigger=2), f"{base}/out", f"{base}/checkpoint", fan=3)
+    left = folders(spark, f"{base}/out")
+    few = F.lit(all(sum(f.level == x for f in left) < 3 for x in range(4)) and len(left) <= 4)
+    return read_layers(spark, f"{base}/out").groupBy("event_type").agg(
+        F.count("*").alias("n"), exact_sum(F.col("value")).alias("total"), F.lit(applied(spark, f"{base}/out") + 1).cast("long").alias("batches"), few.alias("few_folders")
     )
-    trades.write.parquet(f"{base}/in")
-    run_ohlcv(file_source(spark, f"{base}/in", trades.schema), f"{base}/out", f"{base}/checkpoint", width="1 hour")
-    return read_bars(spark, f"{base}/out").drop("total_amount_usdt")
 
 
 @query("stream_micro_buffer", f"SELECT CAST(3 AS BIGINT) AS flushes, count(*) AS n, {money('value')} AS total FROM events")
