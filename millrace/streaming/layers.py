@@ -10,37 +10,79 @@ as long as ``KEPT`` further batches.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
-from dataclasses import astuple, dataclass
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.writers import full_refresh, keep_versions, list_versions, newest_version
 from .streams import trigger_args
 
 FAN = 8
 KEPT = 4
-_ROWS = "folder string, level int, first long, last long"
 
 
 @dataclass(frozen=True)
 class Folder:
     """One folder of a table: the batches ``first`` to ``last``."""
 
-    name: str
+    folder: str
     level: int
     first: int
     last: int
 
 
-def _manifest(spark: SparkSession, version: str | None) -> list[Folder]:
-    return [Folder(*r) for r in spark.read.schema(_ROWS).parquet(version).collect()] if version else []
+def _place(spark: SparkSession, path: str):
+    """A path and its file system."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    where, fs = _place(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def _manifests(spark: SparkSession, path: str) -> list[str]:
+    """Names of the complete manifests, oldest first."""
+    return [n for n in _names(spark, f"{path}/manifest") if n.endswith(".json")]
+
+
+def _rows(spark: SparkSession, path: str, name: str) -> list[dict]:
+    where, fs = _place(spark, f"{path}/manifest/{name}")
+    stream = fs.open(where)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def manifest(spark: SparkSession, path: str) -> list[dict]:
+    """The rows of the newest manifest; none before the first."""
+    names = _manifests(spark, path)
+    return _rows(spark, path, names[-1]) if names else []
+
+
+def commit(spark: SparkSession, path: str, rows: list[dict]) -> None:
+    """Make ``rows`` the manifest, then remove data folders that none of the last ``KEPT`` manifests name."""
+    names = _manifests(spark, path)
+    number = int(names[-1].split(".")[0]) + 1 if names else 0
+    draft, fs = _place(spark, f"{path}/manifest/{number:012d}.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(json.dumps(rows).encode()))
+    out.close()
+    if not fs.rename(draft, _place(spark, f"{path}/manifest/{number:012d}.json")[0]):
+        raise RuntimeError(f"manifest {number} of {path} was written by another run")
+    names = _manifests(spark, path)
+    used = {r["folder"] for n in names[-KEPT:] for r in _rows(spark, path, n)}
+    old = [f"manifest/{n}" for n in names[:-KEPT]]
+    for gone in old + [f"data/{n}" for n in _names(spark, f"{path}/data") if n not in used]:
+        fs.delete(_place(spark, f"{path}/{gone}")[0], True)
 
 
 def folders(spark: SparkSession, path: str) -> list[Folder]:
     """The folders of the table, by level and batch; fewer than ``fan`` a level."""
-    now = _manifest(spark, newest_version(spark, f"{path}/manifest"))
-    return sorted(now, key=lambda f: (f.level, f.first))
+    return sorted((Folder(**r) for r in manifest(spark, path)), key=lambda f: (f.level, f.first))
 
 
 def applied(spark: SparkSession, path: str) -> int:
@@ -49,7 +91,7 @@ def applied(spark: SparkSession, path: str) -> int:
 
 
 def _read(spark: SparkSession, path: str, some: list[Folder]) -> DataFrame:
-    return spark.read.parquet(*[f"{path}/data/{f.name}" for f in some])
+    return spark.read.parquet(*[f"{path}/data/{f.folder}" for f in some])
 
 
 def read_layers(spark: SparkSession, path: str) -> DataFrame | None:
@@ -58,18 +100,6 @@ def read_layers(spark: SparkSession, path: str) -> DataFrame | None:
     return _read(spark, path, now) if now else None
 
 
-def commit(spark: SparkSession, path: str, rows: list[tuple], schema: str, named: Callable[[str], set[str]]) -> None:
-    """Make ``rows`` the manifest, then remove data folders that none of the last ``KEPT`` manifests name."""
-    full_refresh(spark.createDataFrame(rows, schema).coalesce(1), f"{path}/manifest")
-    keep_versions(spark, f"{path}/manifest", KEPT)
-    used = set().union(*(named(v) for v in list_versions(spark, f"{path}/manifest")))
-    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/data")
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in fs.listStatus(root):
-        if status.getPath().getName() not in used:
-            fs.delete(status.getPath(), True)
-
-
 def add_batch(df: DataFrame, path: str, number: int, merge: Callable[[DataFrame], DataFrame] | None = None, fan: int = FAN) -> bool:
     """Add batch ``number`` and merge full levels; False if the table has that batch already.
 
@@ -86,9 +116,9 @@ def add_batch(df: DataFrame, path: str, number: int, merge: Callable[[DataFrame]
         level += 1
         whole = Folder(f"l={level}-{full[0].first}-{full[-1].last}", level, full[0].first, full[-1].last)
         rows = _read(spark, path, full)
-        (merge(rows) if merge else rows).hint("rebalance").write.mode("overwrite").parquet(f"{path}/data/{whole.name}")
+        (merge(rows) if merge else rows).hint("rebalance").write.mode("overwrite").parquet(f"{path}/data/{whole.folder}")
         now = [f for f in now if f not in full] + [whole]
-    commit(spark, path, [astuple(f) for f in now], _ROWS, lambda version: {f.name for f in _manifest(spark, version)})
+    commit(spark, path, [asdict(f) for f in now])
     return True
 
 

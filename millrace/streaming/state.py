@@ -13,21 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordering import pick_one
-from ..sources.writers import newest_version
-from .layers import commit
+from .layers import commit, manifest
 from .streams import trigger_args
 
-_ROWS = "bucket int, folder string, applied long, buckets int"
-
-
-def _manifest(spark: SparkSession, version: str | None) -> list:
-    return spark.read.schema(_ROWS).parquet(version).collect() if version else []
-
 
 def apply_changes(changes: DataFrame, path: str, number: int, key: str, position: str | None = None, buckets: int = 64) -> bool:
     """Merge parsed changes (before, after, op, ts_ms, position) as batch ``number``; False if it was merged before."""
     spark = changes.sparkSession
-    now = _manifest(spark, newest_version(spark, f"{path}/manifest"))
+    now = manifest(spark, path)
     if now and now[0]["buckets"] != buckets:
         raise ValueError(f"the table has {now[0]['buckets']} buckets")
     if any(r["applied"] >= number for r in now):
@@ -45,9 +38,7 @@ def apply_changes(changes: DataFrame, path: str, number: int, key: str, position
     if touched:
         new.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/data/batch={number}")
     held |= {b: f"batch={number}" for b in touched}
-    rows = [(b, held.get(b), number, buckets) for b in range(buckets)]
-    if held:
-        commit(spark, path, rows, _ROWS, lambda version: {r["folder"] for r in _manifest(spark, version)})
+    commit(spark, path, [{"bucket": b, "folder": held.get(b), "applied": number, "buckets": buckets} for b in range(buckets)])
     return True
 
 
@@ -59,6 +50,8 @@ def run_state(changes: DataFrame, path: str, checkpoint: str, key: str, position
 
 def read_state(spark: SparkSession, path: str) -> DataFrame:
     """The current row of every key that is not deleted."""
-    now = _manifest(spark, newest_version(spark, f"{path}/manifest"))
+    now = manifest(spark, path)
     held = [f"{path}/data/{r['folder']}/bucket={r['bucket']}" for r in now if r["folder"]]
+    if not held:
+        raise ValueError(f"no rows were ever written to {path}")
     return spark.read.parquet(*held).where("op <> 'd' AND after IS NOT NULL").select("after.*")
