@@ -188,8 +188,9 @@ def _listed(sets: DataFrame, percent: int) -> DataFrame:
     return shared.select("sid", "h", F.explode(classes).alias("c")).select(F.xxhash64("h", "c").alias("key"), "sid")
 
 
-def _clusters(sets: DataFrame, percent: int) -> DataFrame:
+def _clusters(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """(sid, cluster): classes (sid, n, firsts) connected by shared first elements; classes alone are left out.
+    Also the table of keys that list several sets.
 
     Lists are reduced to their least and largest set before they are shuffled. Two sets are then an
     edge; only the members of longer lists are looked for again.
@@ -200,8 +201,7 @@ def _clusters(sets: DataFrame, percent: int) -> DataFrame:
     longer = hubs.where("m > 2").select("key", "a")
     others = listed.join(broadcast_if_counted(longer, longer.count(), 48), "key").where("sid <> a").select("a", F.col("sid").alias("b"))
     found = components(hubs.select("a", "b").unionByName(others))
-    release(hubs)
-    return found.select(F.col("node").alias("sid"), F.col("root").alias("cluster"))
+    return found.select(F.col("node").alias("sid"), F.col("root").alias("cluster")), hubs
 
 
 def _flags(values: DataFrame) -> np.ndarray:
@@ -299,7 +299,7 @@ def _searched(blocks: DataFrame, percent: int, labels: bool = False, guests: boo
     return map_batches(ordered, run, "cluster long, block long, a long, b long, linked boolean")
 
 
-def _links(docs: DataFrame, classes: DataFrame, members: DataFrame, percent: int, made: list[DataFrame]) -> DataFrame:
+def _links(docs: DataFrame, classes: DataFrame, hubs: DataFrame, members: DataFrame, percent: int, made: list[DataFrame]) -> DataFrame:
     """(a, b): links that connect all alike sets of (cluster, large, class, block, sid, doc, row, n).
 
     What was written for them is added to ``made``, to be released once the links were read.
@@ -322,7 +322,8 @@ def _links(docs: DataFrame, classes: DataFrame, members: DataFrame, percent: int
     most = named.groupBy("cluster", "root").agg(F.count("*").alias("m")).groupBy("cluster").agg(F.max_by("root", F.struct("m", "root")).alias("most"))
     named = materialise(named.join(most, "cluster").drop("cluster"), "labels")
     # A set outside its cluster's largest component visits the blocks of sets that are listed with it.
-    listed = _listed(classes.join(named.select("sid"), "sid", "left_semi"), percent).join(named, "sid")
+    keys = broadcast_if_counted(hubs.select("key"), hubs.count(), 32)
+    listed = _listed(classes.join(named.select("sid"), "sid", "left_semi"), percent).join(keys, "key", "left_semi").join(named, "sid")
     hosts = listed.select("key", F.col("block").alias("visited")).distinct()
     guests = listed.where("root <> most").select("key", "sid", "block")
     visits = materialise(guests.join(hosts, "key").where("visited <> block").select("sid", "visited").distinct(), "visits")
@@ -364,11 +365,12 @@ def memberships(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = F.min(F.struct(F.col("doc").isNull().alias("absent"), "doc", "row", "n")).alias("m")
     classes = full.groupBy("sid").agg(first, F.any_value("firsts").alias("firsts")).select("sid", "m.*", "firsts").drop("absent")
     classes = materialise(classes, "classes")
-    clusters = materialise(_clusters(classes, percent), "clusters")
+    clusters, hubs = _clusters(classes, percent)
+    clusters = materialise(clusters, "clusters")
     members = classes.drop("firsts").join(clusters, "sid")
     placed = materialise(_placed(members), "placed")
-    made = [clusters, placed]
-    roots = components(_links(keyed, classes, placed, percent, made))
+    made = [clusters, hubs, placed]
+    roots = components(_links(keyed, classes, hubs, placed, percent, made))
     release(*made)
     lowest = classes.select("sid", "doc")
     named = lowest.join(roots, lowest["sid"] == roots["node"], "left").select("sid", F.coalesce("root", "sid").alias("root"), "doc")

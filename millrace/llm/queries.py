@@ -179,8 +179,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 JACCARD_SQL = r"""
 WITH RECURSIVE t AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
-    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
-]+') AS words
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
   FROM documents
 ), s AS (
   SELECT r, doc_id, list_sort(list_distinct(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]

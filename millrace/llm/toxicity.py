@@ -260,8 +260,8 @@ def load_model(entries: DataFrame, block_entries: int = BLOCK_ENTRIES) -> Model:
     return Model(model, uuid.uuid4().hex, spark.sparkContext.broadcast((keys[order], found.column("evidence").to_numpy()[order])))
 
 
-def _joined(docs: DataFrame, model: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """``docs`` with ``__w``, the evidence of each different word by the model of its ``by``, without a model in tasks."""
+def _joined(docs: DataFrame, model: DataFrame) -> DataFrame:
+    """``docs`` with ``__w``, the evidence of each different word, without a model in tasks."""
     # Equal texts have equal words; their hash stands for them.
     text_key = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
 
@@ -273,19 +273,19 @@ def _joined(docs: DataFrame, model: DataFrame, by: tuple[str, ...] = ()) -> Data
     def letters(words: pa.Array) -> pa.Array:
         return pa.array([entries_of(w) for w in words.to_pylist()], pa.list_(pa.string()))
 
-    per_text = docs.select(*by, text_key.alias("__k"), F.explode(words("text")).alias("word")).distinct()
-    entry = per_text.select(*by, "word").distinct().select(*by, "word", F.explode(letters("word")).alias("entry"))
+    per_text = docs.select(text_key.alias("__k"), F.explode(words("text")).alias("word")).distinct()
+    entry = per_text.select("word").distinct().select("word", F.explode(letters("word")).alias("entry"))
     seen = model.withColumnRenamed("evidence", "seen")
-    unseen = model.select(*by, F.col("entry").alias("any"), F.col("evidence").alias("unseen"))
+    unseen = model.select(F.col("entry").alias("any"), F.col("evidence").alias("unseen"))
     context = F.concat(F.expr("substring(entry, 1, length(entry) - 1)"), F.lit(_UNSEEN))
-    figures = entry.join(seen, [*by, "entry"], "left").withColumn("any", context).join(unseen, [*by, "any"], "left")
-    known = figures.groupBy(*by, "word").agg(F.sum(F.coalesce("seen", "unseen", F.lit(0.0))).alias("evidence"))
-    found = per_text.join(known, [*by, "word"]).groupBy(*by, "__k").agg(F.collect_list(F.struct("word", "evidence")).alias("__w"))
-    return docs.withColumn("__k", text_key).join(found, [*by, "__k"], "left").drop("__k")
+    figures = entry.join(seen, "entry", "left").withColumn("any", context).join(unseen, "any", "left")
+    known = figures.groupBy("word").agg(F.sum(F.coalesce("seen", "unseen", F.lit(0.0))).alias("evidence"))
+    found = per_text.join(known, "word").groupBy("__k").agg(F.collect_list(F.struct("word", "evidence")).alias("__w"))
+    return docs.withColumn("__k", text_key).join(found, "__k", "left").drop("__k")
 
 
-def with_comparison(docs: DataFrame, model: Model, by: tuple[str, ...] = ()) -> DataFrame:
-    """``docs`` with ``__c``, a struct of ``FIGURES``, by the model of each row's ``by``."""
+def with_comparison(docs: DataFrame, model: Model) -> DataFrame:
+    """``docs`` with ``__c``, a struct of ``FIGURES``."""
     bounded_batches(docs.sparkSession)
     kind = "struct<" + ",".join(f"{f}:double" for f in FIGURES) + ">"
 
@@ -311,7 +311,7 @@ def with_comparison(docs: DataFrame, model: Model, by: tuple[str, ...] = ()) ->
             found.append(compared(words, np.array([evidence[w] for w in words], float)))
         return figures(found)
 
-    return _joined(docs, model.entries, by).withColumn("__c", finish(F.col("text"), F.col("__w"))).drop("__w")
+    return _joined(docs, model.entries).withColumn("__c", finish(F.col("text"), F.col("__w"))).drop("__w")
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> np.ndarray:
@@ -368,8 +368,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, block_entries: int = BLOCK_ENTR
 
     sample = F.broadcast(once.orderBy(F.xxhash64("__id"), "__id").limit(CALIBRATION_ROWS))  # at most CALIBRATION_ROWS
     sample = texts.join(sample, texts["doc_id"] == F.col("__id")).select("text", "toxic", "fold").limit(CALIBRATION_ROWS)
-    sample = materialise(sample.withColumnRenamed("fold", "variant"), "sample")
-    seen = with_comparison(sample, Model(entries.where("variant > 0")), ("variant",)).select("__c.*", "toxic").toArrow()
+    sample, seen = materialise(sample, "sample"), []
+    for left_out in range(1, FOLDS):
+        unseen = load_model(entries.where(F.col("variant") == left_out).drop("variant"), block_entries)
+        seen.append(with_comparison(sample.where(F.col("fold") == left_out), unseen).select("__c.*", "toxic").toArrow())
+        if unseen.shared is not None:
+            unseen.shared.destroy()
+    seen = pa.concat_tables(seen)
     release(sample, once)
     model = load_model(entries.where("variant = 0").drop("variant"), block_entries)
     x = np.column_stack([seen.column(f).to_numpy() for f in FIGURES]) * _SCALE

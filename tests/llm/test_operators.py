@@ -259,7 +259,7 @@ def test_conversations(spark):
 def test_trigram_queries():
     assert secrets.trigram_query("[0-9a-f]{24,}") == ()
     assert secrets.trigram_query("AKIA[A-Z0-9]+") == ((frozenset({"aki", "kia"}),),)
-    assert secrets.trigram_query("ab(c|d)?e+xyz.foo") == ((frozenset({"xyz"}),), (frozenset({"foo"}),)) or True
+    assert secrets.trigram_query("ab(c|d)?e+xyz.foo") == ((frozenset({"xyz"}),), (frozenset({"foo"}),))
     both = secrets.trigram_query("(foo|bar)x")
     assert both == ((frozenset({"arx", "bar"}), frozenset({"foo", "oox"})),)
 
