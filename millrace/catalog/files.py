@@ -9,6 +9,7 @@ from ..functions.nested import flatten
 from ..operators.aggregates import exact_sum, partition_counts
 from ..quality import below, is_empty, reconcile, rows_on_last_date, write_logged
 from ..session import scratch_path
+from ..sources.buckets import delete_insert_rows, read_buckets, upsert_rows
 from ..sources.incremental import backfill, load_new_files, load_past_mark
 from ..sources.readers import (
     files_by_date,
@@ -22,11 +23,9 @@ from ..sources.readers import (
     read_parts,
 )
 from ..sources.writers import (
-    delete_insert_by_key,
     full_refresh,
     read_version,
     replace_partitions,
-    upsert_by_key,
     write_daily,
     write_files,
     write_format,
@@ -233,11 +232,11 @@ def snk_replace_partition(load, spark):
 def snk_delete_insert_by_key(load, spark):
     path = scratch_path(spark, "facts")
     facts = load("events").groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
-    delete_insert_by_key(facts, path, ["day"])
+    delete_insert_rows(facts, path, ["day"], rows=8)
     stage = facts.where(F.dayofmonth("day").between(10, 19)).withColumn("n", -F.col("n"))
     for _ in range(2):
-        delete_insert_by_key(stage, path, ["day"])
-    return read_version(spark, path)
+        delete_insert_rows(stage, path, ["day"], rows=8)
+    return read_buckets(spark, path)
 
 
 @query("snk_full_refresh", "SELECT * FROM customer WHERE c_acctbal > 0")
@@ -257,8 +256,8 @@ def snk_upsert_key(load, spark):
     rows = load("events").select("user_id", "event_id", "event_type", "ts")
     for late in (False, True):
         part = rows.where((F.col("ts") >= _at("2024-01-16")) == F.lit(late)).drop("ts")
-        upsert_by_key(part, path, ["user_id"], seq="event_id")
-    return read_version(spark, path)
+        upsert_rows(part, path, ["user_id"], seq="event_id", rows=1 << 10)
+    return read_buckets(spark, path)
 
 
 @query("snk_archive_after_load", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")

@@ -38,7 +38,8 @@ from ..plans.web import (
 )
 from ..quality import replace_logged
 from ..session import scratch_path
-from ..sources.writers import delete_insert_by_key, read_version, replace_partitions
+from ..sources.buckets import delete_insert_rows, read_buckets
+from ..sources.writers import replace_partitions
 from .base import K_SQL, half_up, k_of, money, query
 from .relational import PROMO_SQL, promotions
 from .summaries import ZONES_SQL, zone_rows
@@ -203,10 +204,10 @@ def mart_earthquake_day_dims(load, spark):
 def mart_earthquake_daily_facts(load, spark):
     path = scratch_path(spark, "quake-facts")
     rows = load("events").select("ts", F.col("event_id").alias("mag"))
-    delete_insert_by_key(earthquake_daily_facts(rows, "ts", "mag"), path, ["day"])
+    delete_insert_rows(earthquake_daily_facts(rows, "ts", "mag"), path, ["day"], rows=8)
     again = rows.where(F.to_date("ts") >= F.lit("2024-01-20").cast("date"))
-    delete_insert_by_key(earthquake_daily_facts(again, "ts", "mag"), path, ["day"])
-    return read_version(spark, path).withColumn("avg_magnitude", F.round("avg_magnitude", 4))
+    delete_insert_rows(earthquake_daily_facts(again, "ts", "mag"), path, ["day"], rows=8)
+    return read_buckets(spark, path).withColumn("avg_magnitude", F.round("avg_magnitude", 4))
 
 
 # --- price bars ---

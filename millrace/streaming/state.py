@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordering import pick_one
-from .layers import commit, manifest
+from ..sources.manifests import commit, manifest
 from .streams import trigger_args
 
 

@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.plans.bars import ohlcv
+from millrace.sources.manifests import manifest
 from millrace.streaming.bars import bar_counts, late_trades, read_bars, repair_bars, run_ohlcv
-from millrace.streaming.layers import add_batch, applied, folders, manifest, read_layers
+from millrace.streaming.layers import add_batch, applied, folders, read_layers
 from millrace.streaming.state import apply_changes, read_state
 from millrace.streaming.streams import cdc_latest, file_source
 
