@@ -35,6 +35,7 @@ import uuid
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -61,7 +62,7 @@ _START, _END = "<", ">"
 _UNSEEN = "\0"
 # Factors of a letter and of those before it in the key of an entry.
 _FACTORS = mix64(np.arange(1, CONTEXT + 2, dtype=np.uint64)) | np.uint64(1)
-_CACHE = 50_000
+_CACHE = 150_000
 _FLUSH = 100_000
 
 
@@ -190,8 +191,10 @@ class WordEvidence:
         self.older: dict[str, float] = {}
 
     def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # Each key once and in order: neighbours in the model are then found one after another.
+        keys, place = np.unique(keys, return_inverse=True)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return self.keys[at] == keys, self.figures[at]
+        return (self.keys[at] == keys)[place], self.figures[at][place]
 
     def _made(self, words: list[str]) -> np.ndarray:
         if not len(self.keys):
@@ -299,7 +302,9 @@ def with_comparison(docs: DataFrame, model: Model) -> DataFrame:
         def at_once(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             evidence = kept_in_worker(("toxicity", name), lambda: WordEvidence(*shared.value))
             for texts in batches:
-                yield figures([compared(words, evidence.of(words)) for words in map(words_of, utf8(texts))])
+                cut = [words_of(t) for t in utf8(texts)]
+                evidence.of(list(dict.fromkeys(chain.from_iterable(cut))))  # new words of the batch, all at once
+                yield figures([compared(words, evidence.of(words)) for words in cut])
 
         return docs.withColumn("__c", at_once(F.col("text")))
 
