@@ -7,6 +7,7 @@ range then needs only small per-range totals of the ranges before it.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -88,61 +89,111 @@ def number_rows(df: DataFrame, order, partition_by=(), name: str = "row_num", sm
     )
 
 
-def running_by_value(df: DataFrame, order, sums: dict[str, Column]) -> DataFrame:
-    """One row per distinct sort value with rank, dense rank and running sums.
+_FRONT = "__front"
+_BACK = "__back"
 
-    The running sums include all rows equal on the sort value, like a window's default frame.
-    Columns: the sort keys, ``n``, ``rank``, ``dense_rank`` and one per entry of ``sums``.
+
+def _in_even_ranges(df: DataFrame, order) -> tuple[DataFrame, list[str]]:
+    """Spread the rows over ranges of the sort key; peers may lie in several ranges, side by side.
+
+    A hash of the whole row follows the sort key, so a value that a third of the rows share is cut
+    like any other stretch. Columns that cannot be hashed (maps, variants) do not take part. Rows
+    equal in all columns share a range.
+    """
+    hashed = [f.name for f in df.schema.fields if not re.search(r"\b(map|variant)\b", f.dataType.simpleString())]
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = df.repartitionByRange(n, *_sorts(order), F.xxhash64(*hashed)).withColumn(_PART, F.spark_partition_id())
+    return spread.repartitionById(n, F.col(_PART))
+
+
+def _with_peers(df: DataFrame, order, rank: str | None, dense: str | None, sums: dict[str, Column]) -> DataFrame:
+    """Attach rank, dense rank and running sums (peers included) over all rows.
+
+    Each range computes them for itself while it is sorted. What a range adds to them is in one row
+    per range: its rows, distinct values and sums, and the part of them that belongs to its first and
+    its last value. From these rows follow, for a value that runs over a border, where it began and
+    where it ends. Nothing is joined on the sort value; the broadcast has one row per shuffle partition.
     """
     names = [k.name if isinstance(k, Key) else k for k in order]
-    totals = df.groupBy(*names).agg(F.count("*").alias("n"), *[F.sum(c).alias(s) for s, c in sums.items()])
-    rows = ranged(totals, order)
-    parts = rows.groupBy(_PART).agg(
-        F.count("*").alias("__values"), F.sum("n").alias("__n"), *[F.sum(s).alias(f"__{s}") for s in sums]
+    inside = W.partitionBy(_PART).orderBy(*_sorts(order))
+    placed = _in_even_ranges(df, order).withColumns({f"__v_{s}": c for s, c in sums.items()})
+    rows = materialise(
+        placed.withColumns(
+            {_FRONT: F.rank().over(inside), _BACK: F.dense_rank().over(inside)}
+            | {f"__s_{s}": F.sum(f"__v_{s}").over(inside) for s in sums}
+        ),
+        "ranged",
     )
-    earlier = W.orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
-    offsets = parts.select(
-        _PART,
-        F.coalesce(F.sum("__values").over(earlier), F.lit(0)).alias("__o_values"),
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__o_n"),
-        *[F.sum(f"__{s}").over(earlier).alias(f"__o_{s}") for s in sums],
+    value = F.struct(*names)
+    parts = rows.groupBy(_PART).agg(
+        F.count("*").alias("n"),
+        F.max(_BACK).cast("bigint").alias("values"),
+        F.max(_FRONT).cast("bigint").alias("tail"),
+        F.min_by(value, _FRONT).alias("first"),
+        F.max_by(value, _FRONT).alias("last"),
+        *[F.sum(f"__v_{s}").alias(f"all_{s}") for s in sums],
+        *[F.sum(F.when(F.col(_BACK) == 1, F.col(f"__v_{s}"))).alias(f"head_{s}") for s in sums],
     )
-    upto = W.partitionBy(_PART).orderBy(_POS).rowsBetween(W.unboundedPreceding, W.currentRow)
-
-    def plus(offset: Column, inside: Column) -> Column:
-        return F.when(offset.isNull(), inside).when(inside.isNull(), offset).otherwise(offset + inside)
-
-    inside = rows.select(
-        *names,
-        "n",
-        _PART,
-        _POS,
-        F.sum("n").over(upto).alias("__upto"),
-        *[F.sum(s).over(upto).alias(s) for s in sums],
+    line = W.orderBy(_PART)
+    before, after = line.rowsBetween(W.unboundedPreceding, -1), line.rowsBetween(1, W.unboundedFollowing)
+    # A range continues its predecessor's last value unless its own first value is new.
+    parts = parts.withColumn("new", ~F.col("first").eqNullSafe(F.lag("last").over(line)) | (F.row_number().over(line) == 1))
+    parts = parts.withColumns(
+        {
+            "ends": F.coalesce(F.lead("new").over(line), F.lit(True)),
+            "o_n": F.coalesce(F.sum("n").over(before), F.lit(0)),
+            "o_values": F.coalesce(F.sum("values").over(before), F.lit(0))
+            - F.sum((~F.col("new")).cast("bigint")).over(line.rowsBetween(W.unboundedPreceding, W.currentRow)),
+        }
+        | {f"o_{s}": F.sum(f"all_{s}").over(before) for s in sums}
     )
-    return inside.join(offsets, _PART).select(
-        *names,
-        "n",
-        (F.col("__o_n") + F.col("__upto") - F.col("n") + 1).alias("rank"),
-        (F.col("__o_values") + F.col(_POS) + 1).alias("dense_rank"),
-        *[plus(F.col(f"__o_{s}"), F.col(s)).alias(s) for s in sums],
+    # Rows before the last value's first peer, known in the range where that value begins.
+    begins = F.when(F.col("values") > 1, F.col("o_n") + F.col("tail") - 1).when(F.col("new"), F.col("o_n"))
+    parts = parts.withColumn("begins", begins)
+    parts = parts.withColumn("began", F.when(F.col("new"), F.col("o_n")).otherwise(F.last("begins", True).over(before)))
+    for s in sums:
+        whole = _plus(F.col(f"o_{s}"), F.col(f"all_{s}"))
+        # A struct tells a sum that is NULL from a range in which the value does not end.
+        closes = F.when(F.col("values") > 1, F.struct(_plus(F.col(f"o_{s}"), F.col(f"head_{s}")).alias("v"))).when(
+            F.col("ends"), F.struct(whole.alias("v"))
+        )
+        parts = parts.withColumn("__closes", closes).withColumn(
+            f"e_{s}", F.when(F.col("ends"), whole).otherwise(F.first("__closes", True).over(after)["v"])
+        )
+    kept = [_PART, "o_n", "o_values", "began", "values", *[f"{x}_{s}" for s in sums for x in "oe"]]
+    settled = parts.select(_PART, *[F.col(c).alias(f"__p_{c}") for c in kept[1:]])
+    first, last = F.col(_FRONT) == 1, F.col(_BACK) == F.col("__p_values")
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    return rows.join(F.broadcast(settled), _PART).select(
+        *df.columns,
+        *_named(rank, F.when(first, F.col("__p_began") + 1).otherwise(F.col("__p_o_n") + F.col(_FRONT))),
+        *_named(dense, F.col("__p_o_values") + F.col(_BACK)),
+        *[
+            F.when(last, F.col(f"__p_e_{s}"))
+            .otherwise(_plus(F.col(f"__p_o_{s}"), F.col(f"__s_{s}")))
+            .cast(kinds[f"__s_{s}"])
+            .alias(s)
+            for s in sums
+        ],
     )
 
 
+def _named(name: str | None, col: Column) -> list[Column]:
+    return [col.cast("bigint").alias(name)] if name else []
+
+
+def _plus(offset: Column, inside: Column) -> Column:
+    return F.when(offset.isNull(), inside).when(inside.isNull(), offset).otherwise(offset + inside)
+
+
 def rank_rows(df: DataFrame, order, rank: str = "rank", dense: str = "dense_rank") -> DataFrame:
-    """``rank()`` and ``dense_rank()`` over all rows."""
-    names = [k.name if isinstance(k, Key) else k for k in order]
-    ranks = running_by_value(df, order, {}).select(
-        *names, F.col("rank").alias(rank), F.col("dense_rank").alias(dense)
-    )
-    return same_keys(df, ranks, names)
+    """``rank()`` and ``dense_rank()`` over all rows; few distinct values do not crowd a task."""
+    return _with_peers(df, order, rank, dense, {})
 
 
 def running_sum(df: DataFrame, order, value: Column, name: str) -> DataFrame:
     """``sum(value) over (order by …)`` over all rows, peers included."""
-    names = [k.name if isinstance(k, Key) else k for k in order]
-    sums = running_by_value(df, order, {name: value}).select(*names, name)
-    return same_keys(df, sums, names)
+    return _with_peers(df, order, None, None, {name: value})
 
 
 def neighbours(df: DataFrame, order, value: str, prev: str | None = None, nxt: str | None = None) -> DataFrame:

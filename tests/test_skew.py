@@ -176,3 +176,31 @@ def test_intervals(spark, table, data, limit):
     expected = sorted((i, n) for i, k, t, _ in data for n, _, a, b in spans if a <= t <= b)
     got = interval_join(table.drop("k"), intervals, "t", "a", "b", slot=64, broadcast_bytes=limit)
     assert sorted((r.id, r.n) for r in got.collect()) == expected
+
+
+def test_peers_over_many_ranges(spark):
+    """One value holds most of the rows, so that it fills several ranges and begins and ends inside others."""
+    rnd = random.Random(9)
+    data = [(i, 5 if rnd.random() < 0.7 else rnd.choice([None, 1, 2, 5, 7, 9]), rnd.choice([None, 1, 2])) for i in range(2000)]
+    ordered = sorted(data, key=lambda r: nulls_last(r[1]))
+    values = [r[1] for r in ordered]
+    distinct = sorted(set(values), key=nulls_last)
+    df = spark.createDataFrame(data, "id int, k int, v int").repartition(8, "id")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    try:
+        ranked = rank_rows(df, [Key("k")])
+        assert rows(ranked.select("id", "rank", "dense_rank")) == sorted(
+            ((i, values.index(k) + 1, distinct.index(k) + 1) for i, k, _ in data), key=lambda t: tuple((False, str(v)) for v in t)
+        )
+        summed = {r.id: r.s for r in running_sum(df, [Key("k")], F.col("v"), "s").collect()}
+        for i, k, _ in data:
+            upto = [v for _, other, v in ordered if nulls_last(other) <= nulls_last(k) and v is not None]
+            assert summed[i] == (sum(upto) if upto else None)
+        nothing = running_sum(df, [Key("k")], F.when(F.col("k") > 5, F.col("v")), "s").where("k <= 5")
+        assert nothing.where("s IS NOT NULL").count() == 0
+        assert rank_rows(df.limit(0), [Key("k")]).count() == 0
+        plan = ranked._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
