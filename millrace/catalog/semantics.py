@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators.ordering import exact_quantiles, same_keys
 from ..operators.states import State, read_aggregating, to_state
 from ..operators.tables import (
     ColumnRule,
@@ -83,6 +84,40 @@ def read_aggregating_query(load, spark):
     return done.withColumn("mean", F.round("mean", 6))
 
 
+@query(
+    "read_aggregating_lists",
+    "WITH r AS (SELECT event_type, event_id, row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) AS rn, "
+    "count(*) OVER (PARTITION BY event_type) AS n FROM events) "
+    "SELECT event_type, (rn - 1) // 500 AS chunk, CASE WHEN (rn - 1) // 500 = 0 THEN max(n) END AS n, "
+    "CASE WHEN (rn - 1) // 500 = 0 THEN true END AS users_close, CASE WHEN (rn - 1) // 500 = 0 THEN true END AS median_close, "
+    "array_to_string(list(event_id ORDER BY rn), ',') AS ids FROM r GROUP BY event_type, (rn - 1) // 500",
+)
+def read_aggregating_lists(load, spark):
+    """Ordered lists, distinct counts and quantiles of three stored loads in one read; sketches are held against exact values."""
+    spec = {
+        "n": State("count", "event_id"),
+        "users": State("uniq", "user_id"),
+        "median": State("quantiles", "value", probs=(0.5,)),
+        "ids": State("list", "event_id", order=("ts", "event_id"), chunk_rows=500),
+    }
+    events = load("events").select("event_type", "event_id", "user_id", "ts", "value")
+    stored = scratch_path(spark, "states")
+    for i in range(3):
+        to_state(events.where(F.col("event_id") % 3 == i), ["event_type"], spec).write.mode("append").parquet(stored)
+    done = read_aggregating(spark.read.parquet(stored), ["event_type"], spec)
+    exact = events.groupBy("event_type").agg(F.countDistinct("user_id").alias("__users"))
+    around = exact_quantiles(events, ["event_type"], "value", {"__low": 0.45, "__high": 0.55})
+    judged = same_keys(same_keys(done, exact, ["event_type"]), around, ["event_type"])
+    return judged.select(
+        "event_type",
+        "chunk",
+        "n",
+        (F.abs(F.col("users") - F.col("__users")) <= 0.05 * F.col("__users")).alias("users_close"),
+        F.col("median")[0].between(F.col("__low"), F.col("__high")).alias("median_close"),
+        F.array_join("ids", ",").alias("ids"),
+    )
+
+
 @query(
     "read_collapsing",
     "SELECT user_id, event_type, max(event_id) FILTER (WHERE sign > 0) AS event_id, arg_max(value, event_id) FILTER (WHERE sign > 0) AS value, CAST(1 AS INTEGER) AS sign "

@@ -10,6 +10,7 @@ from millrace.operators.aggregates import collect_groups, count_distinct_if, sum
 from millrace.operators.asof import asof_join
 from millrace.operators.ordering import Key, exact_quantiles, neighbours, number_rows, page, rank_rows, running_sum
 from millrace.operators.sets import union_coerced, upsert
+from millrace.session import materialise
 from millrace.operators.states import State, finalize, merge_states, read_aggregating, to_state
 from millrace.operators.tables import (
     ColumnRule,
@@ -130,6 +131,43 @@ def test_state_merge_law(spark):
     assert [(r.k, r.n, r["mean"]) for r in merged.orderBy("k").collect()] == [(0, 2, 6.0), (1, 3, 5.0), (2, 3, 6.0), (3, 2, 5.0)]
 
 
+def test_list_states_follow_the_merge_law(spark):
+    """Lists longer than a chunk, of uneven loads, with equal and missing values, beside other states."""
+    data = spark.range(60).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None).cast("int")).otherwise(F.col("id").cast("int") % 3).alias("k"),
+        (F.col("id") * 7 % 30).alias("t"),
+        F.when(F.col("id") % 5 != 0, F.col("id") % 4).alias("v"),
+    )
+    data = data.unionByName(spark.createDataFrame([(9, 1, None)], data.schema))
+    spec = {
+        "n": State("count", "v"),
+        "u": State("uniq", "v"),
+        "q": State("quantiles", "v", probs=(0.5,)),
+        "late": State("list", "v", order=("t",), chunk_rows=4),
+        "sorted": State("list", "v", chunk_rows=7),
+    }
+    loads = [to_state(data.where(c), ["k"], spec) for c in ("t < 3", "t >= 3 AND t % 2 = 0", "t >= 3 AND t % 2 = 1")]
+    stored = materialise(loads[0].unionByName(loads[1]).unionByName(loads[2]), "states")
+    merged = read_aggregating(stored, ["k"], spec)
+    merged = materialise(merged, "merged")
+    got = sorted(merged.collect(), key=lambda r: r.chunk)
+    expected = rows(merged)
+    assert expected == rows(finalize(to_state(data, ["k"], spec), ["k"], spec))
+    twice = merge_states(merge_states(loads[0].unionByName(loads[1]), ["k"], spec).unionByName(loads[2]), ["k"], spec)
+    assert rows(finalize(twice, ["k"], spec)) == expected
+    plain = data.collect()
+    for k in (None, 1, 2, 9):
+        mine = [r for r in got if r.k == k]
+        assert [r.chunk for r in mine] == list(range(len(mine))) and all(r.n is None for r in mine[1:])
+        values = [r for r in plain if r.k == k and r.v is not None]
+        late = [r.late for r in mine if r.late is not None]
+        assert [v for part in late for v in part] == [r.v for r in sorted(values, key=lambda r: (r.t, r.v))]
+        assert all(len(part) == 4 for part in late[:-1])
+        assert [v for r in mine for v in r.sorted or []] == sorted(r.v for r in values)
+    assert [(r.chunk, r.n, r.late, r.sorted) for r in got if r.k == 9] == [(0, 0, [], [])]
+    assert read_aggregating(stored.limit(0), ["k"], spec).count() == 0
+
+
 def test_quantiles(spark):
     t = spark.range(10).select(F.lit(1).alias("k"), (F.col("id") * 10).alias("v"))
     assert rows(exact_quantiles(t, ["k"], "v", {"a": 0.5, "b": 0.9})) == [(1, 45.0, 81.0)]
