@@ -12,10 +12,11 @@ from ..session import scratch_path
 from ..sources.buckets import delete_insert_rows, read_buckets, upsert_rows
 from ..sources.incremental import backfill, load_new_files, load_past_mark
 from ..sources.readers import (
-    files_by_date,
     list_files,
+    load_manifest,
     number_series,
     random_table,
+    read_chosen,
     read_csv,
     read_json,
     read_manifest,
@@ -99,10 +100,20 @@ def src_text_manifest(load, spark):
     data, manifest = _daily(events, spark), scratch_path(spark, "manifest")
     lines = list_files(spark, data, ext=".parquet").select(F.concat(F.lit("  "), "path").alias("value"))
     lines.unionAll(spark.range(2).select(F.lit(" ").alias("value"))).write.text(manifest)
-    read = read_manifest(spark, manifest, schema=events.schema)
+    read = read_manifest(spark, manifest, data, schema=events.schema)
     return read.groupBy("event_type").agg(F.count("*").alias("n"), exact_sum(F.col("value")).alias("total"))
 
 
+@query("src_text_manifest_groups", f"SELECT event_type, count(*) AS n, {money('value')} AS total FROM events GROUP BY event_type")
+def src_text_manifest_groups(load, spark):
+    """The files of a manifest, ten at a time, appended to one table."""
+    events = load("events")
+    data, manifest, out = _daily(events, spark), scratch_path(spark, "manifest"), scratch_path(spark, "listed")
+    list_files(spark, data, ext=".parquet").select("path").write.text(manifest)
+    load_manifest(spark, manifest, lambda part: part.write.mode("append").parquet(out), schema=events.schema, group=10)
+    return read_parquet(spark, out).groupBy("event_type").agg(F.count("*").alias("n"), exact_sum(F.col("value")).alias("total"))
+
+
 @query(
     "src_files_modified_after",
     "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE day(ts) BETWEEN 10 AND 19 GROUP BY ALL",
@@ -111,8 +122,7 @@ def src_text_manifest(load, spark):
 def src_files_modified_after(load, spark):
     events = load("events")
     data = _daily(events, spark)
-    found = list_files(spark, data, since="2000-01-01 00:00:00", contains="-01-1", ext=".parquet", skip="manifest")
-    read = read_parquet(spark, *[r.path for r in found.collect()], schema=events.schema)
+    read = read_chosen(spark, data, events.schema, since="2000-01-01 00:00:00", contains="-01-1", skip="manifest")
     return read.groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
 
 
@@ -124,9 +134,7 @@ def src_files_modified_after(load, spark):
 def src_files_by_date_key(load, spark):
     events = load("events")
     data = _daily(events, spark)
-    named = list_files(spark, data, ext=".parquet").withColumn("name", F.concat_ws("/", F.slice(F.split("path", "/"), -2, 2)))
-    found = files_by_date(named, r"day=(\d{4}-\d{2}-\d{2})/", loaded_until="2024-01-20")
-    read = read_parquet(spark, *[r.path for r in found.collect()], schema=events.schema)
+    read = read_chosen(spark, data, events.schema, date_pattern=r"day=(\d{4}-\d{2}-\d{2})/", loaded_until="2024-01-20")
     return read.groupBy(F.to_date("ts").alias("day")).agg(F.count("*").alias("n"))
 
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
 import re
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.ordering import pick_one
+from ..session import materialise, release
 
 
 def read_parquet(spark: SparkSession, *paths: str, schema: T.StructType | None = None) -> DataFrame:
@@ -40,15 +43,85 @@ def read_parts(spark: SparkSession, *paths: str, key: list[str], schema=None) ->
     return pick_one(placed, key, ["__file", *rest]).drop("__file")
 
 
-def manifest_paths(spark: SparkSession, manifest: str) -> list[str]:
-    """Trimmed, non-blank lines of a text list of paths."""
-    lines = spark.read.text(manifest).select(F.trim("value").alias("path")).where("path <> ''")
-    return [r.path for r in lines.collect()]
+def manifest_paths(spark: SparkSession, manifest: str) -> DataFrame:
+    """Trimmed, non-blank, different lines of a text list of paths, as a table with the column ``path``."""
+    return spark.read.text(manifest).select(F.trim("value").alias("path")).where("path <> ''").distinct()
 
 
-def read_manifest(spark: SparkSession, manifest: str, schema: T.StructType | None = None) -> DataFrame:
-    """One frame over all files a manifest lists; Spark splits them over tasks itself."""
-    return read_parquet(spark, *manifest_paths(spark, manifest), schema=schema)
+def _below_root(path) -> Column:
+    """A path without scheme and host, so that ``/data/x``, ``file:/data/x`` and ``file:///data/x`` agree."""
+    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+
+
+def read_manifest(spark: SparkSession, manifest: str, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """The rows of the files that a manifest lists, all of them below the folder ``root``.
+
+    The list stays a table: rows are kept by a semi join on the path of their file, and no path comes
+    to the driver. Every file below ``root`` is opened, so this is for lists that name most of a folder;
+    ``load_manifest`` is for others. A line without a file is an error, a file listed twice counts once.
+    """
+    wanted = manifest_paths(spark, manifest).select(_below_root("path").alias("__listed"))
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    # The rows' own name of a file is a URL; the listing knows it beside the plain path.
+    there = found.select(_below_root("path").alias("__there"), F.col("_metadata.file_path").alias("__url"))
+    known = wanted.join(there, F.col("__listed") == F.col("__there"), "left")
+    missing = known.where("__url IS NULL").agg(F.count("*").alias("n"), F.min("__listed").alias("one")).first()
+    if missing.n:
+        raise FileNotFoundError(f"{missing.n} listed files are not below {root}, such as {missing.one}")
+    reader = spark.read.option("recursiveFileLookup", True)
+    rows = (reader if schema is None else reader.schema(schema)).parquet(root)
+    placed = rows.select("*", F.col("_metadata.file_path").alias("__file"))
+    return placed.join(known.select("__url"), F.col("__file") == F.col("__url"), "left_semi").drop("__file")
+
+
+def load_manifest(
+    spark: SparkSession, manifest: str, process: Callable[[DataFrame], None], schema: T.StructType | None = None, group: int = 10_000
+) -> int:
+    """Hand the listed files to ``process`` in groups of at most ``group``, by path; returns the number of files.
+
+    Only one group of paths is in the driver at a time; other files are not opened.
+    """
+    listed = materialise(manifest_paths(spark, manifest), "listed")
+    paths, done = listed.orderBy("path").toLocalIterator(), 0
+    for rows in iter(lambda: list(itertools.islice(paths, group)), []):
+        process(read_parquet(spark, *[r.path for r in rows], schema=schema))
+        done += len(rows)
+    release(listed)
+    return done
+
+
+def read_chosen(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    since: str | None = None,
+    contains: str | None = None,
+    skip: str | None = None,
+    date_pattern: str | None = None,
+    loaded_until: str | None = None,
+    ext: str = ".parquet",
+) -> DataFrame:
+    """The rows of the files below ``folder`` that were chosen by time, path or a date in the path.
+
+    The conditions are filters on the files' metadata. Spark applies them to its own listing when it
+    plans the scan, so other files are not opened and no list of paths is made. ``since`` keeps files
+    modified strictly later, to the millisecond; ``date_pattern`` has one group, the date in the path,
+    and keeps files with a date, with ``loaded_until`` only those of a later one. Paths are URLs here
+    (a space is ``%20``).
+    """
+    path, modified = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
+    reader = spark.read.schema(schema).option("recursiveFileLookup", True).option("pathGlobFilter", f"*{ext}")
+    found = reader.parquet(folder)
+    if since is not None:
+        found = found.where(F.unix_millis(modified) > F.unix_millis(F.lit(since).cast("timestamp")))
+    if contains:
+        found = found.where(F.contains(path, F.lit(contains)))
+    if skip:
+        found = found.where(~F.contains(path, F.lit(skip)))
+    if date_pattern:
+        date = F.regexp_extract(path, date_pattern, 1).try_cast("date")
+        found = found.where(date.isNotNull() if loaded_until is None else date > F.lit(loaded_until).cast("date"))
+    return found
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

@@ -9,7 +9,16 @@ from millrace.operators.projection import next_version
 from millrace.quality import reconcile, write_logged
 from millrace.session import shared_folder
 from millrace.sources.incremental import backfill, existing, file_mark, load_new_files, load_past_mark, past_mark
-from millrace.sources.readers import files_by_date, jdbc_options, list_files, read_csv, read_manifest, read_parts
+from millrace.sources.readers import (
+    files_by_date,
+    jdbc_options,
+    list_files,
+    load_manifest,
+    read_chosen,
+    read_csv,
+    read_manifest,
+    read_parts,
+)
 from millrace.sources.writers import (
     delete_insert_by_key,
     full_refresh,
@@ -106,13 +115,53 @@ def test_manifest_and_file_lists(spark, folder):
     spark.range(4, 6).coalesce(1).write.parquet(f"{folder}/data/2024-01-02")
     files = list_files(spark, f"{folder}/data", ext=".parquet")
     files.select(F.concat(F.lit(" "), "path")).unionAll(spark.range(1).select(F.lit(""))).write.text(f"{folder}/manifest")
-    assert read_manifest(spark, f"{folder}/manifest").count() == 6
+    assert sorted(r.id for r in read_manifest(spark, f"{folder}/manifest", f"{folder}/data").collect()) == list(range(6))
+    groups = []
+    assert load_manifest(spark, f"{folder}/manifest", lambda part: groups.append(part.count()), group=2) == 3
+    assert sum(groups) == 6 and len(groups) == 2
     dated = files_by_date(files.withColumn("name", F.col("path")), r"(\d{4}-\d{2}-\d{2})/", "2024-01-01")
     assert [str(r.business_date) for r in dated.collect()] == ["2024-01-02"]
     assert list_files(spark, f"{folder}/data", since="2100-01-01").count() == 0
     assert list_files(spark, f"{folder}/data", ext=".parquet", skip="2024-01-02").count() == 2
 
 
+def test_manifest_of_many_lines(spark, folder):
+    """50,000 lines: files, each listed often and in several spellings; a line without a file is an error."""
+    spark.range(0, 40, 1, 20).write.parquet(f"{folder}/data/a b")
+    spark.range(40, 50).coalesce(1).write.parquet(f"{folder}/data/other")
+    files = list_files(spark, f"{folder}/data/a b", ext=".parquet").select("path")
+    bare = files.select(F.regexp_replace("path", "^file:/+", "/").alias("path"))
+    many = files.unionAll(bare).crossJoin(spark.range(1250)).select("path")
+    assert many.count() == 50_000
+    many.write.text(f"{folder}/list")
+    read = read_manifest(spark, f"{folder}/list", f"{folder}/data")
+    assert sorted(r.id for r in read.collect()) == list(range(40)) and read.columns == ["id"]
+    many.unionAll(spark.createDataFrame([(f"{folder}/data/none.parquet",)], "path string")).write.text(f"{folder}/bad")
+    with pytest.raises(FileNotFoundError, match="1 listed"):
+        read_manifest(spark, f"{folder}/bad", f"{folder}/data")
+
+
+def test_files_are_chosen_before_they_are_opened(spark, folder):
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03", "none"):
+        spark.range(2).withColumn("d", F.lit(day)).coalesce(1).write.parquet(f"{folder}/data/day={day}")
+    schema = spark.read.parquet(f"{folder}/data/day=none").schema
+
+    def chosen(**conditions):
+        frame = read_chosen(spark, f"{folder}/data", schema, **conditions)
+        return sorted({r.d for r in frame.collect()}), frame.rdd.getNumPartitions()
+
+    pattern = r"day=(\d{4}-\d{2}-\d{2})/"
+    assert chosen(date_pattern=pattern)[0] == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert chosen(date_pattern=pattern, loaded_until="2024-01-02") == (["2024-01-03"], 1)
+    assert chosen(contains="-01-0", skip="-02")[0] == ["2024-01-01", "2024-01-03"]
+    assert chosen(since="2100-01-01 00:00:00") == ([], 0)
+    assert len(chosen(since="2000-01-01 00:00:00")[0]) == 4
+    # A file that no condition chooses may be broken.
+    with open(f"{folder.removeprefix('file:')}/data/day=none/broken.parquet", "w") as broken:
+        broken.write("x")
+    assert chosen(date_pattern=pattern, loaded_until="2024-01-01")[0] == ["2024-01-02", "2024-01-03"]
+
+
 def test_formats(spark, folder):
     data = table(spark, (1, ts("2024-01-01T00:00:00.123456"), "a"))
     for kind in ("parquet", "csv", "json"):
