@@ -1,12 +1,14 @@
 """Quality rules as a ledger of failure bits.
 
 ``rule_ledger`` evaluates every rule once per document and stores the measurements and one
-integer whose bit i says that rule i failed. A policy is a named set of rules with a version;
-``apply_policy`` is a bitwise test on the ledger, and ``ablation`` tells from the distinct bit
-patterns alone how many documents each rule of a policy rejects, and how many it alone rejects.
-Neither reads texts again.
-
-NULL and empty texts have no words: all measurements are 0. Rows are independent, so repeated
+integer whose bit i says that rule i failed; ``stored_ledger`` writes that table to the shared
+folder. A policy is a named set of rules with a version; ``apply_policy`` is a bitwise test on the
+ledger, ``ablation`` tells from the distinct bit patterns alone how many documents each rule of a
+policy rejects, and how many it alone rejects, and ``with_sole_rule`` puts that beside the documents.
+On a stored ledger none of them reads texts again.
+
+NULL and empty texts have no words: all measurements are 0. A very long text is measured whole, in
+the task that reads it, in memory proportional to it. Rows are independent, so repeated
 rows, NULL ids and empty tables need no rule. Measurement columns replace input columns of the
 same name.
 """
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from ..session import materialise
 from .common import bounded_batches, utf8
 
 SYMBOLS = b"#*$%&|<>"
@@ -112,6 +115,11 @@ def rule_ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     return measured.withColumn("failed_bits", bits)
 
 
+def stored_ledger(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``rule_ledger`` written once, for any number of policies; ``session.release`` frees it."""
+    return materialise(rule_ledger(docs, text), "ledger")
+
+
 def fails(policy: Policy, bits: str = "failed_bits") -> Column:
     return F.col(bits).bitwiseAND(F.lit(policy.mask()).cast("long")) != 0
 
@@ -138,3 +146,17 @@ def ablation(ledger: DataFrame, policy: Policy) -> DataFrame:
         .groupBy(F.col("r.rule").alias("rule"))
         .agg(F.sum("n").alias("n_failed"), F.sum(F.when(F.col("bits") == F.col("r.bit"), F.col("n")).otherwise(0)).alias("n_alone"))
     )
+
+
+def with_sole_rule(ledger: DataFrame, policy: Policy) -> DataFrame:
+    """The ledger with ``sole_rule``, the policy's only rule that a document fails, and ``n_alone``, how many it alone rejects.
+
+    Both are NULL for documents that fail no rule of the policy, or several. The broadcast table has a row per rule.
+    """
+    masked = F.col("failed_bits").bitwiseAND(F.lit(policy.mask()).cast("long"))
+    sole = F.lit(None).cast("string")
+    for i, rule in enumerate(RULES):
+        sole = F.when(masked == F.lit(1 << i), F.lit(rule.name)).otherwise(sole)
+    figures = ablation(ledger, policy).select(F.col("rule").alias("sole_rule"), "n_alone")
+    kept = ledger.drop("sole_rule", "n_alone").withColumn("sole_rule", sole)
+    return kept.join(F.broadcast(figures), "sole_rule", "left").select(*kept.columns, "n_alone")

@@ -237,20 +237,35 @@ WITH t AS (
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 30 * word_chars
-    OR (n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines) OR word_chars > 40 * n_words OR 10 * word_chars < 15 * n_words) AS kept
-FROM f
+    OR (n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines) OR word_chars > 40 * n_words OR 10 * word_chars < 15 * n_words) AS kept,
+  failed_bits, sole_rule, CASE WHEN sole_rule IS NOT NULL THEN count(*) OVER (PARTITION BY sole_rule) END AS n_alone
+FROM (
+  SELECT *, CASE failed_bits & 63 WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_windows' WHEN 4 THEN 'symbols'
+    WHEN 8 THEN 'duplicate_lines' WHEN 16 THEN 'long_words' WHEN 32 THEN 'short_words' END AS sole_rule
+  FROM (
+    SELECT *, CAST(n_words < 50 AS BIGINT) + 2 * CAST(100 * n_repeat_words > 50 * n_words AS BIGINT)
+      + 4 * CAST(100 * n_symbols > 30 * word_chars AS BIGINT) + 8 * CAST(n_lines >= 4 AND 100 * n_dup_lines > 50 * n_lines AS BIGINT)
+      + 16 * CAST(word_chars > 40 * n_words AS BIGINT) + 32 * CAST(10 * word_chars < 15 * n_words AS BIGINT)
+      + 64 * CAST(n_lines = 0 AS BIGINT) AS failed_bits
+    FROM f
+  )
+)
 """
 
 
 @query(QUALITY_SQL)
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    ledger = quality.apply_policy(quality.rule_ledger(docs), quality.CURRENT)
-    return ledger.select(
+    ledger = quality.stored_ledger(docs)
+    judged = quality.apply_policy(quality.with_sole_rule(ledger, quality.CURRENT), quality.CURRENT)
+    return judged.select(
         "doc_id",
         *quality.MEASURES[:5],
         quality.fails(quality.BASE).alias("base_failed"),
         "kept",
+        "failed_bits",
+        "sole_rule",
+        "n_alone",
     )
 
 

@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from millrace.llm import chat, components, decontam, jaccard, line_dedup, mixing, quality, secrets, signature_tree, token_counts, token_files, toxicity
 from millrace.llm.pieces import Pieces, load_config, whole_tokens
-from millrace.session import scratch_path
+from millrace.session import release, scratch_path
 
 from . import brute
 
@@ -380,6 +380,21 @@ def test_ablation(docs):
         if rule.name in quality.CURRENT.rules and failed:
             expected.append((rule.name, failed, sum(1 for b in bits if b == 1 << i)))
     same(quality.ablation(ledger, quality.CURRENT), expected)
+    alone = {rule: n for rule, _, n in expected}
+    names = {1 << i: rule.name for i, rule in enumerate(quality.RULES)}
+    beside = quality.with_sole_rule(ledger.withColumn("n_alone", F.lit("clash")), quality.CURRENT).collect()
+    for r in beside:
+        sole = names.get(r["failed_bits"] & quality.CURRENT.mask())
+        assert (r["sole_rule"], r["n_alone"]) == (sole, alone.get(sole))
+    assert len(beside) == len(bits)
+
+
+def test_stored_ledger_reads_no_texts(docs):
+    ledger = quality.stored_ledger(docs)
+    for frame in (quality.ablation(ledger, quality.BASE), quality.apply_policy(ledger, quality.BASE)):
+        assert "Python" not in frame._jdf.queryExecution().executedPlan().toString()
+    same(quality.ablation(ledger, quality.BASE), [tuple(r) for r in quality.ablation(quality.rule_ledger(docs), quality.BASE).collect()])
+    release(ledger)
 
 
 # Lines
