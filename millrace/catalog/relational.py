@@ -14,7 +14,7 @@ from ..operators.ordering import Key, page
 from ..operators.projection import audit_columns, next_version, project_typed, rename_columns
 from ..operators.sets import dedup_key, union_coerced, union_named
 from ..session import planned_bytes, scratch_path
-from ..sources.writers import bucket_count, write_bucketed
+from ..sources.writers import bucket_count, write_bucketed, write_colocated
 from .base import K_SQL, half_up, k_of, money, query
 
 NTZ = "timestamp_ntz"
@@ -343,6 +343,28 @@ def join_colocated(load, spark):
     )
 
 
+@query(
+    "join_colocated_heavy_key",
+    f"SELECT o_orderpriority, count(*) AS lines, {money('l_extendedprice')} AS price FROM (SELECT l_extendedprice, "
+    "CASE WHEN l_linenumber = 1 THEN (SELECT min(o_orderkey) FROM orders) ELSE l_orderkey END AS l_key FROM lineitem) "
+    "JOIN orders ON l_key = o_orderkey GROUP BY o_orderpriority",
+)
+def join_colocated_heavy_key(load, spark):
+    """First lines all go to one order, so that a quarter of the table or more has one key; it is dealt over several buckets."""
+    orders = load("orders").select("o_orderkey", "o_orderpriority")
+    first = orders.agg(F.min("o_orderkey")).scalar()
+    lines = load("lineitem").select(F.when(F.col("l_linenumber") == 1, first).otherwise(F.col("l_orderkey")).alias("l_key"), "l_extendedprice")
+    buckets = bucket_count(max(planned_bytes(lines), planned_bytes(orders)), least=spark.sparkContext.defaultParallelism)
+    paths = scratch_path(spark, "heavy-lines"), scratch_path(spark, "heavy-orders")
+    names = f"heavy_lines_{paths[0][-32:]}", f"heavy_orders_{paths[1][-32:]}"
+    lines, orders = write_colocated(lines, orders, names, paths, ("l_key", "o_orderkey"), buckets)
+    return (
+        lines.join(orders, (F.col("l_key") == F.col("o_orderkey")) & (lines["part"] == orders["part"]))
+        .groupBy("o_orderpriority")
+        .agg(F.count("*").alias("lines"), exact_sum(F.col("l_extendedprice")).alias("price"))
+    )
+
+
 def _bucketed(df, label, key, spark, buckets):
     path = scratch_path(spark, label)
     return write_bucketed(df, f"{label}_{path[-32:]}", path, key, buckets)

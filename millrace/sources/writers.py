@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sets import delete_insert, upsert
-from ..session import materialise
+from ..session import materialise, release
 from .readers import jdbc_options, list_files, read_jdbc_table
 
 
@@ -179,15 +179,70 @@ def bucket_count(held: int, per_bucket: int = 256 << 20, least: int = 1) -> int:
     return 1 << max(least - 1, -(-held // per_bucket) - 1, 0).bit_length()
 
 
-def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
-    """Write hash buckets of ``key``, sorted, so that joins on the key need no shuffle."""
+def write_bucketed(df: DataFrame, table: str, path: str, key: str | list[str], buckets: int) -> DataFrame:
+    """Write hash buckets of ``key``, sorted, so that joins on the key need no shuffle.
+
+    All rows of a key are in one bucket; ``write_colocated`` splits heavy keys.
+    """
+    keys = [key] if isinstance(key, str) else key
     (
-        df.repartition(buckets, key)
-        .write.bucketBy(buckets, key)
-        .sortBy(key)
+        df.repartition(buckets, *keys)
+        .write.bucketBy(buckets, *keys)
+        .sortBy(*keys)
         .option("path", path)
         .mode("errorifexists")
         .format("parquet")
         .saveAsTable(table)
     )
     return df.sparkSession.table(table)
+
+
+def heavy_keys(df: DataFrame, key: str, buckets: int, sample_rows: int = 1_000_000) -> DataFrame:
+    """Keys that would fill half a bucket or more by themselves, as (``__heavy``, ``__parts``): some ``2 * buckets`` rows at most.
+
+    Counted in a sample of about ``sample_rows`` rows. The sample decides only how evenly the rows lie:
+    a heavy key that it misses stays in one bucket. NULL is not a key here.
+    """
+    total = df.count()
+    part = min(1.0, sample_rows / max(total, 1))
+    sample = df.select(F.col(key).alias("__heavy")).where("__heavy IS NOT NULL").sample(part, seed=1)
+    share = F.col("count") / F.lit(max(total * part, 1.0))
+    counted = sample.groupBy("__heavy").count().where(share * buckets >= 0.5)
+    split = counted.select("__heavy", F.least(F.ceil(2 * share * buckets), F.lit(buckets)).cast("int").alias("__parts"))
+    return materialise(split, "heavy")
+
+
+def write_colocated(
+    many: DataFrame, one: DataFrame, tables: tuple[str, str], paths: tuple[str, str], keys: tuple[str, str], buckets: int, part: str = "part"
+) -> tuple[DataFrame, DataFrame]:
+    """Write two tables in buckets of (key, ``part``), so that joining them on both columns needs no shuffle.
+
+    A heavy key of ``many`` is dealt over its parts by a hash of the row, and its rows in ``one`` are
+    repeated once per part, so every pair meets exactly once. Give as ``one`` the side with few rows per
+    key. Other keys have part 0 alone. Rows of ``many`` with a NULL key are spread and match nothing; read
+    ``one`` by itself with ``part = 0`` to have each of its rows once. Later joins of ``many``
+    with further tables written in the same buckets do not shuffle either.
+    """
+    key, other = keys
+    heavy = heavy_keys(many, key, buckets)
+    number = F.xxhash64(*[F.to_json(F.struct(c)) if _no_hash(many.schema[c].dataType) else F.col(c) for c in many.columns])
+    parts = F.when(F.col(key).isNull(), F.lit(buckets)).otherwise(F.coalesce("__parts", F.lit(1)))
+    dealt = (
+        many.join(F.broadcast(heavy), F.col(key) == F.col("__heavy"), "left")
+        .withColumn(part, F.pmod(number, parts).cast("int"))
+        .select(*many.columns, part)
+    )
+    copies = F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1)
+    repeated = (
+        one.join(F.broadcast(heavy), F.col(other) == F.col("__heavy"), "left")
+        .withColumn(part, F.explode(copies))
+        .select(*one.columns, part)
+    )
+    left = write_bucketed(dealt, tables[0], paths[0], [key, part], buckets)
+    right = write_bucketed(repeated, tables[1], paths[1], [other, part], buckets)
+    release(heavy)
+    return left, right
+
+
+def _no_hash(kind) -> bool:
+    return "map<" in kind.simpleString()

@@ -21,6 +21,7 @@ from millrace.operators.ordering import (
     running_sum,
     with_group_values,
 )
+from millrace.sources.writers import write_colocated
 
 from .conftest import rows
 
@@ -204,3 +205,31 @@ def test_peers_over_many_ranges(spark):
         assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 1
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_colocated_join_splits_a_heavy_key(spark, folder):
+    """A third of the rows on one key and some on NULL: no shuffle, even buckets, every pair once."""
+    rnd = random.Random(3)
+    lines = [(i, 7 if i % 3 == 0 else None if i % 10 == 1 else rnd.randrange(1000)) for i in range(6000)]
+    names = [(k, f"n{k}") for k in range(900)] + [(7, "again"), (None, "none")]
+    many = spark.createDataFrame(lines, "id int, k int")
+    one = spark.createDataFrame(names, "key int, name string")
+    tables = tuple(f"{t}_{folder[-32:]}" for t in ("many", "one"))
+    left, right = write_colocated(many, one, tables, (f"{folder}/many", f"{folder}/one"), ("k", "key"), 8)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = left.join(right, (left["k"] == right["key"]) & (left["part"] == right["part"])).select("id", "name")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        by_key = defaultdict(list)
+        for k, name in names:
+            by_key[k].append(name)
+        assert rows(joined) == sorted(((i, n) for i, k in lines if k is not None for n in by_key[k]), key=lambda t: tuple((False, str(v)) for v in t))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    sizes = sorted(r["count"] for r in left.groupBy(F.col("_metadata.file_path")).count().collect())
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+    assert left.where("k = 7").select("part").distinct().count() >= 4
+    assert right.where("part = 0").count() == len(names)
+    spark.sql(f"DROP TABLE {tables[0]}")
+    spark.sql(f"DROP TABLE {tables[1]}")
