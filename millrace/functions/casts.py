@@ -122,7 +122,13 @@ def parse_list_text(col: Column, element: str) -> Column:
     read = F.from_json(F.concat(F.lit("["), inner, F.lit("]")), "array<string>", {"allowSingleQuotes": "true"})
     whole = F.when(F.exists(read, lambda x: x.isNotNull()), read)
     cut = F.transform(F.split(inner, ","), lambda x: F.regexp_replace(F.trim(x), "^['\"]|['\"]$", ""))
-    items = F.transform(F.coalesce(whole, cut), lambda x: F.trim(x))
+    if kind == "string":
+        read_or_cut = F.coalesce(whole, cut)
+    else:
+        # Without the characters of numbers and times, such a list is commas and pairs of quotes.
+        rest = F.regexp_replace(F.translate(inner, "0123456789TZ.:+- ", ""), "''|\"\"", "")
+        read_or_cut = F.when(rest.rlike("^,*$"), cut).otherwise(F.coalesce(whole, cut))
+    items = F.transform(read_or_cut, lambda x: F.trim(x))
     filled = F.filter(items, lambda x: x != "")
     return filled if kind == "string" else F.transform(filled, lambda x: x.try_cast(kind))
 

@@ -112,6 +112,27 @@ def test_conditional_aggregates(spark):
     assert rows(got) == [(200, 3, 2)]
 
 
+def test_list_text_is_the_same_cut_or_read(spark):
+    """Lists that are only cut and lists that are read as JSON, with the items either way gives."""
+    cases = {
+        "[1, 2,3]": [1, 2, 3],
+        "['1','2']": [1, 2],
+        "[\"1\", ' 2 ']": [1, 2],
+        "['1,2', 3]": [None, 3],
+        "['','-4',,]": [-4],
+        "[null, 5]": [5],
+        "'7','8": [7, 8],
+        "[]": [],
+        "[ ]": [],
+        "x": [None],
+    }
+    df = spark.createDataFrame([(k,) for k in cases] + [(None,)], "t string").select("t", casts.parse_list_text(F.col("t"), "int64").alias("v"))
+    assert {r.t: r.v for r in df.collect() if r.t is not None} == cases
+    assert df.where("t IS NULL").first().v is None
+    long = spark.range(1).select(casts.parse_list_text(F.concat(F.lit("["), F.repeat(F.lit("'12', "), 200_000), F.lit("3]")), "int64").alias("v"))
+    assert long.select(F.size("v")).first()[0] == 200_001
+
+
 def test_simple_states(spark):
     spec = {"val_sum": State("sum", "v"), "val_max": State("max", "v")}
     one, two = (spark.range(n).select(F.lit(1).alias("id"), F.col("id").alias("v")) for n in (10, 8))
