@@ -382,7 +382,7 @@ def join_asof(load, spark):
         "user_id", F.col("event_id").alias("purchase_id"), F.col("ts").alias("purchase_ts")
     )
     views = events.where("event_type = 'view'").select("user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("view_ts"))
-    return asof_join(buys, views, ["user_id"], "purchase_ts", "view_ts", "<", tie="view_id", slot="day")
+    return asof_join(buys, views, ["user_id"], "purchase_ts", "view_ts", "<", tie="view_id")
 
 
 @query(
@@ -397,7 +397,7 @@ def join_asof_back_left(load, spark):
     signups = events.where("event_type = 'signup'").select(
         "user_id", F.col("event_id").alias("signup_id"), F.col("ts").alias("signup_ts"), F.col("value").alias("signup_value")
     )
-    found = asof_join(clicks, signups, ["user_id"], "ts", "signup_ts", ">=", tie="signup_id", how="left", slot="day")
+    found = asof_join(clicks, signups, ["user_id"], "ts", "signup_ts", ">=", tie="signup_id", how="left")
     return found.select("user_id", "click_id", "signup_id", "signup_value")
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..session import materialise
 
 _ROW = "__row"
-_PART = "__part"
+PART = "__part"
 _POS = "__pos"
 
 @dataclass(frozen=True)
@@ -35,7 +35,8 @@ class Key:
         return c.asc_nulls_first() if self.nulls_first else c.asc_nulls_last()
 
 
-def _sorts(order) -> list[Column]:
+def sorts(order) -> list[Column]:
+    """Sort columns of keys and names; names ascend with NULL last."""
     return [k.sort() if isinstance(k, Key) else F.col(k).asc_nulls_last() for k in order]
 
 
@@ -56,11 +57,11 @@ def ranged(df: DataFrame, order) -> DataFrame:
 
     The sort key should end in a unique column: rows equal on the whole key share one range.
     """
-    placed = df.orderBy(*_sorts(order)).withColumn(_ROW, F.monotonically_increasing_id())
+    placed = df.orderBy(*sorts(order)).withColumn(_ROW, F.monotonically_increasing_id())
     fixed = materialise(placed, "ranged")
     return fixed.withColumns(
         {
-            _PART: F.shiftright(_ROW, 33),
+            PART: F.shiftright(_ROW, 33),
             _POS: F.col(_ROW).bitwiseAND(F.lit((1 << 33) - 1)),
         }
     ).drop(_ROW)
@@ -77,15 +78,15 @@ def number_rows(df: DataFrame, order, partition_by=(), name: str = "row_num", sm
     if small_keys:
         if not keys:
             raise ValueError("small_keys needs keys")
-        return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*_sorts(order))).cast("bigint"))
+        return df.withColumn(name, F.row_number().over(W.partitionBy(*keys).orderBy(*sorts(order))).cast("bigint"))
     rows = ranged(df, [*keys, *order])
-    spans = rows.groupBy(*keys, _PART).agg(F.count("*").alias("__n"), F.min(_POS).alias("__first"))
-    before = W.partitionBy(*keys).orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
+    spans = rows.groupBy(*keys, PART).agg(F.count("*").alias("__n"), F.min(_POS).alias("__first"))
+    before = W.partitionBy(*keys).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
     spans = spans.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
     return (
-        same_keys(rows, spans, [*keys, _PART])
+        same_keys(rows, spans, [*keys, PART])
         .withColumn(name, F.col("__before") + F.col(_POS) - F.col("__first") + 1)
-        .drop(_PART, _POS, "__before", "__first")
+        .drop(PART, _POS, "__before", "__first")
     )
 
 
@@ -93,7 +94,7 @@ _FRONT = "__front"
 _BACK = "__back"
 
 
-def _in_even_ranges(df: DataFrame, order) -> tuple[DataFrame, list[str]]:
+def in_even_ranges(df: DataFrame, order) -> tuple[DataFrame, list[str]]:
     """Spread the rows over ranges of the sort key; peers may lie in several ranges, side by side.
 
     A hash of the whole row follows the sort key, so a value that a third of the rows share is cut
@@ -102,8 +103,8 @@ def _in_even_ranges(df: DataFrame, order) -> tuple[DataFrame, list[str]]:
     """
     hashed = [f.name for f in df.schema.fields if not re.search(r"\b(map|variant)\b", f.dataType.simpleString())]
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = df.repartitionByRange(n, *_sorts(order), F.xxhash64(*hashed)).withColumn(_PART, F.spark_partition_id())
-    return spread.repartitionById(n, F.col(_PART))
+    spread = df.repartitionByRange(n, *sorts(order), F.xxhash64(*hashed)).withColumn(PART, F.spark_partition_id())
+    return spread.repartitionById(n, F.col(PART))
 
 
 def _with_peers(df: DataFrame, order, rank: str | None, dense: str | None, sums: dict[str, Column]) -> DataFrame:
@@ -115,8 +116,8 @@ def _with_peers(df: DataFrame, order, rank: str | None, dense: str | None, sums:
     where it ends. Nothing is joined on the sort value; the broadcast has one row per shuffle partition.
     """
     names = [k.name if isinstance(k, Key) else k for k in order]
-    inside = W.partitionBy(_PART).orderBy(*_sorts(order))
-    placed = _in_even_ranges(df, order).withColumns({f"__v_{s}": c for s, c in sums.items()})
+    inside = W.partitionBy(PART).orderBy(*sorts(order))
+    placed = in_even_ranges(df, order).withColumns({f"__v_{s}": c for s, c in sums.items()})
     rows = materialise(
         placed.withColumns(
             {_FRONT: F.rank().over(inside), _BACK: F.dense_rank().over(inside)}
@@ -125,7 +126,7 @@ def _with_peers(df: DataFrame, order, rank: str | None, dense: str | None, sums:
         "ranged",
     )
     value = F.struct(*names)
-    parts = rows.groupBy(_PART).agg(
+    parts = rows.groupBy(PART).agg(
         F.count("*").alias("n"),
         F.max(_BACK).cast("bigint").alias("values"),
         F.max(_FRONT).cast("bigint").alias("tail"),
@@ -134,7 +135,7 @@ def _with_peers(df: DataFrame, order, rank: str | None, dense: str | None, sums:
         *[F.sum(f"__v_{s}").alias(f"all_{s}") for s in sums],
         *[F.sum(F.when(F.col(_BACK) == 1, F.col(f"__v_{s}"))).alias(f"head_{s}") for s in sums],
     )
-    line = W.orderBy(_PART)
+    line = W.orderBy(PART)
     before, after = line.rowsBetween(W.unboundedPreceding, -1), line.rowsBetween(1, W.unboundedFollowing)
     # A range continues its predecessor's last value unless its own first value is new.
     parts = parts.withColumn("new", ~F.col("first").eqNullSafe(F.lag("last").over(line)) | (F.row_number().over(line) == 1))
@@ -160,11 +161,11 @@ def _with_peers(df: DataFrame, order, rank: str | None, dense: str | None, sums:
         parts = parts.withColumn("__closes", closes).withColumn(
             f"e_{s}", F.when(F.col("ends"), whole).otherwise(F.first("__closes", True).over(after)["v"])
         )
-    kept = [_PART, "o_n", "o_values", "began", "values", *[f"{x}_{s}" for s in sums for x in "oe"]]
-    settled = parts.select(_PART, *[F.col(c).alias(f"__p_{c}") for c in kept[1:]])
+    kept = [PART, "o_n", "o_values", "began", "values", *[f"{x}_{s}" for s in sums for x in "oe"]]
+    settled = parts.select(PART, *[F.col(c).alias(f"__p_{c}") for c in kept[1:]])
     first, last = F.col(_FRONT) == 1, F.col(_BACK) == F.col("__p_values")
     kinds = {f.name: f.dataType for f in rows.schema.fields}
-    return rows.join(F.broadcast(settled), _PART).select(
+    return rows.join(F.broadcast(settled), PART).select(
         *df.columns,
         *_named(rank, F.when(first, F.col("__p_began") + 1).otherwise(F.col("__p_o_n") + F.col(_FRONT))),
         *_named(dense, F.col("__p_o_values") + F.col(_BACK)),
@@ -199,16 +200,16 @@ def running_sum(df: DataFrame, order, value: Column, name: str) -> DataFrame:
 def neighbours(df: DataFrame, order, value: str, prev: str | None = None, nxt: str | None = None) -> DataFrame:
     """Previous and next ``value`` in the order of all rows (lag and lead by one)."""
     rows = ranged(df, order)
-    edges = rows.groupBy(_PART).agg(F.min_by(value, _POS).alias("__head"), F.max_by(value, _POS).alias("__tail"))
-    by_part = W.orderBy(_PART)
+    edges = rows.groupBy(PART).agg(F.min_by(value, _POS).alias("__head"), F.max_by(value, _POS).alias("__tail"))
+    by_part = W.orderBy(PART)
     edges = edges.select(
-        _PART, F.lag("__tail").over(by_part).alias("__before"), F.lead("__head").over(by_part).alias("__after")
+        PART, F.lag("__tail").over(by_part).alias("__before"), F.lead("__head").over(by_part).alias("__after")
     )
-    inside = W.partitionBy(_PART).orderBy(_POS)
+    inside = W.partitionBy(PART).orderBy(_POS)
     first, last = F.col(_POS) == 0, F.lead(_POS).over(inside).isNull()
     out = rows.withColumns(
         {"__lag": F.lag(value).over(inside), "__lead": F.lead(value).over(inside), "__isfirst": first, "__islast": last}
-    ).join(edges, _PART)
+    ).join(edges, PART)
     cols = [c for c in df.columns]
     if prev:
         cols.append(F.when(F.col("__isfirst"), F.col("__before")).otherwise(F.col("__lag")).alias(prev))
@@ -276,8 +277,8 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs: dict[str, float]) ->
 
     counts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__c"))
     rows = ranged(counts, [*keys, value])
-    spans = rows.groupBy(*keys, _PART).agg(F.sum("__c").alias("__n"))
-    before = W.partitionBy(*keys).orderBy(_PART).rowsBetween(W.unboundedPreceding, -1)
+    spans = rows.groupBy(*keys, PART).agg(F.sum("__c").alias("__n"))
+    before = W.partitionBy(*keys).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
     spans = spans.withColumns(
         {
             "__before": F.coalesce(F.sum("__n").over(before), F.lit(0)),
@@ -289,8 +290,8 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs: dict[str, float]) ->
     for p in probs.values():
         wanted = wanted | ((F.ceil(place(p)) >= F.col("__before")) & (F.floor(place(p)) <= last))
     spans = spans.where(wanted).drop("__n")
-    inside = W.partitionBy(*keys, _PART).orderBy(_POS).rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = same_keys(rows, spans, [*keys, _PART]).withColumn(
+    inside = W.partitionBy(*keys, PART).orderBy(_POS).rowsBetween(W.unboundedPreceding, W.currentRow)
+    placed = same_keys(rows, spans, [*keys, PART]).withColumn(
         "__last", F.col("__before") + F.sum("__c").over(inside) - 1
     )
     first = F.col("__last") - F.col("__c") + 1

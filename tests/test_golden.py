@@ -328,7 +328,7 @@ def test_asof(spark):
 def test_asof_strictness_and_ties(spark, op, expected):
     left = spark.createDataFrame([(1, 10), (1, None), (2, 10), (None, 10)], "k int, t int")
     right = spark.createDataFrame([(1, 5, 5), (1, 10, 11), (1, 10, 12), (1, 20, 20), (1, None, 0), (None, 10, 1)], "k int, u int, v int")
-    for slot in (1, 7, 1000):
+    for slot in (None, 1, 7, 1000):
         got = asof_join(left, right, ["k"], "t", "u", op, tie="v", slot=slot)
         assert [r.v for r in got.collect()] == [expected]
         outer = asof_join(left, right, ["k"], "t", "u", op, tie="v", how="left", slot=slot)

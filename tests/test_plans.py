@@ -44,11 +44,18 @@ def test_bucketed_join_does_not_shuffle_its_sides(spark):
 
 def test_asof_spreads_a_key_over_its_slots(spark, events):
     left = events.select("user_id", "ts", "event_id")
-    text = plan(asof_join(left, left.withColumnRenamed("event_id", "other"), ["user_id"], "ts", "ts"))
+    text = plan(asof_join(left, left.withColumnRenamed("event_id", "other"), ["user_id"], "ts", "ts", slot="hour"))
     assert "Join" not in text
     assert any("user_id" in line and "__slot" in line for line in text.splitlines() if "Exchange hashpartitioning" in line)
 
 
+def test_asof_in_even_ranges_never_groups_by_the_key(spark, events):
+    left = events.select("user_id", "ts", "event_id")
+    text = plan(asof_join(left, left.withColumnRenamed("event_id", "other"), ["user_id"], "ts", "ts"))
+    assert "BroadcastHashJoin [__part" in text and text.count("Join ") == 1
+    assert not any("user_id" in line for line in text.splitlines() if "Exchange hashpartitioning" in line)
+
+
 def test_interval_join_broadcasts_only_measured_intervals(spark, events):
     points = events.select("event_id", "ts")
     spans = events.select("user_id", F.col("ts").alias("a"), (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("b"))

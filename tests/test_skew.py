@@ -11,9 +11,11 @@ from millrace.operators.aggregates import collect_groups
 from millrace.operators.asof import asof_join
 from millrace.operators.intervals import interval_join
 from millrace.operators.ordering import (
+    PART,
     Key,
     exact_quantiles,
     first_non_null,
+    in_even_ranges,
     neighbours,
     number_rows,
     pick_one,
@@ -136,7 +138,7 @@ def test_group_picks(table, data):
 
 
 @pytest.mark.parametrize("op", ["<", "<=", ">", ">="])
-@pytest.mark.parametrize("slot", [50, 100_000])
+@pytest.mark.parametrize("slot", [None, 50, 100_000])
 def test_asof(spark, table, data, op, slot):
     left, right = table.where("id % 2 = 0"), table.where("id % 2 = 1").select("k", "t", F.col("id").alias("rid"))
     by_key = defaultdict(list)
@@ -166,6 +168,19 @@ def test_asof(spark, table, data, op, slot):
     assert {r.id: r.rid for r in outer.collect()} == {r[0]: expected.get(r[0]) for r in data if r[0] % 2 == 0}
 
 
+def test_asof_ranges_stay_even_for_one_key_at_one_time(spark):
+    """A third of the rows share key and time; the ranges of the join hold about the same number of rows."""
+    rows_ = spark.range(60_000).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7).alias("k"), F.lit(5).alias("t"))
+    parts = in_even_ranges(rows_, ["k", "t"]).groupBy(PART).count().collect()
+    assert len(parts) == 4 and max(p["count"] for p in parts) < 2 * min(p["count"] for p in parts)
+    right = spark.createDataFrame([(0, 6, "x"), (0, 6, "a"), (0, 4, "y"), (1, 9, "z")], "k bigint, t int, v string")
+    found = asof_join(rows_, right, ["k"], "t", "t", "<", tie="v").groupBy("k", "v").count()
+    assert sorted(tuple(r) for r in found.collect()) == [
+        (0, "a", 20_000 + sum(i % 3 != 0 and i % 7 == 0 for i in range(60_000))),
+        (1, "z", sum(i % 3 != 0 and i % 7 == 1 for i in range(60_000))),
+    ]
+
+
 @pytest.mark.parametrize("limit", [0, 64 << 20])
 def test_intervals(spark, table, data, limit):
     rnd = random.Random(9)
