@@ -10,7 +10,7 @@ from ..operators.aggregates import exact_sum, partition_counts
 from ..quality import below, is_empty, reconcile, rows_on_last_date, write_logged
 from ..session import scratch_path
 from ..sources.buckets import delete_insert_rows, read_buckets, upsert_rows
-from ..sources.incremental import backfill, load_new_files, load_past_mark
+from ..sources.incremental import backfill, load_files_once, load_new_files, load_past_mark
 from ..sources.readers import (
     list_files,
     load_manifest,
@@ -268,16 +268,28 @@ def snk_upsert_key(load, spark):
     return read_buckets(spark, path)
 
 
-@query("snk_archive_after_load", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+@query(
+    "snk_archive_after_load",
+    "SELECT event_type, count(*) AS n, count(*) AS kept, true AS archived FROM events GROUP BY event_type",
+)
 def snk_archive_after_load(load, spark):
+    """Loaded rows, the rows of the input and archive folders together, and whether the archive holds some."""
     events = load("events")
     base = scratch_path(spark, "archive")
     events.repartition(3).write.parquet(f"{base}/in")
-    stream = file_source(
-        spark, f"{base}/in", events.schema, per_trigger=1, cleanSource="archive", sourceArchiveDir=f"{base}/done"
+    # A file is moved once a later batch begins, so the second run moves the first one's last file.
+    for _ in range(2):
+        stream = file_source(
+            spark, f"{base}/in", events.schema, per_trigger=1, cleanSource="archive", sourceArchiveDir=f"{base}/done"
+        )
+        append_files(stream, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    loaded = spark.read.parquet(f"{base}/out").groupBy("event_type").agg(F.count("*").alias("n"))
+    files = spark.read.schema(events.schema).option("recursiveFileLookup", "true")
+    both = files.parquet(f"{base}/in").select("event_type", F.lit(False).alias("moved")).unionByName(
+        files.parquet(f"{base}/done").select("event_type", F.lit(True).alias("moved"))
     )
-    append_files(stream, f"{base}/out", f"{base}/checkpoint").awaitTermination()
-    return spark.read.parquet(f"{base}/out").groupBy("event_type").agg(F.count("*").alias("n"))
+    where = both.groupBy("event_type").agg(F.count("*").alias("kept"), F.bool_or("moved").alias("archived"))
+    return loaded.join(where, "event_type")
 
 
 # --- incremental loads ---
@@ -308,6 +320,18 @@ def inc_file_watermark(load, spark):
     return spark.read.parquet(f"{base}/out").groupBy("event_type").agg(F.count("*").alias("n"), exact_sum(F.col("value")).alias("total"))
 
 
+@query("inc_file_log", f"SELECT event_type, count(*) AS n, {money('value')} AS total FROM events GROUP BY event_type")
+def inc_file_log(load, spark):
+    """Files are loaded in two runs by the file source's log; a third run finds nothing new."""
+    base = scratch_path(spark, "logged-files")
+    events = load("events")
+    for late in (False, True):
+        events.where((F.col("ts") >= _at("2024-01-16")) == F.lit(late)).repartition(4).write.mode("append").parquet(f"{base}/in")
+        load_files_once(spark, f"{base}/in", events.schema, f"{base}/out", f"{base}/state", per_batch=2)
+    loaded = load_files_once(spark, f"{base}/in", events.schema, f"{base}/out", f"{base}/state")
+    return loaded.groupBy("event_type").agg(F.count("*").alias("n"), exact_sum(F.col("value")).alias("total"))
+
+
 @query("inc_backfill_range", "SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-25' GROUP BY ALL", dates="day")
 def inc_backfill_range(load, spark):
     path = scratch_path(spark, "backfilled")

@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from ..operators.sets import without_keys
 from ..session import materialise
+from ..streaming.streams import file_source, trigger_args
 from .readers import list_files
 from .writers import replace_partitions
 
+_BATCH = "load_batch"
+
 
 def existing(spark: SparkSession, path: str) -> DataFrame | None:
     """The table at ``path``, or None when there is no such path or no data file in it; other errors are raised."""
@@ -105,6 +108,44 @@ def load_new_files(
     return done
 
 
+def load_files_once(
+    spark: SparkSession,
+    folder: str,
+    schema,
+    table: str,
+    state: str,
+    kind: str = "parquet",
+    per_batch: int | None = None,
+    change: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Load the files a folder has gained into a table, each file once; returns the whole table.
+
+    The file source's own log in ``state`` holds which file belongs to which batch, and is written
+    before a batch begins. A batch is a folder of the table named by its number and replaces it. So a
+    load that ends between the data and the mark does the same batch over the same files again,
+    into the same folder. ``change`` is applied to a batch's rows, which may repeat.
+
+    Unlike a mark by modification time, files that appear late with an old time are loaded too.
+    A file that is changed after its load is not loaded again.
+    """
+    stream = file_source(spark, folder, schema, kind, per_batch)
+
+    def put(rows: DataFrame, batch: int) -> None:
+        rows = change(rows) if change else rows
+        rows.write.mode("overwrite").parquet(f"{table}/{_BATCH}={batch}")
+
+    query = stream.writeStream.foreachBatch(put).option("checkpointLocation", state).trigger(**trigger_args("drain")).start()
+    try:
+        query.awaitTermination()
+    finally:
+        query.stop()
+    loaded = existing(spark, table)
+    if loaded is not None:
+        return loaded.drop(_BATCH)
+    empty = spark.read.schema(schema).format(kind).load(folder).limit(0)
+    return change(empty) if change else empty
+
+
 def backfill(source: DataFrame, path: str, ts: str, first: str, last: str, day: str = "day") -> None:
     """Load the days ``first`` to ``last`` again, each replacing its own partition.
 

@@ -1,6 +1,7 @@
 """Loads can be repeated, resumed and fail without losing or doubling rows."""
 
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from millrace.operators.projection import next_version
 from millrace.quality import reconcile, write_logged
 from millrace.session import shared_folder
-from millrace.sources.incremental import backfill, existing, file_mark, load_new_files, load_past_mark, past_mark
+from millrace.sources.incremental import backfill, existing, file_mark, load_files_once, load_new_files, load_past_mark, past_mark
 from millrace.sources.readers import (
     files_by_date,
     jdbc_options,
@@ -77,6 +78,46 @@ def test_file_mark_moves_only_after_success(spark, folder):
     assert load_new_files(spark, source, state, "other", lambda p: None) > 0
 
 
+def test_files_are_loaded_once_when_a_load_ends_before_its_mark(spark, folder):
+    source, out, state = f"{folder}/in", f"{folder}/out", f"{folder}/state"
+    schema = "id bigint, v string"
+
+    def add(first, last):
+        spark.range(first, last).select("id", F.lit("x").alias("v")).coalesce(1).write.mode("append").parquet(source)
+
+    def load(**more):
+        return sorted(r.id for r in load_files_once(spark, source, schema, out, state, **more).collect())
+
+    add(0, 10)
+    assert load() == list(range(10))
+    for first in (10, 20, 30):
+        add(first, first + 10)
+    assert load(per_batch=2) == list(range(40))
+    # The data of the last batch is there, its mark is not.
+    commits = Path(state.removeprefix("file:")) / "commits"
+    newest = max(int(c.name) for c in commits.iterdir() if c.name.isdigit())
+    for mark in (commits / str(newest), commits / f".{newest}.crc"):
+        mark.unlink(missing_ok=True)
+    add(40, 50)
+    assert load() == list(range(50))
+    assert load() == list(range(50))
+
+
+def test_a_failed_load_of_files_takes_them_again(spark, folder):
+    source, out, state = f"{folder}/in", f"{folder}/out", f"{folder}/state"
+    spark.range(7).write.parquet(source)
+
+    def broken(rows):
+        return rows.select(F.raise_error(F.lit("no")).cast("bigint").alias("id"))
+
+    with pytest.raises(Exception, match="no"):
+        load_files_once(spark, source, "id bigint", out, state, change=broken)
+    doubled = load_files_once(spark, source, "id bigint", out, state, change=lambda r: r.select((r.id * 2).alias("id")))
+    assert rows(doubled, "id") == [(2 * i,) for i in range(7)]
+    (Path(folder.removeprefix("file:")) / "none").mkdir(parents=True)
+    assert load_files_once(spark, f"{folder}/none", "id bigint", f"{out}2", f"{state}2").count() == 0
+
+
 def test_backfill_is_idempotent_and_passes_empty_days(spark, folder):
     data = table(spark, (1, ts("2024-01-01T05:00:00"), "a"), (2, ts("2024-01-03T23:59:59.999999"), "b"), (3, ts("2024-01-04"), "c"))
     for _ in range(2):
