@@ -10,7 +10,8 @@ queries name. Queries intersect and unite postings per document; only documents
 leaves are verified with the rule's regular expression. Spans are in code points, end exclusive,
 leftmost and non-overlapping per rule.
 
-Defined cases: NULL and empty texts hold no secret; rows that repeat a doc_id are scanned by
+Defined cases: NULL and empty texts hold no secret; a very long text is one row of one task, whose
+cost grows with its length and number of matches; rows that repeat a doc_id are scanned by
 their own texts; a NULL doc_id is a value like others; an empty table gives no rows. Extra
 columns stay; result columns replace those of the same name.
 """
@@ -27,10 +28,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
-from .common import row_key
+from .common import BROADCAST_BYTES, row_key
 
 # Strings a run of literals may stand for before it is cut.
 _STRINGS = 64
+# Matches whose spans are gathered in one array before it is joined to the others.
+_CHUNK = 128
+# Bytes of a candidate row in a broadcast table, without its doc_id.
+_ROW_BYTES = 256
+_SPANS = "array<struct<start:bigint,place:int,end:bigint,kind:string,chars:bigint>>"
 
 
 @dataclass(frozen=True)
@@ -135,29 +141,68 @@ def candidates(index: DataFrame, queries: dict[str, tuple]) -> DataFrame:
     return held.select("doc", "row", kinds.alias("kinds")).where(F.size("kinds") > 0)
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def rule_spans(rule: Rule, place: int, text: str = "text") -> Column:
-    """All matches of a rule as structs (start, place, end, kind), those too short left out."""
+    """All matches of a rule as structs (start, place, end, kind), those too short left out.
+
+    Places are a running sum over the lengths of gaps and matches. Spans are gathered in chunks of
+    ``_CHUNK`` matches, so that no array as long as the text's matches is copied for each of them.
+    """
     regex = F.lit(rule.regex)
     matches = F.regexp_extract_all(F.col(text), regex, F.lit(0))
     values = F.regexp_extract_all(F.col(text), regex, F.lit(rule.group))
     gaps = F.split(F.col(text), rule.regex, -1)
-    found = F.arrays_zip(F.slice(gaps, 1, F.size(matches)).alias("gap"), matches.alias("match"), values.alias("value"))
-    none = F.array().cast("array<struct<start:bigint,place:int,end:bigint,kind:string,chars:bigint>>")
+    found = _bound(matches, lambda m: F.arrays_zip(F.slice(gaps, 1, F.size(m)).alias("gap"), m.alias("match"), values.alias("value")))
+    lengths = F.transform(
+        found,
+        lambda x: F.struct(
+            F.length(x["gap"]).cast("long").alias("gap"),
+            F.length(x["match"]).cast("long").alias("match"),
+            F.length(x["value"]).cast("long").alias("value"),
+        ),
+    )
+    none = F.array().cast(_SPANS)
 
     def step(state: Column, x: Column) -> Column:
-        start = state["at"] + F.length(x["gap"])
-        end = start + F.length(x["match"])
+        start = state["at"] + x["gap"]
+        end = start + x["match"]
         own = F.struct(
-            start.cast("long").alias("start"),
-            F.lit(place).alias("place"),
-            end.cast("long").alias("end"),
-            F.lit(rule.kind).alias("kind"),
-            F.length(x["value"]).cast("long").alias("chars"),
+            start.alias("start"), F.lit(place).alias("place"), end.alias("end"), F.lit(rule.kind).alias("kind"), x["value"].alias("chars")
+        )
+        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(own)).alias("spans"))
+
+    def chunk_step(state: Column, chunk: Column) -> Column:
+        inner = F.aggregate(chunk, F.struct(state["at"].alias("at"), none.alias("spans")), step)
+        return _bound(
+            inner, lambda i: F.struct(i["at"].alias("at"), F.concat(state["chunks"], F.array(i["spans"])).alias("chunks"))
         )
-        return F.struct(end.cast("long").alias("at"), F.concat(state["spans"], F.array(own)).alias("spans"))
 
-    placed = F.aggregate(found, F.struct(F.lit(0).cast("long").alias("at"), none.alias("spans")), step, lambda s: s["spans"])
-    return F.filter(placed, lambda s: s["chars"] >= rule.chars)
+    def in_chunks(all_: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(all_), F.lit(1)), F.lit(_CHUNK))
+        chunks = F.transform(starts, lambda i: F.slice(all_, i, F.lit(_CHUNK)))
+        nothing = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{_SPANS}>").alias("chunks"))
+        return F.flatten(F.aggregate(chunks, nothing, chunk_step, lambda state: state["chunks"]))
+
+    return F.filter(_bound(lengths, in_chunks), lambda s: s["chars"] >= rule.chars)
+
+
+def _with_kinds(keyed: DataFrame, left: DataFrame, rows: int, doc_bytes: int, queries: dict[str, tuple]) -> DataFrame:
+    """``keyed`` with the kinds whose trigram query a document satisfies; the texts of others never move.
+
+    Counted candidates that fit are broadcast. Beyond that, only texts that hold the trigrams of some
+    query are shuffled to meet their candidate row; the rest can have none and stay where they are.
+    """
+    same = F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("row") == F.col("__row"))
+    if rows * (doc_bytes + _ROW_BYTES) <= BROADCAST_BYTES or not queries:
+        return keyed.join(F.broadcast(left), same, "left")
+    low = F.lower(F.col("text"))
+    maybe = _any([_all([_any([_all([F.contains(low, F.lit(t)) for t in sorted(a)]) for a in clause]) for clause in q]) for q in queries.values()])
+    moved = keyed.where(maybe).join(left, same, "left")
+    return moved.unionByName(keyed.where(~maybe), allowMissingColumns=True)
 
 
 def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -174,9 +219,11 @@ def find_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         F.struct(*names, "text").alias("given"),
     )
     index = materialise(postings(keyed.select("doc", "row", "text"), trigrams), "trigrams")
-    left = candidates(index, indexed).select(F.col("doc").alias("__doc"), F.col("row").alias("__row"), "kinds")
-    checked = keyed.join(left, F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("row") == F.col("__row")), "left")
-    none = F.array().cast("array<struct<start:bigint,place:int,end:bigint,kind:string,chars:bigint>>")
+    found = candidates(index, indexed).select(F.col("doc").alias("__doc"), F.col("row").alias("__row"), "kinds")
+    left = materialise(found, "candidates")
+    rows, doc_bytes = left.agg(F.count("*"), F.coalesce(F.max(F.octet_length(F.col("__doc").cast("string"))), F.lit(0))).first()
+    checked = _with_kinds(keyed, left, rows, doc_bytes, indexed)
+    none = F.array().cast(_SPANS)
     spans = []
     for place, rule in enumerate(rules):
         wanted = F.col("text").rlike(rule.regex)

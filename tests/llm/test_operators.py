@@ -273,6 +273,23 @@ def test_secrets(docs, rows, empty):
     assert secrets.find_secrets(empty).count() == 0
 
 
+def test_secrets_beyond_the_broadcast_bound(spark, docs, monkeypatch):
+    """Candidates that do not fit a broadcast meet their texts by a shuffle of candidate texts; same result."""
+    whole = sorted(map(str, secrets.find_secrets(docs).collect()))
+    monkeypatch.setattr(secrets, "BROADCAST_BYTES", -1)
+    moved = secrets.find_secrets(docs)
+    assert "Union" in moved._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, moved.collect())) == whole
+
+
+def test_many_secrets_in_one_text(spark):
+    """Spans of more matches than a chunk holds, against the plain version."""
+    texts = [" ".join(f"token=abc{i:05d}é" for i in range(n)) for n in (1, 127, 128, 129, 1000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = secrets.find_secrets(df, secrets.BASE).select("doc_id", secrets.listed(F.col("secrets")))
+    assert {r[0]: r[1] for r in found.collect()} == {i: brute.base_secrets(t) for i, t in enumerate(texts)}
+
+
 def test_more_secrets(spark):
     texts = [f"gh{'p'}_{'Zq' * 20}", "-----BEGIN RSA PRIVATE KEY-----", f"eyJ{'a' * 12}.{'b' * 12}.{'c' * 12} end", f"é sk_live_{'x' * 16}", "gh_ eyj sk_live_"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
