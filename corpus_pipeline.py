@@ -2,6 +2,10 @@
 
 Every stage gets what its predecessor kept, written as Parquet and read again. All but the last
 return the columns of ``documents``.
+
+Defined cases: rows with a NULL or empty text pass every filter, and the mix, which takes words, has
+none of them; rows with NULL in other columns are rows like others; repeated rows are near duplicates
+of each other if they have words; an empty table stays empty. Further columns of any name come out as they went in.
 """
 
 from __future__ import annotations
@@ -20,21 +24,29 @@ END_ID = 1
 ORACLE_SQL = None
 
 
+def _filtered(docs: DataFrame, operator) -> DataFrame:
+    """What ``operator`` leaves of ``docs``; columns other than id and text ride in a struct, so none can clash."""
+    own = ("doc_id", "text")
+    rest = [c for c in docs.columns if c not in own]
+    left = operator(docs.select(*own, *([F.struct(*rest).alias("given")] if rest else [])))
+    return left.select(*[F.col(c) if c in own else F.col("given").getField(c).alias(c) for c in docs.columns])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity models do not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.toxicity(docs, labels).where("predicted = 0").select(*docs.columns)
+    return _filtered(docs, lambda d: toxicity.toxicity(d, labels).where("predicted = 0"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
-    return jaccard.one_per_component(docs).select(*docs.columns)
+    return _filtered(docs, jaccard.one_per_component)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window of a benchmark item."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontam.contamination(docs, benchmark).where("NOT contaminated").select(*docs.columns)
+    return _filtered(docs, lambda d: decontam.contamination(d, benchmark).where("NOT contaminated"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
