@@ -78,6 +78,46 @@ def test_toxicity_of_held_out_rows(spark):
     hits = sum(p and t for p, t in held)
     assert hits / sum(t for _, t in held) > 0.85
     assert hits / sum(p for p, _ in held) > 0.95
+    clean = [r["predicted"] for r in rows if labels.get(r["doc_id"]) == 0]
+    assert sum(clean) <= 0.01 * len(clean)
+
+
+def check_whole_mix(given, taken):
+    """Words per source against the plain targets; one document of a source is rounded."""
+    sizes, largest, got = {}, {}, {}
+    for r in given:
+        n = len(brute.WORD.findall(r["text"] or ""))
+        sizes[r["source"]] = sizes.get(r["source"], 0) + n
+        largest[r["source"]] = max(largest.get(r["source"], 0), n)
+    for r in taken:
+        got[r["source"]] = got.get(r["source"], 0) + len(brute.WORD.findall(r["text"]))
+    for source, goal in brute.targets(sizes).items():
+        assert abs(got.get(source, 0) - goal) <= largest[source] + 0.5, source
+
+
+def test_pipeline_edges(spark):
+    """NULLs, empty texts, repeated rows and clashing columns through every stage; then an empty table."""
+    clash = ["score", "predicted", "held_out", "n_words", "component_id", "taken", "given", "contaminated"]
+    words = " ".join(f"word{i}" for i in range(60))
+    other = " ".join(f"other{i}" for i in range(40))
+    texts = [(1, None, "a"), (2, "", None), (3, words, "a"), (3, words, "a"), (4, words + " more", None), (5, other, "b"), (None, None, "b")]
+    schema = "doc_id long, text string, source string, " + ", ".join(f"{c} string" for c in clash)
+    docs = spark.createDataFrame([(*t, *[f"{c}-{t[0]}" for c in clash]) for t in texts], schema)
+    left = {"toxicity": 7, "near_duplicates": 5, "decontamination": 5}
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).count() == 0
+        if name == "token_files":
+            break
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert all(r[c] == f"{c}-{r['doc_id']}" for r in rows for c in clash)
+        if name in left:
+            assert len(rows) == left[name]
+            docs = out
+        else:
+            assert {r["doc_id"] for r in rows} == {3, 5}
 
 
 def test_pipeline_stages(spark):
@@ -95,13 +135,17 @@ def test_pipeline_stages(spark):
         out = out.cache()
         left = sorted((r["doc_id"], r["text"]) for r in out.collect())
         assert set(left) <= set(rows)
-        if name == "near_duplicates":
+        if name == "toxicity":
+            rejected = {r["doc_id"] for r in QUERIES["op1_toxicity"](spark, SF).collect() if r["predicted"]}
+            assert left == sorted(r for r in rows if r[0] not in rejected)
+        elif name == "near_duplicates":
             groups = brute.jaccard_components(rows)
             assert [d for d, _ in left] == sorted({g for _, n, g in groups if n} | {d for d, n, _ in groups if not n})
         elif name == "decontamination":
             assert left == sorted(r for r, c in zip(rows, brute.contamination(rows, benchmark), strict=True) if not c[-1])
         elif name == "source_mix":
             assert max(left.count(x) for x in set(left)) <= 3
+            check_whole_mix(docs.collect(), out.collect())
         docs, before = out, left
     assert before
     assert corpus_pipeline.run(spark, SF).count() == len(before)
