@@ -71,9 +71,11 @@ def _change(changes: DataFrame, path: str, keys, merge: Callable[[DataFrame, Dat
 def upsert_rows(changes: DataFrame, path: str, keys, seq: str | None = None, rows: int = ROWS) -> int:
     """Insert rows with new keys and replace those with known ones; returns the number of buckets.
 
-    Buckets are split so that they hold about ``rows`` rows each.
+    Buckets are split so that they hold about ``rows`` rows each. Changes are first reduced to one row per
+    key, so that a key which changes often does not count as many.
     """
-    return _change(changes, path, keys, lambda old, new: upsert(old, new, keys, seq), rows)
+    newest = upsert(changes.limit(0), changes, keys, seq)
+    return _change(newest, path, keys, lambda old, new: upsert(old, new, keys, seq), rows)
 
 
 def delete_insert_rows(stage: DataFrame, path: str, keys, rows: int = ROWS) -> int:

@@ -71,3 +71,9 @@ def test_delete_insert(spark, folder):
     delete_insert_rows(spark.createDataFrame([(1, "x", 5), (None, "y", 6), (9, "z", 7)], KIND), folder, ["id"], rows=2)
     delete_insert_rows(spark.createDataFrame([], KIND), folder, ["id"], rows=2)
     assert rows(read_buckets(spark, folder)) == rows(spark.createDataFrame([(1, "x", 5), (2, "c", 3), (None, "y", 6), (9, "z", 7)], KIND))
+
+
+def test_many_changes_of_few_keys_make_few_buckets(spark, folder):
+    changes = spark.range(5000).select((F.col("id") % 20).alias("id"), F.col("id").cast("string").alias("v"), F.col("id").cast("int").alias("seq"))
+    assert upsert_rows(changes, folder, ["id"], "seq", rows=10) == 2
+    assert rows(read_buckets(spark, folder)) == rows(changes.where("seq >= 4980"))
