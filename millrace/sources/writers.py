@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sets import delete_insert, upsert
-from ..session import materialise, release
+from ..session import materialise, planned_bytes, release
 from .readers import jdbc_options, list_files, read_jdbc_table
 
+# Planned bytes of a file, or of a part of it, that one task gets from a shuffle, and most parts of a file.
+SHARE = 32 << 20
+MOST_PARTS = 32
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", codec: str = "zstd") -> None:
     df.write.mode(mode).option("compression", codec).parquet(path)
@@ -40,11 +46,24 @@ def write_format(df: DataFrame, path: str, kind: str, mode: str = "overwrite") -
 def write_files(df: DataFrame, path: str, files: int, merge_only: bool = False) -> DataFrame:
     """Write about ``files`` files and report their sizes.
 
-    ``merge_only`` joins existing partitions without a shuffle; otherwise rows are spread evenly.
+    ``merge_only`` joins existing partitions without a shuffle; otherwise rows are spread evenly. Where the
+    planned share of a file exceeds ``SHARE``, even parts are written aside first, and the task of a file
+    reads its parts as Parquet, which are a fraction of the rows it would get from a shuffle.
     """
-    spread = df.coalesce(files) if merge_only else df.repartition(files)
-    spread.write.mode("overwrite").parquet(path)
-    return list_files(df.sparkSession, path, ext=".parquet").select("name", "size")
+    spark = df.sparkSession
+    # The estimate decides only the number of parts, never the rows.
+    parts = 1 if merge_only else min(MOST_PARTS, -(-planned_bytes(df) // (files * SHARE)))
+    if parts == 1:
+        spread = df.coalesce(files) if merge_only else df.repartition(files)
+        spread.write.mode("overwrite").parquet(path)
+    else:
+        aside = materialise(df.repartition(files * parts), "parts")
+        held = sorted(aside.inputFiles())
+        # Even parts side by side, one file's after another's, so that each task merges about one file's.
+        lots = [spark.read.schema(df.schema).parquet(*held[k::files]) for k in range(min(files, len(held)))]
+        reduce(DataFrame.union, lots).coalesce(files).write.mode("overwrite").parquet(path)
+        release(aside)
+    return list_files(spark, path, ext=".parquet").select("name", "size")
 
 
 def replace_partitions(df: DataFrame, path: str, *by: str) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from millrace.operators.projection import next_version
 from millrace.quality import reconcile, write_logged
 from millrace.session import shared_folder
+from millrace.sources import writers
 from millrace.sources.incremental import backfill, existing, file_mark, load_files_once, load_new_files, load_past_mark, past_mark
 from millrace.sources.readers import (
     files_by_date,
@@ -219,6 +220,22 @@ def test_file_count(spark, folder):
     assert write_files(spark.range(0, 1000, 1, 8), f"{folder}/two", 2, merge_only=True).count() == 2
 
 
+def test_files_are_merged_from_parts_written_aside(spark, folder, monkeypatch):
+    data = spark.range(9000).withColumn("v", F.concat(F.lit("v"), "id"))
+    asked = []
+    kept = writers.materialise
+    monkeypatch.setattr(writers, "materialise", lambda df, label: asked.append(label) or kept(df, label))
+    assert write_files(data, f"{folder}/small", 3).count() == 3 and not asked
+    monkeypatch.setattr(writers, "SHARE", 10_000)
+    assert write_files(data, f"{folder}/three", 3).count() == 3 and asked == ["parts"]
+    back = spark.read.parquet(f"{folder}/three")
+    assert rows(back) == rows(data)
+    per_file = [r["count"] for r in back.groupBy(F.input_file_name()).count().collect()]
+    assert len(per_file) == 3 and max(per_file) <= 1.2 * min(per_file)
+    assert write_files(data.where("id < 0"), f"{folder}/none", 3).count() <= 3
+    assert spark.read.parquet(f"{folder}/none").count() == 0
+
+
 def test_next_version_of_an_empty_target(spark):
     empty = spark.createDataFrame([], "version bigint")
     assert next_version(spark.range(1), empty).first().version == 1
