@@ -13,7 +13,9 @@ A cluster of one block is then done. A larger one is cut into blocks by size cla
 set of each component of each block is compared first; then the sets outside the cluster's
 largest component visit those blocks that hold a set listed with them under one element and size class, so
 the members of a huge group of copies are read once and not paired with each other. Only links
-that connect components are made, never all pairs.
+that connect components are made, never all pairs. Each of these steps first moves sketches, two to
+four bits an element, which give an upper bound of every overlap; elements are moved only for sets
+that the bound leaves a possible partner, so sets in a cluster by chance are not moved whole.
 
 Frequencies are only used for that order. They are counted in stretches of a task's documents, and
 kept in tables of ``SLOTS`` levels and in a bitmap of bounded size, in which rare elements may take
@@ -40,7 +42,7 @@ from ..session import materialise, release
 from .common import batch, broadcast_if_counted, kept_in_worker, map_batches, mix64, row_key, utf8
 from .components import components
 from .pieces import Recent
-from .signature_tree import link
+from .signature_tree import link, may_link, sketch
 
 SHINGLE = 5
 PERCENT = 80
@@ -173,19 +175,19 @@ def _class(n: Column) -> Column:
     return F.floor(F.log(n.cast("double")) / F.log(F.lit(CLASS))).cast("long")
 
 
-def _listed(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, sid): a key stands for an element and a size class, and lists sets that may be alike by it.
+def _listed(sets: DataFrame, percent: int, *more: str) -> DataFrame:
+    """(key, sid, *more): a key stands for an element and a size class, and lists sets that may be alike by it.
 
     The first element that two alike sets share stands so early in both that the rest suffices:
     a set of n with the element at place i has no larger partner than (n - i) * (1 + 1/p) - n.
     Sets are therefore listed under (element, size class), and under the next class only if a
     partner of that size is possible.
     """
-    shared = sets.select("sid", F.col("n").cast("int").alias("n"), F.posexplode("firsts").alias("i", "h"))
+    shared = sets.select("sid", *more, F.col("n").cast("int").alias("n"), F.posexplode("firsts").alias("i", "h"))
     largest = (F.col("n") - F.col("i")) * (100 + percent) / percent - F.col("n")
     own = _class(F.col("n"))
     classes = F.when(largest >= F.pow(F.lit(CLASS), own + 1), F.array(own, own + 1)).otherwise(F.array(own))
-    return shared.select("sid", "h", F.explode(classes).alias("c")).select(F.xxhash64("h", "c").alias("key"), "sid")
+    return shared.select("sid", *more, "h", F.explode(classes).alias("c")).select(F.xxhash64("h", "c").alias("key"), "sid", *more)
 
 
 def _clusters(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -232,23 +234,63 @@ def _flagged(flags: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (flags[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def _gathered(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """(sid, n, cluster, class, block, elements) of ``members``, whose documents are cut into shingles again; repeated rows repeat.
+def _gathered(docs: DataFrame, members: DataFrame, sketches: bool = False) -> DataFrame:
+    """(sid, n, cluster, class, block, bits, elements) of ``members``, whose documents are cut into shingles again; repeated rows repeat.
 
-    A counted, bounded table of members is broadcast, so that texts stay where they are.
+    ``bits`` are NULL unless ``sketches`` are wanted. A counted, bounded table of members is broadcast,
+    so that texts stay where they are.
     """
-    out = pa.schema([(c, pa.int64()) for c in ("sid", "n", "cluster", "class", "block")] + [("elements", pa.binary())])
+    given = ["sid", "n", "cluster", "class", "block"]
+    out = pa.schema([(c, pa.int64()) for c in given] + [("bits", pa.binary()), ("elements", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            elements = [shingles(t).tobytes() for t in utf8(rows.column("text"))]
-            yield batch(out, *(rows.column(c) for c in out.names[:-1]), elements)
+            elements = [shingles(t) for t in utf8(rows.column("text"))]
+            bits = [sketch(e) if sketches else None for e in elements]
+            yield batch(out, *(rows.column(c) for c in given), bits, [e.tobytes() for e in elements])
 
-    own = members.select(F.col("doc").alias("__doc"), F.col("row").alias("__row"), *out.names[:-1])
+    own = members.select(F.col("doc").alias("__doc"), F.col("row").alias("__row"), *given)
     own = broadcast_if_counted(own, members.count(), 160)
     found = docs.join(own, F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("row") == F.col("__row")))
-    kind = "sid long, n long, cluster long, class long, block long, elements binary"
-    return map_batches(found.select("text", *out.names[:-1]), run, kind)
+    kind = "sid long, n long, cluster long, class long, block long, bits binary, elements binary"
+    return map_batches(found.select("text", *given), run, kind)
+
+
+def _by_block(batches: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iterator[tuple[tuple, list]]:
+    """Each (cluster, block) with its rows (sid, side, *columns), which stand together; a repeated row counts once."""
+    key, held, last = None, [], None
+    for rows in batches:
+        for cluster, block, sid, side, *more in zip(*(rows.column(n).to_pylist() for n in ("cluster", "block", "sid", "side", *columns)), strict=True):
+            if (cluster, block) != key:
+                if held:
+                    yield key, held
+                key, held, last = (cluster, block), [], None
+            if (side, sid) == last:
+                continue
+            last = side, sid
+            held.append((sid, side, *more))
+    if held:
+        yield key, held
+
+
+def _blocked(rows: DataFrame, *columns: str) -> DataFrame:
+    return rows.select("cluster", "block", "sid", "side", *columns).repartition("cluster", "block").sortWithinPartitions("cluster", "block", "side", "sid")
+
+
+def _possible(blocks: DataFrame, percent: int, guests: bool = False) -> DataFrame:
+    """Rows (cluster, block, sid, known, side) of ``blocks``, which hold sketches, that may be alike to a set
+    of another component in their block; with ``guests``, also of the other side."""
+    out = pa.schema([(c, pa.int64()) for c in ("cluster", "block", "sid", "known")] + [("side", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, held in _by_block(batches, ("known", "n", "bits")):
+            ids, side, known, sizes, bits = zip(*held, strict=True)
+            labels = np.arange(len(ids)) if known[0] is None else np.array(known, np.int64)
+            left = np.flatnonzero(may_link(list(bits), np.array(sizes, np.int64), percent, labels, np.array(side) if guests else None)).tolist()
+            if left:
+                yield batch(out, [key[0]] * len(left), [key[1]] * len(left), *([x[k] for k in left] for x in (ids, known, side)))
+
+    return map_batches(_blocked(blocks, "known", "n", "bits"), run, "cluster long, block long, sid long, known long, side boolean")
 
 
 def _searched(blocks: DataFrame, percent: int, labels: bool = False, guests: bool = False) -> DataFrame:
@@ -280,23 +322,24 @@ def _searched(blocks: DataFrame, percent: int, labels: bool = False, guests: boo
             yield batch(out, [key[0]] * len(rows), [key[1]] * len(rows), a, b, linked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held, last = None, [], None
-        for rows in batches:
-            for cluster, block, sid, data, known, side in zip(*(rows.column(n).to_pylist() for n in ("cluster", "block", "sid", "elements", "known", "side")), strict=True):
-                if (cluster, block) != key:
-                    if held:
-                        yield from search(key, held)
-                    key, held, last = (cluster, block), [], None
-                if (side, sid) == last:
-                    continue  # a repeated row
-                last = side, sid
-                held.append((sid, np.frombuffer(data, np.uint64), known, side))
-        if held:
-            yield from search(key, held)
-
-    placed = blocks.select("cluster", "block", "sid", "elements", "known", "side")
-    ordered = placed.repartition("cluster", "block").sortWithinPartitions("cluster", "block", "side", "sid")
-    return map_batches(ordered, run, "cluster long, block long, a long, b long, linked boolean")
+        for key, held in _by_block(batches, ("elements", "known")):
+            yield from search(key, [(sid, np.frombuffer(data, np.uint64), known, side) for sid, side, data, known in held])
+
+    return map_batches(_blocked(blocks, "elements", "known"), run, "cluster long, block long, a long, b long, linked boolean")
+
+
+def _narrowed(large: DataFrame, placed: DataFrame, percent: int, made: list[DataFrame], labels: bool = False, guests: bool = False) -> DataFrame:
+    """``_searched`` for the sets of ``large`` that ``placed`` (cluster, block, sid, known, side) puts into blocks.
+
+    Sketches are searched first; sets without a possible partner are left out, and have no label.
+    """
+    placed = materialise(placed.distinct(), "places")
+    sketches = large.select("sid", "n", "bits").join(broadcast_if_counted(placed, placed.count(), 64), "sid")
+    left = materialise(_possible(sketches, percent, guests), "possible")
+    whole = large.select("sid", "elements").join(broadcast_if_counted(left, left.count(), 64), "sid")
+    found = materialise(_searched(whole, percent, labels, guests), "links")
+    made += [placed, left, found]
+    return found
 
 
 def _links(docs: DataFrame, classes: DataFrame, hubs: DataFrame, members: DataFrame, percent: int, made: list[DataFrame]) -> DataFrame:
@@ -305,37 +348,39 @@ def _links(docs: DataFrame, classes: DataFrame, hubs: DataFrame, members: DataFr
     What was written for them is added to ``made``, to be released once the links were read.
     """
     new = [F.lit(None).cast("long").alias("known"), F.lit(False).alias("side")]
-    alone = ["cluster", "block", "sid", "elements", *new]
-    single = _searched(_gathered(docs, members.where("NOT large")).select(*alone), percent).select("a", "b")
+    alone = ["cluster", "block", "sid", *new]
+    single = _searched(_gathered(docs, members.where("NOT large")).select(*alone, "elements"), percent).select("a", "b")
     if members.where("large").isEmpty():
         return single
-    large = materialise(_gathered(docs, members.where("large")), "blocks")
-    first = materialise(_searched(large.select(*alone), percent, labels=True), "links")
-    labelled = first.where("NOT linked").select("cluster", "block", F.col("a").alias("sid"), F.col("b").alias("label"))
+    large = materialise(_gathered(docs, members.where("large"), sketches=True), "blocks")
+    of_large = large.select("cluster", "block", "sid", "n").distinct()
+    first = _narrowed(large, large.select(*alone), percent, made, labels=True)
+    label = first.where("NOT linked").select(F.col("a").alias("sid"), F.col("b").alias("label"))
+    labelled = materialise(of_large.join(label, "sid", "left").withColumn("label", F.coalesce("label", "sid")), "labels")
     # One set of each component of each block; so many that they need blocks themselves are salted again.
-    heads = large.join(labelled.where("sid = label").select("sid"), "sid")
+    heads = labelled.where("sid = label")
     spread = heads.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_ELEMENTS)).alias("spread"))
-    heads = heads.join(spread, "cluster").select("cluster", F.pmod(F.xxhash64("sid"), "spread").alias("block"), "sid", "elements", *new)
-    second = materialise(_searched(heads, percent, labels=True), "links")
+    heads = heads.join(spread, "cluster").select("cluster", F.pmod(F.xxhash64("sid"), "spread").alias("block"), "sid", *new)
+    second = _narrowed(large, heads, percent, made, labels=True)
     merged = second.where("NOT linked").select(F.col("a").alias("label"), F.col("b").alias("root"))
-    named = labelled.join(merged, "label").select("sid", "cluster", "block", "root")
+    named = labelled.join(merged, "label", "left").select("sid", "cluster", "block", F.coalesce("root", "label").alias("root"))
     most = named.groupBy("cluster", "root").agg(F.count("*").alias("m")).groupBy("cluster").agg(F.max_by("root", F.struct("m", "root")).alias("most"))
-    named = materialise(named.join(most, "cluster").drop("cluster"), "labels")
+    named = materialise(named.join(most, "cluster"), "labels")
     # A set outside its cluster's largest component visits the blocks of sets that are listed with it.
     keys = broadcast_if_counted(hubs.select("key"), hubs.count(), 32)
-    listed = _listed(classes.join(named.select("sid"), "sid", "left_semi"), percent).join(keys, "key", "left_semi").join(named, "sid")
+    mine = classes.join(broadcast_if_counted(named, named.count(), 64), "sid")
+    listed = _listed(mine, percent, "block", "root", "most").join(keys, "key", "left_semi")
     hosts = listed.select("key", F.col("block").alias("visited")).distinct()
     guests = listed.where("root <> most").select("key", "sid", "block")
     visits = materialise(guests.join(hosts, "key").where("visited <> block").select("sid", "visited").distinct(), "visits")
-    made += [large, first, second, named, visits]
-    rows = large.join(named.drop("block"), "sid")
-    columns = ["sid", "elements", F.col("root").alias("known")]
-    visiting = rows.join(visits, "sid").select("cluster", F.col("visited").alias("block"), *columns, F.lit(True).alias("side"))
-    visited = rows.join(visiting.select("cluster", "block").distinct(), ["cluster", "block"], "left_semi")
-    own = visited.select("cluster", "block", *columns, F.lit(False).alias("side"))
-    third = _searched(own.unionByName(visiting), percent, guests=True)
-    done = [x.where("linked").select("a", "b") for x in (first, second)]
-    return single.unionByName(done[0]).unionByName(done[1]).unionByName(third.select("a", "b"))
+    visiting = named.join(visits, "sid").select("cluster", F.col("visited").alias("block"), "sid", F.col("root").alias("known"), F.lit(True).alias("side"))
+    visited = named.join(visiting.select("cluster", "block").distinct(), ["cluster", "block"], "left_semi")
+    own = visited.select("cluster", "block", "sid", F.col("root").alias("known"), F.lit(False).alias("side"))
+    third = _narrowed(large, own.unionByName(visiting), percent, made, guests=True)
+    made += [large, labelled, named, visits]
+    for found in (first, second, third):
+        single = single.unionByName(found.where("linked").select("a", "b"))
+    return single
 
 
 def _placed(members: DataFrame) -> DataFrame:

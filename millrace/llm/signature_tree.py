@@ -6,6 +6,8 @@ elements that share a bit with another one, and its component if all its sets ar
 of nodes are followed from the root down; a pair is left out if its sizes cannot be close enough,
 if the greatest overlap its bitmaps allow is too small, or if all its sets are already connected.
 Pairs of sets that remain are compared element by element. Nothing here approximates.
+
+``may_link`` uses smaller bitmaps alone, to tell which sets need not be brought together at all.
 """
 
 from __future__ import annotations
@@ -144,3 +146,56 @@ def link(sets: list[np.ndarray], percent: int, labels: np.ndarray | None = None,
         if keep.any():
             stack.append((depth - 1, a[keep], b[keep]))
     return found
+
+
+# Most bits of a sketch; those of larger sets say less.
+MOST_BITS = 1 << 16
+
+
+def sketch(elements: np.ndarray) -> bytes:
+    """A bitmap of hashed elements: a power of two of bits, at least two an element up to ``MOST_BITS``."""
+    width = 1 << int(np.clip((2 * len(elements) - 1).bit_length(), 6, MOST_BITS.bit_length() - 1))
+    flags = np.zeros(width, np.uint8)
+    flags[(elements & np.uint64(width - 1)).astype(np.int64)] = 1
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def may_link(sketches: list[bytes], sizes: np.ndarray, percent: int, labels: np.ndarray, side: np.ndarray | None = None) -> np.ndarray:
+    """Whether each set may be alike to one of another label, and of the other ``side`` if given.
+
+    Sketches are folded or repeated to one width. The elements two sets share are at most the bits
+    they share and the elements of either that share a bit with another of their set.
+    """
+    n = len(sketches)
+    widths = np.array([len(s) for s in sketches])
+    width = int(np.sort(widths)[3 * (n - 1) // 4])
+    order = np.argsort(sizes, kind="stable")
+    bits = np.empty((n, width // 8), np.uint64)
+    excess = np.empty(n, np.int64)
+    for at, k in enumerate(order.tolist()):
+        own = np.frombuffer(sketches[k], np.uint64)
+        narrow = min(width, len(sketches[k])) // 8
+        own = np.bitwise_or.reduce(own.reshape(-1, narrow), axis=0)
+        excess[at] = sizes[k] - int(np.bitwise_count(own).sum())
+        bits[at] = np.tile(own, width // 8 // narrow)
+    sizes, labels = sizes[order], labels[order]
+    sides = None if side is None else side[order]
+    most = np.searchsorted(sizes, sizes * 100 // percent, side="right")
+    found = np.zeros(n, bool)
+    for i in range(n):
+        others = np.arange(i + 1, most[i])
+        wanted = labels[others] != labels[i]
+        if sides is not None:
+            wanted &= sides[others] != sides[i]
+        if found[i]:
+            wanted &= ~found[others]
+        others = others[wanted]
+        for k in range(0, len(others), max(1, (1 << 21) // width)):
+            some = others[k : k + max(1, (1 << 21) // width)]
+            shared = np.bitwise_count(bits[some] & bits[i]).sum(axis=1, dtype=np.int64) + np.minimum(excess[some], excess[i])
+            fits = (100 + percent) * np.minimum(shared, sizes[i]) >= percent * (sizes[some] + sizes[i])
+            found[some[fits]] = True
+            found[i] |= fits.any()
+    out = np.empty(n, bool)
+    out[order] = found
+    return out
