@@ -441,9 +441,16 @@ def one_per_component(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Rows of a component that repeat that doc_id are reduced to one of them.
     """
-    found = memberships(docs, percent)
-    kept = found.where(F.col("doc").eqNullSafe(F.col("component_id"))).groupBy("root", "doc").agg(F.min("row").alias("__row"))
-    kept = kept.select(F.col("doc").alias("__doc"), "__row")
+    found = memberships(docs, percent).where(F.col("doc").eqNullSafe(F.col("component_id")))
+    least = F.min(F.struct("row", "m")).alias("least")
+    kept = found.groupBy("root", "doc", "row").agg(F.count("*").alias("m")).groupBy("root", "doc").agg(least)
+    kept = materialise(kept.select(F.col("doc").alias("__doc"), F.col("least.row").alias("__row"), F.col("least.m").alias("__m")), "kept")
+    # Counted and bounded, it is broadcast, so that texts stay where they are; only rows that are repeated are grouped.
+    own = broadcast_if_counted(kept, kept.count(), 32)
     given = docs.select(F.struct(*docs.columns).alias("given"), F.col("doc_id").cast("long").alias("doc"), row_key().alias("row"))
-    joined = given.join(kept, F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("row") == F.col("__row")))
-    return joined.groupBy("__doc", "__row").agg(F.first("given").alias("given")).select("given.*")
+    joined = given.join(own, F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("row") == F.col("__row")))
+    once = joined.where("__m = 1").select("given.*")
+    if kept.where("__m > 1").isEmpty():
+        return once
+    again = joined.where("__m > 1").groupBy("__doc", "__row").agg(F.first("given").alias("given"))
+    return once.unionByName(again.select("given.*"))

@@ -47,3 +47,16 @@ def test_elements_of_a_cluster_by_chance_stay(spark, monkeypatch):
     found = {r.doc: r.component_id for r in jaccard.memberships(docs).collect()}
     assert found == {i: i for i in range(66)} | {66: 0}
     assert len(moved) > 1 and sum(moved) <= 12
+
+
+def test_kept_documents_move_no_text(spark):
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(30)) for _ in range(20)]
+    given = [(i, t, f"s{i}") for i, t in enumerate(texts + texts[:5])] + [(99, None, "n")]
+    schema = "doc_id long, text string, source string"
+    kept = jaccard.one_per_component(spark.createDataFrame(given, schema))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(20), 99]
+    twice = jaccard.one_per_component(spark.createDataFrame(given + given[:3] + given[-1:], schema))
+    assert sorted(r.doc_id for r in twice.collect()) == [*range(20), 99]
