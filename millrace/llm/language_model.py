@@ -9,7 +9,7 @@ Texts are dealt by a hash into stretches of about ``STRETCH`` words, so that a p
 a stretch and not at each place. A stretch asks for the counts of its different words and pairs:
 sorted 64-bit keys with its own counts, packed per range of keys. Each range is summed in one task,
 which packs the totals in the order of every stretch's keys. A stretch then reads its texts again
-beside its answers. Nothing of the model passes through the driver but its three totals and a table
+beside its answers. Both times the texts of a task are compressed together per stretch before they are shuffled. Nothing of the model passes through the driver but its three totals and a table
 of events on a grid of bounded size; every count covers all training texts.
 
 Defined cases: words are runs without ASCII white space, A-Z in lower case, and one end per text, so
@@ -42,6 +42,9 @@ DELETED = 3
 # Words of a stretch, and bytes of text that hold about as many.
 STRETCH = 1 << 21
 STRETCH_BYTES = 8 << 20
+# Bytes of text that a task holds to compress them per stretch, and most of one piece.
+HELD_BYTES = 32 << 20
+PIECE_BYTES = 1 << 18
 # Keys of a range; ranges are a power of two.
 RANGE_KEYS = 1 << 21
 # Steps of the events' grid per factor of two, and its width.
@@ -133,6 +136,50 @@ def _stretches(rows: Iterator[pa.RecordBatch], columns: tuple[str, ...]) -> Iter
     return groupby(each(), key=lambda r: r[0])
 
 
+_PIECE = pa.schema([("stretch", pa.int64()), ("docs", pa.list_(pa.int64())), ("rows", pa.list_(pa.int64())), ("trains", pa.list_(pa.bool_())), ("sizes", pa.list_(pa.int32())), ("texts", pa.binary())])
+
+
+def _pieces(placed: DataFrame) -> DataFrame:
+    """Texts (stretch, doc, row, trains, text) compressed in pieces (stretch, docs, rows, trains, sizes, texts) of one stretch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple]] = {}
+        bytes_of: dict[int, int] = {}
+
+        def closed(stretches: list[int]) -> Iterator[pa.RecordBatch]:
+            for k in range(0, len(stretches), 64):
+                rows = []
+                for stretch in stretches[k : k + 64]:
+                    docs, keys, trains, texts = zip(*held.pop(stretch), strict=True)
+                    del bytes_of[stretch]
+                    rows.append((stretch, docs, keys, trains, list(map(len, texts)), pa.compress(b"".join(texts), _CODEC, asbytes=True)))
+                yield batch(_PIECE, *zip(*rows, strict=True))
+
+        for rows in batches:
+            given = (rows.column(n).to_pylist() for n in ("stretch", "doc", "row", "trains"))
+            for stretch, doc, row, trains, text in zip(*given, utf8(rows.column("text")), strict=True):
+                held.setdefault(stretch, []).append((doc, row, trains, text))
+                bytes_of[stretch] = bytes_of.get(stretch, 0) + len(text)
+                if bytes_of[stretch] >= PIECE_BYTES:
+                    yield from closed([stretch])
+            if sum(bytes_of.values()) >= HELD_BYTES:
+                yield from closed(list(held))
+        yield from closed(list(held))
+
+    return map_batches(placed, run, "stretch long, docs array<long>, rows array<long>, trains array<boolean>, sizes array<int>, texts binary")
+
+
+def _in_order(pieces: Iterable[tuple]) -> list[tuple[int | None, int, bool, bytes]]:
+    """(doc, row, trains, text) of all pieces (docs, rows, trains, sizes, texts) of a stretch, by doc and row."""
+    found = []
+    for docs, keys, trains, sizes, data in pieces:
+        texts, at = pa.decompress(data, sum(sizes), _CODEC, asbytes=True), 0
+        for doc, row, trained, size in zip(docs, keys, trains, sizes, strict=True):
+            found.append((doc, row, trained, texts[at : at + size]))
+            at += size
+    return sorted(found, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+
+
 _ASKED = pa.schema([("stretch", pa.int64()), ("part", pa.int32()), ("pair", pa.bool_()), ("slot", pa.int32()), ("keys", pa.binary()), ("own", pa.binary())])
 
 
@@ -151,16 +198,12 @@ def _asked(placed: DataFrame, ranges: int, most: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Recent(xxhash.xxh3_64_intdigest)
-        for stretch, rows in _stretches(batches, ("text", "trains")):
-            flags: list[bool] = []
-
-            def numbered():
-                for i, (_, text, trains) in enumerate(rows):
-                    flags.append(trains)
-                    yield i, (text or "").encode()
-
-            for number, part in enumerate(parts_of(numbered(), hashes, most)):
-                trained = np.array(flags, np.float64)[part.text]
+        for stretch, rows in _stretches(batches, _PIECE.names[1:]):
+            texts = _in_order(r[1:] for r in rows)
+            flags = np.array([r[2] for r in texts], np.float64)
+            numbered = ((i, r[3]) for i, r in enumerate(texts))
+            for number, part in enumerate(parts_of(numbered, hashes, most)):
+                trained = flags[part.text]
                 yield from ask(stretch, number, False, part.asked(), np.append(trained, 0.0))
                 yield from ask(stretch, number, True, part.pairs(), trained)
 
@@ -221,13 +264,14 @@ class Sizes:
 
 def _beside(placed: DataFrame, answers: DataFrame, figures: str) -> DataFrame:
     """Texts and answers of each stretch in one partition, answers first."""
+    pieces = _pieces(placed)
     given = answers.where("stretch IS NOT NULL").select(
-        "stretch", F.lit(0).alias("kind"), "part", "pair", "slot", F.col(figures).alias("figures"), F.lit(None).cast("long").alias("doc"), F.lit(None).cast("long").alias("row"), F.lit(None).cast("boolean").alias("trains"), F.lit(None).cast("string").alias("text")
+        "stretch", F.lit(0).alias("kind"), "part", "pair", "slot", F.col(figures).alias("figures"), *[F.lit(None).cast(t).alias(c) for c, t in pieces.dtypes[1:]]
     )
-    texts = placed.select(
-        "stretch", F.lit(1).alias("kind"), F.lit(0).alias("part"), F.lit(False).alias("pair"), F.lit(0).alias("slot"), F.lit(None).cast("binary").alias("figures"), "doc", "row", "trains", "text"
+    texts = pieces.select(
+        "stretch", F.lit(1).alias("kind"), F.lit(0).alias("part"), F.lit(False).alias("pair"), F.lit(0).alias("slot"), F.lit(None).cast("binary").alias("figures"), *pieces.columns[1:]
     )
-    return given.unionByName(texts).repartition("stretch").sortWithinPartitions("stretch", "kind", "part", "pair", "slot", "doc", "row")
+    return given.unionByName(texts).repartition("stretch").sortWithinPartitions("stretch", "kind", "part", "pair", "slot")
 
 
 def _looked_up(batches: Iterator[pa.RecordBatch], most: int, texts: int) -> Iterator[tuple]:
@@ -236,17 +280,20 @@ def _looked_up(batches: Iterator[pa.RecordBatch], most: int, texts: int) -> Iter
     The start of a text was seen as often as there are training ``texts``.
     """
     hashes = Recent(xxhash.xxh3_64_intdigest)
-    for stretch, rows in _stretches(batches, ("kind", "part", "pair", "figures", "doc", "text")):
+    for stretch, rows in _stretches(batches, ("kind", "part", "pair", "figures", *_PIECE.names[1:])):
         answers: dict[tuple[int, bool], list[bytes]] = {}
         docs: list[int | None] = []
 
         def numbered():
-            for _, kind, part, pair, figures, doc, text in rows:
+            pieces = []
+            for _, kind, part, pair, figures, *piece in rows:
                 if kind == 0:
                     answers.setdefault((part, pair), []).append(figures)
                 else:
-                    docs.append(doc)
-                    yield len(docs) - 1, (text or "").encode()
+                    pieces.append(piece)
+            for doc, _, _, text in _in_order(pieces):
+                docs.append(doc)
+                yield len(docs) - 1, text
 
         for number, part in enumerate(parts_of(numbered(), hashes, most)):
             words, at = np.unique(part.asked(), return_inverse=True)
@@ -347,7 +394,7 @@ def language_model_scores(docs: DataFrame, stretch_words: int = STRETCH, stretch
     placed = keyed.select(stretch.alias("stretch"), "doc", row_key().alias("row"), "trains", "text")
     held = sum(r["bytes"] for r in by.values())
     ranges = 1 << max(0, (held // 6 // range_keys).bit_length())
-    ordered = placed.repartition("stretch").sortWithinPartitions("stretch", "doc", "row")
+    ordered = _pieces(placed).repartition("stretch").sortWithinPartitions("stretch")
     answers = materialise(_answered(_asked(ordered, ranges, stretch_words)), "counts")
     of_words = answers.where("stretch IS NULL AND NOT pair").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "kinds", "deleted")]).first()
     sizes = Sizes(of_words["n"], of_words["kinds"], texts, of_words["n"] - of_words["deleted"], rest_texts)

@@ -1,11 +1,11 @@
-"""What near-duplicate search moves."""
+"""What near-duplicate search moves, and texts packed for the language model."""
 
 import random
 from itertools import combinations
 
 import numpy as np
 
-from millrace.llm import jaccard
+from millrace.llm import jaccard, language_model
 from millrace.llm.signature_tree import alike, may_link, sketch
 
 
@@ -60,3 +60,21 @@ def test_kept_documents_move_no_text(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [*range(20), 99]
     twice = jaccard.one_per_component(spark.createDataFrame(given + given[:3] + given[-1:], schema))
     assert sorted(r.doc_id for r in twice.collect()) == [*range(20), 99]
+
+
+def test_texts_are_shuffled_in_compressed_pieces(spark, monkeypatch):
+    rng = random.Random(4)
+    words = [f"word{i}é" for i in range(300)]
+    given = [(i % 3, None if i == 7 else i, i * 31 % 101, i % 5 > 0, None if i == 8 else " ".join(rng.choices(words, k=rng.randrange(200)))) for i in range(90)]
+    placed = spark.createDataFrame(given, "stretch long, doc long, row long, trains boolean, text string")
+    raw = sum(len((t or "").encode()) for *_, t in given)
+    for piece, held in ((1 << 18, 32 << 20), (1000, 32 << 20), (1 << 18, 5000)):
+        monkeypatch.setattr(language_model, "PIECE_BYTES", piece)
+        monkeypatch.setattr(language_model, "HELD_BYTES", held)
+        pieces = language_model._pieces(placed.coalesce(1)).collect()
+        for stretch in range(3):
+            found = language_model._in_order(tuple(p)[1:] for p in pieces if p.stretch == stretch)
+            wanted = sorted((g[1:] for g in given if g[0] == stretch), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+            assert found == [(d, r, t, (x or "").encode()) for d, r, t, x in wanted]
+        if piece > 1000 and held > 5000:
+            assert len(pieces) == 3 and sum(len(p.texts) for p in pieces) < raw / 2
