@@ -9,10 +9,10 @@ from ..session import materialise, release
 
 
 def _toward_least(edges: DataFrame) -> DataFrame:
-    """Link every node that is larger than u to the least of u and its neighbours."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    """Link every node that is larger than u to the least of u and its neighbours; ``edges`` go from larger to smaller."""
+    up = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    least = edges.unionByName(up).groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    return up.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _down(edges: DataFrame) -> DataFrame:
@@ -25,8 +25,9 @@ def _down(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b); ``root`` is the least node reachable.
 
-    Alternates two star contractions until nothing changes. Each round is written to the shared
-    folder. Neighbours are never gathered: a node only needs their least one.
+    Alternates two star contractions until nothing changes. Each is written to the shared folder,
+    so that plans, which the driver keeps, stay those of one. Neighbours are never gathered: a node
+    only needs their least one.
     """
     now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now, seen = materialise(now, "edges"), None
@@ -35,7 +36,8 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == seen or not mark[0]:
             break
         seen = mark
-        past, now = now, materialise(_down(_toward_least(now)).distinct(), "edges")
-        release(past)
+        half = materialise(_toward_least(now), "stars")
+        past, now = now, materialise(_down(half).distinct(), "edges")
+        release(past, half)
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())

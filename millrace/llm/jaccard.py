@@ -216,16 +216,17 @@ def _flags(values: DataFrame) -> np.ndarray:
     slot = F.pmod(values[values.columns[0]], F.lit(slots))
     parts = (
         values.select(slot.alias("s"))
-        .select(F.expr("bitmap_bucket_number(s)").alias("bucket"), F.expr("bitmap_bit_position(s)").alias("bit"))
+        .select(F.shiftright("s", 15).alias("bucket"), F.col("s").bitwiseAND(F.lit(32767)).alias("bit"))
         .groupBy("bucket")
         .agg(F.expr("bitmap_construct_agg(bit)").alias("bits"))
     )
-    flags = np.zeros(slots // 8 + 1, np.uint8)
-    for p in parts.toLocalIterator():
-        bits = np.flatnonzero(np.unpackbits(np.frombuffer(bytes(p["bits"]), np.uint8), bitorder="little"))
-        # Bucket k holds the values (k - 1) * 32768 + 1 to k * 32768; bucket 0 ends at 0.
-        at = bits + (p["bucket"] - 1) * 32768 + 1 if p["bucket"] > 0 else bits
-        np.bitwise_or.at(flags, at >> 3, np.uint8(1) << (at & 7).astype(np.uint8))
+    parts = materialise(parts, "flags")
+    flags = np.zeros(-(-slots // 32768) << 12, np.uint8)
+    # Each partition that is fetched is a job of the driver; one for every 4 MB of the bitmap.
+    for p in parts.coalesce(max(1, slots >> 25)).toLocalIterator():
+        bits = np.frombuffer(bytes(p["bits"]), np.uint8)
+        flags[p["bucket"] << 12 : (p["bucket"] << 12) + len(bits)] = bits
+    release(parts)
     return flags[: slots // 8]
 
 
