@@ -1,6 +1,7 @@
 """What near-duplicate search asks of the driver, and how words are hashed."""
 
 import random
+import time
 
 import numpy as np
 
@@ -50,3 +51,52 @@ def test_a_round_of_components_plans_one_contraction(spark, monkeypatch):
             if a != b:
                 least[a] = least[b] = min(least[a], least[b])
     assert found == least
+
+
+def test_words_are_hashed_at_once():
+    """Equal words have equal hashes, others have not, whatever their length and neighbours."""
+    rng = random.Random(6)
+    made = [bytes(rng.choice(b"abAB\0\xc3\xa4\x1c\x85") for _ in range(rng.choice([1, 7, 8, 9, 15, 16, 17, 24, 63, 64, 65, 200]))) for _ in range(3000)]
+    made += [b"\0" * k for k in range(1, 70)]
+    seen: dict[bytes, int] = {}
+    for _ in range(200):
+        text = b"".join(rng.choice(made) + rng.choice([b" ", b"\n", b"\t \r", b"\x0b", b"\x0c"]) for _ in range(rng.randrange(40)))
+        words = text.lower().split()
+        hashes = jaccard.word_hashes(text).tolist()
+        assert len(hashes) == len(words)
+        assert all(seen.setdefault(w, h) == h for w, h in zip(words, hashes, strict=True))
+    assert len(set(seen.values())) == len(seen) > 2000
+    assert not len(jaccard.word_hashes(b"")) and not len(jaccard.word_hashes(b" \n"))
+
+
+def test_words_seen_once_are_hashed_in_little_time():
+    """It took several times what cutting the text takes, a call for every new word."""
+    rng = random.Random(7)
+    texts = [" ".join(f"{rng.randrange(16**7):x}" for _ in range(500)).encode() for _ in range(400)]
+
+    def spent(work) -> float:
+        began = time.thread_time()
+        for t in texts:
+            work(t)
+        return time.thread_time() - began
+
+    cut = min(spent(lambda t: t.lower().split()) for _ in range(5))
+    assert min(spent(jaccard.word_hashes) for _ in range(5)) < 6 * cut
+
+
+def test_ranks_are_those_of_the_order():
+    """Rare elements first, then those that occur once, of rarer words, of lower hash."""
+    rng = np.random.default_rng(8)
+    order = rng.integers(0, 256, (2, jaccard.SLOTS)).astype(np.uint8), rng.integers(0, 256, 1 << 13).astype(np.uint8)
+    for n in (0, 1, 4, 5, 6, 30, 400):
+        text = " ".join(f"w{k}" for k in rng.integers(0, 40, n)).encode()
+        words = jaccard.word_hashes(text)
+        elements, at = np.unique(jaccard.shingle_hashes(words), return_index=True)
+        found, firsts = jaccard.set_and_firsts(text, order)
+        assert found.tolist() == elements.tolist()
+        if len(elements) > 1:
+            level = order[0][0][jaccard._slots(elements)].tolist()
+            flag = jaccard._flagged(order[1], elements.view(np.int64)).tolist()
+            weight = [int(order[0][1][jaccard._slots(words[k : k + 5])].sum()) for k in at]
+            ranked = sorted(zip(level, flag, weight, elements.tolist(), strict=True))
+            assert firsts.tolist() == [r[-1] for r in ranked][: len(elements) - (80 * len(elements) + 99) // 100 + 1]
