@@ -449,8 +449,10 @@ def memberships(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     classes = materialise(classes, "classes")
     clusters, hubs = _clusters(classes, percent)
     clusters = materialise(clusters, "clusters")
-    members = classes.drop("firsts").join(clusters, "sid")
+    # Read four times to place sets; written, they are joined once.
+    members = materialise(classes.drop("firsts").join(clusters, "sid"), "members")
     placed = materialise(_placed(members), "placed")
+    release(members)
     made = [clusters, hubs, placed]
     roots = components(_links(keyed, classes, hubs, placed, percent, made))
     release(*made)
